@@ -203,7 +203,6 @@ _RATES = """
 
 def _rank_files(spark, sf):
     """Shards of equal size: the first rows are repeated at the end, one folder of result files."""
-    preds = image_predictions(spark, sf, "gold_yn", "pred_yn").drop("position")
     world = 7
     events = table(spark, sf, "events")
     n = events.agg(F.count(F.lit(1))).scalar()
@@ -221,17 +220,17 @@ def _rank_files(spark, sf):
         F.array("pred_yn").alias("output"),
     )
     path = shared_dir(spark, "ranks")
-    sinks.reset_output(preds, f"{path}/results")
-    sinks.write_jsonl(records, f"{path}/results")
-    return f"{path}/results", world
+    sinks.reset_output(records, f"{path}/result-0")
+    sinks.write_jsonl(records, f"{path}/result-0")
+    return path, world
 
 
 def merged_predictions(spark, sf):
     """Padded shards written, read back, merged with the total known and without it, and written once more."""
     path, world = _rank_files(spark, sf)
     n = table(spark, sf, "events").agg(F.count(F.lit(1))).scalar()
-    records = readers.read_rank_files(spark, f"{path}*")
-    known = jobs.merge_predictions(spark, f"{path}*", world=world, dedup=False).filter(F.col("position") < n)
+    records = readers.read_rank_files(spark, path)
+    known = jobs.merge_predictions(spark, path, world=world, dedup=False).filter(F.col("position") < n)
     parts = {"total known": known, "first of key": subset.dedup_padded(records, world=world)}
     merged = subset.tagged_union(parts, name="how")
     sinks.write_merged(merged, f"{path}-merged")

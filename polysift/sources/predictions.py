@@ -16,8 +16,8 @@ def read_predictions(spark: SparkSession, path: str, *, schema: str = schemas.AV
 
 
 def read_rank_files(spark: SparkSession, path: str, *, schema: str = schemas.IMAGE_PREDICTION) -> DataFrame:
-    """All files of a directory whose name contains ``result``."""
-    return spark.read.schema(schema).option("pathGlobFilter", "*result*").json(path, mode="FAILFAST")
+    """All files (or folders of part files) of a directory whose name contains ``result``."""
+    return spark.read.schema(schema).json(f"{path}/*result*", mode="FAILFAST")
 
 
 def read_qa_tsv(spark: SparkSession, path: str) -> DataFrame:
