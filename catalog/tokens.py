@@ -98,8 +98,8 @@ def _tagged(spark, sf):
 def spliced_slots(spark, sf):
     widths = {"<video>": 10, "<audio>": 4}
     rows = _tagged(spark, sf).withColumn("slots", tokens.splice_segments("ids", "labels", VOCAB, widths))
-    shown = [_digest(F.transform("slots", lambda s, f=f: s[f])).alias(f) for f in ("label", "text", "video", "audio", "question")]
-    ids = _digest(F.transform("slots", lambda s: F.coalesce(s["token"], F.lit(0)))).alias("token")
+    shown = [_digest(F.col(f"slots.{f}")).alias(f) for f in ("label", "text", "video", "audio", "question")]
+    ids = _digest(F.transform("slots.token", lambda t: F.coalesce(t, F.lit(0)))).alias("token")
     return rows.select("doc_id", F.size("slots").alias("n"), ids, *shown)
 
 
@@ -194,7 +194,9 @@ def event_hops(spark, sf):
 
 def event_seconds(spark, sf):
     rows = segments.event_slots(table(spark, sf, "events"), seconds=600)
-    return rows.groupBy(F.unix_seconds("window.start").alias("start"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.withColumn("_start", F.col("window.start"))
+    start = segments.epoch_micros(rows, "_start") / F.lit(1_000_000)
+    return rows.groupBy(start.cast("bigint").alias("start"), "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 QUERIES = {

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 ZERO = 0.0
 
@@ -63,6 +64,19 @@ def _padded(rows: DataFrame, part: Column, width: Column, signal: str, front: Co
     return rows.withColumn("samples", value).drop("_part", "_width")
 
 
+def epoch_micros(df: DataFrame, ts: str) -> Column:
+    """Microseconds since the epoch; timestamps without time zone are read as UTC whatever the session zone is."""
+    if not isinstance(df.schema[ts].dataType, TimestampNTZType):
+        return F.unix_micros(ts)
+    gap = F.col(ts) - F.lit("1970-01-01").cast("timestamp_ntz")
+
+    def part(field: str) -> Column:
+        return F.date_part(F.lit(field), gap)
+
+    minutes = (part("DAY").cast("bigint") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    return minutes * 60_000_000 + (part("SECOND") * 1_000_000).cast("bigint")
+
+
 def event_windows(
     events: DataFrame, *, ts: str = "ts", hop: int = 6, before: float = 0.5, after: float = 1.5
 ) -> DataFrame:
@@ -71,7 +85,7 @@ def event_windows(
     Windows are narrower than the hop, so a row lies in at most ``ceil(width / hop)`` windows and the marks
     follow from the timestamp alone; rows between windows are left out.
     """
-    seconds = F.unix_micros(ts) / F.lit(1_000_000.0)
+    seconds = epoch_micros(events, ts) / F.lit(1_000_000.0)
     low = F.ceil((seconds - F.lit(after)) / F.lit(hop))
     high = F.floor((seconds + F.lit(before)) / F.lit(hop))
     rows = events.withColumns({"_low": low, "_high": high, "_seconds": seconds}).filter("_low <= _high")
