@@ -174,7 +174,6 @@ def written_pairs(spark, sf):
     path = shared_dir(spark, "pairs")
     rows = scoring.drop_odd_tail(_pair_rows(spark, sf).withColumn("question", F.concat(F.lit("q"), F.col("position").cast("string"))))
     sinks.write_by_subtask(rows, path)
-    sinks.write_by_subtask(rows, path)
     back = predictions.read_qa_tsv(spark, path)
     table_ = scoring.paired_score(back, groups=None)
     return table_.select("subtask", "images", "images_right", "n", "correct", F.round("score", 6).alias("score"))

@@ -71,8 +71,8 @@ def event_slot_report(spark, sf):
 
 
 def event_score(spark, sf):
-    parts = {m: scoring.ave_score(_ave(spark, sf), _vocab(spark, sf), mode=m) for m in ("strict", "compat")}
-    return subset.tagged_union(parts, name="mode").withColumn("accuracy", F.round("accuracy", 6))
+    rows = scoring.ave_score(_ave(spark, sf), _vocab(spark, sf), mode=("strict", "compat"))
+    return rows.withColumn("accuracy", F.round("accuracy", 6))
 
 
 def event_reject_report(spark, sf):

@@ -44,11 +44,11 @@ def streamed_merge(spark, sf):
     """Padded shards as a stream, repeats removed with the total known and by remembered (rank, index)."""
     path, world = scores._rank_files(spark, sf)
     n = table(spark, sf, "events").count()
-    preds = streams.stream_predictions(spark, f"{path}/result-0", schema=schemas.IMAGE_PREDICTION, files_per_batch=1)
+    preds = streams.stream_predictions(spark, f"{path}/result-0", schema=schemas.IMAGE_PREDICTION)
     known = streams.run_available(streams.stream_dedup(preds, world=world, n_total=n), f"{path}-known")
     # Every record is written once more: it arrives again under its own (rank, index).
     sinks.write_jsonl(spark.read.schema(schemas.IMAGE_PREDICTION).json(f"{path}/result-0"), f"{path}/result-0")
-    again = streams.stream_predictions(spark, f"{path}/result-0", schema=schemas.IMAGE_PREDICTION, files_per_batch=1)
+    again = streams.stream_predictions(spark, f"{path}/result-0", schema=schemas.IMAGE_PREDICTION)
     seen = streams.run_available(streams.stream_dedup(again, world=world), f"{path}-seen")
     seen = seen.withColumn("position", subset.merged_position(world=world)).filter(F.col("position") < n)
     rows = subset.tagged_union({"total known": known, "remembered": seen}, name="how")

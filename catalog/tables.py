@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from polysift.session import spread
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 # The same expressions run in both engines; ``{s}`` is the text type.
@@ -44,7 +54,8 @@ ADAPTER_SQL = f"select {_ADAPTER.format(s='varchar')} from events"
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(f"select {_ADAPTER.format(s='string')} from {{events}}", events=table(spark, sf_dir, "events"))
+    events = spread(table(spark, sf_dir, "events"))
+    return spark.sql(f"select {_ADAPTER.format(s='string')} from {{events}}", events=events)
 
 
 def av_predictions(spark: SparkSession, sf_dir: str, output: str = "output", predict: str = "pred_tag") -> DataFrame:

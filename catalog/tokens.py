@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from polysift.functions import frames, models, tokens
 from polysift.operators import batching, segments
 from polysift.operators.position import hash_bucket, seeded_hash, with_position
+from polysift.session import spread
 
 from .tables import table
 
@@ -24,12 +25,12 @@ def _digest(c):
 
 def _ids(spark, sf):
     """Word lengths of the whole text as token ids, by the native expression."""
-    docs = table(spark, sf, "documents")
+    docs = spread(table(spark, sf, "documents"))
     return docs.withColumn("ids", F.transform(F.split("text", " ", -1), lambda w: F.length(w)))
 
 
 def token_labels(spark, sf):
-    docs = table(spark, sf, "documents").withColumn("reply", F.concat_ws(" ", "source", "lang"))
+    docs = spread(table(spark, sf, "documents")).withColumn("reply", F.concat_ws(" ", "source", "lang"))
     rows = models.with_tokens(models.with_tokens(docs, "text", _lengths_tokenizer, name="p"), "reply", _lengths_tokenizer, name="a")
     return rows.select(
         "doc_id", F.size("p").alias("n"),
@@ -136,7 +137,7 @@ def frame_indices(spark, sf):
 
 
 def frame_draws(spark, sf):
-    docs = table(spark, sf, "documents").withColumn("frames", F.floor(F.col("n_chars") / 25))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "n_chars")).withColumn("frames", F.floor(F.col("n_chars") / 25))
     return docs.select("doc_id", F.array_join(frames.frames_headtail("frames", 16, "doc_id", 11), " ").alias("picked"))
 
 

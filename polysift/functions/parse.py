@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .bind import let
 from .text import col, cut_at_eos, drop_eos, py_strip
 
 # The closed answer set of the audio-visual question benchmark.
@@ -30,8 +31,7 @@ def tag_bodies(c: Column | str, tag: str) -> Column:
 
 def single_tag(c: Column | str, tag: str) -> Column:
     """Stripped body when the tag occurs exactly once, else null."""
-    bodies = tag_bodies(c, tag)
-    return F.when(F.size(bodies) == 1, py_strip(F.get(bodies, F.lit(0))))
+    return let(lambda found: F.when(F.size(found) == 1, py_strip(F.get(found, F.lit(0)))), found=tag_bodies(c, tag))
 
 
 def to_int(c: Column) -> Column:
@@ -50,7 +50,7 @@ def parse_ranges(c: Column | str) -> Column:
     parts = F.transform(tag_bodies(c, "range"), lambda body: F.split(py_strip(body), ",", -1))
     pairs = F.transform(
         F.filter(parts, lambda p: F.size(p) == 2),
-        lambda p: F.struct(to_int(F.get(p, F.lit(0))).alias("start"), to_int(F.get(p, F.lit(1))).alias("end")),
+        lambda p: F.struct(to_int(p[0]).alias("start"), to_int(p[1]).alias("end")),
     )
     return F.filter(pairs, lambda r: r["start"].isNotNull() & r["end"].isNotNull())
 

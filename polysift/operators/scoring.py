@@ -77,16 +77,17 @@ def avqa_report(kinds: DataFrame, types: list[tuple[str, str]] | None = None) ->
     rows = kinds.unionByName(empty).withColumn(
         "_listed", F.coalesce(F.array_contains(listed, F.struct("modality", "kind")), F.lit(False))
     )
-    overall = rows.agg(F.sum("n").alias("n"), F.sum("correct").alias("correct")).select(
-        F.lit(None).cast("string").alias("modality"), F.lit(None).cast("string").alias("kind"), "n", "correct"
+    only_listed = [F.sum(F.when(F.col("_listed"), F.col(c))).alias(f"_{c}") for c in ("n", "correct")]
+    totals = rows.rollup("modality", "kind").agg(
+        F.sum("n").alias("n"), F.sum("correct").alias("correct"), *only_listed, F.grouping_id().alias("_level")
     )
-    detail = (
-        rows.filter("_listed")
-        .rollup("modality", "kind")
-        .agg(F.sum("n").alias("n"), F.sum("correct").alias("correct"))
-        .filter("modality is not null")
+    everything = F.col("_level") == 3
+    shown = totals.filter(everything | F.col("_n").isNotNull()).select(
+        "modality",
+        "kind",
+        *[F.when(everything, F.col(c)).otherwise(F.col(f"_{c}")).alias(c) for c in ("n", "correct")],
     )
-    return detail.unionByName(overall).withColumn("accuracy", _percent(F.col("correct"), F.col("n")))
+    return shown.withColumn("accuracy", _percent(F.col("correct"), F.col("n")))
 
 
 # -- events over time ----------------------------------------------------------------------------------
@@ -152,35 +153,43 @@ def ave_slots(judged: DataFrame, slots: int = SLOTS) -> DataFrame:
     )
 
 
-def ave_score(preds: DataFrame, vocab: DataFrame, *, mode: str = "strict", slots: int = SLOTS) -> DataFrame:
-    """Per-second accuracy over all clips.
-
-    ``strict`` divides by the slots of accepted clips. ``compat`` divides by the slots of all clips and
-    counts every slot of a rejected clip as right.
-    """
-    if mode not in ("strict", "compat"):
-        raise ValueError(f"unknown mode {mode!r}")
+def ave_totals(preds: DataFrame, vocab: DataFrame, *, slots: int = SLOTS) -> DataFrame:
+    """One row: clips, accepted clips and matching slots of the accepted ones. Slots are counted in place."""
     judged = judge_ave(preds, vocab)
-    seconds = F.sequence(F.lit(0), F.lit(slots - 1))
 
     def same(slot: Column) -> Column:
         real = F.when(slot.between(F.col("gold_start"), F.col("gold_end")), F.col("gold_event")).otherwise(BACKGROUND)
         pred = F.when(slot_overlap(slot, "ranges"), F.col("event")).otherwise(BACKGROUND)
         return real == pred
 
+    seconds = F.sequence(F.lit(0), F.lit(slots - 1))
     hits = F.when(F.col("reason").isNull(), F.size(F.filter(seconds, same)))
-    totals = judged.select("reason", hits.alias("_hits")).agg(
+    return judged.select("reason", hits.alias("_hits")).agg(
         F.count(F.lit(1)).alias("clips"),
         _count_if(F.col("reason").isNull()).alias("accepted"),
         F.coalesce(F.sum("_hits"), F.lit(0)).cast("bigint").alias("matches"),
     )
-    if mode == "strict":
-        right, total = F.col("matches"), slots * F.col("accepted")
-    else:
-        right, total = F.col("matches") + slots * (F.col("clips") - F.col("accepted")), slots * F.col("clips")
-    return totals.select(
-        "clips", "accepted", right.alias("correct"), total.alias("slots"), (right / F.nullif(total, F.lit(0))).alias("accuracy")
-    )
+
+
+def ave_score(
+    preds: DataFrame, vocab: DataFrame, *, mode: str | tuple[str, ...] = "strict", slots: int = SLOTS
+) -> DataFrame:
+    """Per-second accuracy over all clips, one row per mode.
+
+    ``strict`` divides by the slots of accepted clips. ``compat`` divides by the slots of all clips and
+    counts every slot of a rejected clip as right.
+    """
+    modes = (mode,) if isinstance(mode, str) else mode
+    clips, accepted, matches = F.col("clips"), F.col("accepted"), F.col("matches")
+    parts = {
+        "strict": (matches, slots * accepted),
+        "compat": (matches + slots * (clips - accepted), slots * clips),
+    }
+    if not set(modes) <= set(parts):
+        raise ValueError(f"unknown mode in {modes!r}")
+    rows = [F.struct(F.lit(m).alias("mode"), parts[m][0].alias("correct"), parts[m][1].alias("slots")) for m in modes]
+    scored = ave_totals(preds, vocab, slots=slots).select("clips", "accepted", F.inline(F.array(*rows)))
+    return scored.withColumn("accuracy", F.col("correct") / F.nullif(F.col("slots"), F.lit(0)))
 
 
 def parse_report(judged: DataFrame) -> DataFrame:
@@ -326,13 +335,15 @@ def paired_score(
         "acc_plus", F.col("images_right") / F.col("images")
     )
     table = table.withColumn("score", 100 * F.col("acc") + 100 * F.col("acc_plus"))
-    return table.unionByName(table.agg(F.sum("score").alias("score")), allowMissingColumns=True)
+    # One row per subtask goes in, so the total costs nothing and the table is computed once.
+    kept = [F.when(F.grouping("subtask") == 0, F.max(c)).alias(c) for c in table.columns if c not in ("subtask", "score")]
+    return table.rollup("subtask").agg(*kept, F.sum("score").alias("score"))
 
 
 def task_counts(samples: DataFrame) -> DataFrame:
     """Rows per task and in total (null task)."""
     counts = samples.groupBy("task").agg(F.count(F.lit(1)).alias("n"))
-    return counts.unionByName(counts.agg(F.sum("n").alias("n")), allowMissingColumns=True)
+    return counts.rollup("task").agg(F.sum("n").alias("n"))
 
 
 def subtask_counts(rows: DataFrame) -> DataFrame:

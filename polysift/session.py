@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -22,3 +22,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **setting
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal a scan with fewer splits than cores over all cores; a scan with enough splits is left alone.
+
+    Meant for expensive narrow work on a file with a single row group, which Spark cannot split.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
