@@ -17,9 +17,9 @@ HASH_DIGITS = 4
 
 
 def int_bucket(order: str | Column, width: int = BUCKET_ROWS) -> Column:
-    """Bucket of a unique integer order key: at most ``width`` rows each."""
+    """Bucket of a unique integer order key: at most ``width`` rows each, twice that around zero."""
     c = F.col(order) if isinstance(order, str) else order
-    return F.floor(c / F.lit(width)).cast("bigint")
+    return F.call_function("div", c.cast("bigint"), F.lit(width))
 
 
 def hash_bucket(order: str | Column, digits: int = HASH_DIGITS) -> Column:
@@ -41,11 +41,16 @@ def with_position(
     by: Sequence[str] = (),
     name: str = "position",
     following: dict[str, str] | None = None,
+    levels: int = 0,
 ) -> DataFrame:
     """Add the 0-based position of each row by ``order`` inside its ``by`` group.
 
     ``bucket`` must not decrease along ``order``. ``following`` maps new columns to the columns of the
     next row they take their value from; it needs a single order key that is unique in the group.
+
+    The running sum over bucket counts runs in one task per group. Hash buckets keep that at 16**digits
+    rows; for integer buckets of arbitrary keys, each of ``levels`` cuts it by another factor of 65 536.
+    ``following`` is meant for dense keys: it looks up successors per group and bucket.
     """
     order = [order] if isinstance(order, str) else list(order)
     by, following = list(by), following or {}
@@ -57,9 +62,7 @@ def with_position(
     aggs = [F.count(F.lit(1)).alias("_n")]
     if following:
         aggs.append(F.min(order[0]).alias("_first"))
-    along = Window.partitionBy(*by).orderBy("_bucket")
     spans = rows.groupBy(*keys).agg(*aggs)
-    offset = F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1))
     picked = [F.col(k).alias(f"_{i}") for i, k in enumerate(keys)]
 
     local = Window.partitionBy(*keys).orderBy(*order)
@@ -70,7 +73,7 @@ def with_position(
         out = out.withColumn("_last", F.lead(order[0]).over(local).isNull())
 
     # Groups that fit one bucket need no offset, so this side stays small and is usually broadcast by AQE.
-    starts = spans.select(*picked, F.coalesce(offset, F.lit(0)).alias("_offset")).filter("_offset > 0")
+    starts = _offsets(spans, by, levels).select(*picked, "_offset").filter("_offset > 0")
     out = out.join(starts, _same(keys), "left")
     out = out.withColumn(name, (F.col("_row") - 1 + F.coalesce("_offset", F.lit(0))).cast("bigint"))
     out = out.drop("_row", "_offset", *[f"_{i}" for i in range(len(keys))])
@@ -78,6 +81,7 @@ def with_position(
         return out.drop("_bucket")
 
     # The last row of a bucket finds its successor at the start of the group's next bucket.
+    along = Window.partitionBy(*by).orderBy("_bucket")
     edges = spans.select(*picked, F.lead("_first").over(along).alias("_next")).filter("_next is not null")
     group_of = [F.col(f"_{i}").eqNullSafe(F.col(k)) for i, k in enumerate(by)]
     heads = edges.join(
@@ -90,10 +94,27 @@ def with_position(
     return out.drop("_bucket", "_last", *[f"_{i}" for i in range(len(keys))], *[f"_{new}" for new in following])
 
 
+def _offsets(spans: DataFrame, by: list[str], levels: int) -> DataFrame:
+    """Rows of the group in front of each bucket, from its ``_n``; columns by, _bucket, _offset."""
+    before = Window.unboundedPreceding, -1
+    if levels == 0:
+        along = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(*before)
+        return spans.select(*by, "_bucket", F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_offset"))
+    cut = spans.select(*by, "_bucket", "_n", F.shiftright("_bucket", 16).alias("_upper"))
+    along = Window.partitionBy(*by, "_upper").orderBy("_bucket").rowsBetween(*before)
+    inner = cut.withColumn("_inner", F.coalesce(F.sum("_n").over(along), F.lit(0)))
+    upper = cut.groupBy(*by, "_upper").agg(F.sum("_n").alias("_n")).withColumnRenamed("_upper", "_bucket")
+    outer = _offsets(upper, by, levels - 1).select(
+        *[F.col(k).alias(f"_{i}") for i, k in enumerate(by)], F.col("_bucket").alias(f"_{len(by)}"), F.col("_offset").alias("_outer")
+    )
+    joined = inner.join(outer, _same([*by, "_upper"]), "left")
+    return joined.select(*by, "_bucket", (F.col("_inner") + F.col("_outer")).alias("_offset"))
+
+
 def _same(keys: list[str]) -> Column:
     """Rows of the same group and bucket; a null group key is a group of its own."""
     groups = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys[:-1])]
-    return _all([*groups, F.col("_bucket") == F.col(f"_{len(keys) - 1}")])
+    return _all([*groups, F.col(keys[-1]) == F.col(f"_{len(keys) - 1}")])
 
 
 def _all(conditions: list[Column]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .position import hash_bucket, seeded_hash, with_position
+from .position import hash_bucket, int_bucket, seeded_hash, with_position
 
 
 def head_n(df: DataFrame, n: int, *, position: str = "position") -> DataFrame:
@@ -16,11 +16,11 @@ def head_n(df: DataFrame, n: int, *, position: str = "position") -> DataFrame:
 def cap_per_task(
     df: DataFrame, n: int, *, position: str, bucket: Column, task: str = "task", carry_over: int = 0
 ) -> DataFrame:
-    """First ``n`` rows of each task by ``position`` (any unique order key).
+    """First ``n`` rows of each task by ``position``, a unique order key with its integer ``bucket``.
 
     ``carry_over=1`` also admits the one extra row that a counter checked after the append lets through.
     """
-    placed = with_position(df, position, by=[task], bucket=bucket, name="_place")
+    placed = with_position(df, position, by=[task], bucket=bucket, name="_place", levels=1)
     return placed.filter(F.col("_place") < n + carry_over).drop("_place")
 
 
@@ -55,9 +55,7 @@ def distinct_keep_first(df: DataFrame, key: str, *, position: str = "position",
 def first_seen_order(df: DataFrame, key: str, *, position: str = "position", name: str = "group_order") -> DataFrame:
     """Groups in order of first appearance: key, first position and dense ``group_order``."""
     firsts = df.groupBy(key).agg(F.min(position).alias("first_position"))
-    return with_position(
-        firsts, "first_position", bucket=F.floor(F.col("first_position") / F.lit(65_536)), name=name
-    )
+    return with_position(firsts, "first_position", bucket=int_bucket("first_position"), name=name, levels=1)
 
 
 def concat_splits(first: DataFrame, second: DataFrame, *, names: tuple[str, str] = ("train", "val")) -> DataFrame:

@@ -8,8 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import models, tokens
-from ..operators import batching, lookup, scoring, segments, subset, vectors
+from ..functions import models, prompts, tokens
+from ..operators import batching, conversations, lookup, scoring, segments, subset, vectors
 from ..operators.position import BUCKET_ROWS, hash_bucket, int_bucket, seeded_hash, with_position
 from ..sources import annotations, predictions, samples
 
@@ -103,10 +103,6 @@ def pack_batches(
     Ranking runs on the key alone; the token arrays move once, to their batch.
     """
     cfg = cfg or PackConfig()
-    placed = with_position(
-        rows.select(cfg.key).withColumn("_hash", seeded_hash(cfg.seed, cfg.key)), ["_hash", cfg.key], bucket=hash_bucket("_hash")
-    )
-    batches = batching.batch_ids(placed, cfg.batch_size).select(F.col(cfg.key).alias("_key"), "position", "batch_id")
     encoded = models.with_tokens(rows, "instruction", make_tokenizer, name="_prompt")
     encoded = models.with_tokens(encoded, "output", make_tokenizer, name="_answer")
     if cfg.evaluate:
@@ -114,8 +110,76 @@ def pack_batches(
     else:
         ids, labels = tokens.input_ids("_prompt", "_answer"), tokens.label_ids("_prompt", "_answer")
     ready = encoded.select(cfg.key, "task", ids.alias("input_ids"), labels.alias("labels"))
-    joined = ready.join(batches, F.col(cfg.key) == F.col("_key")).drop("_key")
-    return (batching.pad_right if cfg.side == "right" else batching.pad_left)(joined)
+    pad = batching.pad_right if cfg.side == "right" else batching.pad_left
+    return pad(_in_batches(ready, rows, cfg.key, cfg.batch_size, cfg.seed))
+
+
+@dataclass
+class ChatConfig:
+    """Token ids and batch shape of :func:`pack_image_chat`; markers are the encoded start and end texts."""
+
+    start_marker: list[int]
+    end_marker: list[int]
+    image_id: int
+    key: str = "sample_id"
+    batch_size: int = 8
+    seed: int = 0
+    slots: int = 32
+    system: str = prompts.SYSTEM_TEXT
+
+
+def pack_image_chat(
+    rows: DataFrame, make_tokenizer: Callable[[], Callable[[list[str]], list[list[int]]]], cfg: ChatConfig
+) -> tuple[DataFrame, DataFrame]:
+    """Conversations -> chat text -> ids, span labels and masks, padded right per batch: (batches, rejects).
+
+    Placeholder ids are cleared after the media mask is taken, as the media features replace them.
+    """
+    rendered = conversations.render_image_chat(rows.select(cfg.key, "conversation"), slots=cfg.slots, system=cfg.system)
+    rejects = rendered.filter("reject is not null").select(cfg.key, "reject")
+    encoded = models.with_tokens(rendered.filter("reject is null"), "prompt", make_tokenizer, name="_raw")
+    masked = encoded.select(
+        cfg.key,
+        tokens.tag_mask("_raw", cfg.image_id).alias("image_mask"),
+        tokens.clear_tag("_raw", cfg.image_id).alias("input_ids"),
+    )
+    spans = tokens.target_spans("input_ids", cfg.start_marker, cfg.end_marker)
+    labelled = masked.withColumn("labels", tokens.span_labels("input_ids", spans))
+    ready = labelled.withColumns(
+        {"text_mask": tokens.complement("image_mask"), "question_mask": tokens.question_mask("image_mask", "labels")}
+    )
+    batched = _in_batches(ready, rows, cfg.key, cfg.batch_size, cfg.seed)
+    return batching.pad_right(batched, masks=("image_mask", "text_mask", "question_mask")), rejects
+
+
+def pack_media_slots(
+    rows: DataFrame,
+    make_tokenizer: Callable[[], Callable[[list[str]], list[list[int]]]],
+    *,
+    vocab_size: int,
+    widths: dict[str, int],
+    cfg: PackConfig | None = None,
+) -> DataFrame:
+    """Tokenized samples with media placeholders opened into slots, padded left per batch with their masks."""
+    cfg = cfg or PackConfig()
+    encoded = models.with_tokens(rows, "instruction", make_tokenizer, name="_prompt")
+    encoded = models.with_tokens(encoded, "output", make_tokenizer, name="_answer")
+    ids = encoded.select(
+        cfg.key, tokens.input_ids("_prompt", "_answer").alias("_ids"), tokens.label_ids("_prompt", "_answer").alias("_labels")
+    )
+    slots = ids.select(cfg.key, tokens.splice_segments("_ids", "_labels", vocab_size, widths).alias("_slots"))
+    masks = ("text", "video", "audio", "question")
+    flat = slots.select(
+        cfg.key, F.col("_slots.token").alias("input_ids"), F.col("_slots.label").alias("labels"), *[F.col(f"_slots.{m}").alias(m) for m in masks]
+    )
+    return batching.pad_left(_in_batches(flat, rows, cfg.key, cfg.batch_size, cfg.seed), masks=masks)
+
+
+def _in_batches(ready: DataFrame, rows: DataFrame, key: str, size: int, seed: int) -> DataFrame:
+    """Add ``position`` and ``batch_id`` in seeded random order; only the keys are ranked."""
+    keys = rows.select(F.col(key).alias("_key")).withColumn("_hash", seeded_hash(seed, "_key"))
+    placed = batching.batch_ids(with_position(keys, ["_hash", "_key"], bucket=hash_bucket("_hash")), size)
+    return ready.join(placed.select("_key", "position", "batch_id"), F.col(key) == F.col("_key")).drop("_key")
 
 
 @dataclass
@@ -170,7 +234,7 @@ def prepare_subset(rows: DataFrame, before: DataFrame, after: DataFrame, *, n: i
 
     ``before`` and ``after`` list the ids present before and after the external fetch.
     """
-    placed = with_position(rows, position, bucket=int_bucket(position), name="_place")
+    placed = with_position(rows, position, bucket=int_bucket(position), name="_place", levels=1)
     chosen = subset.head_n(placed, n, position="_place").drop("_place")
     return subset.missing(chosen, before, key=key), subset.fetch_report(chosen, before, after, key=key)
 
