@@ -223,7 +223,7 @@ SQL = {
         from documents, (values ('train'), ('test')) s(split)""",
     "event_samples": f"""
         with c as (select *, cast(event_id as varchar) as vid from events),
-        o as (select 'train' as split, vid, 'quality ' || quality as output from c join labels on c.event_id = labels.doc_id
+        o as (select 'train' as split, vid, coalesce('quality ' || quality, '') as output from c left join labels on c.event_id = labels.doc_id
               union all select 'test', vid, 'event:' || event_type || ' start_time:' || (event_id % 10) || ' end_time:'
                 || (event_id % 10 + user_id % 5) from c)
         select split, 'ave' as task, vid, 'AVE_data/AVE/' || vid || '.mp4' as video_path,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
+from .annotations import file_path
 from ..functions.text import stem
 from ..operators.position import with_position
 
@@ -28,7 +29,7 @@ def read_qa_tsv(spark: SparkSession, path: str) -> DataFrame:
     """
     lines = spark.read.text(path, recursiveFileLookup=True, pathGlobFilter="*.txt").select(
         F.split("value", "\t", -1).alias("f"),
-        F.col("_metadata.file_path").alias("_file"),
+        file_path().alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"),
     )
