@@ -21,18 +21,6 @@ CARRIED_VALUES = 4_000_000
 BLOCK_ROWS = 4_096
 
 
-def _ship_by_value() -> None:
-    """Let Python workers run these kernels without the package on their own path."""
-    import sys
-
-    from pyspark import cloudpickle
-
-    cloudpickle.register_pickle_by_value(sys.modules[__package__.split(".")[0]])
-
-
-_ship_by_value()
-
-
 def _small_side(df: DataFrame, key: str, vec: str, max_values: int) -> pd.DataFrame | None:
     """Rows of a side with at most ``max_values`` numbers, ordered by key; None when it is larger."""
     head = df.select(F.size(vec).alias("d")).limit(1).toPandas()
@@ -122,7 +110,10 @@ def _match_carried(a: DataFrame, side: pd.DataFrame, k, metric, scale, a_key, a_
                 out.append([{"match": int(keys[j]), "score": float(scores[i, j])} for j in at])
         return pd.Series(out)
 
-    found = a.select(F.col(a_key).alias("key"), F.posexplode(match(F.col(a_vec))).alias("place", "hit"))
+    # Naming the vector twice keeps Spark from folding a long vector expression into the Python call.
+    rows = a.filter(F.col(a_vec).isNotNull()).select(F.col(a_key).alias("key"), F.col(a_vec).alias("vec"))
+    hits = F.when(F.col("vec").isNotNull(), match("vec"))
+    found = rows.select("key", F.posexplode(hits).alias("place", "hit"))
     return found.select("key", (F.col("place") + 1).alias("rank"), "hit.match", "hit.score")
 
 

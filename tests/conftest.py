@@ -8,6 +8,15 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from polysift.session import local_session  # noqa: E402
 
 
+from pyspark import cloudpickle  # noqa: E402
+
+
+@pytest.fixture(scope="module", autouse=True)
+def ship_helpers(request):
+    """Helpers of test modules reach the Python workers by value."""
+    cloudpickle.register_pickle_by_value(request.module)
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(

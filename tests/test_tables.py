@@ -1,0 +1,361 @@
+"""Conversations, batching, segments, vectors, caller's Python and streams against plain Python."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from polysift.functions import models
+from polysift.operators import batching, conversations, segments, subset, vectors
+from polysift.plans import jobs
+from polysift.scratch import materialise, shared_dir
+from polysift.streaming import streams
+
+
+# -- conversations
+
+
+@pytest.mark.parametrize("width", [1, 3, 65_536])
+def test_pairs_of_hot_conversations(spark, width):
+    rnd = random.Random(4)
+    turns = []
+    for conv in range(30):
+        length = 90 if conv == 0 else rnd.randrange(0, 9)
+        for t in range(length):
+            turns.append((conv, t, rnd.choice(["user", "assistant", "system"]) if rnd.random() < 0.4 else ("user", "assistant")[t % 2], f"{conv}.{t}"))
+    want = set()
+    for conv in range(30):
+        said = [(r, x) for c, _, r, x in turns if c == conv and r != "system"]
+        for i in range(0, len(said) - 1, 2):
+            if said[i][0] == "user" and said[i + 1][0] == "assistant":
+                want.add((conv, i // 2, said[i][1], said[i + 1][1]))
+    df = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").repartition(7)
+    got = conversations.single_turn_pairs(df, bucket_rows=width)
+    assert {tuple(r) for r in got.select("conv_id", "pair", "question", "answer").collect()} == want
+    bad = conversations.check_alternation(df, bucket_rows=width).collect()
+    assert all((r.role == "user") != (r.place % 2 == 0) for r in bad)
+
+
+def test_chat_template(spark):
+    turn = "array<struct<from:string,value:string>>"
+    rows = [
+        (0, [("human", " hi <image> "), ("gpt", " yes ")]), (1, [("gpt", "first")]), (2, []), (3, [("human", "a"), ("gpt", "b"), ("human", "c")]),
+    ]
+    df = spark.createDataFrame(rows, f"k int, conversation {turn}")
+    got = {r.k: r for r in conversations.render_image_chat(df, slots=2, system="S").collect()}
+    assert got[0].prompt == "<s>[INST] <<SYS>>\nS\n<</SYS>>\n\n hi <image><image> [/INST] yes </s>" and got[0].reject is None
+    assert got[1].prompt is None and got[1].reject == "roles do not alternate" and got[2].prompt == ""
+    assert got[3].prompt.endswith("a [/INST] b </s><s>[INST] c [/INST]")
+
+
+def test_training_records(spark):
+    df = spark.createDataFrame([("I", "O", "t")], "instruction string, output string, task string")
+    row = conversations.sft_records(df).first()
+    assert tuple(row) == ("### System: You are a helpful assistant.\n### User: I\n### Assistant: ", "O </s>", "t")
+
+
+# -- batching
+
+
+def dealt_by_hand(lengths, chunks):
+    if len(lengths) % chunks:
+        return [(i % chunks, i // chunks) for i in range(len(lengths))]
+    room, load, count, out = len(lengths) // chunks, [0.0] * chunks, [0] * chunks, []
+    for x in lengths:
+        open_chunks = [c for c in range(chunks) if count[c] < room]
+        c = min(open_chunks, key=lambda c: (load[c], c))
+        out.append((c, count[c]))
+        load[c] += x
+        count[c] += 1
+    return out
+
+
+def test_length_groups(spark):
+    rnd = random.Random(9)
+    rows = [(i, rnd.randrange(1, 50)) for i in range(107)]
+    got = batching.length_grouped(
+        spark.createDataFrame(rows, "k bigint, n bigint"), key="k", length="n", batch_size=4, world=3, seed=6
+    ).collect()
+    assert sorted(r.k for r in got) == list(range(107))
+    for mega in range(9):
+        members = [r for r in got if r.mega == mega]
+        assert len(members) == (12 if mega < 8 else 11)
+        lengths = sorted((r.n for r in members), reverse=True)
+        assert sorted((r.n, r.chunk, r.place) for r in members) == sorted((n, c, p) for n, (c, p) in zip(lengths, dealt_by_hand(lengths, 3)))
+
+
+def test_modality_groups(spark):
+    rnd = random.Random(10)
+    rows = [(i, rnd.randrange(1, 50) * (1 if i % 3 else -1)) for i in range(100)]
+    df = spark.createDataFrame(rows, "k bigint, n bigint")
+    got = sorted(batching.modality_grouped(df, key="k", signed_length="n", batch_size=2, world=3, seed=1).collect(), key=lambda r: r.position)
+    assert [r.position for r in got] == list(range(100)) and sorted(r.k for r in got) == list(range(100))
+    media, words = 66, 34
+    full = (media - 1) // 6 + (words - 1) // 6
+    for mega in range(full):
+        assert len({r.n > 0 for r in got[mega * 6 : mega * 6 + 6]}) == 1
+    tail = [r.k for r in got[full * 6 :]]
+    assert tail == sorted(tail)
+    alone = batching.modality_grouped(df.filter("n > 0"), key="k", signed_length="n", batch_size=2, world=3, seed=1)
+    assert sorted(r.position for r in alone.collect()) == list(range(66))
+
+
+def test_shards(spark):
+    df = spark.range(23).select(F.col("id").alias("position"))
+    got = batching.shard_strided(df, 5).groupBy("shard").count().collect()
+    assert sorted(r["count"] for r in got) == [4, 4, 5, 5, 5]
+    assert batching.batch_ids(df, 10).groupBy("batch_id").count().orderBy("batch_id").collect()[-1]["count"] == 3
+
+
+# -- segments
+
+
+def test_segments_against_numpy(spark):
+    rnd = np.random.default_rng(1)
+    signals = {n: rnd.random(n).astype("float32") for n in (3, 10, 61, 103, 240)}
+    df = spark.createDataFrame([(n, [float(x) for x in s]) for n, s in signals.items()], "k int, signal array<float>")
+
+    def cut(frame):
+        out = {}
+        for r in frame.orderBy("segment").collect():
+            out.setdefault(r.k, []).append(r.samples)
+        return out
+
+    fixed, equal, hop = cut(segments.segments_fixed(df, rate=10)), cut(segments.segments_equal(df, n=10)), cut(
+        segments.segments_hop(df, total=12, hop=3)
+    )
+    for n, s in signals.items():
+        padded = np.pad(s, (0, max(-(-n // 10), 1) * 10 - n))
+        assert np.allclose(fixed[n], padded.reshape(-1, 10))
+        width = n // 10
+        assert np.allclose(equal[n], s[: width * 10].reshape(10, width))
+        rate = n // 12
+        for i, part in enumerate(hop[n]):
+            begin, end = int(max(3 * i - 0.5, 0) * rate), int((3 * i + 1.5) * rate)
+            want = np.pad(s[begin:end], (2 * rate - (end - begin), 0))
+            assert np.allclose(part, want)
+    assert len(fixed[3]) == 1 and len(hop[240]) == 4
+    back = cut(segments.segments_hop(df, total=4, hop=3))
+    assert np.allclose(back[240][1], np.pad(signals[240][150:240], (0, 30)))
+    assert jobs.segment_manifest(df, jobs.SegmentConfig(mode="equal", options={"n": 2})).count() == 10
+    assert "Exchange" not in jobs.segment_manifest(df, jobs.SegmentConfig(rate=10))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_event_windows(spark):
+    times = [0.0, 1.49, 1.5, 5.49, 5.5, 7.4, 59.9, -0.5, -0.6]
+    df = spark.createDataFrame([(t,) for t in times], "t double").select("t", F.timestamp_micros((F.col("t") * 1_000_000).cast("bigint")).alias("ts"))
+    got = {r.t: r.mark for r in segments.event_windows(df).collect()}
+    assert got == {0.0: 0, 1.49: 0, 5.5: 6, 7.4: 6, 59.9: 60, -0.5: 0}
+
+
+# -- vectors
+
+
+@pytest.fixture(scope="module")
+def cloud(spark):
+    rnd = np.random.default_rng(0)
+    a, b = rnd.normal(size=(90, 6)), rnd.normal(size=(70, 6))
+    b[5] = b[60]  # a tie
+    frame = lambda m, p: spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], f"{p}_id bigint, {p}_vec array<double>")
+    return a, b, frame(a, "a"), frame(b, "b")
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "distance"])
+@pytest.mark.parametrize("k", [1, 4, 100])
+def test_best_matches_small_and_blocked(cloud, metric, k):
+    a, b, da, db = cloud
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    scores = {"cosine": unit(a) @ unit(b).T, "dot": a @ b.T, "distance": -((a[:, None] - b[None]) ** 2).sum(-1)}[metric]
+    order = [sorted(range(70), key=lambda j, i=i: (-round(scores[i, j], 9), j))[:k] for i in range(90)]
+    for options in ({}, {"max_values": 12, "block_rows": 17}):
+        got = vectors.best_matches(da, db, k, metric=metric, **options).collect()
+        found = {(r.a_id, r["rank"]): (r.b_id, r.score) for r in got}
+        assert len(found) == 90 * min(k, 70)
+        for i, js in enumerate(order):
+            for r, j in enumerate(js, start=1):
+                assert found[(i, r)][1] == pytest.approx(scores[i, j], abs=1e-9)
+                if j not in (5, 60):
+                    assert found[(i, r)][0] == j
+
+
+def test_codebook_assignment_and_step(cloud, spark):
+    a, b, da, db = cloud
+    book = db.filter("b_id < 4").select(F.col("b_id").alias("code"), F.col("b_vec").alias("vec"))
+    far = spark.createDataFrame([(9, [50.0] * 6)], "code bigint, vec array<double>")
+    book = book.unionByName(far)
+    centres = np.vstack([b[:4], [[50.0] * 6]])
+    near = ((a[:, None] - centres[None]) ** 2).sum(-1)
+    at = near.argmin(1)
+    got = {r.a_id: r for r in vectors.nearest_code(da, book, key="a_id", vec="a_vec").collect()}
+    names = [0, 1, 2, 3, 9]
+    assert all(got[i].code == names[at[i]] and got[i].distance == pytest.approx(near[i].min()) for i in range(90))
+    step = {r.code: r for r in vectors.kmeans_step(da, book, vec="a_vec").collect()}
+    for c, name in enumerate(names):
+        assert step[name].size == (at == c).sum()
+        assert np.allclose(step[name].vec, a[at == c].mean(0) if (at == c).any() else centres[c])
+    error = vectors.quantization_error(vectors.nearest_code(da, book, key="a_id", vec="a_vec"), 6, beta=2.0).first().error
+    assert error == pytest.approx(2 * near.min(1).mean() / 6)
+    with pytest.raises(ValueError):
+        vectors.kmeans_step(da, book, vec="a_vec", max_values=6)
+    usage = {r.code: (r.n, r.dead) for r in vectors.code_usage(vectors.nearest_code(da, book, key="a_id", vec="a_vec"), 10).collect()}
+    assert usage[9] == (0, True) and sum(n for n, _ in usage.values()) == 90 and len(usage) == 10
+
+
+def test_kmeans_error_never_grows(cloud):
+    _, _, da, db = cloud
+    start = db.filter("b_id < 5").select(F.col("b_id").alias("code"), F.col("b_vec").alias("vec"))
+    errors = []
+    for iters in (1, 3, 6):
+        book = vectors.kmeans(da, start, vec="a_vec", iters=iters)
+        errors.append(vectors.quantization_error(vectors.nearest_code(da, book, key="a_id", vec="a_vec"), 6).first().error)
+    assert errors == sorted(errors, reverse=True)
+    assert jobs.fit_codebook(da, 3, key="a_id", vec="a_vec", iters=2).count() == 3
+
+
+def test_moving_codebook(cloud, spark):
+    a, b, da, _ = cloud
+    a = a / np.linalg.norm(a, axis=1, keepdims=True)
+    unit = b[:4] / np.linalg.norm(b[:4], axis=1, keepdims=True)
+    prev = spark.createDataFrame([(i, [float(x) for x in v], 10.0 * i) for i, v in enumerate(unit)], "code bigint, vec array<double>, size double")
+    batch = spark.createDataFrame([([float(x) for x in v],) for v in a], "vec array<double>")
+    moved = {r.code: r for r in vectors.ema_codebook(prev, batch, vec="vec", decay=0.8).collect()}
+    at = ((a[:, None] - unit[None]) ** 2).sum(-1).argmin(1)
+    for c in range(4):
+        target = a[at == c].mean(0) if (at == c).any() else unit[c]
+        mixed = 0.8 * unit[c] + 0.2 * target / np.linalg.norm(target)
+        assert np.allclose(moved[c].vec, mixed / np.linalg.norm(mixed))
+        assert moved[c].size == pytest.approx(8.0 * c + 0.2 * (at == c).sum())
+    sizes = vectors.smoothed_sizes(prev, eps=0.5).collect()
+    assert sum(r.smoothed for r in sizes) == pytest.approx(60) and sizes[0].smoothed > 0
+
+
+def test_code_maps(spark):
+    used = spark.createDataFrame([(3, 0), (7, 1)], "code bigint, index bigint")
+    codes = spark.createDataFrame([(0, 3), (1, 7), (2, 5)], "k int, code bigint")
+    index = lambda policy: {r.k: r["index"] for r in vectors.remap_codes(codes, used, policy=policy).collect()}
+    assert index("extra") == {0: 0, 1: 1, 2: 2} and index(1) == {0: 0, 1: 1, 2: 1}
+    drawn = index("random")
+    assert drawn == index("random") and drawn[2] in (0, 1)
+    back = vectors.unmap_codes(vectors.remap_codes(codes, used, policy="extra").drop("code"), used)
+    assert {r.k: r.code for r in back.collect()} == {0: 3, 1: 7, 2: 3}
+
+
+def test_alignment_loss(cloud, spark):
+    a, b, *_ = cloud
+    rows = [(i // 8, [float(x) for x in a[i]], [float(x) for x in b[i]]) for i in range(20)]
+    df = spark.createDataFrame(rows, "batch_id bigint, a_vec array<double>, b_vec array<double>")
+    got = {r.batch_id: r for r in vectors.alignment_loss(df, scale=0.5).collect()}
+    for batch in range(3):
+        x, y = a[batch * 8 : min(batch * 8 + 8, 20)], b[batch * 8 : min(batch * 8 + 8, 20)]
+        logits = (x / np.linalg.norm(x, axis=1)[:, None]) @ (y / np.linalg.norm(y, axis=1)[:, None]).T * math.exp(0.5)
+        p, q = (np.log(np.exp(m).sum(1)) - np.diag(m) for m in (logits, logits.T))
+        assert got[batch].n == len(x) and got[batch].loss == pytest.approx((p.mean() + q.mean()) / 2)
+
+
+# -- caller's Python
+
+
+def words():
+    return lambda texts: [[len(w) for w in t.split()] for t in texts]
+
+
+def test_callers_python(spark):
+    df = spark.createDataFrame([(i, "a bb " + "c" * i) for i in range(20)], "k bigint, t string")
+    assert {r.k: r.ids for r in models.with_tokens(df, "t", words).collect()}[3] == [1, 2, 3]
+
+    def model():
+        return lambda texts: [f"{len(texts)}" for _ in texts]
+
+    sizes = models.batch_predict(df.coalesce(1), "t", model, batch=8).groupBy("predict").count().collect()
+    assert {r.predict: r["count"] for r in sizes} == {"8": 16, "4": 4}
+
+    def decoder():
+        return lambda content: {"n": len(content)}
+
+    media = df.select(F.col("k").alias("path"), F.encode("t", "UTF-8").alias("content"))
+    assert {r.path: r.n for r in models.map_media(media, decoder, "n bigint").collect()}[4] == 9
+
+
+def test_packing_jobs(spark):
+    df = spark.createDataFrame([(f"s{i}", "t", "a bb " * (i + 1), "ccc") for i in range(11)], "sample_id string, task string, instruction string, output string")
+    got = jobs.pack_batches(df, words, jobs.PackConfig(batch_size=4)).collect()
+    assert sorted(r.position for r in got) == list(range(11)) and {r.batch_id for r in got} == {0, 1, 2}
+    for r in got:
+        assert len(r.input_ids) == len(r.labels) == r.width == max(len(x.input_ids) for x in got if x.batch_id == r.batch_id)
+    left = jobs.pack_batches(df, words, jobs.PackConfig(batch_size=4, side="left", evaluate=True)).collect()
+    assert all(set(r.labels) == {-100} for r in left)
+
+    def special():
+        table = {"<video>": 103, "<question_start>": 109, "<question_end>": 110}
+        return lambda texts: [[table.get(w, 1) for w in t.split()] for t in texts]
+
+    av = df.withColumn("instruction", F.lit("x <video> <question_start> q q <question_end>"))
+    row = jobs.pack_media_slots(av, special, vocab_size=100, widths={"<video>": 3}).first()
+    assert (row.video, row.question, row.labels) == ([0, 1, 1, 1, 0, 0, 0], [0, 0, 0, 0, 1, 1, 0], [-100] * 6 + [1])
+
+
+def test_image_chat_job(spark):
+    def tokenizer():
+        table = {"[INST]": 50, "[/INST]": 51, "</s>": 2, "<image>": 99}
+        return lambda texts: [[table.get(w, 7) for w in t.replace("<image>", " <image> ").split()] for t in texts]
+
+    turn = "array<struct<from:string,value:string>>"
+    rows = [("a", [("human", "<image> why ?"), ("gpt", "because so")]), ("b", [("gpt", "x")]), ("c", [("human", "q"), ("gpt", "r")])]
+    batches, rejects = jobs.pack_image_chat(
+        spark.createDataFrame(rows, f"sample_id string, conversation {turn}"), tokenizer,
+        jobs.ChatConfig(start_marker=[51], end_marker=[2], image_id=99, slots=2),
+    )
+    got = {r.sample_id: r for r in batches.collect()}
+    assert set(got) == {"a", "c"} and [r.sample_id for r in rejects.collect()] == ["b"]
+    a = got["a"]
+    assert sum(a.image_mask) == 2 and 99 not in a.input_ids and [x for x in a.labels if x != -100] == [7, 7, 2]
+    assert sum(a.question_mask) == 3 and not any(got["c"].question_mask)
+    assert len(got["c"].input_ids) == len(a.input_ids) == len(a.position_ids)
+
+
+def test_prepare_job(spark):
+    rows = spark.createDataFrame([(5 * i, f"id{i % 4}") for i in range(10)], "position bigint, id string")
+    before, after = (spark.createDataFrame([(x,) for x in xs], "id string") for xs in (["id0"], ["id0", "id1"]))
+    todo, report = jobs.prepare_subset(rows, before, after, n=3, key="id", position="position")
+    assert sorted(r.id for r in todo.collect()) == ["id1", "id2"]
+    assert report.first().asDict() == {"total_unique": 3, "ok": 1, "fail": 1, "skip": 1}
+
+
+# -- streams
+
+
+def test_scratch_reads_the_session_setting(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark, "x").startswith(base)
+    assert materialise(spark.range(5), "five").count() == 5
+
+
+def test_streams_equal_batch(spark, tmp_path):
+    from polysift import sinks
+    from polysift.sources import schemas
+
+    rows = [{"rank": p % 3, "index": p // 3, "question": f"q{p % 10}", "answer": "yes", "output": ["yes" if p % 4 else "hm"]} for p in range(12)]
+    df = spark.createDataFrame(rows, schemas.IMAGE_PREDICTION.replace("subtask string, image_path string, ", ""))
+    for part in (df.filter("index < 2"), df.filter("index >= 2")):
+        sinks.write_jsonl(part, f"{tmp_path}/in")
+    stream = streams.stream_predictions(spark, f"{tmp_path}/in", schema=schemas.IMAGE_PREDICTION, files_per_batch=1)
+    yes = streams.run_available(streams.running_yesno(stream), f"{tmp_path}/yes", mode="complete").first()
+    assert (yes.total, yes.correct, yes.unparsed) == (12, 9, 3)
+    known = streams.run_available(streams.stream_dedup(stream, world=3, n_total=10), f"{tmp_path}/known")
+    assert sorted(r.position for r in known.collect()) == list(range(10))
+    sinks.write_jsonl(df, f"{tmp_path}/in")
+    again = streams.stream_predictions(spark, f"{tmp_path}/in", schema=schemas.IMAGE_PREDICTION)
+    seen = streams.run_available(streams.stream_dedup(again, world=3), f"{tmp_path}/seen")
+    assert seen.count() == 12 and seen.select(subset.merged_position(world=3).alias("p")).distinct().count() == 12
+
+
+def test_stream_codebook_moves_per_batch(spark, tmp_path):
+    for i, vec in enumerate(([1.0, 0.0], [0.0, 1.0])):
+        spark.createDataFrame([(vec,)], "vec array<double>").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = streams.stream_events(spark, f"{tmp_path}/in", "vec array<double>", pattern="*.parquet", files_per_batch=1)
+    start = spark.createDataFrame([(0, [1.0, 0.0], 0.0), (1, [0.0, 1.0], 0.0)], "code bigint, vec array<double>, size double")
+    latest = streams.stream_codebook(stream, start, f"{tmp_path}/out", vec="vec", decay=0.5)
+    sizes = {r.code: r.size for r in latest().collect()}
+    assert sorted(sizes.values()) == [0.25, 0.5]
