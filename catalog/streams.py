@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from polysift import sinks
-from polysift.operators import scoring, subset
+from polysift.operators import scoring, segments, subset
 from polysift.scratch import shared_dir
 from polysift.sources import schemas
 from polysift.streaming import streams
@@ -18,6 +18,12 @@ from .vectors import _codebook, _shown
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
+def _events(spark, sf):
+    """Events as a stream, their wall-clock time read as UTC."""
+    events = streams.stream_events(spark, sf, EVENTS, pattern="events.parquet")
+    return events.withColumn("ts", F.timestamp_micros(segments.epoch_micros(events, "ts")))
+
+
 def streamed_avqa(spark, sf):
     base = shared_dir(spark, "stream")
     sinks.write_jsonl(av_predictions(spark, sf).drop("event_id").repartition(4), f"{base}/in")
@@ -68,14 +74,14 @@ def streamed_codebook(spark, sf):
 
 def streamed_windows(spark, sf):
     base = shared_dir(spark, "stream")
-    events = streams.stream_events(spark, sf, EVENTS, pattern="events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    events = _events(spark, sf)
     rows = streams.run_available(streams.stream_segments(events, seconds=600), f"{base}/out", mode="complete")
     return rows.select("event_type", F.unix_seconds("window.start").alias("start"), "n")
 
 
 def streamed_hops(spark, sf):
     base = shared_dir(spark, "stream")
-    events = streams.stream_events(spark, sf, EVENTS, pattern="events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    events = _events(spark, sf)
     rows = streams.run_available(streams.stream_hops(events, hop=300, before=30, after=60), f"{base}/out", mode="complete")
     return rows.select(F.unix_seconds("mark_ts").alias("mark"), "n")
 

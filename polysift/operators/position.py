@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, NumericType, StringType
 
 BUCKET_ROWS = 65_536
 HASH_DIGITS = 4
@@ -56,14 +57,13 @@ def with_position(
     by, following = list(by), following or {}
     if following and len(order) != 1:
         raise ValueError("following needs a single order key")
-    rows = df.withColumn("_bucket", bucket)
-    keys = [*by, "_bucket"]
+    group, rows, restored = _null_free(df, by, bucket)
+    keys = [*group, "_bucket"]
 
     aggs = [F.count(F.lit(1)).alias("_n")]
     if following:
         aggs.append(F.min(order[0]).alias("_first"))
     spans = rows.groupBy(*keys).agg(*aggs)
-    picked = [F.col(k).alias(f"_{i}") for i, k in enumerate(keys)]
 
     local = Window.partitionBy(*keys).orderBy(*order)
     out = rows.withColumn("_row", F.row_number().over(local))
@@ -72,49 +72,77 @@ def with_position(
     if following:
         out = out.withColumn("_last", F.lead(order[0]).over(local).isNull())
 
-    # Groups that fit one bucket need no offset, so this side stays small and is usually broadcast by AQE.
-    starts = _offsets(spans, by, levels).select(*picked, "_offset").filter("_offset > 0")
+    # Groups that fit one bucket need no offset, so this side stays small. The join keys are the window's
+    # partitioning, so the rows are not shuffled again whichever join Spark picks.
+    starts = _renamed(_offsets(spans, group, levels).filter("_offset > 0"), keys)
     out = out.join(starts, _same(keys), "left")
-    out = out.withColumn(name, (F.col("_row") - 1 + F.coalesce("_offset", F.lit(0))).cast("bigint"))
-    out = out.drop("_row", "_offset", *[f"_{i}" for i in range(len(keys))])
-    if not following:
-        return out.drop("_bucket")
-
-    # The last row of a bucket finds its successor at the start of the group's next bucket.
-    along = Window.partitionBy(*by).orderBy("_bucket")
-    edges = spans.select(*picked, F.lead("_first").over(along).alias("_next")).filter("_next is not null")
-    group_of = [F.col(f"_{i}").eqNullSafe(F.col(k)) for i, k in enumerate(by)]
-    heads = edges.join(
-        rows.select(*by, order[0], *set(following.values()) - {*by, order[0]}),
-        _all([*group_of, F.col("_next") == F.col(order[0])]),
-    ).select(*[f"_{i}" for i in range(len(keys))], *[F.col(old).alias(f"_{new}") for new, old in following.items()])
-    out = out.join(heads, _all([_same(keys), F.col("_last")]), "left")
-    for new in following:
-        out = out.withColumn(new, F.when(F.col("_last"), F.col(f"_{new}")).otherwise(F.col(new)))
-    return out.drop("_bucket", "_last", *[f"_{i}" for i in range(len(keys))], *[f"_{new}" for new in following])
-
-
-def _offsets(spans: DataFrame, by: list[str], levels: int) -> DataFrame:
-    """Rows of the group in front of each bucket, from its ``_n``; columns by, _bucket, _offset."""
+    out = out.withColumn(name, (F.col("_row") - 1 + F.coalesce("_offset", F.lit(0))).cast("bigint")).drop(*_others(keys))
+    if following:
+        # The last row of a bucket finds its successor at the start of the group's next bucket.
+        along = Window.partitionBy(*group).orderBy("_bucket")
+        edges = _renamed(spans.select(*keys, F.lead("_first").over(along).alias("_next")).filter("_next is not null"), keys)
+        firsts = rows.select(*group, *dict.fromkeys([order[0], *following.values()]))
+        at_start = [F.col(k) == F.col(o) for k, o in zip(group, _others(keys))] + [F.col("_next") == F.col(order[0])]
+        heads = edges.join(firsts, _all(at_start)).select(
+            *_others(keys), *[F.col(old).alias(f"_{new}") for new, old in following.items()]
+        )
+        out = out.join(heads, _same(keys) & F.col("_last"), "left")
+        for new in following:
+            out = out.withColumn(new, F.when(F.col("_last"), F.col(f"_{new}")).otherwise(F.col(new)))
+    added = [*following, name]
+    return out.select(*[c for k, c in restored.items() if k not in added], *added)
+
+
+def _null_free(df: DataFrame, by: list[str], bucket: Column) -> tuple[list[str], DataFrame, dict[str, Column]]:
+    """Group columns without nulls, the rows that carry them, and expressions for the original columns.
+
+    Plain equality on such columns is exact, so joins can use the partitioning the windows need; a null
+    key stays a group of its own through the ``_nulls`` bit mask.
+    """
+    blank = {StringType: "", BooleanType: False}
+    derived, restored, mask = {}, {}, F.lit(0)
+    for i, c in enumerate(by):
+        kind = df.schema[c].dataType
+        if isinstance(kind, NumericType) or type(kind) in blank:
+            derived[f"_g{i}"] = F.coalesce(F.col(c), F.lit(blank.get(type(kind), 0)).cast(kind))
+            mask = mask + F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0))
+            restored[c] = F.when(F.col("_nulls").bitwiseAND(F.lit(1 << i)) == 0, F.col(f"_g{i}"))
+        else:
+            derived[f"_g{i}"] = F.struct(F.col(c).alias("v"))
+            restored[c] = F.col(f"_g{i}.v")
+    if by:
+        derived["_nulls"] = mask
+    kept = [c for c in df.columns if c not in by]
+    rows = df.select(*kept, *[v.alias(k) for k, v in derived.items()], bucket.alias("_bucket"))
+    return list(derived), rows, {c: restored[c].alias(c) if c in restored else F.col(c) for c in df.columns}
+
+
+def _offsets(spans: DataFrame, group: list[str], levels: int) -> DataFrame:
+    """Rows of the group in front of each bucket, from its ``_n``; columns group, _bucket, _offset."""
     before = Window.unboundedPreceding, -1
     if levels == 0:
-        along = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(*before)
-        return spans.select(*by, "_bucket", F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_offset"))
-    cut = spans.select(*by, "_bucket", "_n", F.shiftright("_bucket", 16).alias("_upper"))
-    along = Window.partitionBy(*by, "_upper").orderBy("_bucket").rowsBetween(*before)
+        along = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(*before)
+        return spans.select(*group, "_bucket", F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_offset"))
+    cut = spans.select(*group, "_bucket", "_n", F.shiftright("_bucket", 16).alias("_upper"))
+    along = Window.partitionBy(*group, "_upper").orderBy("_bucket").rowsBetween(*before)
     inner = cut.withColumn("_inner", F.coalesce(F.sum("_n").over(along), F.lit(0)))
-    upper = cut.groupBy(*by, "_upper").agg(F.sum("_n").alias("_n")).withColumnRenamed("_upper", "_bucket")
-    outer = _offsets(upper, by, levels - 1).select(
-        *[F.col(k).alias(f"_{i}") for i, k in enumerate(by)], F.col("_bucket").alias(f"_{len(by)}"), F.col("_offset").alias("_outer")
-    )
-    joined = inner.join(outer, _same([*by, "_upper"]), "left")
-    return joined.select(*by, "_bucket", (F.col("_inner") + F.col("_outer")).alias("_offset"))
+    sums = cut.groupBy(*group, "_upper").agg(F.sum("_n").alias("_n")).withColumnRenamed("_upper", "_bucket")
+    keys = [*group, "_bucket"]
+    outer = _renamed(_offsets(sums, group, levels - 1), keys).withColumnRenamed("_offset", "_outer")
+    joined = inner.join(outer, _same([*group, "_upper"]))
+    return joined.select(*keys, (F.col("_inner") + F.col("_outer")).alias("_offset"))
+
+
+def _others(keys: list[str]) -> list[str]:
+    return [f"_other{i}" for i in range(len(keys))]
+
+
+def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumnsRenamed(dict(zip(keys, _others(keys))))
 
 
 def _same(keys: list[str]) -> Column:
-    """Rows of the same group and bucket; a null group key is a group of its own."""
-    groups = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys[:-1])]
-    return _all([*groups, F.col(keys[-1]) == F.col(f"_{len(keys) - 1}")])
+    return _all([F.col(k) == F.col(o) for k, o in zip(keys, _others(keys))])
 
 
 def _all(conditions: list[Column]) -> Column:

@@ -66,3 +66,26 @@ def test_no_task_holds_a_whole_hot_group(spark):
     windows = re.findall(r"Window \[row_number.*?\n.*?\n.*?hashpartitioning\((.*?), \d+\)", plan, re.S)
     assert windows and all("_bucket" in w for w in windows)
     assert placed.filter("p != k").count() == 0
+
+
+def test_other_key_types(spark):
+    df = spark.range(40).select(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("g"), F.col("id").alias("k"))
+    got = with_position(df.withColumn("g", F.when(F.col("k") > 4, F.col("g"))), "k", by=["g"], bucket=int_bucket("k", 4)).collect()
+    seen = {}
+    for r in sorted(got, key=lambda r: r.k):
+        assert r.position == seen.setdefault(r.g, 0)
+        seen[r.g] += 1
+    assert len(seen) == 4
+
+
+def test_rows_are_shuffled_once(spark, tmp_path):
+    df = spark.range(5_000).select((F.col("id") % 7).alias("g"), F.col("id").alias("k"), F.lit("text").alias("t"))
+    df.write.parquet(str(tmp_path / "p"))
+    placed = with_position(spark.read.parquet(str(tmp_path / "p")), "k", by=["g"], bucket=int_bucket("k", 100), following={"n": "t"})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    full = [line for line in plan.splitlines() if "FileScan" in line and ",t#" in line]
+    assert len(full) <= 2 and "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
