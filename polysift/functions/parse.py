@@ -145,4 +145,4 @@ def label_code(c: Column | str) -> Column:
 
 def media_codes(c: Column | str) -> Column:
     """Integers of all ``<vqgan_N>`` tags, in order."""
-    return F.transform(F.regexp_extract_all(col(c), F.lit(r"<vqgan_([0-9]+)>"), F.lit(1)), lambda x: x.cast("int"))
+    return F.transform(F.regexp_extract_all(col(c), F.lit(r"<vqgan_([0-9]+)>"), F.lit(1)), lambda x: x.try_cast("bigint"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parse
+from .lookup import flag_known
 from .position import BUCKET_ROWS, int_bucket, with_position
 
 # The question types that have a line of their own in the audio-visual report.
@@ -62,7 +63,7 @@ def avqa_score(
     """
     types = types or AVQA_TYPES
     judged = drop_unparsed(judge_avqa(preds, answers, exact=exact))
-    kinds = judged.groupBy(F.col("question_type")[0].alias("modality"), F.col("question_type")[1].alias("kind")).agg(
+    kinds = judged.groupBy(F.get("question_type", F.lit(0)).alias("modality"), F.get("question_type", F.lit(1)).alias("kind")).agg(
         F.count(F.lit(1)).alias("n"), _count_if(F.col("right")).alias("correct")
     )
     return avqa_report(kinds, types)
@@ -98,7 +99,6 @@ def judge_ave(preds: DataFrame, vocab: DataFrame) -> DataFrame:
 
     ``vocab`` has one lower-case ``event`` per row, the background class included.
     """
-    names = vocab.select(F.col("event").alias("_name"))
     tags = F.coalesce(F.size(parse.tag_bodies("predict", "event")), F.lit(0))
     rows = preds.withColumns(
         {
@@ -110,10 +110,8 @@ def judge_ave(preds: DataFrame, vocab: DataFrame) -> DataFrame:
         }
     )
     rows = rows.withColumns({"_direct": F.lower("_body"), "_paren": parse.paren_event("_body")})
-    for key, flag in (("gold_event", "_gold_ok"), ("_direct", "_direct_ok"), ("_paren", "_paren_ok")):
-        hits = names.select(F.col("_name").alias(f"_{key}_hit"), F.lit(True).alias(flag))
-        rows = rows.join(hits, F.col(key) == F.col(f"_{key}_hit"), "left").drop(f"_{key}_hit")
-    direct = F.coalesce("_direct_ok", F.lit(False))
+    rows = flag_known(rows, {"gold_event": "_gold_ok", "_direct": "_direct_ok", "_paren": "_paren_ok"}, vocab)
+    direct = F.col("_direct_ok")
     rows = rows.withColumns(
         {
             "event": F.when(direct, F.col("_direct")).otherwise(F.col("_paren")),
@@ -127,8 +125,8 @@ def judge_ave(preds: DataFrame, vocab: DataFrame) -> DataFrame:
         .when(direct & (F.col("_written") == 0), "no range")
         .when(direct & (F.size("ranges") == 0), "no valid range")
         .when(~direct & (F.size("ranges") == 0), "no bracketed range")
-        .when(~direct & F.col("_paren_ok").isNull(), "event outside the vocabulary")
-        .when(F.col("_gold_ok").isNull(), "gold_unknown")
+        .when(~direct & ~F.col("_paren_ok"), "event outside the vocabulary")
+        .when(~F.col("_gold_ok"), "gold_unknown")
     )
     return rows.withColumn("reason", reason).drop(
         "_tags", "_body", "_direct", "_paren", "_gold_ok", "_direct_ok", "_paren_ok", "_written"
@@ -202,7 +200,7 @@ def parse_report(judged: DataFrame) -> DataFrame:
 
 def first_output(c: str = "output") -> Column:
     """Predictions of the image benchmarks hold their text in a one-element list."""
-    return F.col(c)[0]
+    return F.get(c, F.lit(0))
 
 
 def _share_score(preds: DataFrame, parsed: Column, gold: Column, by: tuple[str, ...], exact: bool) -> DataFrame:
@@ -240,7 +238,7 @@ def bucket_pairs(preds: DataFrame) -> DataFrame:
     """Merged predictions -> subtask, image, question, gold and pred, keeping the position for pairing."""
     return preds.select(
         "subtask",
-        parse.col("image_path").alias("image_path"),
+        "image_path",
         F.substring_index("image_path", "/", -1).alias("image"),
         "question",
         F.lower(parse.py_strip("answer")).alias("gold"),

@@ -250,7 +250,8 @@ def kmeans(
     """``iters`` rounds from the ``start`` centres (code, vec).
 
     Only the centres pass through the driver; their number is checked, and each round starts from plain
-    values, so the plan does not grow with the rounds.
+    values, so the plan does not grow with the rounds. Every round reads ``df`` again: when it is costly
+    to compute, write it out first (``scratch.materialise``).
     """
     spark, schema = df.sparkSession, "code bigint, vec array<double>, size bigint"
     side = _centres(start, max_values)

@@ -26,7 +26,7 @@ def stream_predictions(
 def running_avqa(preds: DataFrame, answers: list[str] | None = None) -> DataFrame:
     """Counts per question type so far (complete mode); its state is one row per type."""
     judged = scoring.drop_unparsed(scoring.judge_avqa(preds, answers))
-    return judged.groupBy(F.col("question_type")[0].alias("modality"), F.col("question_type")[1].alias("kind")).agg(
+    return judged.groupBy(F.get("question_type", F.lit(0)).alias("modality"), F.get("question_type", F.lit(1)).alias("kind")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if("right").alias("correct")
     )
 

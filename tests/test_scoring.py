@@ -3,8 +3,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from polysift.operators import scoring
+from polysift.operators import lookup, scoring
 from polysift.plans import jobs
 
 AV = "output string, question_type array<string>, predict string"
@@ -156,3 +157,14 @@ def test_counts(spark):
     assert {r.task: r.n for r in scoring.task_counts(df).collect()} == {"a": 2, "b": 1, None: 3}
     assert {r.subtask: r.n for r in scoring.subtask_counts(df.withColumnRenamed("task", "subtask")).collect()} == {"a": 2, "b": 1}
     assert scoring.eval_group_filter(df.withColumnRenamed("task", "subtask"), ["b"]).count() == 1
+
+
+def test_large_vocabularies_are_joined(spark):
+    rows = [("event:Dog start_time:2 end_time:4", "<event>dog</event><range>2,4</range>"), ("event:Cat start_time:2 end_time:4", "<event>x (1 2)</event>")]
+    preds, vocab = ave(spark, rows)
+    flags = {"output": "a", "predict": "b"}
+    known = spark.createDataFrame([("dog",), ("x",), (None,)], "output string").withColumn("predict", F.lit("none"))
+    small, large = (lookup.flag_known(known, flags, vocab, max_names=n).collect() for n in (10, 1))
+    assert sorted(map(str, small)) == sorted(map(str, large))
+    assert {r.output: (r.a, r.b) for r in small} == {"dog": (True, True), "x": (False, True), None: (False, True)}
+    assert "Join" not in scoring.judge_ave(preds, vocab)._jdf.queryExecution().executedPlan().toString()
