@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from polysift import sinks
-from polysift.functions import models
+from polysift.functions import models, text
 from polysift.operators import batching, lookup, scoring, subset
 from polysift.operators.position import hash_bucket, int_bucket, seeded_hash, with_position
 from polysift.plans import jobs
@@ -141,6 +141,12 @@ def fetch_totals(spark, sf):
     )
 
 
+def table_files(spark, sf):
+    """Files of the given tables as a media listing; contents are not read."""
+    listing = annotations.list_media(spark, sf, pattern="*.parquet")
+    return listing.select(text.basename("path").alias("name"), (F.col("length") > 0).alias("filled"))
+
+
 def missing_ids(spark, sf):
     return subset.missing(table(spark, sf, "documents"), table(spark, sf, "labels"), key="doc_id")
 
@@ -287,7 +293,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         strided_shards, fixed_batches, length_batches, modality_batches, first_rows, capped_sources, random_rows, oversampled_rows,
-        first_of_each, both_splits, media_union, remapped_paths, fallback_paths, fetch_status, fetch_totals, missing_ids,
+        first_of_each, both_splits, media_union, remapped_paths, fallback_paths, table_files, fetch_status, fetch_totals, missing_ids,
         written_subset, written_pairs, built_samples, choice_files, split_files, decoded_contents, predicted_texts, packed_batches,
     )
 }
@@ -373,6 +379,8 @@ SQL = {
         case when l.quality = 1 then 'image' when l.doc_id is not null then 'video' else 'blank' end as media_kind,
         case when l.quality = 1 then 'SEED-Bench-image/' || d.doc_id || '.jpg' when l.doc_id is not null then 'videos/' || d.doc_id || '.jpg' end as media_path
       from documents d left join labels l using (doc_id)""",
+    "table_files": """select unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events', 'documents',
+      'embeddings', 'pages', 'benchmark', 'labels', 'conversations']) || '.parquet' as name, true as filled""",
     "fetch_status": """select 'd/' || d.doc_id || '.wav' as path, d.doc_id, case when l.doc_id is null then 'todo' else 'have' end as status
       from documents d left join labels l using (doc_id)""",
     "fetch_totals": """

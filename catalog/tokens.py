@@ -31,7 +31,7 @@ def _ids(spark, sf):
 
 def token_labels(spark, sf):
     docs = spread(table(spark, sf, "documents")).withColumn("reply", F.concat_ws(" ", "source", "lang"))
-    rows = models.with_tokens(models.with_tokens(docs, "text", _lengths_tokenizer, name="p"), "reply", _lengths_tokenizer, name="a")
+    rows = models.with_tokens(docs, {"p": "text", "a": "reply"}, _lengths_tokenizer)
     return rows.select(
         "doc_id", F.size("p").alias("n"),
         _digest(tokens.input_ids("p", "a")).alias("ids"),

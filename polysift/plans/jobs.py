@@ -103,8 +103,7 @@ def pack_batches(
     Ranking runs on the key alone; the token arrays move once, to their batch.
     """
     cfg = cfg or PackConfig()
-    encoded = models.with_tokens(rows, "instruction", make_tokenizer, name="_prompt")
-    encoded = models.with_tokens(encoded, "output", make_tokenizer, name="_answer")
+    encoded = models.with_tokens(rows, {"_prompt": "instruction", "_answer": "output"}, make_tokenizer)
     if cfg.evaluate:
         ids, labels = F.col("_prompt"), tokens.label_ids_eval("_prompt")
     else:
@@ -162,8 +161,7 @@ def pack_media_slots(
 ) -> DataFrame:
     """Tokenized samples with media placeholders opened into slots, padded left per batch with their masks."""
     cfg = cfg or PackConfig()
-    encoded = models.with_tokens(rows, "instruction", make_tokenizer, name="_prompt")
-    encoded = models.with_tokens(encoded, "output", make_tokenizer, name="_answer")
+    encoded = models.with_tokens(rows, {"_prompt": "instruction", "_answer": "output"}, make_tokenizer)
     ids = encoded.select(
         cfg.key, tokens.input_ids("_prompt", "_answer").alias("_ids"), tokens.label_ids("_prompt", "_answer").alias("_labels")
     )
