@@ -38,15 +38,17 @@ def _best(scores, keys, k: int):
     k = min(k, scores.shape[1])
     if k == 1:
         return np.argmax(scores, axis=1)[:, None]
-    if k < scores.shape[1]:
-        # Everything at least as large as the k-th score takes part in the tie break.
-        cut = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-        out = np.empty((scores.shape[0], k), dtype=np.int64)
-        for i in range(scores.shape[0]):
-            at = np.flatnonzero(scores[i] >= cut[i])
-            out[i] = at[np.lexsort((keys[at], -scores[i, at]))[:k]]
-        return out
-    return np.lexsort((np.broadcast_to(keys, scores.shape), -scores), axis=1)
+    if k == scores.shape[1]:
+        return np.lexsort((np.broadcast_to(keys, scores.shape), -scores), axis=1)
+    top = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+    values = np.take_along_axis(scores, top, axis=1)
+    out = np.take_along_axis(top, np.lexsort((keys[top], -values), axis=1), axis=1)
+    # Where more than k columns reach the k-th score, the partition chose among equals: choose by key.
+    cut = values.min(axis=1, keepdims=True)
+    for i in np.flatnonzero((scores >= cut).sum(axis=1) > k):
+        at = np.flatnonzero(scores[i] >= cut[i])
+        out[i] = at[np.lexsort((keys[at], -scores[i, at]))[:k]]
+    return out
 
 
 def _scores(rows, candidates, metric: str, scale: float):
@@ -100,21 +102,32 @@ def _match_carried(a: DataFrame, side: pd.DataFrame, k, metric, scale, a_key, a_
     candidates = np.stack(side["vec"].to_numpy()).astype("float64")
     scores_of, best_of = _scores, _best
 
-    @F.pandas_udf("array<struct<match:bigint,score:double>>")
-    def match(vectors: pd.Series) -> pd.Series:
-        out = []
+    single = k == 1
+    kind = "match:bigint,score:double" if single else "match:array<bigint>,score:array<double>"
+
+    @F.pandas_udf(f"struct<{kind}>")
+    def match(vectors: pd.Series) -> pd.DataFrame:
+        found, values = [], []
         for begin in range(0, len(vectors), 1024):
             rows = np.stack(vectors.iloc[begin : begin + 1024].to_numpy()).astype("float64")
             scores = scores_of(rows, candidates, metric, scale)
-            for i, at in enumerate(best_of(scores, keys, k)):
-                out.append([{"match": int(keys[j]), "score": float(scores[i, j])} for j in at])
-        return pd.Series(out)
+            best = best_of(scores, keys, k)
+            found.append(keys[best])
+            values.append(np.take_along_axis(scores, best, axis=1))
+        if not found:
+            return pd.DataFrame({"match": [], "score": []})
+        matches, best_scores = np.concatenate(found), np.concatenate(values)
+        if single:
+            return pd.DataFrame({"match": matches[:, 0], "score": best_scores[:, 0]})
+        return pd.DataFrame({"match": list(matches), "score": list(best_scores)})
 
     # Naming the vector twice keeps Spark from folding a long vector expression into the Python call.
     rows = a.filter(F.col(a_vec).isNotNull()).select(F.col(a_key).alias("key"), F.col(a_vec).alias("vec"))
-    hits = F.when(F.col("vec").isNotNull(), match("vec"))
-    found = rows.select("key", F.posexplode(hits).alias("place", "hit"))
-    return found.select("key", (F.col("place") + 1).alias("rank"), "hit.match", "hit.score")
+    hits = rows.select("key", F.when(F.col("vec").isNotNull(), match("vec")).alias("hit"))
+    if single:
+        return hits.select("key", F.lit(1).alias("rank"), "hit.match", "hit.score")
+    flat = hits.select("key", F.posexplode(F.arrays_zip("hit.match", "hit.score")).alias("place", "hit"))
+    return flat.select("key", (F.col("place") + 1).alias("rank"), F.col("hit")["match"].alias("match"), F.col("hit")["score"].alias("score"))
 
 
 def _match_blocks(a, b, k, metric, scale, a_key, a_vec, b_key, b_vec, block_rows) -> DataFrame:
@@ -221,7 +234,9 @@ def cluster_sums(df: DataFrame, codebook: DataFrame, *, vec: str, cosine: bool,
                 continue
             rows = np.stack(batch["vec"].to_numpy()).astype("float64")
             at = np.argmax(scores_of(rows, centres, metric, 1.0), axis=1)
-            np.add.at(sums, at, rows)
+            order = np.argsort(at, kind="stable")
+            seen, starts = np.unique(at[order], return_index=True)
+            sums[seen] += np.add.reduceat(rows[order], starts, axis=0)
             counts += np.bincount(at, minlength=len(codes))
         used = np.flatnonzero(counts)
         yield pd.DataFrame({"code": codes[used], "n": counts[used], "vec": list(sums[used])})
