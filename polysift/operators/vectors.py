@@ -19,6 +19,13 @@ from ..functions.vectors import l2_normalize
 
 CARRIED_VALUES = 4_000_000
 BLOCK_ROWS = 4_096
+SCORE_VALUES = 2_000_000
+
+
+def _row_steps(rows: int, candidates: int) -> Iterator[slice]:
+    """Slices of rows whose score matrix stays near ``SCORE_VALUES`` numbers."""
+    step = max(min(SCORE_VALUES // max(candidates, 1), 4_096), 1)
+    return (slice(begin, begin + step) for begin in range(0, rows, step))
 
 
 def _small_side(df: DataFrame, key: str, vec: str, max_values: int) -> pd.DataFrame | None:
@@ -100,16 +107,15 @@ def _match_carried(a: DataFrame, side: pd.DataFrame, k, metric, scale, a_key, a_
         return a.sparkSession.createDataFrame([], "key bigint, rank int, match bigint, score double")
     keys = side["key"].to_numpy()
     candidates = np.stack(side["vec"].to_numpy()).astype("float64")
-    scores_of, best_of = _scores, _best
-
+    scores_of, best_of, steps_of = _scores, _best, _row_steps
     single = k == 1
     kind = "match:bigint,score:double" if single else "match:array<bigint>,score:array<double>"
 
     @F.pandas_udf(f"struct<{kind}>")
     def match(vectors: pd.Series) -> pd.DataFrame:
         found, values = [], []
-        for begin in range(0, len(vectors), 1024):
-            rows = np.stack(vectors.iloc[begin : begin + 1024].to_numpy()).astype("float64")
+        for step in steps_of(len(vectors), len(keys)):
+            rows = np.stack(vectors.iloc[step].to_numpy()).astype("float64")
             scores = scores_of(rows, candidates, metric, scale)
             best = best_of(scores, keys, k)
             found.append(keys[best])
@@ -133,7 +139,7 @@ def _match_carried(a: DataFrame, side: pd.DataFrame, k, metric, scale, a_key, a_
 def _match_blocks(a, b, k, metric, scale, a_key, a_vec, b_key, b_vec, block_rows) -> DataFrame:
     a_blocks = max(-(-a.count() // block_rows), 1)
     b_blocks = max(-(-b.count() // block_rows), 1)
-    scores_of, best_of = _scores, _best
+    scores_of, best_of, steps_of = _scores, _best, _row_steps
 
     def spread(df: DataFrame, key: str, vec: str, own: int, other: int, flip: bool) -> DataFrame:
         mine = F.pmod(F.xxhash64(key), F.lit(own))
@@ -154,8 +160,8 @@ def _match_blocks(a, b, k, metric, scale, a_key, a_vec, b_key, b_vec, block_rows
         keys = others["key"].to_numpy()
         candidates = np.stack(others["vec"].to_numpy()).astype("float64")
         out = []
-        for begin in range(0, len(rows), 1024):
-            part = rows.iloc[begin : begin + 1024]
+        for step in steps_of(len(rows), len(keys)):
+            part = rows.iloc[step]
             scores = scores_of(np.stack(part["vec"].to_numpy()).astype("float64"), candidates, metric, scale)
             best = best_of(scores, keys, k)
             out.append(
@@ -225,19 +231,18 @@ def cluster_sums(df: DataFrame, codebook: DataFrame, *, vec: str, cosine: bool,
 
     side = _centres(codebook, max_values)
     codes, centres = side["key"].to_numpy(), np.stack(side["vec"].to_numpy()).astype("float64")
-    metric, scores_of = ("dot" if cosine else "distance"), _scores
+    metric, scores_of, steps_of = ("dot" if cosine else "distance"), _scores, _row_steps
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums, counts = np.zeros_like(centres), np.zeros(len(codes), dtype="int64")
         for batch in batches:
-            if batch.empty:
-                continue
-            rows = np.stack(batch["vec"].to_numpy()).astype("float64")
-            at = np.argmax(scores_of(rows, centres, metric, 1.0), axis=1)
-            order = np.argsort(at, kind="stable")
-            seen, starts = np.unique(at[order], return_index=True)
-            sums[seen] += np.add.reduceat(rows[order], starts, axis=0)
-            counts += np.bincount(at, minlength=len(codes))
+            for step in steps_of(len(batch), len(codes)):
+                rows = np.stack(batch["vec"].iloc[step].to_numpy()).astype("float64")
+                at = np.argmax(scores_of(rows, centres, metric, 1.0), axis=1)
+                order = np.argsort(at, kind="stable")
+                seen, starts = np.unique(at[order], return_index=True)
+                sums[seen] += np.add.reduceat(rows[order], starts, axis=0)
+                counts += np.bincount(at, minlength=len(codes))
         used = np.flatnonzero(counts)
         yield pd.DataFrame({"code": codes[used], "n": counts[used], "vec": list(sums[used])})
 
