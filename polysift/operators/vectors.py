@@ -215,11 +215,14 @@ def group_vector_sum(df: DataFrame, key: str, vec: str) -> DataFrame:
     )
 
 
-def _centres(codebook: DataFrame, max_values: int) -> pd.DataFrame:
+def _centres(codebook: DataFrame, max_values: int):
+    """Codes and centre matrix of a codebook whose size is checked."""
+    import numpy as np
+
     side = _small_side(codebook, "code", "vec", max_values)
     if side is None:
         raise ValueError("codebook has more numbers than max_values; raise max_values or assign with nearest_code")
-    return side
+    return side["key"].to_numpy().astype("int64"), np.stack(side["vec"].to_numpy()).astype("float64")
 
 
 def cluster_sums(df: DataFrame, codebook: DataFrame, *, vec: str, cosine: bool, max_values: int = CARRIED_VALUES) -> DataFrame:
@@ -227,10 +230,13 @@ def cluster_sums(df: DataFrame, codebook: DataFrame, *, vec: str, cosine: bool,
 
     Each task sums its own rows per code, so the shuffle carries at most one row per code and task.
     """
+    codes, centres = _centres(codebook, max_values)
+    return _sums_around(df, codes, centres, vec, cosine)
+
+
+def _sums_around(df: DataFrame, codes, centres, vec: str, cosine: bool) -> DataFrame:
     import numpy as np
 
-    side = _centres(codebook, max_values)
-    codes, centres = side["key"].to_numpy(), np.stack(side["vec"].to_numpy()).astype("float64")
     metric, scores_of, steps_of = ("dot" if cosine else "distance"), _scores, _row_steps
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -246,7 +252,7 @@ def cluster_sums(df: DataFrame, codebook: DataFrame, *, vec: str, cosine: bool,
         used = np.flatnonzero(counts)
         yield pd.DataFrame({"code": codes[used], "n": counts[used], "vec": list(sums[used])})
 
-    parts = df.select(F.col(vec).alias("vec")).mapInPandas(partial, "code bigint, n bigint, vec array<double>")
+    parts = df.select(F.col(vec).alias("vec")).filter("vec is not null").mapInPandas(partial, "code bigint, n bigint, vec array<double>")
     return parts.groupBy("code").agg(
         F.sum("n").alias("n"), vector_to_array(Summarizer.sum(array_to_vector("vec"))).alias("vec_sum")
     )
@@ -273,13 +279,20 @@ def kmeans(
     values, so the plan does not grow with the rounds. Every round reads ``df`` again: when it is costly
     to compute, write it out first (``scratch.materialise``).
     """
-    spark, schema = df.sparkSession, "code bigint, vec array<double>, size bigint"
-    side = _centres(start, max_values)
-    rows = [(int(c), [float(x) for x in v], 0) for c, v in zip(side["key"], side["vec"])]
+    import numpy as np
+
+    codes, centres = _centres(start, max_values)
+    sizes = np.zeros(len(codes), dtype="int64")
     for _ in range(iters):
-        step = kmeans_step(df, spark.createDataFrame(rows, schema).select("code", "vec"), vec=vec, cosine=cosine, max_values=max_values)
-        rows = [(r.code, r.vec, r.size) for r in step.collect()]
-    return spark.createDataFrame(rows, schema)
+        found = {r["code"]: r for r in _sums_around(df, codes, centres, vec, cosine).collect()}
+        centres = centres.copy()
+        for i, code in enumerate(codes.tolist()):
+            sizes[i] = found[code]["n"] if code in found else 0
+            if sizes[i]:
+                mean = np.asarray(found[code]["vec_sum"]) / sizes[i]
+                centres[i] = mean / max(np.linalg.norm(mean), 1e-12) if cosine else mean
+    rows = [(int(c), [float(x) for x in v], int(n)) for c, v, n in zip(codes, centres, sizes)]
+    return df.sparkSession.createDataFrame(rows, "code bigint, vec array<double>, size bigint")
 
 
 def quantization_error(nearest: DataFrame, dim: int, *, beta: float = 1.0) -> DataFrame:

@@ -18,12 +18,11 @@ def ship_helpers(request):
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = local_session(
         8, 4, **{
             "spark.sql.codegen.wholeStage": "false",  # most of a small query is compiling it
             "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g",
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         }
     )
     yield session
