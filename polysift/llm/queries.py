@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from polysift.llm import bpe, decontaminate
+from polysift.llm import bpe, decontaminate, pii
 from polysift.llm.common import table
 
 
@@ -15,6 +16,17 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base spans, and all spans."""
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    base = [k.name for k in pii.BASE]
+    counts = [
+        F.size(F.filter("found", lambda s, k=k: s.kind == k)).cast("bigint").alias(f"n_{k}") for k in base
+    ]
+    digest = F.sha2(pii.span_text(F.filter("found", lambda s: s.kind.isin(base))), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.span_text(F.col("found")).alias("spans"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in 13-word windows of benchmark items."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -23,6 +35,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op5_pii": op5_pii,
     "op10_decontamination": op10_decontamination,
 }
 
