@@ -1,24 +1,23 @@
-"""Where intermediate tables go."""
+"""Where intermediate tables go: a folder that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder path under ``spark.checkpoint.dir``, which all executors can reach.
-
-    Only a local session without that setting falls back to a folder of this machine.
-    """
+def _base(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; where it is unset, a folder in the session's warehouse, which executors share as well."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="polysift-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/polysift-scratch"
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A new folder path for the session's intermediate tables."""
+    return f"{_base(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -26,3 +25,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the session's intermediate tables; results that read them must be written before."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_base(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
