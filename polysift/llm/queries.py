@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polysift.llm import bpe, decontaminate, pii
+from polysift.llm import bpe, decontaminate, ngram_join, pii
 from polysift.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose five-word shingles have a Jaccard similarity of 0.75 or more."""
+    return ngram_join.similar_components(table(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts and digest of the base spans, and all spans."""
     found = pii.personal_data(table(spark, sf_dir, "documents"))
@@ -35,6 +40,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_ngram_join": op3_ngram_join,
     "op5_pii": op5_pii,
     "op10_decontamination": op10_decontamination,
 }
@@ -42,7 +48,27 @@ QUERIES = {
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = f"regexp_extract_all(coalesce({_LOWER}, ''), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
 
+
 SQL = {
+    "op3_ngram_join": f"""
+with recursive docs as (
+    select doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^ \\x09-\\x0D]+') as w from documents),
+sets as (
+    select distinct doc_id, array_to_string(list_slice(w, s, s + 4), ' ') as t
+    from (select doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) as s from docs where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+shared as (
+    select a.doc_id as a, b.doc_id as b, count(*) as both
+    from sets a join sets b on a.t = b.t and a.doc_id <> b.doc_id group by 1, 2),
+links as (
+    select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+    where 100 * both >= 75 * (x.n + y.n - both)),
+reach(doc_id, other) as (
+    select a, b from links union select reach.doc_id, links.b from reach join links on reach.other = links.a)
+select docs.doc_id, cast(coalesce(max(n), 0) as bigint) as n_shingles,
+       least(docs.doc_id, coalesce(min(other), docs.doc_id)) as component_id
+from docs left join sizes using (doc_id) left join reach using (doc_id) group by docs.doc_id
+""",
     "op10_decontamination": f"""
 with items as (select cast(item_id as varchar) as item, {_ALNUM} as w from benchmark where item_id is not null),
 windows as (
