@@ -29,7 +29,8 @@ BLOCK_WORDS = 1_000_000
 #: A text is contaminated if hit words are at least one in so many.
 SHARE = 20
 
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Words of a text before lower-casing.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _SCHEMA = (
     "n_words long, n_hit long, n_items long, items array<string>, items_sha256 string, contaminated boolean,"
     " spans array<struct<start:long,end:long>>"

@@ -25,10 +25,9 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts and digest of the base spans, and all spans."""
     found = pii.personal_data(table(spark, sf_dir, "documents"))
     base = [k.name for k in pii.BASE]
-    counts = [
-        F.size(F.filter("found", lambda s, k=k: s.kind == k)).cast("bigint").alias(f"n_{k}") for k in base
-    ]
-    digest = F.sha2(pii.span_text(F.filter("found", lambda s: s.kind.isin(base))), 256)
+    of = lambda *kinds: F.filter("found", lambda s: s.kind.isin(*kinds))
+    counts = [F.size(of(k)).cast("bigint").alias(f"n_{k}") for k in base]
+    digest = F.sha2(pii.span_text(of(*base)), 256)
     return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.span_text(F.col("found")).alias("spans"))
 
 
