@@ -173,8 +173,10 @@ def decode(tokens: DataFrame, vocabulary: Vocabulary, *, ids_col: str = "ids", b
     return tokens.withColumn(bytes_col, back(F.col(ids_col)))
 
 
-def round_trip(docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: number of ids, digest of the ids in decimal, digest of the decoded bytes.
+def round_trip(
+    docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
+) -> DataFrame:
+    """Per document: number of ids, digest of the ids in decimal, digest of the decoded bytes, and on request the ``ids``.
 
     A null or empty text has no ids and decodes to no bytes. Ids are encoded and decoded in one task, so no token array
     leaves it. Repeated rows give repeated rows; other columns are ignored.
@@ -182,16 +184,21 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     shown = "bigint" if docs.schema[id_col].dataType.simpleString() == "bigint" else "string"
     fields = {"id_": pa.int64() if shown == "bigint" else pa.string(), "n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
+    schema = f"id_ {shown}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    if with_ids:
+        fields["ids"], schema = pa.list_(pa.int32()), schema + ", ids array<int>"
 
     def start():
         encoder = _encoder(shared)
         decimal = [str(i) for i in range(max(shared.value.bytes_of, default=0) + 1)]
 
         def step(ids, texts):
-            out = {"id_": ids, "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+            out = {"id_": ids, "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
             for text in texts:
                 tokens = encoder.encode(text)
                 out["n_tokens"].append(len(tokens))
+                if with_ids:
+                    out["ids"].append(np.array(tokens, np.int32))
                 out["ids_sha256"].append(hashlib.sha256(" ".join(map(decimal.__getitem__, tokens)).encode()).hexdigest())
                 out["decoded_sha256"].append(hashlib.sha256(shared.value.decode(tokens)).hexdigest())
             return out
@@ -199,5 +206,5 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id
         return step
 
     picked = docs.select(F.col(id_col).cast(shown).alias("id_"), F.col(text_col).alias("text_"))
-    out = map_texts(picked, ["id_", "text_"], f"id_ {shown}, n_tokens long, ids_sha256 string, decoded_sha256 string", fields, start)
+    out = map_texts(picked, ["id_", "text_"], schema, fields, start)
     return out.withColumnRenamed("id_", id_col)

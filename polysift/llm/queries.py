@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polysift.llm import bpe, decontaminate, ngram_join, pii
+from polysift.llm import bpe, decontaminate, ngram_join, pii, quality
 from polysift.llm.common import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that a document is good, from its text, its source and its language within the source."""
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded with the 50k byte vocabulary."""
     vocabulary = bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -38,6 +43,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_ngram_join": op3_ngram_join,
     "op5_pii": op5_pii,
@@ -57,11 +63,11 @@ sets as (
     from (select doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) as s from docs where len(w) > 0)),
 sizes as (select doc_id, count(*) as n from sets group by doc_id),
 shared as (
-    select a.doc_id as a, b.doc_id as b, count(*) as both
+    select a.doc_id as a, b.doc_id as b, count(*) as met
     from sets a join sets b on a.t = b.t and a.doc_id <> b.doc_id group by 1, 2),
 links as (
     select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
-    where 100 * both >= 75 * (x.n + y.n - both)),
+    where 100 * met >= 75 * (x.n + y.n - met)),
 reach(doc_id, other) as (
     select a, b from links union select reach.doc_id, links.b from reach join links on reach.other = links.a)
 select docs.doc_id, cast(coalesce(max(n), 0) as bigint) as n_shingles,
