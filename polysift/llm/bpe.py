@@ -11,16 +11,18 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from polysift.llm.common import map_texts
+from polysift.llm.common import Shared, map_texts
 
 #: Distinct pre-tokens a task remembers before it starts anew; bounds memory, changes no result.
 REMEMBERED = 400_000
@@ -142,33 +144,28 @@ class Encoder:
         return list(chain.from_iterable(map(known.__getitem__, pieces)))
 
 
-def _encoder(shared) -> Encoder:
-    return Encoder(shared.value)
-
-
 def encode(docs: DataFrame, vocabulary: Vocabulary, *, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """The documents with their token ids as ``array<int>``; a column of that name is replaced. Null text: no ids."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = Shared(docs.sparkSession, vocabulary)
 
     @F.pandas_udf("array<int>")
-    def ids(texts):
-        import pandas as pd
-
-        encoder = _encoder(shared)
-        return pd.Series([encoder.encode(t) for t in texts])
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encoder = Encoder(shared.get())
+        for texts in batches:
+            yield pd.Series([encoder.encode(t) for t in texts])
 
     return docs.withColumn(ids_col, ids(F.col(text_col)))
 
 
 def decode(tokens: DataFrame, vocabulary: Vocabulary, *, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
     """Rows with the bytes of their ids; null ids are no bytes, an id outside the vocabulary is an error."""
-    shared = tokens.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = Shared(tokens.sparkSession, vocabulary)
 
     @F.pandas_udf("binary")
-    def back(column):
-        import pandas as pd
-
-        return pd.Series([shared.value.decode([] if x is None else [int(i) for i in x]) for x in column])
+    def back(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tables = shared.get()
+        for column in batches:
+            yield pd.Series([tables.decode([] if x is None else [int(i) for i in x]) for x in column])
 
     return tokens.withColumn(bytes_col, back(F.col(ids_col)))
 
@@ -181,7 +178,7 @@ def round_trip(
     A null or empty text has no ids and decodes to no bytes. Ids are encoded and decoded in one task, so no token array
     leaves it. Repeated rows give repeated rows; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = Shared(docs.sparkSession, vocabulary)
     shown = "bigint" if docs.schema[id_col].dataType.simpleString() == "bigint" else "string"
     fields = {"id_": pa.int64() if shown == "bigint" else pa.string(), "n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
     schema = f"id_ {shown}, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -189,8 +186,9 @@ def round_trip(
         fields["ids"], schema = pa.list_(pa.int32()), schema + ", ids array<int>"
 
     def start():
-        encoder = _encoder(shared)
-        decimal = [str(i) for i in range(max(shared.value.bytes_of, default=0) + 1)]
+        tables = shared.get()
+        encoder = Encoder(tables)
+        decimal = [str(i) for i in range(max(tables.bytes_of, default=0) + 1)]
 
         def step(ids, texts):
             out = {"id_": ids, "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
@@ -200,7 +198,7 @@ def round_trip(
                 if with_ids:
                     out["ids"].append(np.array(tokens, np.int32))
                 out["ids_sha256"].append(hashlib.sha256(" ".join(map(decimal.__getitem__, tokens)).encode()).hexdigest())
-                out["decoded_sha256"].append(hashlib.sha256(shared.value.decode(tokens)).hexdigest())
+                out["decoded_sha256"].append(hashlib.sha256(tables.decode(tokens)).hexdigest())
             return out
 
         return step

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes that are not part of a word become spaces, A-Z become a-z; every byte of a non-ASCII character is kept.
@@ -17,6 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class Shared:
+    """A broadcast object of this package's classes, sent by value: workers need not have the package on their path."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._bytes = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get(self):
+        """The object, unpickled once per call; call it once per task."""
+        return cloudpickle.loads(self._bytes.value)
+
+
 def alnum_words(text: str | None) -> list[bytes]:
     """Lower-cased runs of digits, letters and non-ASCII characters, as UTF-8."""
     return text.encode("utf-8", "surrogatepass").translate(WORD_BYTES).split() if text else []

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polysift.llm import bpe, decontaminate, ngram_join, pii, quality
+from polysift.llm import bpe, decontaminate, ngram_join, pii, quality, toxicity
 from polysift.llm.common import table
 
 
@@ -26,6 +26,14 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of fold 0 are held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = toxicity.fold(F.col("doc_id")) == 0
+    scored = toxicity.toxicity(docs, toxicity.fit(docs, labels.filter(~held_out)))
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts and digest of the base spans, and all spans."""
     found = pii.personal_data(table(spark, sf_dir, "documents"))
@@ -46,6 +54,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_ngram_join": op3_ngram_join,
+    "op4_toxicity": op4_toxicity,
     "op5_pii": op5_pii,
     "op10_decontamination": op10_decontamination,
 }
