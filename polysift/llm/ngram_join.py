@@ -7,6 +7,9 @@ are indexed singly. Where rare tokens do not suffice the prefix is extended by f
 hash, and a group of ``l`` prefix tokens counts as ``l - 1``: a partner then shares one rare token, or two tokens of a
 group, so frequent tokens are indexed as pairs only. Candidates are verified on the full sets.
 
+Prefixes are longer than that by ``n // LONGER`` rare tokens where a set has them, so it must share more than one of them
+with a partner. Sets that share fewer with any others, such as those with a common passage, drop out before pairs are made.
+
 Which tokens are frequent only has to be the same for all documents; any choice gives the same links. The table of frequent
 tokens is broadcast and has at most ``CLASS_ENTRIES`` entries; a larger corpus raises the count where frequent begins.
 
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from polysift.llm.components import components
-from polysift.llm.shingles import mix, set_key, text_sets
+from polysift.llm.shingles import mix, set_key, sorted_unique, text_sets
 from polysift.scratch import materialise
 
 WORDS = 5
@@ -35,7 +38,9 @@ CLASS_ENTRIES = 2_000_000
 #: A token counted more often is frequent.
 RARE_COUNT = 32
 #: Tokens with hashes below this share of all hashes are counted; the others are put in the frequent class unseen.
-COUNTED_SHARE = 0.4
+COUNTED_SHARE = 0.45
+#: A prefix has one more rare token for so many tokens of the set.
+LONGER = 12
 #: Tokens a range of the hash space should hold, so that one task can sort it.
 RANGE_TOKENS = 1 << 20
 #: Tokens a task gathers before it hands them on.
@@ -52,6 +57,11 @@ def _slack(n: int, percent: int) -> int:
     return n - -(-percent * n // 100)
 
 
+def _longer(n: int) -> int:
+    """Rare tokens that the longer prefix of a set of ``n`` makes it share."""
+    return 1 + n // LONGER
+
+
 def _ranges(tokens: np.ndarray, n_ranges: int) -> np.ndarray:
     return ((tokens & _LOW) * np.uint64(n_ranges)) >> np.uint64(32)
 
@@ -69,15 +79,24 @@ def _by_range(ids: np.ndarray, n_ranges: int) -> Iterator[tuple[int, slice]]:
         yield int(ids[a]), slice(int(a), int(b))
 
 
+def _texts(column: pa.Array) -> list[bytes | None]:
+    return column.cast(pa.binary()).to_pylist()
+
+
+def _node(tokens: np.ndarray) -> int:
+    """Key of a set, with its lowest bit free."""
+    return set_key(tokens) & ~1
+
+
 def _distinct_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Key and tokens of every distinct set of a task, sets too small for a partner other than a copy left out."""
+    """Node and tokens of every distinct set of a task, sets too small for a partner other than a copy left out."""
     seen: set[int] = set()
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
-            for tokens in text_sets(batch.column(0).slice(at, 512).to_pylist(), k):
-                if len(tokens) > 2 and (key := set_key(tokens)) not in seen:
-                    seen.add(key)
-                    yield key, tokens
+            for tokens in text_sets(_texts(batch.column(0).slice(at, 512)), k):
+                if len(tokens) > 2 and (node := _node(tokens)) not in seen:
+                    seen.add(node)
+                    yield node, tokens
 
 
 def set_keys(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -89,9 +108,9 @@ def set_keys(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFra
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 n, keys = [], []
-                for tokens in text_sets(part.column(1).to_pylist(), words):
+                for tokens in text_sets(_texts(part.column(1)), words):
                     n.append(len(tokens))
-                    keys.append(set_key(tokens) if len(tokens) else None)
+                    keys.append(_node(tokens) if len(tokens) else None)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64())], names=["id_", "n_shingles", "node"]
                 )
@@ -152,8 +171,12 @@ def class_table(texts: DataFrame, words: int, n_ranges: int) -> np.ndarray:
     return np.sort(ids.astype(np.uint64))
 
 
-def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, n_ranges: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rare tokens to index singly, and keys of the pairs of frequent ones."""
+def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, n_ranges: int, percent: int) -> tuple[np.ndarray, bool, np.ndarray]:
+    """Rare tokens to index singly, whether they are the longer prefix, and keys of the pairs of frequent ones.
+
+    The earlier of two prefixes to end lies within the other, so what it must share is indexed for both sets. A set with too
+    few rare tokens for the longer prefix indexes all of them, and so never ends before a longer prefix does.
+    """
     n = len(tokens)
     need = _slack(n, percent) + 1
     counted = tokens[: np.searchsorted(tokens, _LIMIT)]
@@ -163,8 +186,11 @@ def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, n_ranges: int, percent
         rare = counted[is_rare]
     else:
         rare, is_rare = counted, np.ones(len(counted), bool)
+    longer = need - 1 + _longer(n)
+    if len(rare) >= longer:
+        return rare[:longer], True, tokens[:0]
     if len(rare) >= need:
-        return rare[:need], tokens[:0]
+        return rare, False, tokens[:0]
     rest = np.concatenate((counted[~is_rare], tokens[len(counted) :]))
     need -= len(rare)
     keys = []
@@ -181,11 +207,11 @@ def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, n_ranges: int, percent
         while step < len(t) and (same := g[step:] == g[:-step]).any():
             keys.append(mix(t[:-step][same] * _M1 + t[step:][same] * _M2 + np.uint64(size_class)))
             step += 1
-    return rare, np.concatenate(keys) if keys else tokens[:0]
+    return rare, False, np.concatenate(keys) if keys else tokens[:0]
 
 
 def _rare_blobs(texts: DataFrame, words: int, n_ranges: int, percent: int, frequent) -> DataFrame:
-    """Singly indexed tokens with their node, as numbers by range."""
+    """Singly indexed tokens with their node, as numbers by range; the node's lowest bit says whether its prefix is longer."""
 
     def pack(found: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
         tokens = np.concatenate([t for _, t in found])
@@ -201,10 +227,10 @@ def _rare_blobs(texts: DataFrame, words: int, n_ranges: int, percent: int, frequ
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for key, tokens in _distinct_sets(batches, words):
-            single, _ = prefix_keys(tokens, frequent.value, n_ranges, percent)
+        for node, tokens in _distinct_sets(batches, words):
+            single, is_longer, _ = prefix_keys(tokens, frequent.value, n_ranges, percent)
             if len(single):
-                held.append((key, single))
+                held.append((node | is_longer, single))
                 size += len(single)
             if size > FLUSH_TOKENS:
                 yield pack(held)
@@ -216,7 +242,7 @@ def _rare_blobs(texts: DataFrame, words: int, n_ranges: int, percent: int, frequ
 
 
 def _shared_rare(blobs: DataFrame) -> DataFrame:
-    """(key, node) of rare tokens with several nodes; tokens with the same nodes give one key."""
+    """(key, node, longer, tokens) of rare tokens with several nodes; tokens of a range with the same nodes give one key."""
 
     def meet(part: pa.Table) -> pa.Table:
         tokens = np.frombuffer(b"".join(part.column("tokens").to_pylist()), "<u4")
@@ -228,16 +254,18 @@ def _shared_rare(blobs: DataFrame) -> DataFrame:
         tokens, nodes = tokens[new], nodes[new]
         edges = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1], [True]))) if len(tokens) else np.zeros(1, int)
         sizes = np.diff(edges)
-        groups: dict[int, np.ndarray] = {}
+        groups: dict[bytes, int] = {}
         for a, size in zip(edges[:-1][sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
-            members = nodes[a : a + size]
-            groups.setdefault(set_key(members), members)
-        if not groups:
-            return pa.table({"key": pa.array([], pa.int64()), "node": pa.array([], pa.int64())})
-        keys = np.repeat(np.array(list(groups), np.int64), [len(m) for m in groups.values()])
-        return pa.table({"key": keys, "node": np.concatenate(list(groups.values()))})
+            members = nodes[a : a + size].tobytes()
+            groups[members] = groups.get(members, 0) + 1
+        members = [np.frombuffer(m, "<i8") for m in groups]
+        lengths = [len(m) for m in members]
+        flat = np.concatenate([*members, np.zeros(0, np.int64)]).astype(np.int64)
+        keys = np.repeat(np.array([set_key(m) for m in members], np.int64), lengths)
+        times = np.repeat(np.array(list(groups.values()), np.int64), lengths)
+        return pa.table({"key": keys, "node": flat & ~1, "longer": pa.array((flat & 1).astype(bool)), "tokens": times})
 
-    return blobs.groupBy("part").applyInArrow(meet, "key long, node long")
+    return blobs.groupBy("part").applyInArrow(meet, "key long, node long, longer boolean, tokens long")
 
 
 def _pair_keys(texts: DataFrame, words: int, n_ranges: int, percent: int, frequent) -> DataFrame:
@@ -245,42 +273,55 @@ def _pair_keys(texts: DataFrame, words: int, n_ranges: int, percent: int, freque
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for node, tokens in _distinct_sets(batches, words):
-            _, pairs = prefix_keys(tokens, frequent.value, n_ranges, percent)
+            _, _, pairs = prefix_keys(tokens, frequent.value, n_ranges, percent)
             for at in range(0, len(pairs), 1 << 16):
-                keys = np.unique(pairs[at : at + (1 << 16)]).view(np.int64)
+                keys = sorted_unique(pairs[at : at + (1 << 16)]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), node, np.int64))], names=["key", "node"])
 
     return texts.mapInArrow(run, "key long, node long")
 
 
-def _token_rows(docs: DataFrame, words: int) -> DataFrame:
-    """(node, tokens) of texts."""
+def candidate_keys(texts: DataFrame, nodes: DataFrame, words: int, n_ranges: int, percent: int, frequent) -> DataFrame:
+    """(key, node, n) of keys that several nodes share."""
+    n = nodes.select("node", F.col("n").cast("int").alias("n"))
+    rare = materialise(_shared_rare(_rare_blobs(texts, words, n_ranges, percent, frequent)), "rare")
+    shared = rare.groupBy("node", "longer").agg(F.sum("tokens").alias("tokens")).join(n, "node")
+    # A partner may have the shorter of the two prefixes, and then asks for what its own size makes it share.
+    least = F.floor(F.ceil(F.col("n") * percent / 100) / LONGER) + 1
+    kept = shared.filter(~F.col("longer") | (F.col("tokens") >= least)).select("node", "n")
+    rare = rare.select("key", "node").distinct().join(kept, "node")
+    pairs = materialise(_pair_keys(texts, words, n_ranges, percent, frequent), "pairs").distinct().join(n, "node")
+    keys = rare.unionByName(pairs).select("key", "node", "n")
+    several = keys.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1").select("key")
+    return materialise(keys.join(several, "key", "left_semi"), "keys")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                sets = list(text_sets(batch.column(0).slice(at, 256).to_pylist(), words))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_key(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "tokens"]
-                )
 
-    return docs.select("text_").mapInArrow(run, "node long, tokens binary")
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b, linked) of candidate pairs, from their texts."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked) of candidate pairs."""
+        def tokens(node: int, text: bytes) -> np.ndarray:
+            if node not in held:
+                if len(held) >= 256:
+                    held.clear()
+                held[node] = next(text_sets([text], words))
+            return held[node]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                linked.append(100 * both >= percent * (len(p) + len(q) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
-
-    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("p"))
-    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("q"))
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                a, b = part.column(0), part.column(1)
+                linked = []
+                for x, y, s, t in zip(a.to_pylist(), b.to_pylist(), _texts(part.column(2)), _texts(part.column(3)), strict=True):
+                    p, q = tokens(x, s), tokens(y, t)
+                    both = len(p) + len(q) - len(sorted_unique(np.concatenate((p, q))))
+                    linked.append(100 * both >= percent * (len(p) + len(q) - both))
+                yield pa.RecordBatch.from_arrays([a, b, pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+
+    left = texts.select(F.col("node").alias("a"), F.col("text_").alias("p"))
+    right = texts.select(F.col("node").alias("b"), F.col("text_").alias("q"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "p", "q").mapInArrow(run, "a long, b long, linked boolean")
 
 
@@ -289,6 +330,20 @@ def _fits(percent: int):
     return 100 * F.least("n", "n_") >= percent * F.greatest("n", "n_")
 
 
+def _with_nodes(rows: DataFrame, words: int) -> DataFrame:
+    """Rows (id_, node_, text_) with the node of their text."""
+    kind = rows.schema["id_"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                nodes = [_node(s) if len(s) else None for s in text_sets(_texts(part.column(2)), words)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(nodes, pa.int64())], names=["id_", "node_", "text_", "node"])
+
+    return rows.mapInArrow(run, f"id_ {kind}, node_ long, text_ string, node long")
+
+
 def _labelled(keys: DataFrame, comps: DataFrame | None) -> DataFrame:
     if comps is None:
         return keys.withColumn("comp", F.col("node"))
@@ -322,27 +377,24 @@ def similar_components(
     n_ranges = max(4, total // RANGE_TOKENS)
 
     frequent = spark.sparkContext.broadcast(class_table(texts, words, n_ranges))
-    rare = _shared_rare(_rare_blobs(texts, words, n_ranges, percent, frequent))
-    pairs = _pair_keys(texts, words, n_ranges, percent, frequent)
-    several = pairs.distinct().groupBy("key").agg(F.count("*").alias("held")).filter("held > 1").select("key")
-    pairs = pairs.join(several, "key", "left_semi")
-    keys = rare.unionByName(pairs).distinct().join(nodes.select("node", F.col("n").cast("int").alias("n")), "node")
-    keys = materialise(keys.select("key", "node", "n"), "keys")
-
-    # Only texts of candidates are read again, by the smallest id of their node.
+    keys = candidate_keys(texts, nodes, words, n_ranges, percent, frequent)
+
+    # One text of each candidate is kept: a row of its smallest id. Rows that repeat this id may have other sets.
     wanted = keys.select("node").distinct().join(nodes, "node").select(F.col("doc").alias("doc_"), F.col("node").alias("node_"))
     again = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
-    chosen = again.join(wanted.select("doc_").distinct(), F.col("id_").eqNullSafe(F.col("doc_")), "left_semi")
-    sets = materialise(_token_rows(chosen, words).groupBy("node").agg(F.first("tokens").alias("tokens")), "tokens")
+    chosen = again.join(wanted, F.col("id_").eqNullSafe(F.col("doc_"))).select("id_", "node_", "text_")
+    chosen = _with_nodes(chosen, words).filter("node = node_").groupBy("id_", "node").agg(F.first("text_").alias("text_"))
+    chosen = materialise(chosen.select("node", "text_"), "texts")
 
     comps = done = None
+    linked = 1
     for turn in range(STAR_ROUNDS + 1):
         labelled = _labelled(keys, comps)
         mixed = materialise(_mixed(labelled), "mixed")
         work = mixed.agg(F.count("*").alias("keys"), F.sum((F.col("all") - F.col("rows")) * F.col("all")).alias("pairs"), F.sum("all").alias("rows")).first()
         if not work["keys"]:
             break
-        last = turn == STAR_ROUNDS or turn > 0 and work["pairs"] <= 4 * work["rows"]
+        last = turn == STAR_ROUNDS or not linked or turn > 0 and work["pairs"] <= 4 * work["rows"]
         rest = labelled.join(mixed, "key")
         if last:
             # Each pair from different components has a member outside the key's largest one.
@@ -356,9 +408,11 @@ def similar_components(
         met = met.filter(_fits(percent)).select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
         if done is not None:
             met = met.join(done, ["a", "b"], "left_anti")
-        checked = materialise(_verified(met, sets, percent), "verified")
+        checked = materialise(_verified(met, chosen, words, percent), "verified")
         done = checked if done is None else done.unionByName(checked)
-        comps = materialise(components(done.filter("linked")), "components")
+        linked = checked.filter("linked").count()
+        if linked:
+            comps = materialise(components(done.filter("linked")), "components")
         if last:
             break
 

@@ -7,10 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from polysift.llm.common import spaced_words
-
 #: Bytes hashed at once.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 17
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _BASE = 0x9E3779B97F4A7C15
@@ -47,6 +45,13 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return starts, mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def sorted_unique(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    kept = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=kept[1:])
+    return x[kept]
+
+
 def _combined(words: np.ndarray, k: int) -> np.ndarray:
     """Hash of every run of ``k`` words."""
     n = len(words) - k + 1
@@ -56,28 +61,28 @@ def _combined(words: np.ndarray, k: int) -> np.ndarray:
     return mix(total)
 
 
-def text_sets(texts: list[str | None], k: int) -> Iterator[np.ndarray]:
+def text_sets(texts: list[bytes | str | None], k: int) -> Iterator[np.ndarray]:
     """For each text its distinct ``k``-word shingles, or its whole words if fewer, as a sorted array; empty without words."""
     held: list[bytes] = []
     size = 0
     for text in texts:
-        data = text.encode("utf-8", "surrogatepass").lower() if text else b""
+        data = (text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text or b"").lower()
         if size + len(data) > CHUNK_BYTES and held:
             yield from _chunk_sets(held, k)
             held, size = [], 0
         if len(data) > CHUNK_BYTES:
-            yield _long_set(text, k)
+            yield _long_set(data, k)
             continue
         held.append(data)
         size += len(data) + 1
     yield from _chunk_sets(held, k)
 
 
-def _long_set(text: str, k: int) -> np.ndarray:
-    words = spaced_words(text)
+def _long_set(data: bytes, k: int) -> np.ndarray:
+    words = data.split()
     parts = [word_hashes(b" ".join(words[i : i + 200_000]))[1] for i in range(0, len(words), 200_000)]
     hashes = np.concatenate([*parts, np.zeros(0, np.uint64)])
-    return np.unique(_combined(hashes, min(k, len(hashes)))) if len(hashes) else hashes
+    return sorted_unique(_combined(hashes, min(k, len(hashes)))) if len(hashes) else hashes
 
 
 def _chunk_sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
@@ -89,7 +94,7 @@ def _chunk_sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
     runs = _combined(words, k) if len(words) >= k else np.zeros(0, np.uint64)
     for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
         if b - a >= k:
-            yield np.unique(runs[a : b - k + 1])
+            yield sorted_unique(runs[a : b - k + 1])
         else:
             yield _combined(words[a:b], b - a) if b > a else words[:0]
 
