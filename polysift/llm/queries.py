@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polysift.llm import bpe, decontaminate, ngram_join, pii, quality, toxicity
+from polysift.llm import bpe, decontaminate, ngram_join, pii, quality, topk, toxicity, warc
 from polysift.llm.common import table
 
 
@@ -44,6 +44,25 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.span_text(F.col("found")).alias("spans"))
 
 
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op8_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, and what a Merkle audit says of a replica.
+
+    The replica has the pages again, every 97th with its first character overwritten and every 389th unreadable.
+    """
+    pages = table(spark, sf_dir, "pages")
+    spoilt = F.when((F.col("page_id") % 97 == 13) & F.col("html").rlike("^[\\x00-\\x7F]"), F.concat(F.lit("?"), F.substring("html", 2, 2**31 - 1)))
+    ours = warc.manifest(warc.records(pages))
+    theirs = warc.manifest(warc.records(pages.withColumn("html", F.coalesce(spoilt, "html"))))
+    theirs = theirs.withColumn("sha256", F.when(F.coalesce(F.col("id_") % 389, F.lit(0)) != 7, F.col("sha256")))
+    out = warc.fixity(ours, theirs)
+    return out.select(F.col("id_").alias("page_id"), "file", "seq", "offset", "length", "sha256", "status")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in 13-word windows of benchmark items."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -56,6 +75,8 @@ QUERIES = {
     "op3_ngram_join": op3_ngram_join,
     "op4_toxicity": op4_toxicity,
     "op5_pii": op5_pii,
+    "op7_exact_topk": op7_exact_topk,
+    "op8_warc_audit": op8_warc_audit,
     "op10_decontamination": op10_decontamination,
 }
 
@@ -82,6 +103,34 @@ reach(doc_id, other) as (
 select docs.doc_id, cast(coalesce(max(n), 0) as bigint) as n_shingles,
        least(docs.doc_id, coalesce(min(other), docs.doc_id)) as component_id
 from docs left join sizes using (doc_id) left join reach using (doc_id) group by docs.doc_id
+""",
+    "op7_exact_topk": """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from embeddings
+    where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+    from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 50 = 0)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+from scored qualify rank <= 5
+""",
+    "op8_warc_audit": """
+with parts as (
+    select page_id, coalesce(url, '') as u, coalesce(html, '') as h, sha256(coalesce(url, '') || chr(10) || coalesce(html, '')) as n
+    from pages),
+records as (
+    select page_id, cast(floor(page_id / 256.0) as bigint) as file,
+           'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:uuid:'
+           || n[1:8] || '-' || n[9:12] || '-' || n[13:16] || '-' || n[17:20] || '-' || n[21:32] || '>' || chr(13) || chr(10)
+           || 'WARC-Date: 2024-01-01T00:00:00Z' || chr(13) || chr(10) || 'WARC-Target-URI: ' || u || chr(13) || chr(10)
+           || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(h) || chr(13) || chr(10)
+           || chr(13) || chr(10) || h as r
+    from parts)
+select page_id, file, row_number() over w - 1 as seq,
+       cast(coalesce(sum(strlen(r) + 4) over (w rows between unbounded preceding and 1 preceding), 0) as bigint) as "offset",
+       cast(strlen(r) as bigint) as length, sha256(r) as sha256,
+       case when page_id % 389 = 7 then 'missing' when page_id % 97 = 13 then 'corrupt' else 'intact' end as status
+from records window w as (partition by file order by page_id, sha256(r))
 """,
     "op10_decontamination": f"""
 with items as (select cast(item_id as varchar) as item, {_ALNUM} as w from benchmark where item_id is not null),
