@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polysift.llm import bpe, decontaminate, ngram_join, pii, quality, topk, toxicity, warc
+from polysift.llm import bpe, decontaminate, html_main, ngram_join, pii, quality, topk, toxicity, warc
 from polysift.llm.common import table
 
 
@@ -44,6 +44,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.span_text(F.col("found")).alias("spans"))
 
 
+def op6_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_main.extract_all(table(spark, sf_dir, "pages"), html_main.fitted())
+
+
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products of every fiftieth vector."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -75,6 +80,7 @@ QUERIES = {
     "op3_ngram_join": op3_ngram_join,
     "op4_toxicity": op4_toxicity,
     "op5_pii": op5_pii,
+    "op6_html_main": op6_html_main,
     "op7_exact_topk": op7_exact_topk,
     "op8_warc_audit": op8_warc_audit,
     "op10_decontamination": op10_decontamination,
