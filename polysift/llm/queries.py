@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polysift.llm import bpe, decontaminate, html_main, ngram_join, pii, quality, topk, toxicity, warc
+from polysift.llm import bpe, decontaminate, html_main, licenses, ngram_join, pii, quality, topk, toxicity, warc
 from polysift.llm.common import table
 
 
@@ -68,6 +68,16 @@ def op8_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id_").alias("page_id"), "file", "seq", "offset", "length", "sha256", "status")
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families of every document, and its lines that speak of licences without a known one."""
+    found = licenses.license_lines(table(spark, sf_dir, "documents"), licenses.fitted())
+    known = F.filter("lines", lambda x: x.family != licenses.UNKNOWN)
+    families = F.array_sort(F.array_distinct(F.transform(known, lambda x: x.family)))
+    return found.select(
+        "doc_id", F.size("lines").cast("bigint").alias("n_lines"), F.size(known).cast("bigint").alias("n_known"), F.array_join(families, ",").alias("families")
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in 13-word windows of benchmark items."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -83,6 +93,7 @@ QUERIES = {
     "op6_html_main": op6_html_main,
     "op7_exact_topk": op7_exact_topk,
     "op8_warc_audit": op8_warc_audit,
+    "op9_licenses": op9_licenses,
     "op10_decontamination": op10_decontamination,
 }
 
