@@ -13,9 +13,9 @@ with a partner. Sets that share fewer with any others, such as those with a comm
 Which tokens are frequent only has to be the same for all documents; any choice gives the same links. The table of frequent
 tokens is broadcast and has at most ``CLASS_ENTRIES`` entries; a larger corpus raises the count where frequent begins.
 
-Hot groups: members of a key are first verified against one centre each, which takes a row per member, and only members
-that are still in different components are compared, smaller components against the rest. Pairs within one component
-are never made, and a group of copies is a single node from the start.
+Hot groups: a group of copies is a single node from the start. Keys with many nodes, such as those of a large group of near
+copies, are first verified against a few centres each, a row per member, and afterwards only members that are still in
+different components are compared, smaller components against the rest; pairs within one component are never made.
 """
 
 from __future__ import annotations
@@ -45,6 +45,10 @@ LONGER = 12
 RANGE_TOKENS = 1 << 20
 #: Tokens a task gathers before it hands them on.
 FLUSH_TOKENS = 1 << 22
+#: Keys with more nodes than this are hot.
+HOT_KEY = 256
+#: Centres a hot group of keys uses at once, and rounds of them at most.
+CENTRES = 4
 STAR_ROUNDS = 6
 
 _LIMIT = np.uint64(int(COUNTED_SHARE * 2**64))
@@ -99,49 +103,49 @@ def _distinct_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[
                     yield node, tokens
 
 
-def set_keys(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(id_, n_shingles, node): size and key of every document's set, key null for an empty one."""
-    kind = docs.select(F.col(id_col).alias("id_")).schema["id_"]
+def read_sets(docs: DataFrame, id_col: str, text_col: str, words: int, n_ranges: int) -> DataFrame:
+    """Two kinds of rows from one pass over the texts.
+
+    (id_, n_shingles, node): size and key of every document's set, key null for an empty one; and (part, blob): the counted
+    tokens of each task as 3-byte numbers by range.
+    """
+    ident = docs.select(F.col(id_col).alias("id_"))
+    kind = ident.schema["id_"].dataType.simpleString()
+    names = ["id_", "n_shingles", "node", "part", "blob"]
+
+    def pack(sets: list[np.ndarray], ids: pa.DataType) -> pa.RecordBatch:
+        found = np.sort(_class_ids(np.concatenate(sets), n_ranges))
+        low = found.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :3]
+        rows = [(r, low[at].tobytes()) for r, at in _by_range(found >> np.uint64(24), n_ranges)]
+        none = [pa.nulls(len(rows), t) for t in (ids, pa.int64(), pa.int64())]
+        return pa.RecordBatch.from_arrays([*none, pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        held, size, ids = [], 0, pa.null()
         for batch in batches:
+            ids = batch.column(0).type
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                n, keys = [], []
+                n, nodes = [], []
                 for tokens in text_sets(_texts(part.column(1)), words):
                     n.append(len(tokens))
-                    keys.append(_node(tokens) if len(tokens) else None)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64())], names=["id_", "n_shingles", "node"]
-                )
+                    nodes.append(_node(tokens) if len(tokens) else None)
+                    if len(tokens) > 2 and nodes[-1] not in seen:
+                        seen.add(nodes[-1])
+                        counted = tokens[: np.searchsorted(tokens, _LIMIT)]
+                        held.append(counted)
+                        size += len(counted)
+                none = [pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), *none], names=names)
+                if size > FLUSH_TOKENS:
+                    yield pack(held, ids)
+                    held, size = [], 0
+        if size:
+            yield pack(held, ids)
 
     picked = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
-    return picked.mapInArrow(run, f"id_ {kind.dataType.simpleString()}, n_shingles long, node long")
-
-
-def _count_blobs(texts: DataFrame, words: int, n_ranges: int) -> DataFrame:
-    """Counted tokens of each task, as 3-byte numbers by range."""
-
-    def pack(sets: list[np.ndarray]) -> pa.RecordBatch:
-        ids = np.sort(_class_ids(np.concatenate(sets), n_ranges))
-        low = ids.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :3]
-        found = [(r, low[rows].tobytes()) for r, rows in _by_range(ids >> np.uint64(24), n_ranges)]
-        return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.binary())], names=["part", "blob"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for _, tokens in _distinct_sets(batches, words):
-            counted = tokens[: np.searchsorted(tokens, _LIMIT)]
-            if len(counted):
-                held.append(counted)
-                size += len(counted)
-            if size > FLUSH_TOKENS:
-                yield pack(held)
-                held, size = [], 0
-        if held:
-            yield pack(held)
-
-    return texts.mapInArrow(run, "part long, blob binary")
+    return picked.mapInArrow(run, f"id_ {kind}, n_shingles long, node long, part long, blob binary")
 
 
 def _frequent(blobs: DataFrame, least: int) -> DataFrame:
@@ -157,9 +161,9 @@ def _frequent(blobs: DataFrame, least: int) -> DataFrame:
     return blobs.groupBy("part").applyInArrow(count, "id long, n long")
 
 
-def class_table(texts: DataFrame, words: int, n_ranges: int) -> np.ndarray:
+def class_table(blobs: DataFrame) -> np.ndarray:
     """Sorted ids of the frequent tokens, at most ``CLASS_ENTRIES``: a power-of-two count bounds the class from below."""
-    found = materialise(_frequent(_count_blobs(texts, words, n_ranges), RARE_COUNT), "frequent")
+    found = materialise(_frequent(blobs, RARE_COUNT), "frequent")
     steps = found.groupBy(F.floor(F.log2("n")).alias("step")).count().orderBy(F.desc("step")).collect()  # at most 63 rows
     least, total = RARE_COUNT, 0
     for row in steps:
@@ -210,8 +214,17 @@ def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, n_ranges: int, percent
     return rare, False, np.concatenate(keys) if keys else tokens[:0]
 
 
-def _rare_blobs(texts: DataFrame, words: int, n_ranges: int, percent: int, frequent) -> DataFrame:
-    """Singly indexed tokens with their node, as numbers by range; the node's lowest bit says whether its prefix is longer."""
+def index_blobs(texts: DataFrame, words: int, n_ranges: int, percent: int, frequent) -> DataFrame:
+    """What every distinct set indexes, from one pass over the texts: (part, tokens, nodes) as numbers.
+
+    Singly indexed tokens go by range, the lowest bit of their node says whether its prefix is longer; pairs of frequent
+    tokens have a null range.
+    """
+    names = ["part", "tokens", "nodes"]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
     def pack(found: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
         tokens = np.concatenate([t for _, t in found])
@@ -219,24 +232,25 @@ def _rare_blobs(texts: DataFrame, words: int, n_ranges: int, percent: int, frequ
         parts = _ranges(tokens, n_ranges)
         order = np.lexsort((tokens, parts))
         tokens, nodes, parts = (tokens[order] >> np.uint64(32)).astype("<u4"), nodes[order], parts[order]
-        rows = [(r, tokens[s].tobytes(), nodes[s].astype("<i8").tobytes()) for r, s in _by_range(parts, n_ranges)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2))],
-            names=["part", "tokens", "nodes"],
-        )
+        return batch_of([(r, tokens[s].tobytes(), nodes[s].astype("<i8").tobytes()) for r, s in _by_range(parts, n_ranges)])
+
+    def pack_pairs(found: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        return batch_of([(None, t.astype("<u8").tobytes(), np.array([k], "<i8").tobytes()) for k, t in found])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, pairs, size = [], [], 0
         for node, tokens in _distinct_sets(batches, words):
-            single, is_longer, _ = prefix_keys(tokens, frequent.value, n_ranges, percent)
+            single, is_longer, both = prefix_keys(tokens, frequent.value, n_ranges, percent)
             if len(single):
                 held.append((node | is_longer, single))
                 size += len(single)
+            if len(both):
+                pairs.append((node, sorted_unique(both)))
+                size += len(both)
             if size > FLUSH_TOKENS:
-                yield pack(held)
-                held, size = [], 0
-        if held:
-            yield pack(held)
+                yield from (f(x) for f, x in ((pack, held), (pack_pairs, pairs)) if x)
+                held, pairs, size = [], [], 0
+        yield from (f(x) for f, x in ((pack, held), (pack_pairs, pairs)) if x)
 
     return texts.mapInArrow(run, "part long, tokens binary, nodes binary")
 
@@ -268,32 +282,82 @@ def _shared_rare(blobs: DataFrame) -> DataFrame:
     return blobs.groupBy("part").applyInArrow(meet, "key long, node long, longer boolean, tokens long")
 
 
-def _pair_keys(texts: DataFrame, words: int, n_ranges: int, percent: int, frequent) -> DataFrame:
+def _pair_keys(blobs: DataFrame) -> DataFrame:
     """(key, node) of pairs of frequent tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for node, tokens in _distinct_sets(batches, words):
-            _, _, pairs = prefix_keys(tokens, frequent.value, n_ranges, percent)
-            for at in range(0, len(pairs), 1 << 16):
-                keys = sorted_unique(pairs[at : at + (1 << 16)]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), node, np.int64))], names=["key", "node"])
+        for batch in batches:
+            for tokens, node in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                keys, one = np.frombuffer(tokens, "<i8"), np.frombuffer(node, "<i8")
+                for at in range(0, len(keys), 1 << 16):
+                    part = keys[at : at + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.repeat(one, len(part)))], names=["key", "node"])
 
-    return texts.mapInArrow(run, "key long, node long")
+    return blobs.filter("part is null").select("tokens", "nodes").mapInArrow(run, "key long, node long")
 
 
-def candidate_keys(texts: DataFrame, nodes: DataFrame, words: int, n_ranges: int, percent: int, frequent) -> DataFrame:
-    """(key, node, n) of keys that several nodes share."""
+def candidate_keys(blobs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(key, node, n, longer, tokens, held) of keys that several nodes share: size of the node's set, whether it indexes a longer
+    prefix, tokens the key stands for, nodes of the key."""
     n = nodes.select("node", F.col("n").cast("int").alias("n"))
-    rare = materialise(_shared_rare(_rare_blobs(texts, words, n_ranges, percent, frequent)), "rare")
-    shared = rare.groupBy("node", "longer").agg(F.sum("tokens").alias("tokens")).join(n, "node")
+    rare = materialise(_shared_rare(blobs.filter("part is not null")), "rare")
+    shared = rare.groupBy("node").agg(F.sum("tokens").alias("all_tokens"), F.max("longer").alias("longer")).join(n, "node")
     # A partner may have the shorter of the two prefixes, and then asks for what its own size makes it share.
     least = F.floor(F.ceil(F.col("n") * percent / 100) / LONGER) + 1
-    kept = shared.filter(~F.col("longer") | (F.col("tokens") >= least)).select("node", "n")
-    rare = rare.select("key", "node").distinct().join(kept, "node")
-    pairs = materialise(_pair_keys(texts, words, n_ranges, percent, frequent), "pairs").distinct().join(n, "node")
-    keys = rare.unionByName(pairs).select("key", "node", "n")
-    several = keys.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1").select("key")
-    return materialise(keys.join(several, "key", "left_semi"), "keys")
+    kept = shared.filter(~F.col("longer") | (F.col("all_tokens") >= least)).select("node", "n", "longer")
+    rare = rare.groupBy("key", "node").agg(F.sum("tokens").alias("tokens")).join(kept, "node")
+    pairs = _pair_keys(blobs).distinct().join(n, "node").withColumns({"longer": F.lit(False), "tokens": F.lit(1).cast("bigint")})
+    keys = rare.unionByName(pairs)
+    several = keys.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1")
+    return materialise(keys.join(several, "key"), "keys")
+
+
+def _close_pairs(keys: DataFrame, percent: int) -> DataFrame:
+    """(a, b, tokens, least) of pairs in the same key but not in the same component, from keys that are not hot.
+
+    A key's members, at most ``HOT_KEY``, travel as one list. Lists with the same first member, mostly of the same group of
+    documents, come to the same tasks, so that a pair that many keys hold is counted there before it is written.
+    """
+    member = F.struct("node", "n", "longer", "comp")
+    lists = keys.groupBy("key").agg(F.sort_array(F.collect_list(member)).alias("m"), F.first("tokens").alias("tokens"))
+    lists = lists.filter(F.size(F.array_distinct(F.transform("m", lambda x: x.comp))) > 1)
+    lists = lists.select(F.get("m", F.lit(0))["node"].alias("first"), "m", "tokens").repartition("first").sortWithinPartitions("first")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple[int, int], int] = {}
+        facts: dict[int, tuple[int, bool]] = {}
+        last = None
+
+        def out() -> pa.RecordBatch:
+            pairs = [(a, b, c, _least_shared(*facts[a], *facts[b], percent)) for (a, b), c in counts.items()]
+            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in range(4)], names=["a", "b", "tokens", "least"])
+
+        for batch in batches:
+            for first, members, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if counts and (first != last or len(counts) > 200_000):
+                    yield out()
+                    counts.clear()
+                    facts.clear()
+                last = first
+                for m in members:
+                    facts[m["node"]] = (m["n"], m["longer"])
+                for i, x in enumerate(members):
+                    for y in members[i + 1 :]:
+                        if x["comp"] != y["comp"] and 100 * min(x["n"], y["n"]) >= percent * max(x["n"], y["n"]):
+                            pair = (x["node"], y["node"])
+                            counts[pair] = counts.get(pair, 0) + tokens
+        if counts:
+            yield out()
+
+    return lists.mapInArrow(run, "a long, b long, tokens long, least long")
+
+
+def _least_shared(n_a: int, longer_a: bool, n_b: int, longer_b: bool, percent: int) -> int:
+    """Tokens that two similar sets must share in their indexed prefixes."""
+    if not (longer_a and longer_b):
+        return 1
+    both = -(-percent * (n_a + n_b) // (100 + percent))  # the smallest intersection
+    return max(1, min(_slack(n, percent) + _longer(n) - (n - both) for n in (n_a, n_b)))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -351,10 +415,50 @@ def _labelled(keys: DataFrame, comps: DataFrame | None) -> DataFrame:
 
 
 def _mixed(labelled: DataFrame) -> DataFrame:
-    """Per key with several components: the largest one, its rows and all rows."""
+    """(key, main, rows, all) of keys with several components: the largest one, its rows and all rows."""
     sizes = labelled.groupBy("key", "comp").agg(F.count("*").alias("rows"))
     top = sizes.groupBy("key").agg(F.max(F.struct("rows", "comp")).alias("top"), F.sum("rows").alias("all"), F.count("*").alias("kinds"))
-    return top.filter("kinds > 1").select("key", "top.rows", F.col("top.comp").alias("main"), "all")
+    return top.filter("kinds > 1").select("key", F.col("top.comp").alias("main"), "top.rows", "all")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.withColumns({"a": F.least("node", "node_"), "b": F.greatest("node", "node_")})
+
+
+def _hot_components(hot: DataFrame, texts: DataFrame, words: int, percent: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Components found by comparing the members of hot keys with a few centres, and the pairs (a, b, linked) compared."""
+    comps = done = None
+    for turn in range(STAR_ROUNDS):
+        labelled = _labelled(hot, comps)
+        mixed = materialise(_mixed(labelled), "mixed")
+        work = mixed.agg(F.count("*").alias("keys"), F.sum((F.col("all") - F.col("rows")) * F.col("all")).alias("pairs"), F.sum("all").alias("rows")).first()
+        if not work["keys"] or turn and work["pairs"] <= work["rows"]:
+            break
+        rest = labelled.join(mixed, "key")
+        # Centres come from the largest component; keys of a group agree on a few of them.
+        turned = F.xxhash64("node", F.lit(turn), F.pmod("key", F.lit(CENTRES)))
+        centre = rest.groupBy("key").agg(F.min(F.struct((F.col("comp") != F.col("main")).alias("off"), turned.alias("h"), "node", "n", "comp")).alias("c"))
+        centre = centre.select("key", F.col("c.node").alias("node_"), F.col("c.n").alias("n_"), F.col("c.comp").alias("comp_"))
+        met = _ordered(rest.join(centre, "key").filter("comp != comp_").filter(_fits(percent))).select("a", "b").distinct()
+        if done is not None:
+            met = met.join(done, ["a", "b"], "left_anti")
+        checked = materialise(_verified(met, texts, words, percent), "verified")
+        linked = checked.filter("linked").count()
+        done = checked if done is None else materialise(done.unionByName(checked), "verified")
+        if not linked:
+            break
+        comps = materialise(components(done.filter("linked")), "components")
+    return comps, done
+
+
+def _hot_pairs(hot: DataFrame, comps: DataFrame | None, percent: int) -> DataFrame:
+    """(a, b, tokens, least) of pairs of hot keys: each has a member outside the key's largest component."""
+    labelled = _labelled(hot, comps)
+    outside = labelled.join(_mixed(labelled).select("key", "main"), "key").filter("comp != main")
+    other = labelled.select("key", *[F.col(c).alias(f"{c}_") for c in ("node", "n", "comp")])
+    met = _ordered(outside.join(other, "key").filter("comp != comp_").filter(_fits(percent)))
+    one = F.lit(1).cast("bigint")
+    return met.select("a", "b").distinct().select("a", "b", one.alias("tokens"), one.alias("least"))
 
 
 def similar_components(
@@ -369,15 +473,15 @@ def similar_components(
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).alias("text_"))
-    keyed = materialise(set_keys(docs, id_col, text_col, words), "sets")
-    nodes = materialise(
-        keyed.filter("node is not null").groupBy("node").agg(F.min("id_").alias("doc"), F.first("n_shingles").alias("n"), F.count("*").alias("copies")), "nodes"
-    )
-    total = nodes.agg(F.sum(F.col("n") * F.col("copies"))).first()[0] or 0
-    n_ranges = max(4, total // RANGE_TOKENS)
-
-    frequent = spark.sparkContext.broadcast(class_table(texts, words, n_ranges))
-    keys = candidate_keys(texts, nodes, words, n_ranges, percent, frequent)
+    # Five bytes and a space are a usual word; the number of ranges only sizes tasks.
+    size = texts.agg(F.sum(F.octet_length("text_"))).first()[0] or 0
+    n_ranges = max(4, size // 6 // RANGE_TOKENS)
+    read = materialise(read_sets(docs, id_col, text_col, words, n_ranges), "sets")
+    keyed = read.filter("part is null").select("id_", "n_shingles", "node")
+    nodes = materialise(keyed.filter("node is not null").groupBy("node").agg(F.min("id_").alias("doc"), F.first("n_shingles").alias("n")), "nodes")
+    frequent = spark.sparkContext.broadcast(class_table(read.filter("part is not null").select("part", "blob")))
+    blobs = materialise(index_blobs(texts, words, n_ranges, percent, frequent), "index")
+    keys = candidate_keys(blobs, nodes, percent)
 
     # One text of each candidate is kept: a row of its smallest id. Rows that repeat this id may have other sets.
     wanted = keys.select("node").distinct().join(nodes, "node").select(F.col("doc").alias("doc_"), F.col("node").alias("node_"))
@@ -386,42 +490,21 @@ def similar_components(
     chosen = _with_nodes(chosen, words).filter("node = node_").groupBy("id_", "node").agg(F.first("text_").alias("text_"))
     chosen = materialise(chosen.select("node", "text_"), "texts")
 
-    comps = done = None
-    linked = 1
-    for turn in range(STAR_ROUNDS + 1):
-        labelled = _labelled(keys, comps)
-        mixed = materialise(_mixed(labelled), "mixed")
-        work = mixed.agg(F.count("*").alias("keys"), F.sum((F.col("all") - F.col("rows")) * F.col("all")).alias("pairs"), F.sum("all").alias("rows")).first()
-        if not work["keys"]:
-            break
-        last = turn == STAR_ROUNDS or not linked or turn > 0 and work["pairs"] <= 4 * work["rows"]
-        rest = labelled.join(mixed, "key")
-        if last:
-            # Each pair from different components has a member outside the key's largest one.
-            other = labelled.select("key", F.col("node").alias("node_"), F.col("n").alias("n_"), F.col("comp").alias("comp_"))
-            met = rest.filter("comp != main").join(other, "key").filter("comp != comp_")
-        else:
-            turned = F.xxhash64("node", F.lit(turn))
-            centre = rest.groupBy("key").agg(F.min(F.struct((F.col("comp") != F.col("main")).alias("off"), turned.alias("h"), "node", "n", "comp")).alias("c"))
-            centre = centre.select("key", F.col("c.node").alias("node_"), F.col("c.n").alias("n_"), F.col("c.comp").alias("comp_"))
-            met = rest.join(centre, "key").filter("comp != comp_")
-        met = met.filter(_fits(percent)).select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
-        if done is not None:
-            met = met.join(done, ["a", "b"], "left_anti")
-        checked = materialise(_verified(met, chosen, words, percent), "verified")
-        done = checked if done is None else done.unionByName(checked)
-        linked = checked.filter("linked").count()
-        if linked:
-            comps = materialise(components(done.filter("linked")), "components")
-        if last:
-            break
-
-    least = nodes.select("node", "doc")
-    if comps is not None:
-        joined = nodes.join(comps, "node").select("node", "component", "doc")
-        tops = joined.groupBy("component").agg(F.min("doc").alias("top"))
-        linked = joined.join(tops, "component").select("node", "top")
-        least = nodes.join(linked, "node", "left").select("node", F.coalesce("top", "doc").alias("doc"))
+    hot, cool = keys.filter(F.col("held") > HOT_KEY), keys.filter(F.col("held") <= HOT_KEY)
+    comps, done = _hot_components(hot, chosen, words, percent)
+    met = _close_pairs(_labelled(cool, comps), percent).unionByName(_hot_pairs(hot, comps, percent))
+    met = met.groupBy("a", "b").agg(F.sum("tokens").alias("tokens"), F.min("least").alias("least")).filter("tokens >= least").select("a", "b")
+    if done is not None:
+        met = met.join(done, ["a", "b"], "left_anti")
+    links = materialise(_verified(met, chosen, words, percent).filter("linked"), "links").select("a", "b")
+    if done is not None:
+        links = links.unionByName(done.filter("linked").select("a", "b"))
+    comps = materialise(components(links), "components")
+
+    joined = nodes.join(comps, "node").select("node", "component", "doc")
+    tops = joined.groupBy("component").agg(F.min("doc").alias("top"))
+    linked = joined.join(tops, "component").select("node", "top")
+    least = nodes.join(linked, "node", "left").select("node", F.coalesce("top", "doc").alias("doc"))
     out = keyed.join(least, "node", "left")
     return out.select(F.col("id_").alias(id_col), "n_shingles", F.coalesce("doc", "id_").alias("component_id"))
 

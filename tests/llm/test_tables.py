@@ -1,0 +1,139 @@
+"""Vectors, WARC records and the pipeline."""
+
+import hashlib
+import random
+
+import brute
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from polysift.llm import topk, warc
+from polysift.llm.queries import QUERIES, SQL
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def brute_top(rows, k):
+    usable = [(i, np.floor(256 * np.array(v, float)).astype(int)) for i, v in rows if i is not None and v is not None and None not in v and np.isfinite(v).all()]
+    out = []
+    for q, x in {i: x for i, x in reversed(usable) if i % 50 == 0}.items():
+        scores = sorted((-int(x @ y), i) for i, y in usable if i != q and len(x) == len(y))[:k]
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+    return sorted(out)
+
+
+def test_top_k(spark):
+    r = np.random.default_rng(1)
+    rows = [(i, r.normal(size=8).tolist()) for i in range(400)]
+    rows += [(1000 + i, rows[50][1]) for i in range(30)]
+    rows += [(2000, None), (2050, [None] * 8), (2100, [float("nan")] * 8), (2150, [float("inf")] * 8), (None, rows[3][1]), (2200, [0.5, 0.5]), (2201, [1.0, 0.1]), (2250, [])]
+    rows += [(7, rows[7][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4).withColumn("score", F.lit(1)).withColumn("id_", F.lit(1))
+    got = sorted(tuple(x) for x in topk.top_k(df, F.col("vec_id") % 50 == 0).collect())
+    assert got == brute_top(rows, 5)
+    assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_top_k_in_query_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 64)
+    r = np.random.default_rng(2)
+    rows = [(i, (r.normal(size=16) * r.choice((0.01, 1, 40))).tolist()) for i in range(500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    assert sorted(tuple(x) for x in topk.top_k(df, F.col("vec_id") % 50 == 0).collect()) == brute_top(rows, 5)
+
+
+@pytest.mark.parametrize("d", [1, 4, 64])
+def test_index_narrows_down_exactly(d):
+    r = np.random.default_rng(d)
+    values = np.floor(256 * r.normal(size=(2000, d)) / d**0.5).astype(np.int64)
+    values[:40] = values[0]
+    ids = r.permutation(2000).astype(np.int64)
+    index = topk.Index(ids, values)
+    for q in range(0, 2000, 97):
+        rows, scores = index.best(values[q], 5, int(ids[q]))
+        want = [i for i in np.lexsort((ids, -(values @ values[q]))) if ids[i] != ids[q]][:5]
+        assert index.ids[rows].tolist() == ids[want].tolist() and scores.tolist() == (values[want] @ values[q]).tolist()
+
+
+PAGES = "page_id long, url string, html string"
+
+
+def some_pages(n=600):
+    r = random.Random(3)
+    rows = [(i, f"http://h{i % 7}/é{i}", "<p>" + "x\r\n\r\n" * r.randint(0, 4) + f"{i}é") for i in range(n)]
+    return rows + [(n, None, None), (n + 1, "u\r\nv", ""), (None, "n", "null id"), (5, "again", "b"), (5, "again", "b"), (10**12, "far", "y")]
+
+
+def test_warc_files_and_manifest(spark, tmp_path):
+    rows = warc.records(spark.createDataFrame(some_pages(), PAGES).repartition(5).withColumn("file", F.lit(1)))
+    path = str(tmp_path / "warc")
+    warc.write_warc(rows, path)
+    read = warc.read_warc(spark, path).withColumn("number", F.regexp_extract("file", "file=(-?[0-9]+)", 1).cast("long"))
+    found = {(r.number, r.offset): (r.length, r.sha256, r.uri, bytes(r.body)) for r in read.collect()}
+    listed = {(r.file, r.offset): r for r in warc.manifest(rows).collect()}
+    assert set(found) == set(listed)
+    pages = {i: (u, h) for i, u, h in some_pages() if i not in (5, None)}
+    for at, r in listed.items():
+        length, digest, uri, body = found[at]
+        assert (length, digest) == (r.length, r.sha256)
+        if r.id_ in pages:
+            assert body == (pages[r.id_][1] or "").encode() and uri == " ".join((pages[r.id_][0] or "").split("\r\n")).replace("u v", "u  v")
+
+
+def test_audit_finds_what_differs(spark):
+    pages = spark.createDataFrame(some_pages(), PAGES).repartition(3)
+    ours = warc.manifest(warc.records(pages, per_file=40))
+    same = warc.fixity(ours, ours)
+    assert [tuple(r) for r in same.groupBy("status").count().collect()] == [("intact", len(some_pages()))]
+    spoilt = F.when(F.col("id_") == 17, F.lit("0" * 64)).when(F.col("id_") != 333, F.col("sha256"))
+    theirs = ours.withColumn("sha256", spoilt).filter(~F.col("id_").eqNullSafe(F.lit(100)))
+    extra = ours.filter("id_ = 200").withColumn("seq", F.lit(500).cast("long"))
+    out = warc.fixity(ours, theirs.unionByName(extra)).filter("status != 'intact'")
+    found = {(r.id_, r.status) for r in out.collect()}
+    assert {(17, "corrupt"), (333, "missing"), (100, "missing"), (None, "extra")} <= found
+    assert all(s == "missing" for i, s in found if i is None and s != "extra" or i == 333)
+    none = ours.limit(0)
+    assert warc.fixity(none, none).count() == 0
+    assert {r.status for r in warc.fixity(ours, none).collect()} == {"missing"}
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    columns, ids = docs.columns, {r.doc_id for r in docs.select("doc_id").collect()}
+    texts = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, FOLDER)
+        if name == "byte_bpe":
+            rows = out.collect()
+            break
+        out = corpus_pipeline.materialise(out, name)
+        assert out.columns == columns and dict(out.dtypes) == dict(docs.dtypes)
+        now = {r.doc_id: r for r in out.collect()}
+        assert set(now) <= ids
+        before = {r.doc_id: r.text for r in docs.collect()}
+        if name == "quality_classifier":
+            labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+            assert sum((i in now) == (q == 1) for i, q in labels.items()) >= 0.95 * len(labels)
+        if name == "near_duplicates":
+            assert set(now) == {d for d, (_, c) in brute.components(list(before.items())).items() if c == d}
+        if name == "decontamination":
+            items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+            windows = {tuple(w[s : s + 13]) for _, t in items for w in [brute.words_of(t)] for s in range(max(1, len(w) - 12)) if w}
+            for d, t in before.items():
+                w = brute.words_of(t)
+                hit = {p for s in range(len(w)) for k in {len(x) for x in windows} if tuple(w[s : s + k]) in windows for p in range(s, s + k)}
+                assert (d in now) == (not (hit and 20 * len(hit) >= len(w)))
+        if name == "personal_data":
+            assert set(now) == ids and all(not brute.EMAIL.search(r.text) and r.n_chars == len(r.text) for r in now.values())
+            assert all(r.text == before[d] for d, r in now.items() if not brute.base_spans(before[d]) and "[" not in r.text)
+        docs, ids, texts = out, set(now), {d: r.text for d, r in now.items()}
+    assert {r.doc_id for r in rows} == ids
+    assert all(r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest() and r.n_tokens == len(r.ids) for r in rows)
+
+
+def test_every_operator_has_one_query():
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert set(SQL) <= set(QUERIES) and corpus_pipeline.QUERIES["pipeline"] is corpus_pipeline.run
