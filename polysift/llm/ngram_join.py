@@ -13,9 +13,10 @@ with a partner. Sets that share fewer with any others, such as those with a comm
 Which tokens are frequent only has to be the same for all documents; any choice gives the same links. The table of frequent
 tokens is broadcast and has at most ``CLASS_ENTRIES`` entries; a larger corpus raises the count where frequent begins.
 
-Hot groups: a group of copies is a single node from the start. Keys with many nodes, such as those of a large group of near
-copies, are first verified against a few centres each, a row per member, and afterwards only members that are still in
-different components are compared, smaller components against the rest; pairs within one component are never made.
+Hot groups: a group of copies is a single node from the start. Every set is first compared with one centre for each of its
+``FIRST`` smallest tokens, a row per token, which joins the bulk of a group of near copies; from then on only members that are
+still in different components are compared. The members of a usual key travel as one list of at most ``HOT_KEY`` nodes; of
+keys with more, only members outside the key's largest component are compared with the members of the others.
 """
 
 from __future__ import annotations
@@ -45,11 +46,12 @@ LONGER = 12
 RANGE_TOKENS = 1 << 20
 #: Tokens a task gathers before it hands them on.
 FLUSH_TOKENS = 1 << 22
+#: Smallest tokens by which a set is first compared with a centre.
+FIRST = 4
 #: Keys with more nodes than this are hot.
 HOT_KEY = 256
-#: Centres a hot group of keys uses at once, and rounds of them at most.
-CENTRES = 4
-STAR_ROUNDS = 6
+#: Hot keys that are told apart by a broadcast list; with more of them, a hot key has more nodes.
+HOT_KEYS = 1_000_000
 
 _LIMIT = np.uint64(int(COUNTED_SHARE * 2**64))
 _LOW = np.uint64(0xFFFFFFFF)
@@ -106,18 +108,19 @@ def _distinct_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[
 def read_sets(docs: DataFrame, id_col: str, text_col: str, words: int, n_ranges: int) -> DataFrame:
     """Two kinds of rows from one pass over the texts.
 
-    (id_, n_shingles, node): size and key of every document's set, key null for an empty one; and (part, blob): the counted
-    tokens of each task as 3-byte numbers by range.
+    (id_, n_shingles, node, first): size and key of every document's set, key null for an empty one, and its smallest tokens;
+    and (part, blob): the counted tokens of each task as 3-byte numbers by range.
     """
     ident = docs.select(F.col(id_col).alias("id_"))
     kind = ident.schema["id_"].dataType.simpleString()
-    names = ["id_", "n_shingles", "node", "part", "blob"]
+    names = ["id_", "n_shingles", "node", "first", "part", "blob"]
+    longs = pa.list_(pa.int64())
 
     def pack(sets: list[np.ndarray], ids: pa.DataType) -> pa.RecordBatch:
         found = np.sort(_class_ids(np.concatenate(sets), n_ranges))
         low = found.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :3]
         rows = [(r, low[at].tobytes()) for r, at in _by_range(found >> np.uint64(24), n_ranges)]
-        none = [pa.nulls(len(rows), t) for t in (ids, pa.int64(), pa.int64())]
+        none = [pa.nulls(len(rows), t) for t in (ids, pa.int64(), pa.int64(), longs)]
         return pa.RecordBatch.from_arrays([*none, pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,17 +130,19 @@ def read_sets(docs: DataFrame, id_col: str, text_col: str, words: int, n_ranges:
             ids = batch.column(0).type
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                n, nodes = [], []
+                n, nodes, first = [], [], []
                 for tokens in text_sets(_texts(part.column(1)), words):
                     n.append(len(tokens))
                     nodes.append(_node(tokens) if len(tokens) else None)
+                    first.append(tokens[:FIRST].view(np.int64))
                     if len(tokens) > 2 and nodes[-1] not in seen:
                         seen.add(nodes[-1])
                         counted = tokens[: np.searchsorted(tokens, _LIMIT)]
                         held.append(counted)
                         size += len(counted)
                 none = [pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.binary())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), *none], names=names)
+                facts = [pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(first, longs)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *facts, *none], names=names)
                 if size > FLUSH_TOKENS:
                     yield pack(held, ids)
                     held, size = [], 0
@@ -145,7 +150,7 @@ def read_sets(docs: DataFrame, id_col: str, text_col: str, words: int, n_ranges:
             yield pack(held, ids)
 
     picked = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
-    return picked.mapInArrow(run, f"id_ {kind}, n_shingles long, node long, part long, blob binary")
+    return picked.mapInArrow(run, f"id_ {kind}, n_shingles long, node long, first array<long>, part long, blob binary")
 
 
 def _frequent(blobs: DataFrame, least: int) -> DataFrame:
@@ -215,149 +220,172 @@ def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, n_ranges: int, percent
 
 
 def index_blobs(texts: DataFrame, words: int, n_ranges: int, percent: int, frequent) -> DataFrame:
-    """What every distinct set indexes, from one pass over the texts: (part, tokens, nodes) as numbers.
+    """What every distinct set indexes, from one pass over the texts: (part, tokens, nodes, sizes, node, n).
 
-    Singly indexed tokens go by range, the lowest bit of their node says whether its prefix is longer; pairs of frequent
-    tokens have a null range.
+    Singly indexed tokens go by range as numbers with their nodes and the sizes of these; the lowest bit of a node says whether
+    its prefix is longer. Pairs of frequent tokens have a row per set, with its node and size.
     """
-    names = ["part", "tokens", "nodes"]
+    names = ["part", "tokens", "nodes", "sizes", "node", "n"]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.binary(), pa.binary())
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int32())
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
-    def pack(found: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-        tokens = np.concatenate([t for _, t in found])
-        nodes = np.repeat(np.array([k for k, _ in found], np.int64), [len(t) for _, t in found])
+    def pack(found: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+        tokens = np.concatenate([t for _, _, t in found])
+        lengths = [len(t) for _, _, t in found]
+        nodes, sizes = (np.repeat(np.array([f[i] for f in found], kind), lengths) for i, kind in ((0, np.int64), (1, np.uint32)))
         parts = _ranges(tokens, n_ranges)
         order = np.lexsort((tokens, parts))
-        tokens, nodes, parts = (tokens[order] >> np.uint64(32)).astype("<u4"), nodes[order], parts[order]
-        return batch_of([(r, tokens[s].tobytes(), nodes[s].astype("<i8").tobytes()) for r, s in _by_range(parts, n_ranges)])
+        tokens, nodes, sizes, parts = (tokens[order] >> np.uint64(32)).astype("<u4"), nodes[order], sizes[order], parts[order]
+        return batch_of([(r, tokens[s].tobytes(), nodes[s].astype("<i8").tobytes(), sizes[s].astype("<u4").tobytes(), None, None) for r, s in _by_range(parts, n_ranges)])
 
-    def pack_pairs(found: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-        return batch_of([(None, t.astype("<u8").tobytes(), np.array([k], "<i8").tobytes()) for k, t in found])
+    def pack_pairs(found: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+        return batch_of([(None, t.astype("<u8").tobytes(), None, None, k, n) for k, n, t in found])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, pairs, size = [], [], 0
         for node, tokens in _distinct_sets(batches, words):
             single, is_longer, both = prefix_keys(tokens, frequent.value, n_ranges, percent)
             if len(single):
-                held.append((node | is_longer, single))
+                held.append((node | is_longer, len(tokens), single))
                 size += len(single)
             if len(both):
-                pairs.append((node, sorted_unique(both)))
+                pairs.append((node, len(tokens), sorted_unique(both)))
                 size += len(both)
             if size > FLUSH_TOKENS:
                 yield from (f(x) for f, x in ((pack, held), (pack_pairs, pairs)) if x)
                 held, pairs, size = [], [], 0
         yield from (f(x) for f, x in ((pack, held), (pack_pairs, pairs)) if x)
 
-    return texts.mapInArrow(run, "part long, tokens binary, nodes binary")
+    return texts.mapInArrow(run, "part long, tokens binary, nodes binary, sizes binary, node long, n int")
 
 
-def _shared_rare(blobs: DataFrame) -> DataFrame:
-    """(key, node, longer, tokens) of rare tokens with several nodes; tokens of a range with the same nodes give one key."""
+_MEMBERS = "array<struct<node:long,n:int,longer:boolean>>"
+_MEMBER_TYPE = pa.list_(pa.struct([("node", pa.int64()), ("n", pa.int32()), ("longer", pa.bool_())]))
+
+
+def _rare_lists(blobs: DataFrame) -> DataFrame:
+    """(key, m, tokens): members of rare tokens with several nodes, and how many tokens have just these members.
+
+    A rare token has at most ``RARE_COUNT`` of them; a range of the hash space is one task's work of bounded size.
+    """
 
     def meet(part: pa.Table) -> pa.Table:
-        tokens = np.frombuffer(b"".join(part.column("tokens").to_pylist()), "<u4")
-        nodes = np.frombuffer(b"".join(part.column("nodes").to_pylist()), "<i8")
+        tokens, nodes, sizes = (np.frombuffer(b"".join(part.column(c).to_pylist()), t) for c, t in (("tokens", "<u4"), ("nodes", "<i8"), ("sizes", "<u4")))
         order = np.lexsort((nodes, tokens))
-        tokens, nodes = tokens[order], nodes[order]
+        tokens, nodes, sizes = tokens[order], nodes[order], sizes[order]
         new = np.ones(len(tokens), bool)
         new[1:] = (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])
-        tokens, nodes = tokens[new], nodes[new]
+        tokens, nodes, sizes = tokens[new], nodes[new], sizes[new]
         edges = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1], [True]))) if len(tokens) else np.zeros(1, int)
-        sizes = np.diff(edges)
-        groups: dict[bytes, int] = {}
-        for a, size in zip(edges[:-1][sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
-            members = nodes[a : a + size].tobytes()
-            groups[members] = groups.get(members, 0) + 1
-        members = [np.frombuffer(m, "<i8") for m in groups]
-        lengths = [len(m) for m in members]
-        flat = np.concatenate([*members, np.zeros(0, np.int64)]).astype(np.int64)
-        keys = np.repeat(np.array([set_key(m) for m in members], np.int64), lengths)
-        times = np.repeat(np.array(list(groups.values()), np.int64), lengths)
-        return pa.table({"key": keys, "node": flat & ~1, "longer": pa.array((flat & 1).astype(bool)), "tokens": times})
-
-    return blobs.groupBy("part").applyInArrow(meet, "key long, node long, longer boolean, tokens long")
-
-
-def _pair_keys(blobs: DataFrame) -> DataFrame:
-    """(key, node) of pairs of frequent tokens."""
+        lengths = np.diff(edges)
+        groups: dict[bytes, list[int]] = {}
+        for a, size in zip(edges[:-1][lengths > 1].tolist(), lengths[lengths > 1].tolist(), strict=True):
+            groups.setdefault(nodes[a : a + size].tobytes(), [a, size, 0])[2] += 1
+        keys = [set_key(np.frombuffer(m, "<i8")) for m in groups]
+        at = np.concatenate([*(np.arange(a, a + size) for a, size, _ in groups.values()), np.zeros(0, int)]).astype(int)
+        members = pa.StructArray.from_arrays(
+            [pa.array(nodes[at] & ~1), pa.array(sizes[at].astype(np.int32)), pa.array((nodes[at] & 1).astype(bool))], names=["node", "n", "longer"]
+        )
+        offsets = np.concatenate(([0], np.cumsum([g[1] for g in groups.values()]))).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), members)
+        return pa.table({"key": pa.array(keys, pa.int64()), "m": lists.cast(_MEMBER_TYPE), "tokens": pa.array([g[2] for g in groups.values()], pa.int64())})
+
+    found = blobs.filter("part is not null").groupBy("part").applyInArrow(meet, f"key long, m {_MEMBERS}, tokens long")
+    return found.groupBy("key").agg(F.first("m").alias("m"), F.sum("tokens").alias("tokens"))
+
+
+def _pair_keys(blobs: DataFrame, hot=None, want_hot: bool = False, value: str = "n") -> DataFrame:
+    """(key, node, value) of pairs of frequent tokens: all, or given the ``hot`` keys only these or only the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = hot.value if hot is not None else None
         for batch in batches:
-            for tokens, node in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                keys, one = np.frombuffer(tokens, "<i8"), np.frombuffer(node, "<i8")
+            for tokens, node, fact in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                keys = np.frombuffer(tokens, "<i8")
+                if known is not None:
+                    inside = known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys if len(known) else np.zeros(len(keys), bool)
+                    keys = keys[inside == want_hot]
                 for at in range(0, len(keys), 1 << 16):
                     part = keys[at : at + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.repeat(one, len(part)))], names=["key", "node"])
+                    same = [np.full(len(part), x, np.int64) for x in (node, fact)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (part, *same)], names=["key", "node", value])
 
-    return blobs.filter("part is null").select("tokens", "nodes").mapInArrow(run, "key long, node long")
+    rows = blobs.filter("part is null").select("tokens", "node", F.col(value).cast("bigint").alias(value))
+    return rows.mapInArrow(run, f"key long, node long, {value} long")
 
 
-def candidate_keys(blobs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """(key, node, n, longer, tokens, held) of keys that several nodes share: size of the node's set, whether it indexes a longer
-    prefix, tokens the key stands for, nodes of the key."""
-    n = nodes.select("node", F.col("n").cast("int").alias("n"))
-    rare = materialise(_shared_rare(blobs.filter("part is not null")), "rare")
-    shared = rare.groupBy("node").agg(F.sum("tokens").alias("all_tokens"), F.max("longer").alias("longer")).join(n, "node")
-    # A partner may have the shorter of the two prefixes, and then asks for what its own size makes it share.
-    least = F.floor(F.ceil(F.col("n") * percent / 100) / LONGER) + 1
-    kept = shared.filter(~F.col("longer") | (F.col("all_tokens") >= least)).select("node", "n", "longer")
-    rare = rare.groupBy("key", "node").agg(F.sum("tokens").alias("tokens")).join(kept, "node")
-    pairs = _pair_keys(blobs).distinct().join(n, "node").withColumns({"longer": F.lit(False), "tokens": F.lit(1).cast("bigint")})
-    keys = rare.unionByName(pairs)
-    several = keys.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1")
-    return materialise(keys.join(several, "key"), "keys")
+def _hot_keys(blobs: DataFrame) -> np.ndarray:
+    """Sorted keys with more than ``HOT_KEY`` rows, at most ``HOT_KEYS``; a power-of-two count bounds them from below."""
+    counts = _pair_keys(blobs).groupBy("key").agg(F.count("*").alias("held")).filter(F.col("held") > HOT_KEY)
+    counts = materialise(counts, "hot")
+    least, total = HOT_KEY, 0
+    for row in counts.groupBy(F.floor(F.log2("held")).alias("step")).count().orderBy(F.desc("step")).collect():  # at most 63 rows
+        total += row["count"]
+        if total > HOT_KEYS:
+            least = 2 ** (row["step"] + 1) - 1
+            break
+    return np.sort(counts.filter(F.col("held") > least).select("key").toPandas()["key"].to_numpy(np.int64))  # bounded by the loop above
 
 
-def _close_pairs(keys: DataFrame, percent: int) -> DataFrame:
-    """(a, b, tokens, least) of pairs in the same key but not in the same component, from keys that are not hot.
+def _close_pairs(blobs: DataFrame, hot, percent: int) -> DataFrame:
+    """(a, b) of nodes that share as many indexed tokens as similar sets must, from all keys that are not hot.
 
-    A key's members, at most ``HOT_KEY``, travel as one list. Lists with the same first member, mostly of the same group of
-    documents, come to the same tasks, so that a pair that many keys hold is counted there before it is written.
+    Lists with the same first member, mostly of the same group of documents, come to the same tasks, so that a pair that many
+    keys hold is counted there before it is written.
     """
-    member = F.struct("node", "n", "longer", "comp")
-    lists = keys.groupBy("key").agg(F.sort_array(F.collect_list(member)).alias("m"), F.first("tokens").alias("tokens"))
-    lists = lists.filter(F.size(F.array_distinct(F.transform("m", lambda x: x.comp))) > 1)
-    lists = lists.select(F.get("m", F.lit(0))["node"].alias("first"), "m", "tokens").repartition("first").sortWithinPartitions("first")
+    member = F.struct("node", F.col("n").cast("int").alias("n"), F.lit(False).alias("longer"))
+    pairs = _pair_keys(blobs, hot, False).groupBy("key").agg(F.sort_array(F.collect_set(member)).alias("m"))
+    pairs = pairs.filter(F.size("m") > 1).select("key", F.col("m").cast(_MEMBERS).alias("m"), F.lit(1).cast("bigint").alias("tokens"))
+    lists = _rare_lists(blobs).unionByName(pairs).select(F.get("m", F.lit(0))["node"].alias("first"), "m", "tokens")
+    lists = lists.repartition("first").sortWithinPartitions("first")
+
+    def counted(held: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]]) -> pa.RecordBatch:
+        every = np.concatenate([h[0] for h in held])
+        nodes, at = np.unique(every, return_index=True)
+        n, longer = np.concatenate([h[1] for h in held])[at].astype(np.int64), np.concatenate([h[2] for h in held])[at]
+        codes, times = [], []
+        for members, _, _, tokens in held:
+            place = np.searchsorted(nodes, members)
+            i, j = np.triu_indices(len(place), 1)
+            codes.append(place[i] * len(nodes) + place[j])
+            times.append(np.full(len(i), tokens))
+        codes, where = np.unique(np.concatenate(codes), return_inverse=True)
+        tokens = np.bincount(where, np.concatenate(times)).astype(np.int64)
+        i, j = codes // len(nodes), codes % len(nodes)
+        fits = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+        i, j, tokens = i[fits], j[fits], tokens[fits]
+        least = _least_shared(n[i], longer[i], n[j], longer[j], percent)
+        return pa.RecordBatch.from_arrays([pa.array(nodes[i]), pa.array(nodes[j]), pa.array(tokens), pa.array(least)], names=["a", "b", "tokens", "least"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple[int, int], int] = {}
-        facts: dict[int, tuple[int, bool]] = {}
-        last = None
-
-        def out() -> pa.RecordBatch:
-            pairs = [(a, b, c, _least_shared(*facts[a], *facts[b], percent)) for (a, b), c in counts.items()]
-            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in range(4)], names=["a", "b", "tokens", "least"])
-
+        held, work, last = [], 0, None
         for batch in batches:
-            for first, members, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if counts and (first != last or len(counts) > 200_000):
-                    yield out()
-                    counts.clear()
-                    facts.clear()
+            firsts, lists, tokens = batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()
+            flat, cuts = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            nodes, n, longer = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+            for k, first in enumerate(firsts):
+                # Whole groups of lists are counted together, as far as memory allows.
+                if held and (work > 4_000_000 or work > 400_000 and first != last):
+                    yield counted(held)
+                    held, work = [], 0
                 last = first
-                for m in members:
-                    facts[m["node"]] = (m["n"], m["longer"])
-                for i, x in enumerate(members):
-                    for y in members[i + 1 :]:
-                        if x["comp"] != y["comp"] and 100 * min(x["n"], y["n"]) >= percent * max(x["n"], y["n"]):
-                            pair = (x["node"], y["node"])
-                            counts[pair] = counts.get(pair, 0) + tokens
-        if counts:
-            yield out()
+                s = slice(int(cuts[k]), int(cuts[k + 1]))
+                held.append((nodes[s], n[s], longer[s], tokens[k]))
+                work += (s.stop - s.start) ** 2 // 2
+        if held:
+            yield counted(held)
 
-    return lists.mapInArrow(run, "a long, b long, tokens long, least long")
+    found = lists.mapInArrow(run, "a long, b long, tokens long, least long").groupBy("a", "b")
+    return found.agg(F.sum("tokens").alias("tokens"), F.min("least").alias("least")).filter("tokens >= least").select("a", "b")
 
 
-def _least_shared(n_a: int, longer_a: bool, n_b: int, longer_b: bool, percent: int) -> int:
+def _least_shared(n_a: np.ndarray, longer_a: np.ndarray, n_b: np.ndarray, longer_b: np.ndarray, percent: int) -> np.ndarray:
     """Tokens that two similar sets must share in their indexed prefixes."""
-    if not (longer_a and longer_b):
-        return 1
     both = -(-percent * (n_a + n_b) // (100 + percent))  # the smallest intersection
-    return max(1, min(_slack(n, percent) + _longer(n) - (n - both) for n in (n_a, n_b)))
+    bound = np.minimum(*(_slack(n, percent) + _longer(n) - (n - both) for n in (n_a, n_b)))
+    return np.where(longer_a & longer_b, np.maximum(1, bound), 1)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -389,11 +417,6 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return pairs.join(left, "a").join(right, "b").select("a", "b", "p", "q").mapInArrow(run, "a long, b long, linked boolean")
 
 
-def _fits(percent: int):
-    """Sizes of two sets that can be similar enough."""
-    return 100 * F.least("n", "n_") >= percent * F.greatest("n", "n_")
-
-
 def _with_nodes(rows: DataFrame, words: int) -> DataFrame:
     """Rows (id_, node_, text_) with the node of their text."""
     kind = rows.schema["id_"].dataType.simpleString()
@@ -408,57 +431,41 @@ def _with_nodes(rows: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(run, f"id_ {kind}, node_ long, text_ string, node long")
 
 
-def _labelled(keys: DataFrame, comps: DataFrame | None) -> DataFrame:
-    if comps is None:
-        return keys.withColumn("comp", F.col("node"))
-    return keys.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
+    return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
 
-def _mixed(labelled: DataFrame) -> DataFrame:
-    """(key, main, rows, all) of keys with several components: the largest one, its rows and all rows."""
-    sizes = labelled.groupBy("key", "comp").agg(F.count("*").alias("rows"))
-    top = sizes.groupBy("key").agg(F.max(F.struct("rows", "comp")).alias("top"), F.sum("rows").alias("all"), F.count("*").alias("kinds"))
-    return top.filter("kinds > 1").select("key", F.col("top.comp").alias("main"), "top.rows", "all")
+def _first_pairs(keyed: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of every node and a centre for each of its smallest tokens, where their sizes allow a link."""
+    rows = keyed.filter("node is not null").groupBy("node").agg(F.first("first").alias("first"), F.first("n_shingles").alias("n"))
+    rows = rows.select("node", "n", F.explode("first").alias("token"))
+    tops = rows.groupBy("token").agg(F.count("*").alias("held"), F.min_by(F.struct("node", "n"), F.xxhash64("node")).alias("c")).filter("held > 1")
+    met = rows.join(tops, "token").filter("node != c.node").filter(100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n"))
+    return _ordered(met, "node", "c.node").distinct()
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.withColumns({"a": F.least("node", "node_"), "b": F.greatest("node", "node_")})
-
-
-def _hot_components(hot: DataFrame, texts: DataFrame, words: int, percent: int) -> tuple[DataFrame | None, DataFrame | None]:
-    """Components found by comparing the members of hot keys with a few centres, and the pairs (a, b, linked) compared."""
-    comps = done = None
-    for turn in range(STAR_ROUNDS):
-        labelled = _labelled(hot, comps)
-        mixed = materialise(_mixed(labelled), "mixed")
-        work = mixed.agg(F.count("*").alias("keys"), F.sum((F.col("all") - F.col("rows")) * F.col("all")).alias("pairs"), F.sum("all").alias("rows")).first()
-        if not work["keys"] or turn and work["pairs"] <= work["rows"]:
-            break
-        rest = labelled.join(mixed, "key")
-        # Centres come from the largest component; keys of a group agree on a few of them.
-        turned = F.xxhash64("node", F.lit(turn), F.pmod("key", F.lit(CENTRES)))
-        centre = rest.groupBy("key").agg(F.min(F.struct((F.col("comp") != F.col("main")).alias("off"), turned.alias("h"), "node", "n", "comp")).alias("c"))
-        centre = centre.select("key", F.col("c.node").alias("node_"), F.col("c.n").alias("n_"), F.col("c.comp").alias("comp_"))
-        met = _ordered(rest.join(centre, "key").filter("comp != comp_").filter(_fits(percent))).select("a", "b").distinct()
-        if done is not None:
-            met = met.join(done, ["a", "b"], "left_anti")
-        checked = materialise(_verified(met, texts, words, percent), "verified")
-        linked = checked.filter("linked").count()
-        done = checked if done is None else materialise(done.unionByName(checked), "verified")
-        if not linked:
-            break
-        comps = materialise(components(done.filter("linked")), "components")
-    return comps, done
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pairs whose ends are not in the same component."""
+    one = comps.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    two = comps.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    known = pairs.join(one, "a", "left").join(two, "b", "left")
+    return known.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def _hot_pairs(hot: DataFrame, comps: DataFrame | None, percent: int) -> DataFrame:
-    """(a, b, tokens, least) of pairs of hot keys: each has a member outside the key's largest component."""
-    labelled = _labelled(hot, comps)
-    outside = labelled.join(_mixed(labelled).select("key", "main"), "key").filter("comp != main")
-    other = labelled.select("key", *[F.col(c).alias(f"{c}_") for c in ("node", "n", "comp")])
-    met = _ordered(outside.join(other, "key").filter("comp != comp_").filter(_fits(percent)))
-    one = F.lit(1).cast("bigint")
-    return met.select("a", "b").distinct().select("a", "b", one.alias("tokens"), one.alias("least"))
+def _hot_pairs(blobs: DataFrame, hot, comps: DataFrame) -> DataFrame:
+    """(a, b) of members outside the largest component of a hot key and all nodes of the other components of the key."""
+    labels = comps.select("node", "component")
+    # Components are joined to sets, and go with their keys from there.
+    labelled = blobs.filter("part is null").join(labels, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+    rows = materialise(_pair_keys(labelled, hot, True, "comp"), "hot")
+    sizes = materialise(rows.groupBy("key", "comp").agg(F.count("*").alias("rows")), "hot")
+    tops = sizes.groupBy("key").agg(F.max(F.struct("rows", "comp")).alias("top"), F.count("*").alias("kinds")).filter("kinds > 1")
+    tops = tops.select(F.col("key").alias("mixed"), F.col("top.comp").alias("main"))
+    outside = rows.join(tops, (F.col("key") == F.col("mixed")) & (F.col("comp") != F.col("main"))).select("key", "node", "comp")
+    others = sizes.select(F.col("key").alias("mixed"), F.col("comp").alias("other"))
+    met = outside.join(others, (F.col("key") == F.col("mixed")) & (F.col("comp") != F.col("other"))).select("node", "other").distinct()
+    members = labels.select(F.col("component").alias("other"), F.col("node").alias("y"))
+    return _ordered(met.join(members, "other", "left").select("node", F.coalesce("y", "other").alias("y")), "node", "y").distinct()
 
 
 def similar_components(
@@ -477,35 +484,37 @@ def similar_components(
     size = texts.agg(F.sum(F.octet_length("text_"))).first()[0] or 0
     n_ranges = max(4, size // 6 // RANGE_TOKENS)
     read = materialise(read_sets(docs, id_col, text_col, words, n_ranges), "sets")
-    keyed = read.filter("part is null").select("id_", "n_shingles", "node")
-    nodes = materialise(keyed.filter("node is not null").groupBy("node").agg(F.min("id_").alias("doc"), F.first("n_shingles").alias("n")), "nodes")
+    keyed = read.filter("part is null").select("id_", "n_shingles", "node", "first")
+    nodes = materialise(keyed.filter("node is not null").groupBy("node").agg(F.min("id_").alias("doc")), "nodes")
     frequent = spark.sparkContext.broadcast(class_table(read.filter("part is not null").select("part", "blob")))
     blobs = materialise(index_blobs(texts, words, n_ranges, percent, frequent), "index")
-    keys = candidate_keys(blobs, nodes, percent)
+    hot_keys = spark.sparkContext.broadcast(_hot_keys(blobs))
+    first = materialise(_first_pairs(keyed, percent), "first")
+    close = materialise(_close_pairs(blobs, hot_keys, percent), "close")
+    hot_nodes = _pair_keys(blobs, hot_keys, True).select("node").distinct()
 
     # One text of each candidate is kept: a row of its smallest id. Rows that repeat this id may have other sets.
-    wanted = keys.select("node").distinct().join(nodes, "node").select(F.col("doc").alias("doc_"), F.col("node").alias("node_"))
+    met = first.unionByName(close)
+    ends = met.select(F.col("a").alias("node")).unionByName(met.select(F.col("b").alias("node"))).unionByName(hot_nodes).distinct()
+    wanted = ends.join(nodes, "node").select(F.col("doc").alias("doc_"), F.col("node").alias("node_"))
     again = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
     chosen = again.join(wanted, F.col("id_").eqNullSafe(F.col("doc_"))).select("id_", "node_", "text_")
     chosen = _with_nodes(chosen, words).filter("node = node_").groupBy("id_", "node").agg(F.first("text_").alias("text_"))
     chosen = materialise(chosen.select("node", "text_"), "texts")
 
-    hot, cool = keys.filter(F.col("held") > HOT_KEY), keys.filter(F.col("held") <= HOT_KEY)
-    comps, done = _hot_components(hot, chosen, words, percent)
-    met = _close_pairs(_labelled(cool, comps), percent).unionByName(_hot_pairs(hot, comps, percent))
-    met = met.groupBy("a", "b").agg(F.sum("tokens").alias("tokens"), F.min("least").alias("least")).filter("tokens >= least").select("a", "b")
-    if done is not None:
-        met = met.join(done, ["a", "b"], "left_anti")
-    links = materialise(_verified(met, chosen, words, percent).filter("linked"), "links").select("a", "b")
-    if done is not None:
-        links = links.unionByName(done.filter("linked").select("a", "b"))
-    comps = materialise(components(links), "components")
+    links = None
+    for pairs in (lambda _: first, lambda comps: close.join(first, ["a", "b"], "left_anti"), lambda comps: _hot_pairs(blobs, hot_keys, comps)):
+        found = pairs(None if links is None else comps)
+        found = found if links is None else _apart(found, comps)
+        checked = materialise(_verified(found, chosen, words, percent).filter("linked").select("a", "b"), "links")
+        links = checked if links is None else links.unionByName(checked)
+        comps = materialise(components(links), "components")
 
     joined = nodes.join(comps, "node").select("node", "component", "doc")
     tops = joined.groupBy("component").agg(F.min("doc").alias("top"))
     linked = joined.join(tops, "component").select("node", "top")
     least = nodes.join(linked, "node", "left").select("node", F.coalesce("top", "doc").alias("doc"))
-    out = keyed.join(least, "node", "left")
+    out = keyed.drop("first").join(least, "node", "left")
     return out.select(F.col("id_").alias(id_col), "n_shingles", F.coalesce("doc", "id_").alias("component_id"))
 
 

@@ -43,7 +43,7 @@ def reference(vocabulary):
 def odd_texts(n=300, seed=1):
     r = random.Random(seed)
     parts = ["the", " cat", "'s", "\n", "\t ", " 12", "é", "中文", "😀", "!!", "  ", " ", "\x1c", "x" * 40, "<|endoftext|>", "\u0085"]
-    return ["".join(r.choice(parts) for _ in range(r.randint(0, 30))) for _ in range(n)] + ["", "ab" * 30_000, "é" * 5000]
+    return ["".join(r.choice(parts) for _ in range(r.randint(0, 30))) for _ in range(n)] + ["", "ab" * 1_500, "é" * 5000]
 
 
 def test_perfect_hash_has_a_slot_for_every_key():
@@ -197,7 +197,7 @@ def test_prefixes_of_similar_sets_share_a_key():
         a, b = (ngram_join.prefix_keys(s, frequent, 7, 75) for s in (x, y))
         singles = len(np.intersect1d(a[0], b[0]))
         assert singles or len(np.intersect1d(a[2], b[2]))
-        assert not (a[1] and b[1]) or singles >= ngram_join._least_shared(len(x), True, len(y), True, 75)
+        assert not (a[1] and b[1]) or singles >= ngram_join._least_shared(np.array([len(x)]), np.array([True]), np.array([len(y)]), np.array([True]), 75)[0]
         for s, keys in ((x, a), (y, b)):
             assert not keys[1] or singles >= ngram_join._longer(-(-75 * len(s) // 100))
 
