@@ -231,7 +231,7 @@ def merged_predictions(spark, sf):
     n = table(spark, sf, "events").agg(F.count(F.lit(1))).scalar()
     records = readers.read_rank_files(spark, path)
     known = jobs.merge_predictions(spark, path, world=world, dedup=False).filter(F.col("position") < n)
-    parts = {"total known": known, "first of key": subset.dedup_padded(records, world=world)}
+    parts = {"total known": known, "from the tail": subset.dedup_padded(records, world=world)}
     merged = subset.tagged_union(parts, name="how")
     sinks.write_merged(merged, f"{path}-merged")
     back = spark.read.schema(merged.schema).json(f"{path}-merged")
@@ -285,7 +285,7 @@ _YESNO = "case when contains(x, 'yes') then 'yes' when contains(x, 'no') then 'n
 _MERGED = f"""
 with a as ({ADAPTER_SQL}) select how, event_id as position, event_type as subtask, 'images/' || user_id || '.jpg' as image_path,
   'q' || event_id as question, gold_yn as answer, pred_yn as output
-from a, (values ('total known'), ('first of key')) h(how)"""
+from a, (values ('total known'), ('from the tail')) h(how)"""
 SQL = {
     "answer_judgements": f"with {_JUDGED} select event_id, answer, reason, "
     "coalesce(reason is null and contains(answer, gold), false) as \"right\" from q",

@@ -25,11 +25,12 @@ def _events(spark, sf):
 
 
 def streamed_avqa(spark, sf):
+    """Counts in update mode: each batch puts out the types it changed."""
     base = shared_dir(spark, "stream")
     sinks.write_jsonl(av_predictions(spark, sf).drop("event_id").repartition(4), f"{base}/in")
     counts = streams.running_avqa(streams.stream_predictions(spark, f"{base}/in", files_per_batch=2), EVENT_TYPES)
-    rows = scoring.avqa_report(streams.run_available(counts, f"{base}/out", mode="complete"))
-    return rows.withColumn("accuracy", F.round("accuracy", 6))
+    drained = streams.run_available(counts, f"{base}/out", mode="update", keys=("modality", "kind"))
+    return scoring.avqa_report(drained).withColumn("accuracy", F.round("accuracy", 6))
 
 
 def streamed_scores(spark, sf):
@@ -47,7 +48,7 @@ def streamed_scores(spark, sf):
 
 
 def streamed_merge(spark, sf):
-    """Padded shards as a stream, repeats removed with the total known and by remembered (rank, index)."""
+    """Padded shards as a stream: with the total known, and drained without it, every record delivered twice."""
     path, world = scores._rank_files(spark, sf)
     n = table(spark, sf, "events").count()
     preds = streams.stream_predictions(spark, f"{path}/result-0", schema=schemas.IMAGE_PREDICTION)
@@ -55,9 +56,8 @@ def streamed_merge(spark, sf):
     # Every record is written once more: it arrives again under its own (rank, index).
     sinks.write_jsonl(spark.read.schema(schemas.IMAGE_PREDICTION).json(f"{path}/result-0"), f"{path}/result-0")
     again = streams.stream_predictions(spark, f"{path}/result-0", schema=schemas.IMAGE_PREDICTION)
-    seen = streams.run_available(streams.stream_dedup(again, world=world), f"{path}-seen")
-    seen = seen.withColumn("position", subset.merged_position(world=world)).filter(F.col("position") < n)
-    rows = subset.tagged_union({"total known": known, "remembered": seen}, name="how")
+    once = streams.run_available(streams.drop_redelivered(again), f"{path}-once")
+    rows = subset.tagged_union({"total known": known, "drained": subset.dedup_padded(once, world=world)}, name="how")
     return rows.select("how", "position", "subtask", "image_path", "question", "answer", F.col("output")[0].alias("output"))
 
 
@@ -73,16 +73,17 @@ def streamed_codebook(spark, sf):
 
 
 def streamed_windows(spark, sf):
+    """Windows in append mode: those that the watermark, ten minutes behind the last event, has passed."""
     base = shared_dir(spark, "stream")
     events = _events(spark, sf)
-    rows = streams.run_available(streams.stream_segments(events, seconds=600), f"{base}/out", mode="complete")
+    rows = streams.run_available(streams.stream_segments(events, seconds=600), f"{base}/out")
     return rows.select("event_type", F.unix_seconds("window.start").alias("start"), "n")
 
 
 def streamed_hops(spark, sf):
     base = shared_dir(spark, "stream")
     events = _events(spark, sf)
-    rows = streams.run_available(streams.stream_hops(events, hop=300, before=30, after=60), f"{base}/out", mode="complete")
+    rows = streams.run_available(streams.stream_hops(events, hop=300, before=30, after=60), f"{base}/out")
     return rows.select(F.unix_seconds("mark_ts").alias("mark"), "n")
 
 
@@ -98,10 +99,13 @@ SQL = {
       c2 as (select lower(trim(pred_yn)) as x, lower(gold_yn) as g, {scores._YESNO} as p from a)
       {scores._share_sql("'choice' as task, ", "contains(p, g)").replace("from c ", "from c1 ")}
       union all {scores._share_sql("'yesno' as task, ", "contains(p, g)").replace("from c ", "from c2 ")}""",
-    "streamed_merge": scores.SQL["merged_predictions"].replace("'first of key'", "'remembered'"),
+    "streamed_merge": scores.SQL["merged_predictions"].replace("'from the tail'", "'drained'"),
     "streamed_codebook": "select code, size, vec from (" + VECTOR_SQL["moved_codebook"] + ")",
-    "streamed_windows": """select event_type, cast(epoch_us(ts) // 600000000 * 600 as bigint) as "start", count(*) as n from events group by all""",
+    "streamed_windows": """
+      with w as (select event_type, cast(epoch_us(ts) // 600000000 * 600 as bigint) as "start", count(*) as n from events group by all)
+      select * from w where "start" + 600 <= (select max(epoch_ms(ts)) from events) / 1000.0 - 600""",
     "streamed_hops": """
-      with s as (select epoch_us(ts) / 1000000.0::double as t from events), m as (select t, cast(floor((t + 30) / 300) as bigint) * 300 as mark from s)
-      select mark, count(*) as n from m where t >= mark - 30 and t < mark + 60 group by all""",
+      with s as (select epoch_us(ts) / 1000000.0::double as t from events), m as (select t, cast(floor((t + 30) / 300) as bigint) * 300 as mark from s),
+      h as (select mark, count(*) as n from m where t >= mark - 30 and t < mark + 60 group by all)
+      select * from h where mark <= (select max(mark) from h) - 600""",
 }

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from polysift.session import spread
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
@@ -54,7 +53,7 @@ ADAPTER_SQL = f"select {_ADAPTER.format(s='varchar')} from events"
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread(table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
     return spark.sql(f"select {_ADAPTER.format(s='string')} from {{events}}", events=events)
 
 

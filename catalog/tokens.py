@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from polysift.functions import frames, models, tokens
 from polysift.operators import batching, segments
 from polysift.operators.position import hash_bucket, seeded_hash, with_position
-from polysift.session import spread
 
 from .tables import table
 
@@ -25,12 +24,12 @@ def _digest(c):
 
 def _ids(spark, sf):
     """Word lengths of the whole text as token ids, by the native expression."""
-    docs = spread(table(spark, sf, "documents"))
+    docs = table(spark, sf, "documents")
     return docs.withColumn("ids", F.transform(F.split("text", " ", -1), lambda w: F.length(w)))
 
 
 def token_labels(spark, sf):
-    docs = spread(table(spark, sf, "documents")).withColumn("reply", F.concat_ws(" ", "source", "lang"))
+    docs = table(spark, sf, "documents").withColumn("reply", F.concat_ws(" ", "source", "lang"))
     rows = models.with_tokens(docs, {"p": "text", "a": "reply"}, _lengths_tokenizer)
     return rows.select(
         "doc_id", F.size("p").alias("n"),
@@ -64,10 +63,13 @@ def media_masks(spark, sf):
 
 
 def _batched(spark, sf):
-    rows = _ids(spark, sf).select("doc_id", F.col("ids").alias("input_ids"), F.transform("ids", lambda x: -x).alias("labels"))
-    rows = rows.withColumn("media", tokens.tag_mask("input_ids", TAG))
-    keyed = rows.withColumn("_hash", seeded_hash(3, "doc_id"))
-    return batching.batch_ids(with_position(keyed, ["_hash", "doc_id"], bucket=hash_bucket("_hash")), 8)
+    """Batches and their widths from keys and lengths; the arrays move once, to meet their batch."""
+    docs = _ids(spark, sf)
+    keys = docs.select("doc_id", F.size("ids").alias("_n"), seeded_hash(3, "doc_id").alias("_hash"))
+    placed = batching.batch_ids(with_position(keys, ["_hash", "doc_id"], bucket=hash_bucket("_hash")), 8)
+    batches = batching.batch_max(placed, F.col("_n")).select("doc_id", "batch_id", "width")
+    rows = docs.select("doc_id", F.col("ids").alias("input_ids"), F.transform("ids", lambda x: -x).alias("labels"))
+    return rows.withColumn("media", tokens.tag_mask("input_ids", TAG)).join(batches, "doc_id")
 
 
 def _padded(rows, media):
@@ -78,12 +80,12 @@ def _padded(rows, media):
 
 
 def padded_right(spark, sf):
-    return _padded(batching.pad_right(_batched(spark, sf), masks=("media",)), "media")
+    return _padded(batching.pad_right(_batched(spark, sf), masks=("media",), width="width"), "media")
 
 
 def padded_left(spark, sf):
     rows = _batched(spark, sf).withColumn("media", F.transform("media", lambda m: m.cast("int")))
-    return _padded(batching.pad_left(rows, masks=("media",)), "media")
+    return _padded(batching.pad_left(rows, masks=("media",), width="width"), "media")
 
 
 def _tagged(spark, sf):
@@ -137,7 +139,7 @@ def frame_indices(spark, sf):
 
 
 def frame_draws(spark, sf):
-    docs = spread(table(spark, sf, "documents").select("doc_id", "n_chars")).withColumn("frames", F.floor(F.col("n_chars") / 25))
+    docs = table(spark, sf, "documents").select("doc_id", "n_chars").withColumn("frames", F.floor(F.col("n_chars") / 25))
     return docs.select("doc_id", F.array_join(frames.frames_headtail("frames", 16, "doc_id", 11), " ").alias("picked"))
 
 

@@ -55,7 +55,7 @@ def similar_vectors(spark, sf):
 
 
 def label_logits(spark, sf):
-    """Every label's logit per vector: all codes of the codebook, ranked."""
+    """The three best labels per vector, by logit."""
     a = _emb(spark, sf).select(F.col("vec_id").alias("a_id"), F.col("embedding").alias("a_vec"))
     b = _codebook(spark, sf).select(F.col("code").alias("b_id"), F.col("vec").alias("b_vec"))
     rows = vectors.topk_similar(a, b, 3, scale=1.0)
@@ -197,6 +197,9 @@ SQL = {
       k as (select count(*) as k from u), p as (select policy, vec_id, n.code as seen, coalesce(u.idx, case policy when 'extra' then k else 1 end) as idx
         from n left join u on n.code = u.code, k, (values ('extra'), ('fixed')) t(policy))
       select policy, vec_id, seen, p.idx as "index", u.code as code from p, k, u where u.idx = case when p.idx >= k then 0 else p.idx end""",
+    "randomly_remapped_codes": f"""with {_E}, {_C}, {_N}, u as (select code, code // 2 as idx from c where code % 2 = 0), k as (select count(*) as k from u)
+      select n.vec_id, n.code, coalesce(u.idx, cast('0x' || substr(md5('{SEED}:' || n.vec_id || ':' || n.code), 1, 15) as bigint) % k) as "index"
+      from n left join u on n.code = u.code, k""",
     "kmeans_round": f"""with {_E}, {_C}, s as (select vec_id, v, code, list_inner_product(v, vec) as d from e, c),
       a as (select * from (select *, row_number() over (partition by vec_id order by d desc, code) as rn from s) where rn = 1),
       {_means('m', 'a', 'code')}

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, NumericType, StringType
+from pyspark.sql.types import BooleanType, IntegralType, NumericType, StringType
 
 BUCKET_ROWS = 65_536
 HASH_DIGITS = 4
@@ -34,6 +34,11 @@ def seeded_hash(seed: int, *keys: str | Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") if isinstance(k, str) else k for k in keys]))
 
 
+def hash_pick(seed: int, n: Column, *keys: str | Column) -> Column:
+    """Reproducible random index below ``n``: the first 15 digits of :func:`seeded_hash`, modulo ``n``."""
+    return F.conv(F.substring(seeded_hash(seed, *keys), 1, 15), 16, 10).cast("bigint") % n
+
+
 def with_position(
     df: DataFrame,
     order: str | Sequence[str],
@@ -42,15 +47,20 @@ def with_position(
     by: Sequence[str] = (),
     name: str = "position",
     following: dict[str, str] | None = None,
-    levels: int = 0,
+    total: str | None = None,
+    first: int | Column | None = None,
+    levels: int | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row by ``order`` inside its ``by`` group.
 
     ``bucket`` must not decrease along ``order``. ``following`` maps new columns to the columns of the
     next row they take their value from; it needs a single order key that is unique in the group.
 
+    ``total`` names a column for the rows of the group. ``first`` keeps that many rows of each group: the
+    bucket counts tell which buckets hold them, and only rows of these buckets are moved.
+
     The running sum over bucket counts runs in one task per group. Hash buckets keep that at 16**digits
-    rows; for integer buckets of arbitrary keys, each of ``levels`` cuts it by another factor of 65 536.
+    rows; for integer buckets, each of ``levels`` (1 unless given) cuts it by another factor of 65 536.
     ``following`` is meant for dense keys: it looks up successors per group and bucket.
     """
     order = [order] if isinstance(order, str) else list(order)
@@ -59,11 +69,21 @@ def with_position(
         raise ValueError("following needs a single order key")
     group, rows, restored = _null_free(df, by, bucket)
     keys = [*group, "_bucket"]
+    if levels is None:
+        levels = 1 if isinstance(rows.schema["_bucket"].dataType, IntegralType) else 0
 
     aggs = [F.count(F.lit(1)).alias("_n")]
     if following:
         aggs.append(F.min(order[0]).alias("_first"))
     spans = rows.groupBy(*keys).agg(*aggs)
+    offsets = _offsets(spans, group, levels)
+    if first is not None:
+        held = offsets.filter(F.col("_offset") < first)
+        if group:
+            cuts = held.groupBy(*group).agg(F.max("_bucket").alias("_cut"))
+            rows = rows.join(_renamed(cuts, group), _same(group)).filter("_bucket <= _cut").drop("_cut", *_others(group))
+        else:
+            rows = rows.filter(F.col("_bucket") <= held.agg(F.max("_bucket")).scalar())
 
     local = Window.partitionBy(*keys).orderBy(*order)
     out = rows.withColumn("_row", F.row_number().over(local))
@@ -74,9 +94,15 @@ def with_position(
 
     # Groups that fit one bucket need no offset, so this side stays small. The join keys are the window's
     # partitioning, so the rows are not shuffled again whichever join Spark picks.
-    starts = _renamed(_offsets(spans, group, levels).filter("_offset > 0"), keys)
-    out = out.join(starts, _same(keys), "left")
+    if total:
+        counts = _renamed(spans.groupBy(*group).agg(F.sum("_n").alias("_total")), group)
+        starts = offsets.join(counts, _same(group)).drop(*_others(group)) if group else offsets.withColumn("_total", counts.scalar())
+    else:
+        starts = offsets.filter("_offset > 0")
+    out = out.join(_renamed(starts, keys), _same(keys), "left")
     out = out.withColumn(name, (F.col("_row") - 1 + F.coalesce("_offset", F.lit(0))).cast("bigint")).drop(*_others(keys))
+    if total:
+        out = out.withColumn(total, F.col("_total"))
     if following:
         # The last row of a bucket finds its successor at the start of the group's next bucket.
         along = Window.partitionBy(*group).orderBy("_bucket")
@@ -89,7 +115,9 @@ def with_position(
         out = out.join(heads, _same(keys) & F.col("_last"), "left")
         for new in following:
             out = out.withColumn(new, F.when(F.col("_last"), F.col(f"_{new}")).otherwise(F.col(new)))
-    added = [*following, name]
+    if first is not None:
+        out = out.filter(F.col(name) < first)
+    added = [*following, name, *([total] if total else [])]
     return out.select(*[c for k, c in restored.items() if k not in added], *added)
 
 

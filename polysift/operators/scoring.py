@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parse
+from ..functions.bind import let
 from .lookup import flag_known
 from .position import BUCKET_ROWS, int_bucket, with_position
 
@@ -140,15 +141,24 @@ def slot_overlap(slot: Column, ranges: Column | str) -> Column:
 
 
 def ave_slots(judged: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """One row per accepted clip and second with the real and the predicted class."""
-    seconds = drop_unparsed(judged).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    slot = F.col("slot")
-    return seconds.withColumns(
-        {
-            "real": F.when(slot.between(F.col("gold_start"), F.col("gold_end")), F.col("gold_event")).otherwise(BACKGROUND),
-            "pred": F.when(slot_overlap(slot, "ranges"), F.col("event")).otherwise(BACKGROUND),
-        }
-    )
+    """One row per accepted clip and second with the real and the predicted class.
+
+    The clip's judgement is bound once and its seconds are made from the bound value, null for rejected clips; the filter
+    on the reason then has nothing of the parser to pull below the explode.
+    """
+    fields = ["reason", "gold_event", "gold_start", "gold_end", "event", "ranges"]
+
+    def seconds(c: Column) -> Column:
+        def one(slot: Column) -> Column:
+            real = F.when(slot.between(c["gold_start"], c["gold_end"]), c["gold_event"]).otherwise(BACKGROUND)
+            pred = F.when(slot_overlap(slot, c["ranges"]), c["event"]).otherwise(BACKGROUND)
+            return F.struct(slot.alias("slot"), real.alias("real"), pred.alias("pred"))
+
+        return F.when(c["reason"].isNull(), F.transform(F.sequence(F.lit(0), F.lit(slots - 1)), one))
+
+    bound = let(lambda c: seconds(c), c=F.struct(*fields))
+    rows = judged.select(*[c for c in judged.columns if c not in ("slot", "real", "pred")], F.explode(bound).alias("_second"))
+    return rows.select("*", "_second.slot", "_second.real", "_second.pred").drop("_second")
 
 
 def ave_totals(preds: DataFrame, vocab: DataFrame, *, slots: int = SLOTS) -> DataFrame:
@@ -261,12 +271,10 @@ def drop_odd_tail(
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Drop the last row of every image with an odd number of rows."""
-    following = {"_next": position}
-    placed = with_position(
-        rows, position, by=list(image), bucket=int_bucket(position, bucket_rows), name="_place", following=following
-    )
-    odd_tail = F.col("_next").isNull() & (F.col("_place") % 2 == 0)
-    return placed.filter(~odd_tail).drop("_place", "_next")
+    bucket = int_bucket(position, bucket_rows)
+    placed = with_position(rows, position, by=list(image), bucket=bucket, name="_place", total="_rows")
+    odd_tail = (F.col("_place") == F.col("_rows") - 1) & (F.col("_rows") % 2 == 1)
+    return placed.filter(~odd_tail).drop("_place", "_rows")
 
 
 def confusion_sums() -> list[Column]:

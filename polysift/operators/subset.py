@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .position import hash_bucket, int_bucket, seeded_hash, with_position
+from .position import HASH_DIGITS, hash_bucket, hash_pick, int_bucket, seeded_hash, with_position
 
 
 def head_n(df: DataFrame, n: int, *, position: str = "position") -> DataFrame:
@@ -13,6 +13,13 @@ def head_n(df: DataFrame, n: int, *, position: str = "position") -> DataFrame:
     return df.filter(F.col(position) < n)
 
 
+def first_read(df: DataFrame, n: int) -> DataFrame:
+    """First ``n`` rows of a scan by file name and place in the file; counted per file split, then cut."""
+    placed = df.withColumns({"_file": F.input_file_name(), "_block": F.input_file_block_start(), "_read": F.monotonically_increasing_id()})
+    order, bucket = ["_file", "_block", "_read"], F.struct("_file", "_block")
+    return with_position(placed, order, bucket=bucket, name="_place", first=n).drop(*order, "_place")
+
+
 def cap_per_task(
     df: DataFrame, n: int, *, position: str, bucket: Column, task: str = "task", carry_over: int = 0
 ) -> DataFrame:
@@ -20,24 +27,22 @@ def cap_per_task(
 
     ``carry_over=1`` also admits the one extra row that a counter checked after the append lets through.
     """
-    placed = with_position(df, position, by=[task], bucket=bucket, name="_place", levels=1)
-    return placed.filter(F.col("_place") < n + carry_over).drop("_place")
+    return with_position(df, position, by=[task], bucket=bucket, name="_place", first=n + carry_over).drop("_place")
 
 
-def sample_n(df: DataFrame, n: int, *, key: str, seed: int) -> DataFrame:
+def sample_n(df: DataFrame, n: int, *, key: str, seed: int, digits: int = HASH_DIGITS) -> DataFrame:
     """``n`` random rows without replacement, or with replacement when there are fewer than ``n`` rows.
 
-    Adds ``draw`` (0..n-1). Row ``key`` must be unique.
+    Adds ``draw`` (0..n-1). Row ``key`` must be unique. Rows are cut into 16**``digits`` hash buckets, and only those of the
+    buckets with the first ``n`` are moved.
     """
-    placed = with_position(
-        df.withColumn("_hash", seeded_hash(seed, key)), ["_hash", key], bucket=hash_bucket("_hash"), name="_place"
-    ).drop("_hash")
+    hashed = df.withColumn("_hash", seeded_hash(seed, key))
+    first = with_position(hashed, ["_hash", key], bucket=hash_bucket("_hash", digits), name="_place", first=n).drop("_hash")
     rows = df.agg(F.count(F.lit(1))).scalar()
-    first = placed.filter(F.col("_place") < n)
     # Slots beyond the rows draw a row by hash; when the table is large enough each slot is its own row.
     draws = df.sparkSession.range(n).select(
         F.col("id").alias("draw"),
-        F.when(rows >= n, F.col("id")).otherwise(F.pmod(F.xxhash64(F.lit(seed), "id"), rows)).alias("_pick"),
+        F.when(rows >= n, F.col("id")).otherwise(hash_pick(seed, rows, "id")).alias("_pick"),
     )
     return draws.join(first, F.col("_pick") == F.col("_place")).drop("_pick", "_place")
 
@@ -99,19 +104,36 @@ def merged_position(rank: str = "rank", index: str = "index", *, world: int) ->
     return (F.col(index).cast("bigint") * world + F.col(rank)).cast("bigint")
 
 
+def padded_rows(placed: DataFrame, *, world: int, key: tuple[str, ...] = ("image_path", "question", "answer")) -> Column:
+    """Number of rows that padding has put at the end of a run, as a value of one row.
+
+    Equal shards repeat fewer than ``world`` rows from the head at the tail, in order. The largest such number whose rows
+    all agree with the head is taken, nulls being equal; only the ends of the run are compared.
+    """
+    end = placed.agg(F.max("position") + 1).scalar()
+    head = placed.filter(F.col("position") < world - 1).select(F.col("position").alias("_i"), *[F.col(k).alias(f"_{k}") for k in key])
+    tail = placed.filter(F.col("position") > end - world).select(F.col("position").alias("_j"), *key)
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    pairs = tail.join(head, same).select((end - F.col("_j") + F.col("_i")).alias("n"), "_i")
+    whole = pairs.filter((F.col("n") < world) & (F.col("_i") < F.col("n"))).distinct().groupBy("n").count().filter(F.col("count") == F.col("n"))
+    return F.coalesce(whole.agg(F.max("n")).scalar(), F.lit(0))
+
+
 def dedup_padded(
     preds: DataFrame, *, world: int, n_total: int | None = None, key: tuple[str, ...] = ("image_path", "question", "answer")
 ) -> DataFrame:
     """Remove the rows that equal-sized shards repeat; adds ``position``.
 
-    With ``n_total`` the repeats are exactly the positions from ``n_total`` on, so this is a filter. Without
-    it the first position of each key is kept.
+    The repeats are the positions from the run's true length on. It is ``n_total``, or follows from the rows at the tail
+    that repeat the head (:func:`padded_rows`). Genuine rows with equal questions elsewhere always stay.
     """
     placed = preds.withColumn("position", merged_position(world=world))
     if n_total is not None:
         return placed.filter(F.col("position") < n_total)
-    firsts = placed.groupBy(*key).agg(F.min("position").alias("position")).select("position")
-    return placed.join(firsts, "position", "left_semi")
+    end = placed.agg(F.max("position") + 1).scalar()
+    return placed.filter(F.col("position") < end - padded_rows(placed, world=world, key=key))
 
 
 def normalize_row(df: DataFrame) -> DataFrame:

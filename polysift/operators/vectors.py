@@ -1,8 +1,9 @@
 """Vector operators on embedding tables: best matches, codebooks, k-means, alignment loss.
 
-Matching runs as matrix products on Arrow batches. A candidate side that is proven small (its rows are
-counted while they are fetched) travels with the tasks; a larger one is matched block against block with
-one cogroup per block pair, so no task ever holds more than one block of either side.
+Matching runs as matrix products on Arrow batches. The rows stay where they are and carry their best matches so far; the
+candidates, written once, pass by in blocks of at most ``BLOCK_VALUES`` numbers, ``BLOCKS_PER_PASS`` blocks with every pass over
+the rows. A small codebook is one block and one pass, a large one takes more, by the same code. Rows and candidates
+with a null key or vector take no part.
 """
 
 from __future__ import annotations
@@ -12,13 +13,16 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import l2_normalize
+from ..scratch import materialise
+from .position import hash_pick
 
-CARRIED_VALUES = 4_000_000
-BLOCK_ROWS = 4_096
+#: Numbers of a block of candidates, and blocks a task holds at a time; they size steps and change no result.
+BLOCK_VALUES = 4_000_000
+BLOCKS_PER_PASS = 2
 SCORE_VALUES = 2_000_000
 
 
@@ -28,16 +32,6 @@ def _row_steps(rows: int, candidates: int) -> Iterator[slice]:
     return (slice(begin, begin + step) for begin in range(0, rows, step))
 
 
-def _small_side(df: DataFrame, key: str, vec: str, max_values: int) -> pd.DataFrame | None:
-    """Rows of a side with at most ``max_values`` numbers, ordered by key; None when it is larger."""
-    head = df.select(F.size(vec).alias("d")).limit(1).toPandas()
-    if head.empty:
-        return pd.DataFrame({"key": [], "vec": []})
-    rows = max(max_values // max(int(head["d"][0]), 1), 1)
-    got = df.select(F.col(key).cast("bigint").alias("key"), F.col(vec).alias("vec")).limit(rows + 1).toPandas()
-    return None if len(got) > rows else got.sort_values("key", ignore_index=True)
-
-
 def _best(scores, keys, k: int):
     """Column positions of the k largest scores per row, ties to the smallest key; keys ascend."""
     import numpy as np
@@ -83,106 +77,112 @@ def best_matches(
     a_vec: str = "a_vec",
     b_key: str = "b_id",
     b_vec: str = "b_vec",
-    max_values: int = CARRIED_VALUES,
-    block_rows: int = BLOCK_ROWS,
+    block_values: int = BLOCK_VALUES,
 ) -> DataFrame:
     """Exact best ``k`` rows of ``b`` for each row of ``a``: a_key, rank (from 1), b_key, score.
 
-    Keys are integers and unique. Only the best of a block are ever emitted, never all pairs.
+    Keys are integers and those of ``b`` unique. Rows of ``a`` do not move; no pair beyond the best ``k`` is ever written.
     """
-    side = _small_side(b, b_key, b_vec, max_values)
-    if side is not None:
-        hits = _match_carried(a, side, k, metric, scale, a_key, a_vec)
+    rows = a.select(F.col(a_key).cast("bigint").alias("key"), F.col(a_vec).alias("vec")).filter("key is not null and vec is not null")
+    hits = _matched(rows, b.select(F.col(b_key).alias("key"), F.col(b_vec).alias("vec")), k, metric, scale, block_values)
+    if k == 1:
+        hits = hits.select("key", F.lit(1).alias("rank"), "hit.match", "hit.score")
     else:
-        hits = _match_blocks(a, b, k, metric, scale, a_key, a_vec, b_key, b_vec, block_rows)
-    return hits.select(
-        F.col("key").alias(a_key), "rank", F.col("match").alias(b_key), "score"
-    )
+        flat = hits.select("key", F.posexplode(F.arrays_zip("hit.match", "hit.score")).alias("place", "hit"))
+        hits = flat.select("key", (F.col("place") + 1).alias("rank"), F.col("hit")["match"].alias("match"), F.col("hit")["score"].alias("score"))
+    return hits.select(F.col("key").alias(a_key), "rank", F.col("match").alias(b_key), "score")
+
+
+def _matched(rows: DataFrame, candidates: DataFrame, k: int, metric: str, scale: float, block_values: int) -> DataFrame:
+    """``rows`` (with a ``vec`` that is never null) and ``hit``, their best candidates; rows without any are left out."""
+    side = candidates.select(F.col("key").cast("bigint").alias("key"), F.transform("vec", lambda x: x.cast("double")).alias("vec"))
+    side = materialise(side.filter("key is not null and vec is not null"), "candidates")
+    size = side.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("vec")).alias("width")).first()
+    n_blocks = max(1, -(-size["rows"] * (size["width"] or 1) // block_values))
+    out, single = rows, k == 1
+    kind = "match:bigint,score:double" if single else "match:array<bigint>,score:array<double>"
+    for first in range(0, n_blocks, BLOCKS_PER_PASS):
+        blocks = [_block(side, n_blocks, i) for i in range(first, min(first + BLOCKS_PER_PASS, n_blocks))]
+        carried = rows.sparkSession.sparkContext.broadcast([x for x in blocks if len(x[0])])
+        match = _match_udf(carried, k, metric, scale, kind, first > 0)
+        if first:
+            out = materialise(out, "matches")  # one pass is done
+            hit = match("vec", "hit.match", "hit.score")
+        else:
+            # Naming the vector twice keeps Spark from folding a long vector expression into the Python call.
+            hit = F.when(F.col("vec").isNotNull(), match("vec"))
+        out = out.withColumn("hit", hit)
+    found = F.col("hit.match").isNotNull() if single else F.size("hit.match") > 0
+    return out.filter(found) if size["rows"] else out.limit(0)
+
+
+def _block(side: DataFrame, n_blocks: int, i: int):
+    """Keys, ascending, and matrix of one block; its size is what the number of blocks was chosen for."""
+    import numpy as np
 
+    part = side if n_blocks == 1 else side.filter(F.pmod(F.xxhash64("key"), F.lit(n_blocks)) == i)
+    got = part.toPandas().sort_values("key", ignore_index=True)
+    vectors = np.stack(got["vec"].to_numpy()).astype("float64") if len(got) else np.zeros((0, 0))
+    return got["key"].to_numpy().astype("int64"), vectors
 
-def _match_carried(a: DataFrame, side: pd.DataFrame, k, metric, scale, a_key, a_vec) -> DataFrame:
-    import numpy as np
 
-    if side.empty:
-        return a.sparkSession.createDataFrame([], "key bigint, rank int, match bigint, score double")
-    keys = side["key"].to_numpy()
-    candidates = np.stack(side["vec"].to_numpy()).astype("float64")
-    scores_of, best_of, steps_of = _scores, _best, _row_steps
-    single = k == 1
-    kind = "match:bigint,score:double" if single else "match:array<bigint>,score:array<double>"
+def _match_udf(carried, k: int, metric: str, scale: float, kind: str, again: bool):
+    """Best matches among the carried blocks, and among earlier ones when ``again``."""
+    scores_of, best_of, steps_of, single = _scores, _best, _row_steps, k == 1
+
+    def among(rows, keys, candidates):
+        import numpy as np
 
-    @F.pandas_udf(f"struct<{kind}>")
-    def match(vectors: pd.Series) -> pd.DataFrame:
         found, values = [], []
-        for step in steps_of(len(vectors), len(keys)):
-            rows = np.stack(vectors.iloc[step].to_numpy()).astype("float64")
-            scores = scores_of(rows, candidates, metric, scale)
+        for step in steps_of(len(rows), len(keys)):
+            scores = scores_of(rows[step], candidates, metric, scale)
             best = best_of(scores, keys, k)
             found.append(keys[best])
             values.append(np.take_along_axis(scores, best, axis=1))
-        if not found:
-            return pd.DataFrame({"match": [], "score": []})
-        matches, best_scores = np.concatenate(found), np.concatenate(values)
+        return np.concatenate(found), np.concatenate(values)
+
+    def merged(parts):
+        import numpy as np
+
+        keys, values = (np.concatenate([p[i] for p in parts], axis=1) for i in (0, 1))
+        order = np.lexsort((keys, -values), axis=1)[:, :k]
+        return np.take_along_axis(keys, order, axis=1), np.take_along_axis(values, order, axis=1)
+
+    def shaped(rows, parts) -> pd.DataFrame:
+        parts = parts + [among(rows, keys, candidates) for keys, candidates in carried.value]
+        if not parts or not len(rows):
+            return pd.DataFrame({"match": [None] * len(rows), "score": [None] * len(rows)})
+        keys, values = merged(parts) if len(parts) > 1 else parts[0]
         if single:
-            return pd.DataFrame({"match": matches[:, 0], "score": best_scores[:, 0]})
-        return pd.DataFrame({"match": list(matches), "score": list(best_scores)})
-
-    # Naming the vector twice keeps Spark from folding a long vector expression into the Python call.
-    rows = a.filter(F.col(a_vec).isNotNull()).select(F.col(a_key).alias("key"), F.col(a_vec).alias("vec"))
-    hits = rows.select("key", F.when(F.col("vec").isNotNull(), match("vec")).alias("hit"))
-    if single:
-        return hits.select("key", F.lit(1).alias("rank"), "hit.match", "hit.score")
-    flat = hits.select("key", F.posexplode(F.arrays_zip("hit.match", "hit.score")).alias("place", "hit"))
-    return flat.select("key", (F.col("place") + 1).alias("rank"), F.col("hit")["match"].alias("match"), F.col("hit")["score"].alias("score"))
-
-
-def _match_blocks(a, b, k, metric, scale, a_key, a_vec, b_key, b_vec, block_rows) -> DataFrame:
-    a_blocks = max(-(-a.count() // block_rows), 1)
-    b_blocks = max(-(-b.count() // block_rows), 1)
-    scores_of, best_of, steps_of = _scores, _best, _row_steps
-
-    def spread(df: DataFrame, key: str, vec: str, own: int, other: int, flip: bool) -> DataFrame:
-        mine = F.pmod(F.xxhash64(key), F.lit(own))
-        rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(vec).alias("vec"), mine.alias("m"))
-        rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(other - 1)).cast("array<bigint>")))
-        names = ("o", "m") if flip else ("m", "o")
-        return rows.select(F.col(names[0]).alias("ab"), F.col(names[1]).alias("bb"), "key", "vec")
-
-    left = spread(a, a_key, a_vec, a_blocks, b_blocks, False)
-    right = spread(b, b_key, b_vec, b_blocks, a_blocks, True)
-
-    def match(rows: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"match": keys[:, 0], "score": values[:, 0]})
+        return pd.DataFrame({"match": list(keys), "score": list(values)})
+
+    def stacked(vectors: pd.Series):
         import numpy as np
 
-        if rows.empty or others.empty:
-            return pd.DataFrame({"key": [], "match": [], "score": []})
-        others = others.sort_values("key", ignore_index=True)
-        keys = others["key"].to_numpy()
-        candidates = np.stack(others["vec"].to_numpy()).astype("float64")
-        out = []
-        for step in steps_of(len(rows), len(keys)):
-            part = rows.iloc[step]
-            scores = scores_of(np.stack(part["vec"].to_numpy()).astype("float64"), candidates, metric, scale)
-            best = best_of(scores, keys, k)
-            out.append(
-                pd.DataFrame(
-                    {
-                        "key": np.repeat(part["key"].to_numpy(), best.shape[1]),
-                        "match": keys[best].ravel(),
-                        "score": np.take_along_axis(scores, best, axis=1).ravel(),
-                    }
-                )
-            )
-        return pd.concat(out)
-
-    partial = (
-        left.groupBy("ab", "bb")
-        .cogroup(right.groupBy("ab", "bb"))
-        .applyInPandas(match, "key bigint, match bigint, score double")
-    )
-    # Each key now has k candidates per block of b.
-    order = Window.partitionBy("key").orderBy(F.col("score").desc(), "match")
-    return partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        return np.stack(vectors.to_numpy()).astype("float64") if len(vectors) else np.zeros((0, 0))
+
+    if not again:
+
+        @F.pandas_udf(f"struct<{kind}>")
+        def match(vectors: pd.Series) -> pd.DataFrame:
+            return shaped(stacked(vectors), [])
+
+        return match
+
+    @F.pandas_udf(f"struct<{kind}>")
+    def match_again(vectors: pd.Series, found: pd.Series, scores: pd.Series) -> pd.DataFrame:
+        import numpy as np
+
+        if not len(vectors):
+            return shaped(stacked(vectors), [])
+        if single:
+            before = found.to_numpy()[:, None].astype("int64"), scores.to_numpy()[:, None].astype("float64")
+        else:
+            before = np.stack(found.to_numpy()).astype("int64"), np.stack(scores.to_numpy()).astype("float64")
+        return shaped(stacked(vectors), [before])
+
+    return match_again
 
 
 def topk_similar(a: DataFrame, b: DataFrame, k: int, *, scale: float = 1.0, **names) -> DataFrame:
@@ -194,12 +194,12 @@ def topk_similar(a: DataFrame, b: DataFrame, k: int, *, scale: float = 1.0, **na
 
 def nearest_code(
     df: DataFrame, codebook: DataFrame, *, key: str, vec: str, code: str = "code", code_vec: str = "vec",
-    cosine: bool = False, max_values: int = CARRIED_VALUES, block_rows: int = BLOCK_ROWS,
+    cosine: bool = False, block_values: int = BLOCK_VALUES,
 ) -> DataFrame:
     """Key, closest code (ties to the lowest) and squared distance; with ``cosine`` the largest dot product."""
     hits = best_matches(
         df, codebook, 1, metric="dot" if cosine else "distance", a_key=key, a_vec=vec, b_key=code, b_vec=code_vec,
-        max_values=max_values, block_rows=block_rows,
+        block_values=block_values,
     )
     value = F.col("score") if cosine else -F.col("score")
     return hits.select(key, code, value.alias("similarity" if cosine else "distance"))
@@ -215,52 +215,21 @@ def group_vector_sum(df: DataFrame, key: str, vec: str) -> DataFrame:
     )
 
 
-def _centres(codebook: DataFrame, max_values: int):
-    """Codes and centre matrix of a codebook whose size is checked."""
-    import numpy as np
-
-    side = _small_side(codebook, "code", "vec", max_values)
-    if side is None:
-        raise ValueError("codebook has more numbers than max_values; raise max_values or assign with nearest_code")
-    return side["key"].to_numpy().astype("int64"), np.stack(side["vec"].to_numpy()).astype("float64")
-
-
-def cluster_sums(df: DataFrame, codebook: DataFrame, *, vec: str, cosine: bool, max_values: int = CARRIED_VALUES) -> DataFrame:
+def cluster_sums(df: DataFrame, codebook: DataFrame, *, vec: str, cosine: bool, block_values: int = BLOCK_VALUES) -> DataFrame:
     """Code, rows and vector sum of the rows assigned to it; codes without rows are absent.
 
     Each task sums its own rows per code, so the shuffle carries at most one row per code and task.
     """
-    codes, centres = _centres(codebook, max_values)
-    return _sums_around(df, codes, centres, vec, cosine)
-
-
-def _sums_around(df: DataFrame, codes, centres, vec: str, cosine: bool) -> DataFrame:
-    import numpy as np
-
-    metric, scores_of, steps_of = ("dot" if cosine else "distance"), _scores, _row_steps
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums, counts = np.zeros_like(centres), np.zeros(len(codes), dtype="int64")
-        for batch in batches:
-            for step in steps_of(len(batch), len(codes)):
-                rows = np.stack(batch["vec"].iloc[step].to_numpy()).astype("float64")
-                at = np.argmax(scores_of(rows, centres, metric, 1.0), axis=1)
-                order = np.argsort(at, kind="stable")
-                seen, starts = np.unique(at[order], return_index=True)
-                sums[seen] += np.add.reduceat(rows[order], starts, axis=0)
-                counts += np.bincount(at, minlength=len(codes))
-        used = np.flatnonzero(counts)
-        yield pd.DataFrame({"code": codes[used], "n": counts[used], "vec": list(sums[used])})
-
-    parts = df.select(F.col(vec).alias("vec")).filter("vec is not null").mapInPandas(partial, "code bigint, n bigint, vec array<double>")
-    return parts.groupBy("code").agg(
-        F.sum("n").alias("n"), vector_to_array(Summarizer.sum(array_to_vector("vec"))).alias("vec_sum")
-    )
+    rows = df.select(F.col(vec).alias("vec")).filter("vec is not null")
+    codes = codebook.select(F.col("code").alias("key"), "vec")
+    assigned = _matched(rows, codes, 1, "dot" if cosine else "distance", 1.0, block_values)
+    sums = group_vector_sum(assigned.select(F.col("hit.match").alias("code"), "vec"), "code", "vec")
+    return sums.select("code", "n", "vec_sum")
 
 
-def kmeans_step(df: DataFrame, codebook: DataFrame, *, vec: str, cosine: bool = False, max_values: int = CARRIED_VALUES) -> DataFrame:
+def kmeans_step(df: DataFrame, codebook: DataFrame, *, vec: str, cosine: bool = False, block_values: int = BLOCK_VALUES) -> DataFrame:
     """One round: code, vec, size. An empty cluster keeps its centre; cosine centres are normalised."""
-    sums = cluster_sums(df, codebook, vec=vec, cosine=cosine, max_values=max_values)
+    sums = cluster_sums(df, codebook, vec=vec, cosine=cosine, block_values=block_values)
     mean = F.transform("vec_sum", lambda x: x / F.col("n"))
     moved = l2_normalize(mean) if cosine else mean
     fresh = sums.select(F.col("code").alias("_code"), moved.alias("_vec"), "n")
@@ -271,28 +240,19 @@ def kmeans_step(df: DataFrame, codebook: DataFrame, *, vec: str, cosine: bool =
 
 
 def kmeans(
-    df: DataFrame, start: DataFrame, *, vec: str, iters: int = 10, cosine: bool = False, max_values: int = CARRIED_VALUES
+    df: DataFrame, start: DataFrame, *, vec: str, iters: int = 10, cosine: bool = False, block_values: int = BLOCK_VALUES
 ) -> DataFrame:
     """``iters`` rounds from the ``start`` centres (code, vec).
 
-    Only the centres pass through the driver; their number is checked, and each round starts from plain
-    values, so the plan does not grow with the rounds. Every round reads ``df`` again: when it is costly
-    to compute, write it out first (``scratch.materialise``).
+    The vectors are written once and read by every round; so is each round's codebook, and the plan does not grow.
     """
-    import numpy as np
-
-    codes, centres = _centres(start, max_values)
-    sizes = np.zeros(len(codes), dtype="int64")
+    rows = materialise(df.select(F.transform(vec, lambda x: x.cast("double")).alias("vec")).filter("vec is not null"), "vectors")
+    codebook = start.select("code", "vec")
+    out = start.select(F.col("code").cast("bigint").alias("code"), F.transform("vec", lambda x: x.cast("double")).alias("vec"), F.lit(0).cast("bigint").alias("size"))
     for _ in range(iters):
-        found = {r["code"]: r for r in _sums_around(df, codes, centres, vec, cosine).collect()}
-        centres = centres.copy()
-        for i, code in enumerate(codes.tolist()):
-            sizes[i] = found[code]["n"] if code in found else 0
-            if sizes[i]:
-                mean = np.asarray(found[code]["vec_sum"]) / sizes[i]
-                centres[i] = mean / max(np.linalg.norm(mean), 1e-12) if cosine else mean
-    rows = [(int(c), [float(x) for x in v], int(n)) for c, v, n in zip(codes, centres, sizes)]
-    return df.sparkSession.createDataFrame(rows, "code bigint, vec array<double>, size bigint")
+        out = materialise(kmeans_step(rows, codebook, vec="vec", cosine=cosine, block_values=block_values), "codebook")
+        codebook = out.select("code", "vec")
+    return out
 
 
 def quantization_error(nearest: DataFrame, dim: int, *, beta: float = 1.0) -> DataFrame:
@@ -314,12 +274,12 @@ def code_usage(codes: DataFrame, k: int, *, column: str = "code") -> DataFrame:
     )
 
 
-def ema_codebook(prev: DataFrame, batch: DataFrame, *, vec: str, decay: float = 0.99, max_values: int = CARRIED_VALUES) -> DataFrame:
+def ema_codebook(prev: DataFrame, batch: DataFrame, *, vec: str, decay: float = 0.99, block_values: int = BLOCK_VALUES) -> DataFrame:
     """Move sizes and codes (code, vec, size) toward a batch; codes without rows move toward themselves.
 
     Vectors of the batch are expected normalised; the result is normalised again.
     """
-    sums = cluster_sums(batch, prev, vec=vec, cosine=False, max_values=max_values).select(
+    sums = cluster_sums(batch, prev, vec=vec, cosine=False, block_values=block_values).select(
         F.col("code").alias("_code"), "n", "vec_sum"
     )
     joined = prev.join(sums, F.col("code") == F.col("_code"), "left")
@@ -333,7 +293,8 @@ def ema_codebook(prev: DataFrame, batch: DataFrame, *, vec: str, decay: float =
 
 
 def smoothed_sizes(codebook: DataFrame, *, eps: float = 1e-5) -> DataFrame:
-    """Laplace-smoothed cluster sizes that keep their total."""
+    """Laplace-smoothed cluster sizes that keep their total. The codebook is written once, as its totals read it again."""
+    codebook = materialise(codebook, "sizes")
     totals = codebook.agg(F.sum("size").cast("double").alias("t"), F.count(F.lit(1)).cast("double").alias("k"))
     total, count = totals.select("t").scalar(), totals.select("k").scalar()
     return codebook.withColumn("smoothed", (F.col("size") + F.lit(eps)) / (total + count * F.lit(eps)) * total)
@@ -342,13 +303,13 @@ def smoothed_sizes(codebook: DataFrame, *, eps: float = 1e-5) -> DataFrame:
 def remap_codes(codes: DataFrame, used: DataFrame, *, column: str = "code", policy: str | int = "random", seed: int = 0) -> DataFrame:
     """Add ``index``: place of the code in ``used`` (code, index). Unknown codes follow ``policy``.
 
-    ``random`` picks an index by hash of the row's key columns, ``extra`` uses one index behind the last, and
+    ``random`` picks an index by md5 of the seed and the row's columns, ``extra`` uses one index behind the last, and
     an integer is used as it is.
     """
     side = used.select(F.col("code").alias("_code"), F.col("index").cast("bigint").alias("_index"))
     size = used.agg(F.count(F.lit(1))).scalar()
     if policy == "random":
-        unknown: Column = F.pmod(F.xxhash64(F.lit(seed), *codes.columns), size)
+        unknown: Column = hash_pick(seed, size, *codes.columns)
     elif policy == "extra":
         unknown = size
     else:

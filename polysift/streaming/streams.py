@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import scratch
 from ..operators import scoring, segments, subset, vectors
 from ..sources import schemas
 
@@ -24,7 +26,7 @@ def stream_predictions(
 
 
 def running_avqa(preds: DataFrame, answers: list[str] | None = None) -> DataFrame:
-    """Counts per question type so far (complete mode); its state is one row per type."""
+    """Counts per question type so far (update or complete mode); its state is one row per type."""
     judged = scoring.drop_unparsed(scoring.judge_avqa(preds, answers))
     return judged.groupBy(F.get("question_type", F.lit(0)).alias("modality"), F.get("question_type", F.lit(1)).alias("kind")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if("right").alias("correct")
@@ -39,14 +41,18 @@ def running_yesno(preds: DataFrame) -> DataFrame:
     return scoring.yesno_score(preds)
 
 
-def stream_dedup(preds: DataFrame, *, world: int, n_total: int | None = None, delay: str = "1 day") -> DataFrame:
-    """Rows of padded shards once.
+def stream_dedup(preds: DataFrame, *, world: int, n_total: int) -> DataFrame:
+    """Rows of padded shards once; adds ``position``. A filter without state.
 
-    With the total known this is a filter without state. Otherwise (rank, index) is remembered for
-    ``delay`` after arrival; ``arrived`` comes from :func:`stream_predictions`.
+    Which rows are padding shows only at the end of a run, so a stream needs the total. Without it, drain the stream and use
+    ``subset.dedup_padded``.
     """
-    if n_total is not None:
-        return subset.dedup_padded(preds, world=world, n_total=n_total)
+    return subset.dedup_padded(preds, world=world, n_total=n_total)
+
+
+def drop_redelivered(preds: DataFrame, *, delay: str = "1 day") -> DataFrame:
+    """Records that arrive again under their own (rank, index) once, as long as ``delay`` after they came; ``arrived`` comes
+    from :func:`stream_predictions`. Padding repeats rows under a (rank, index) of its own and stays."""
     return preds.withWatermark("arrived", delay).dropDuplicatesWithinWatermark(["rank", "index"])
 
 
@@ -56,22 +62,35 @@ def stream_events(spark: SparkSession, path: str, schema: str, *, pattern: str,
 
 
 def stream_segments(events: DataFrame, *, ts: str = "ts", seconds: int = 1, delay: str = "10 minutes") -> DataFrame:
-    """Tumbling windows: events per window and type."""
+    """Tumbling windows: events per window and type.
+
+    In append mode a window is put out once the watermark has passed it, and its state goes.
+    """
     slots = segments.event_slots(events.withWatermark(ts, delay), ts=ts, seconds=seconds)
     return slots.groupBy("window", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def stream_hops(events: DataFrame, *, ts: str = "ts", delay: str = "10 minutes", **hops) -> DataFrame:
-    """Counts per hop mark; marks are event time too, so late marks are dropped by the watermark."""
+    """Counts per hop mark; marks are event time too, so late marks are dropped by the watermark.
+
+    In append mode a mark is put out, and forgotten, once the watermark has passed it.
+    """
     marked = segments.event_windows(events, ts=ts, **hops).withColumn("mark_ts", F.timestamp_seconds("mark"))
     return marked.withWatermark("mark_ts", delay).groupBy("mark_ts").agg(F.count(F.lit(1)).alias("n"))
 
 
-def run_available(stream: DataFrame, out: str, *, mode: str = "append") -> DataFrame:
-    """Drain the stream into ``out`` and return its result: all batches, or the last one in complete mode."""
+def run_available(stream: DataFrame, out: str, *, mode: str = "append", keys: tuple[str, ...] = ()) -> DataFrame:
+    """Drain the stream into ``out`` and return its result.
+
+    ``append``: the rows of all batches. ``complete``: those of the last batch; older ones are deleted as it replaces them.
+    ``update``: of rows with equal ``keys`` the one of the last batch. A stream without a batch gives no rows.
+    """
+    spark, data = stream.sparkSession, f"{out}/data"
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/data/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{data}/batch_id={batch_id}")
+        if mode == "complete" and batch_id:
+            scratch.delete(spark, f"{data}/batch_id={batch_id - 1}")
 
     query = (
         stream.writeStream.outputMode(mode)
@@ -81,9 +100,18 @@ def run_available(stream: DataFrame, out: str, *, mode: str = "append") -> DataF
         .start()
     )
     query.awaitTermination()
-    rows = stream.sparkSession.read.parquet(f"{out}/data")
+    try:
+        rows = spark.read.parquet(data)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], stream.schema)
     if mode == "complete":
         rows = rows.filter(F.col("batch_id") == rows.select(F.max("batch_id")).scalar())
+    if mode == "update":
+        rest = [c for c in stream.columns if c not in keys]
+        newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_row"))
+        return newest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in stream.columns])
     return rows.drop("batch_id")
 
 
@@ -98,7 +126,7 @@ def stream_codebook(stream: DataFrame, start: DataFrame, out: str, *, vec: str,
     def update(batch: DataFrame, batch_id: int) -> None:
         prev = batch.sparkSession.read.parquet(f"{out}/state/v={batch_id}")
         moved = vectors.ema_codebook(prev, batch, vec=vec, decay=decay)
-        moved.coalesce(1).write.mode("overwrite").parquet(f"{out}/state/v={batch_id + 1}")
+        moved.write.mode("overwrite").parquet(f"{out}/state/v={batch_id + 1}")
 
     query = (
         stream.writeStream.option("checkpointLocation", f"{out}/checkpoint")
