@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from polysift import sinks
-from polysift.functions import models, text
+from polysift.functions import models
 from polysift.operators import batching, lookup, scoring, subset
 from polysift.operators.position import hash_bucket, int_bucket, seeded_hash, with_position
 from polysift.plans import jobs
@@ -53,8 +53,9 @@ def modality_batches(spark, sf):
 def first_rows(spark, sf):
     """A fifth of the rows, by position; the row count comes from the table."""
     docs = table(spark, sf, "documents").select("doc_id", "source")
-    placed = with_position(docs, "doc_id", bucket=int_bucket("doc_id"))
-    return subset.head_n(placed, F.floor(docs.agg(F.count(F.lit(1))).scalar() / 5)).select("doc_id", "source", "position")
+    fifth = F.floor(docs.agg(F.count(F.lit(1))).scalar() / 5)
+    placed = with_position(docs, "doc_id", bucket=int_bucket("doc_id", 1_000), first=fifth)
+    return subset.head_n(placed, fifth).select("doc_id", "source", "position")
 
 
 def capped_sources(spark, sf):
@@ -141,12 +142,6 @@ def fetch_totals(spark, sf):
     )
 
 
-def table_files(spark, sf):
-    """Files of the given tables as a media listing; contents are not read."""
-    listing = annotations.list_media(spark, sf, pattern="*.parquet")
-    return listing.select(text.basename("path").alias("name"), (F.col("length") > 0).alias("filled"))
-
-
 def missing_ids(spark, sf):
     return subset.missing(table(spark, sf, "documents"), table(spark, sf, "labels"), key="doc_id")
 
@@ -180,7 +175,7 @@ def written_pairs(spark, sf):
     path = shared_dir(spark, "pairs")
     rows = scoring.drop_odd_tail(_pair_rows(spark, sf).withColumn("question", F.concat(F.lit("q"), F.col("position").cast("string"))))
     sinks.write_by_subtask(rows, path)
-    back = predictions.read_qa_tsv(spark, path)
+    back = predictions.read_qa_tsv(spark, path, escaped=True)
     table_ = scoring.paired_score(back, groups=None)
     return table_.select("subtask", "images", "images_right", "n", "correct", F.round("score", 6).alias("score"))
 
@@ -293,7 +288,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         strided_shards, fixed_batches, length_batches, modality_batches, first_rows, capped_sources, random_rows, oversampled_rows,
-        first_of_each, both_splits, media_union, remapped_paths, fallback_paths, table_files, fetch_status, fetch_totals, missing_ids,
+        first_of_each, both_splits, media_union, remapped_paths, fallback_paths, fetch_status, fetch_totals, missing_ids,
         written_subset, written_pairs, built_samples, choice_files, split_files, decoded_contents, predicted_texts, packed_batches,
     )
 }
@@ -357,6 +352,10 @@ SQL = {
       select * from p where position < (select count(*) // 5 from documents)""",
     "capped_sources": """select doc_id, task from (select doc_id, source as task, row_number() over (partition by source order by doc_id) as rn
       from documents) where rn <= 21""",
+    "oversampled_rows": f"""
+      with p as (select item_id, row_number() over (order by md5('{SEED}:' || item_id), item_id) - 1 as place, count(*) over () as n from benchmark),
+      d as (select i as draw, cast('0x' || substr(md5('{SEED}:' || i), 1, 15) as bigint) % (select count(*) from benchmark) as pick from range(0, 1000) r(i))
+      select p.item_id, d.draw from d join p on p.place = case when p.n >= 1000 then d.draw else d.pick end""",
     "random_rows": f"""select doc_id, source, draw from (select doc_id, source,
       row_number() over (order by md5('{SEED}:' || doc_id), doc_id) - 1 as draw from documents) where draw < 100""",
     "first_of_each": """
@@ -379,8 +378,6 @@ SQL = {
         case when l.quality = 1 then 'image' when l.doc_id is not null then 'video' else 'blank' end as media_kind,
         case when l.quality = 1 then 'SEED-Bench-image/' || d.doc_id || '.jpg' when l.doc_id is not null then 'videos/' || d.doc_id || '.jpg' end as media_path
       from documents d left join labels l using (doc_id)""",
-    "table_files": """select unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events', 'documents',
-      'embeddings', 'pages', 'benchmark', 'labels', 'conversations']) || '.parquet' as name, true as filled""",
     "fetch_status": """select 'd/' || d.doc_id || '.wav' as path, d.doc_id, case when l.doc_id is null then 'todo' else 'have' end as status
       from documents d left join labels l using (doc_id)""",
     "fetch_totals": """

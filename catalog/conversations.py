@@ -36,7 +36,8 @@ def turn_pairs(spark, sf):
 
 def instruction_records(spark, sf):
     rows = conversations.instruction_pairs(_pairs(spark, sf)).withColumn("task", F.lit("instruct"))
-    return conversations.sft_records(rows, template="none", style="seq2")
+    rows = rows.withColumn("sample_id", F.concat_ws("#", "conv_id", "pair"))
+    return conversations.sft_records(rows, template="none", style="seq2").select("instruction", "output", "task_name")
 
 
 def task_totals(spark, sf):
@@ -102,7 +103,7 @@ def _clip_labels(spark, sf):
 def event_samples(spark, sf):
     clips = _clips(spark, sf)
     parts = {
-        "train": samples.ave_samples(clips, "train", root="AVE_data", labels=_clip_labels(spark, sf)),
+        "train": samples.ave_samples(clips, "train", root="AVE_data", labels=_clip_labels(spark, sf), missing=""),
         "test": samples.ave_samples(clips, "test", root="AVE_data"),
     }
     rows = subset.tagged_union(parts, name="split")

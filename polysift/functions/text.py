@@ -79,7 +79,3 @@ def expand_placeholder(c: Column | str, tag: str = "<image>", n: int = 32) -> Co
 
 def normalise_slashes(c: Column | str) -> Column:
     return F.replace(col(c), F.lit("\\"), F.lit("/"))
-
-
-def with_suffix(c: Column | str, suffix: str) -> Column:
-    return F.concat(col(c), F.lit(suffix))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import models, prompts, tokens
 from ..operators import batching, conversations, lookup, scoring, segments, subset, vectors
 from ..operators.position import BUCKET_ROWS, hash_bucket, int_bucket, seeded_hash, with_position
+from ..scratch import materialise
 from ..sources import annotations, predictions, samples
 
 # Folder prefixes of paths that may live under the prepared root.
@@ -19,13 +20,17 @@ KNOWN_PREFIXES = ("MUSIC_AVQA_data/", "AVE_data/")
 
 @dataclass
 class BuildConfig:
-    """Which annotation sets to read and where; a task without a path is switched off."""
+    """Which annotation sets to read and where; a task without a path is switched off.
+
+    ``caps`` limits sources by task name to their first rows in reading order, before they become samples.
+    """
 
     split: str = "train"
     root: str = "prepared_datasets"
     avqa: str | None = None
     ave: str | None = None
     ave_labels: str | None = None
+    label_listing: DataFrame | None = None
     image_caption: str | None = None
     video_caption: str | None = None
     audio_caption: str | None = None
@@ -33,6 +38,9 @@ class BuildConfig:
     choice_tsv: str | None = None
     choice_json: str | None = None
     qa_dir: str | None = None
+    pope: str | None = None
+    pope_splits: tuple[str, ...] = ("test",)
+    caps: dict[str, int] = field(default_factory=dict)
     image_root: str = ""
     listing: DataFrame | None = None
     layout: str = "array"
@@ -43,8 +51,11 @@ def build_samples(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
     lay = {"layout": cfg.layout}
     ann, smp = annotations, samples
 
+    def capped(task: str, rows: DataFrame) -> DataFrame:
+        return subset.first_read(rows, cfg.caps[task]) if task in cfg.caps else rows
+
     def avqa() -> DataFrame:
-        rows = smp.avqa_samples(ann.read_avqa(spark, cfg.avqa, cfg.split, **lay), cfg.split)
+        rows = smp.avqa_samples(capped("avqa", ann.read_avqa(spark, cfg.avqa, cfg.split, **lay)), cfg.split)
         if cfg.listing is None:
             return rows
         for column in ("video_path", "audio_path"):
@@ -52,34 +63,35 @@ def build_samples(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
         return rows
 
     def ave() -> DataFrame:
-        labels = ann.read_labels(spark, cfg.ave_labels) if cfg.split == "train" else None
-        return smp.ave_samples(ann.read_ave(spark, cfg.ave, cfg.split, **lay), cfg.split, root=f"{cfg.root}/AVE_data", labels=labels)
+        labels = ann.read_labels(spark, cfg.ave_labels, listing=cfg.label_listing) if cfg.split == "train" else None
+        return smp.ave_samples(capped("ave", ann.read_ave(spark, cfg.ave, cfg.split, **lay)), cfg.split, root=f"{cfg.root}/AVE_data", labels=labels)
 
     readers: dict[str, tuple[str | None, Callable[[], DataFrame]]] = {
         "avqa": (cfg.avqa, avqa),
         "ave": (cfg.ave, ave),
         "image_caption": (
             cfg.image_caption,
-            lambda: smp.caption_samples(ann.read_image_caption(spark, cfg.image_caption, **lay), "image", root=cfg.image_root),
+            lambda: smp.caption_samples(capped("image_caption", ann.read_image_caption(spark, cfg.image_caption, **lay)), "image", root=cfg.image_root),
         ),
         "video_caption": (
             cfg.video_caption,
-            lambda: smp.caption_samples(ann.read_video_caption(spark, cfg.video_caption, **lay), "video", root=cfg.image_root),
+            lambda: smp.caption_samples(capped("video_caption", ann.read_video_caption(spark, cfg.video_caption, **lay)), "video", root=cfg.image_root),
         ),
         "audio_caption": (
             cfg.audio_caption,
-            lambda: smp.audio_caption_samples(ann.read_audio_caption(spark, cfg.audio_caption, **lay), root=cfg.audio_caption),
+            lambda: smp.audio_caption_samples(capped("audio_caption", ann.read_audio_caption(spark, cfg.audio_caption, **lay)), root=cfg.audio_caption),
         ),
         "instruct": (
             cfg.instruct,
-            lambda: smp.instruct_samples(ann.read_instruct_json(spark, cfg.instruct, **lay), root=cfg.image_root),
+            lambda: smp.instruct_samples(capped("instruct", ann.read_instruct_json(spark, cfg.instruct, **lay)), root=cfg.image_root),
         ),
-        "choice_tsv": (cfg.choice_tsv, lambda: smp.choice_samples(ann.read_choice_tsv(spark, cfg.choice_tsv))),
+        "choice_tsv": (cfg.choice_tsv, lambda: smp.choice_samples(capped("choice_tsv", ann.read_choice_tsv(spark, cfg.choice_tsv)))),
         "choice_json": (
             cfg.choice_json,
-            lambda: smp.fixed_choice_samples(ann.read_choice_json(spark, cfg.choice_json), root=cfg.image_root),
+            lambda: smp.fixed_choice_samples(capped("choice_json", ann.read_choice_json(spark, cfg.choice_json)), root=cfg.image_root),
         ),
-        "qa_dir": (cfg.qa_dir, lambda: smp.yesno_samples(ann.read_qa_dir(spark, cfg.qa_dir))),
+        "qa_dir": (cfg.qa_dir, lambda: smp.yesno_samples(capped("qa_dir", ann.read_qa_dir(spark, cfg.qa_dir)))),
+        "pope": (cfg.pope, lambda: smp.pope_samples(capped("pope", ann.read_split(spark, cfg.pope, list(cfg.pope_splits))))),
     }
     return samples.load_tasks(spark, {name: read() if path else None for name, (path, read) in readers.items()})
 
@@ -100,7 +112,8 @@ def pack_batches(
 ) -> DataFrame:
     """Tokenize instruction and output, label, batch in a seeded random order, pad per batch.
 
-    Ranking runs on the key alone; the token arrays move once, to their batch.
+    ``rows`` has ``cfg.key``, ``task``, ``instruction`` and ``output``, such as ``conversations.sft_records`` makes of
+    samples. Every row is packed once, whatever its key: keys may repeat or be null.
     """
     cfg = cfg or PackConfig()
     encoded = models.with_tokens(rows, {"_prompt": "instruction", "_answer": "output"}, make_tokenizer)
@@ -110,7 +123,7 @@ def pack_batches(
         ids, labels = tokens.input_ids("_prompt", "_answer"), tokens.label_ids("_prompt", "_answer")
     ready = encoded.select(cfg.key, "task", ids.alias("input_ids"), labels.alias("labels"))
     pad = batching.pad_right if cfg.side == "right" else batching.pad_left
-    return pad(_in_batches(ready, rows, cfg.key, cfg.batch_size, cfg.seed))
+    return pad(_in_batches(ready, cfg.key, cfg.batch_size, cfg.seed), width="width")
 
 
 @dataclass
@@ -147,8 +160,8 @@ def pack_image_chat(
     ready = labelled.withColumns(
         {"text_mask": tokens.complement("image_mask"), "question_mask": tokens.question_mask("image_mask", "labels")}
     )
-    batched = _in_batches(ready, rows, cfg.key, cfg.batch_size, cfg.seed)
-    return batching.pad_right(batched, masks=("image_mask", "text_mask", "question_mask")), rejects
+    batched = _in_batches(ready, cfg.key, cfg.batch_size, cfg.seed)
+    return batching.pad_right(batched, masks=("image_mask", "text_mask", "question_mask"), width="width"), rejects
 
 
 def pack_media_slots(
@@ -170,14 +183,24 @@ def pack_media_slots(
     flat = slots.select(
         cfg.key, F.col("_slots.token").alias("input_ids"), F.col("_slots.label").alias("labels"), *[F.col(f"_slots.{m}").alias(m) for m in masks]
     )
-    return batching.pad_left(_in_batches(flat, rows, cfg.key, cfg.batch_size, cfg.seed), masks=masks)
+    return batching.pad_left(_in_batches(flat, cfg.key, cfg.batch_size, cfg.seed), masks=masks, width="width")
 
 
-def _in_batches(ready: DataFrame, rows: DataFrame, key: str, size: int, seed: int) -> DataFrame:
-    """Add ``position`` and ``batch_id`` in seeded random order; only the keys are ranked."""
-    keys = rows.select(F.col(key).alias("_key")).withColumn("_hash", seeded_hash(seed, "_key"))
-    placed = batching.batch_ids(with_position(keys, ["_hash", "_key"], bucket=hash_bucket("_hash")), size)
-    return ready.join(placed.select("_key", "position", "batch_id"), F.col(key) == F.col("_key")).drop("_key")
+def _in_batches(ready: DataFrame, key: str, size: int, seed: int) -> DataFrame:
+    """Add ``position``, ``batch_id`` and the batch's ``width``, in seeded random order.
+
+    The tokenized rows are written once. A row is known by its place in the written files, so keys need not be unique;
+    ranking and widths read keys and lengths only, and the arrays move once, to meet their batch.
+    """
+    content = F.xxhash64(*ready.columns)
+    stored = materialise(ready.withColumn("_content", content), "tokenized")
+    stored = stored.withColumns({"_file": F.col("_metadata.file_name"), "_line": F.col("_metadata.row_index")})
+    name = F.coalesce(F.col(key).cast("string"), F.col("_content").cast("string"))
+    keys = stored.select("_file", "_line", F.size("input_ids").alias("_length"), "_content", seeded_hash(seed, name).alias("_hash"), F.col(key).alias("_key"))
+    order = ["_hash", "_key", "_content", "_file", "_line"]
+    placed = batching.batch_ids(with_position(keys, order, bucket=hash_bucket("_hash")), size)
+    batches = batching.batch_max(placed, F.col("_length")).select("_file", "_line", "position", "batch_id", "width")
+    return stored.join(batches, ["_file", "_line"]).drop("_file", "_line", "_content")
 
 
 @dataclass
@@ -232,8 +255,7 @@ def prepare_subset(rows: DataFrame, before: DataFrame, after: DataFrame, *, n: i
 
     ``before`` and ``after`` list the ids present before and after the external fetch.
     """
-    placed = with_position(rows, position, bucket=int_bucket(position), name="_place", levels=1)
-    chosen = subset.head_n(placed, n, position="_place").drop("_place")
+    chosen = with_position(rows, position, bucket=int_bucket(position), name="_place", first=n).drop("_place")
     return subset.missing(chosen, before, key=key), subset.fetch_report(chosen, before, after, key=key)
 
 

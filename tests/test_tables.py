@@ -51,9 +51,11 @@ def test_chat_template(spark):
 
 
 def test_training_records(spark):
-    df = spark.createDataFrame([("I", "O", "t")], "instruction string, output string, task string")
+    df = spark.createDataFrame([("s", "I", "O", "t")], "sample_id string, instruction string, output string, task string")
     row = conversations.sft_records(df).first()
-    assert tuple(row) == ("### System: You are a helpful assistant.\n### User: I\n### Assistant: ", "O </s>", "t")
+    assert tuple(row) == ("s", "t", "### System: You are a helpful assistant.\n### User: I\n### Assistant: ", "O </s>", "t")
+    with pytest.raises(ValueError):
+        conversations.sft_records(df, template="other")
 
 
 # -- batching
@@ -169,7 +171,10 @@ def test_best_matches_small_and_blocked(cloud, metric, k):
     unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
     scores = {"cosine": unit(a) @ unit(b).T, "dot": a @ b.T, "distance": -((a[:, None] - b[None]) ** 2).sum(-1)}[metric]
     order = [sorted(range(70), key=lambda j, i=i: (-round(scores[i, j], 9), j))[:k] for i in range(90)]
-    for options in ({}, {"max_values": 12, "block_rows": 17}):
+    # Rows and candidates without a vector take no part, in one block or in many.
+    da = da.unionByName(da.limit(1).selectExpr("cast(900 as bigint) as a_id", "cast(null as array<double>) as a_vec"))
+    db = db.limit(1).selectExpr("cast(901 as bigint) as b_id", "cast(null as array<double>) as b_vec").unionByName(db)
+    for options in ({}, {"block_values": 100}):
         got = vectors.best_matches(da, db, k, metric=metric, **options).collect()
         found = {(r.a_id, r["rank"]): (r.b_id, r.score) for r in got}
         assert len(found) == 90 * min(k, 70)
@@ -197,8 +202,8 @@ def test_codebook_assignment_and_step(cloud, spark):
         assert np.allclose(step[name].vec, a[at == c].mean(0) if (at == c).any() else centres[c])
     error = vectors.quantization_error(vectors.nearest_code(da, book, key="a_id", vec="a_vec"), 6, beta=2.0).first().error
     assert error == pytest.approx(2 * near.min(1).mean() / 6)
-    with pytest.raises(ValueError):
-        vectors.kmeans_step(da, book, vec="a_vec", max_values=6)
+    blocked = {r.code: r for r in vectors.kmeans_step(da, book, vec="a_vec", block_values=6).collect()}
+    assert all(blocked[c].size == step[c].size and np.allclose(blocked[c].vec, step[c].vec) for c in step)
     usage = {r.code: (r.n, r.dead) for r in vectors.code_usage(vectors.nearest_code(da, book, key="a_id", vec="a_vec"), 10).collect()}
     assert usage[9] == (0, True) and sum(n for n, _ in usage.values()) == 90 and len(usage) == 10
 
@@ -348,8 +353,35 @@ def test_streams_equal_batch(spark, tmp_path):
     assert sorted(r.position for r in known.collect()) == list(range(10))
     sinks.write_jsonl(df, f"{tmp_path}/in")
     again = streams.stream_predictions(spark, f"{tmp_path}/in", schema=schemas.IMAGE_PREDICTION)
-    seen = streams.run_available(streams.stream_dedup(again, world=3), f"{tmp_path}/seen")
-    assert seen.count() == 12 and seen.select(subset.merged_position(world=3).alias("p")).distinct().count() == 12
+    once = streams.run_available(streams.drop_redelivered(again), f"{tmp_path}/once")
+    assert once.count() == 12 and once.select(subset.merged_position(world=3).alias("p")).distinct().count() == 12
+    assert sorted(r.position for r in subset.dedup_padded(once, world=3).collect()) == list(range(10))
+    running = streams.run_available(streams.running_yesno(stream).withColumn("k", F.lit(1)), f"{tmp_path}/update", mode="update", keys=("k",))
+    assert (running.first().total, running.count()) == (24, 1)
+
+
+def test_a_stream_without_files_gives_no_rows(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = streams.stream_events(spark, f"{tmp_path}/in", "a bigint", pattern="*.parquet")
+    assert streams.run_available(stream, f"{tmp_path}/out").count() == 0
+
+
+def test_closed_windows_leave_and_late_rows_do_not_come_back(spark, tmp_path):
+    import datetime as dt
+    import os
+
+    at = lambda minute: dt.datetime(2024, 1, 1, 0, 0) + dt.timedelta(minutes=minute)
+    batches = [[0, 1, 5], [40, 41, 2], [90], [3, 91]]  # minute 2 is within the delay, minute 3 long past it
+    for i, minutes in enumerate(batches):
+        path = f"{tmp_path}/in{i}"
+        spark.createDataFrame([(at(m), "x") for m in minutes], "ts timestamp, event_type string").coalesce(1).write.parquet(path)
+        part = next(f for f in os.listdir(path) if f.endswith(".parquet"))
+        os.makedirs(f"{tmp_path}/in", exist_ok=True)
+        os.replace(f"{path}/{part}", f"{tmp_path}/in/{i}.parquet")
+        os.utime(f"{tmp_path}/in/{i}.parquet", (1_000_000 + i, 1_000_000 + i))
+    stream = streams.stream_events(spark, f"{tmp_path}/in", "ts timestamp, event_type string", pattern="*.parquet", files_per_batch=1)
+    rows = streams.run_available(streams.stream_segments(stream, seconds=600, delay="10 minutes"), f"{tmp_path}/out").collect()
+    assert sorted((r.window.start.minute, r.n) for r in rows) == [(0, 4), (40, 2)]
 
 
 def test_stream_codebook_moves_per_batch(spark, tmp_path):
@@ -360,3 +392,84 @@ def test_stream_codebook_moves_per_batch(spark, tmp_path):
     latest = streams.stream_codebook(stream, start, f"{tmp_path}/out", vec="vec", decay=0.5)
     sizes = {r.code: r.size for r in latest().collect()}
     assert sorted(sizes.values()) == [0.25, 0.5]
+
+
+# -- packing whole jobs
+
+
+def _word_lengths():
+    return lambda texts: [[len(w) for w in t.split(" ")] for t in texts]
+
+
+def test_every_row_is_packed_once_whatever_its_key(spark):
+    from polysift.plans import jobs
+
+    rows = [("a.jpg#0", "t", "one two", "x")] * 2 + [("a.jpg#0", "t", "three", "yy")] + [(None, "t", f"null {'w ' * i}", "z") for i in range(9)]
+    df = spark.createDataFrame(rows, "sample_id string, task string, instruction string, output string").repartition(4)
+    out = jobs.pack_batches(df, _word_lengths, jobs.PackConfig(batch_size=4, seed=1)).collect()
+    assert sorted(r.position for r in out) == list(range(12))
+    assert all(len(r.input_ids) == r.width == len(r.labels) for r in out)
+    want = sorted([len(w) for w in i.split(" ")] + [len(w) for w in o.split(" ")] for _, _, i, o in rows)
+    assert sorted(r.input_ids[: sum(r.attention_mask)] for r in out) == want
+
+
+def test_samples_flow_into_the_packer(spark):
+    from polysift.operators import conversations
+    from polysift.plans import jobs
+    from polysift.sources import samples
+
+    turns = [("human", "<image>\nwhat"), ("gpt", "cat"), ("human", "why"), ("gpt", "fur")]
+    images = spark.createDataFrame([("a.jpg", turns), ("a.jpg", turns[:2]), ("b.jpg", turns)], "image string, conversations array<struct<`from`:string,value:string>>")
+    choices = spark.createDataFrame([("q", "A", None, "x", "y"), ("q", "A", None, "x", "y"), ("r", "B", "img", "x", None)], "question string, answer string, image string, A string, B string")
+    for c in "CDE":
+        choices = choices.withColumn(c, F.lit(None).cast("string"))
+    built = samples.load_tasks(spark, {"i": samples.instruct_samples(images, root="r"), "c": samples.choice_samples(choices.withColumn("hint", F.lit(None).cast("string")))})
+    assert built.filter("sample_id is null").count() == 0
+    assert built.filter("task = 'instruct'").select("sample_id").distinct().count() == 5
+    for template, style in (("plain", "plain"), ("inst", "seq2")):
+        records = conversations.sft_records(built, template=template, style=style)
+        packed = jobs.pack_batches(records, _word_lengths, jobs.PackConfig(batch_size=2))
+        assert packed.count() == built.count() == 8
+    shown = conversations.sft_records(built.filter("output = 'why'").limit(0).unionByName(built.limit(1)), template="inst", style="seq2").first()
+    assert shown.instruction.startswith("<s>[INST] <<SYS>>\nYou are a helpful assistant.\n<</SYS>>\n\n") and shown.instruction.endswith(" [/INST]")
+    assert shown.output.endswith("</s>")
+
+
+def test_first_rows_are_cut_before_they_move(spark):
+    from polysift.operators.position import int_bucket, with_position
+
+    df = spark.range(10_000).repartition(4)
+    cut = with_position(df, "id", bucket=int_bucket("id", 100), first=250)
+    assert sorted((r.id, r.position) for r in cut.collect()) == [(i, i) for i in range(250)]
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("scalar-subquery")
+    grouped = df.withColumn("g", F.col("id") % 3)
+    capped = subset.cap_per_task(grouped, 5, position="id", bucket=int_bucket("id", 100), task="g")
+    assert sorted(r.id for r in capped.collect()) == list(range(15))
+    totals = with_position(grouped, "id", by=["g"], bucket=int_bucket("id", 100), total="n").groupBy("g").agg(F.max("n").alias("n"), F.max("position").alias("p"))
+    assert {r.g: (r.n, r.p) for r in totals.collect()} == {0: (3334, 3333), 1: (3333, 3332), 2: (3333, 3332)}
+
+
+def test_padding_is_told_from_repeated_questions(spark):
+    def run(questions, world):
+        n = len(questions)
+        padded = questions + questions[: -n % world]
+        rows = [(p % world, p // world, None, q, "yes") for p, q in enumerate(padded)]
+        df = spark.createDataFrame(rows, "rank int, index bigint, image_path string, question string, answer string").repartition(3)
+        return sorted(r.position for r in subset.dedup_padded(df, world=world).collect())
+
+    assert run(["a", "b", "a", "c", "b"], 3) == list(range(5))
+    assert run(["a", "b", "c", "d", "e", "f", "g"], 4) == list(range(7))
+    assert run(["a", "b", "c", "d"], 4) == list(range(4))
+    assert run(["q", "b", "b", "b", "x", "b"], 5) == list(range(6))
+
+
+def test_written_pairs_come_back_whole(spark, tmp_path):
+    from polysift import sinks
+    from polysift.sources import predictions
+
+    rows = [("s", i, image, q, "yes", pred) for i, (image, q, pred) in enumerate([("a\tb", "line\none", "no"), ("c\\n", None, None), ("\\N", "\\\\t", "yes"), ("x\r", "", "no")])]
+    df = spark.createDataFrame(rows, "subtask string, position bigint, image string, question string, gold string, pred string")
+    sinks.write_by_subtask(df, str(tmp_path / "p"))
+    back = predictions.read_qa_tsv(spark, str(tmp_path / "p"), escaped=True).orderBy("position").collect()
+    assert [(r.image, r.question, r.gold, r.pred) for r in back] == [r[2:] for r in rows]
