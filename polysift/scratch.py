@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage and survives lost executors."""
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialised tables that nothing will read again, and let Spark drop the shuffle files behind them.
+
+    Spark deletes shuffle files once the driver has collected the plans that made them; a job of many steps would
+    otherwise keep those of all its steps on the executors' disks.
+    """
+    for table in tables:
+        delete(table.sparkSession, table._scratch_path)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def delete(spark: SparkSession, folder: str) -> None:
