@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from polysift.llm.components import components
 from polysift.llm.shingles import mix, set_key, sorted_unique, text_sets
-from polysift.scratch import materialise
+from polysift.scratch import discard, materialise
 
 WORDS = 5
 PERCENT = 75
@@ -177,6 +177,7 @@ def class_table(blobs: DataFrame) -> np.ndarray:
             least = 2 ** (row["step"] + 1) - 1
             break
     ids = found.filter(F.col("n") > least).select("id").toPandas()["id"].to_numpy(np.int64)  # bounded by the loop above
+    discard(found)
     return np.sort(ids.astype(np.uint64))
 
 
@@ -326,7 +327,9 @@ def _hot_keys(blobs: DataFrame) -> np.ndarray:
         if total > HOT_KEYS:
             least = 2 ** (row["step"] + 1) - 1
             break
-    return np.sort(counts.filter(F.col("held") > least).select("key").toPandas()["key"].to_numpy(np.int64))  # bounded by the loop above
+    keys = counts.filter(F.col("held") > least).select("key").toPandas()["key"].to_numpy(np.int64)  # bounded by the loop above
+    discard(counts)
+    return np.sort(keys)
 
 
 def _close_pairs(blobs: DataFrame, hot, percent: int) -> DataFrame:
@@ -463,7 +466,9 @@ def _hot_pairs(blobs: DataFrame, hot, comps: DataFrame) -> DataFrame:
     tops = tops.select(F.col("key").alias("mixed"), F.col("top.comp").alias("main"))
     outside = rows.join(tops, (F.col("key") == F.col("mixed")) & (F.col("comp") != F.col("main"))).select("key", "node", "comp")
     others = sizes.select(F.col("key").alias("mixed"), F.col("comp").alias("other"))
-    met = outside.join(others, (F.col("key") == F.col("mixed")) & (F.col("comp") != F.col("other"))).select("node", "other").distinct()
+    met = outside.join(others, (F.col("key") == F.col("mixed")) & (F.col("comp") != F.col("other"))).select("node", "other")
+    met = materialise(met.distinct(), "met")
+    discard(rows, sizes)
     members = labels.select(F.col("component").alias("other"), F.col("node").alias("y"))
     return _ordered(met.join(members, "other", "left").select("node", F.coalesce("y", "other").alias("y")), "node", "y").distinct()
 
@@ -502,13 +507,16 @@ def similar_components(
     chosen = _with_nodes(chosen, words).filter("node = node_").groupBy("id_", "node").agg(F.first("text_").alias("text_"))
     chosen = materialise(chosen.select("node", "text_"), "texts")
 
-    links = None
-    for pairs in (lambda _: first, lambda comps: close.join(first, ["a", "b"], "left_anti"), lambda comps: _hot_pairs(blobs, hot_keys, comps)):
-        found = pairs(None if links is None else comps)
-        found = found if links is None else _apart(found, comps)
-        checked = materialise(_verified(found, chosen, words, percent).filter("linked").select("a", "b"), "links")
-        links = checked if links is None else links.unionByName(checked)
-        comps = materialise(components(links), "components")
+    links = materialise(_verified(first, chosen, words, percent).filter("linked").select("a", "b"), "links")
+    steps = (lambda comps: close.join(first, ["a", "b"], "left_anti"), lambda comps: _hot_pairs(blobs, hot_keys, comps))
+    comps = materialise(components(links), "components")
+    for pairs in steps:
+        apart = materialise(_apart(pairs(comps), comps), "apart")
+        checked = _verified(apart, chosen, words, percent).filter("linked").select("a", "b")
+        more = materialise(links.unionByName(checked), "links")
+        discard(links, apart, comps)
+        links, comps = more, materialise(components(more), "components")
+    discard(blobs, first, close, chosen, links)
 
     joined = nodes.join(comps, "node").select("node", "component", "doc")
     tops = joined.groupBy("component").agg(F.min("doc").alias("top"))
