@@ -14,9 +14,9 @@ Which tokens are frequent only has to be the same for all documents; any choice
 tokens is broadcast and has at most ``CLASS_ENTRIES`` entries; a larger corpus raises the count where frequent begins.
 
 Hot groups: a group of copies is a single node from the start. Every set is first compared with one centre for each of its
-``FIRST`` smallest tokens, a row per token, which joins the bulk of a group of near copies; from then on only members that are
-still in different components are compared. The members of a usual key travel as one list of at most ``HOT_KEY`` nodes; of
-keys with more, only members outside the key's largest component are compared with the members of the others.
+``FIRST`` smallest tokens, a row per token, which hangs the bulk of a group of near copies on one root; from then on only
+members under different roots are compared. The members of a usual key travel as one list of at most ``HOT_KEY`` nodes; of keys
+with more, only members outside the key's largest part are compared with the members of the other parts.
 """
 
 from __future__ import annotations
@@ -45,9 +45,10 @@ LONGER = 12
 #: Tokens a range of the hash space should hold, so that one task can sort it.
 RANGE_TOKENS = 1 << 20
 #: Tokens a task gathers before it hands them on.
-FLUSH_TOKENS = 1 << 22
-#: Smallest tokens by which a set is first compared with a centre.
+FLUSH_TOKENS = 1 << 21
+#: Smallest tokens by which a set is first compared with a centre, and steps from centre to centre towards a root.
 FIRST = 4
+JUMPS = 2
 #: Keys with more nodes than this are hot.
 HOT_KEY = 256
 #: Hot keys that are told apart by a broadcast list; with more of them, a hot key has more nodes.
@@ -439,16 +440,29 @@ def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def _first_pairs(keyed: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of every node and a centre for each of its smallest tokens, where their sizes allow a link."""
+    """(a, b) of every node and a centre for each of its smallest tokens, where their sizes allow a link.
+
+    The centre has the smallest hash of the token's nodes, so steps from centre to centre never come back.
+    """
     rows = keyed.filter("node is not null").groupBy("node").agg(F.first("first").alias("first"), F.first("n_shingles").alias("n"))
     rows = rows.select("node", "n", F.explode("first").alias("token"))
     tops = rows.groupBy("token").agg(F.count("*").alias("held"), F.min_by(F.struct("node", "n"), F.xxhash64("node")).alias("c")).filter("held > 1")
     met = rows.join(tops, "token").filter("node != c.node").filter(100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n"))
-    return _ordered(met, "node", "c.node").distinct()
+    return met.select(F.col("node").alias("a"), F.col("c.node").alias("b")).distinct()
+
+
+def _roots(links: DataFrame) -> DataFrame:
+    """(node, component) of nodes linked to a centre, and of these: a node of their component that many members agree on."""
+    tops = links.groupBy(F.col("a").alias("node")).agg(F.min_by("b", F.xxhash64("b")).alias("component"))
+    for _ in range(JUMPS):
+        above = tops.select(F.col("node").alias("component"), F.col("component").alias("up"))
+        tops = tops.join(above, "component", "left").select("node", F.coalesce("up", "component").alias("component"))
+    ends = tops.select("component").distinct().join(tops.select(F.col("node").alias("component")), "component", "left_anti")
+    return tops.unionByName(ends.select(F.col("component").alias("node"), "component"))
 
 
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs whose ends are not in the same component."""
+    """Pairs whose ends are not known to be in the same component."""
     one = comps.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     two = comps.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     known = pairs.join(one, "a", "left").join(two, "b", "left")
@@ -456,7 +470,7 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _hot_pairs(blobs: DataFrame, hot, comps: DataFrame) -> DataFrame:
-    """(a, b) of members outside the largest component of a hot key and all nodes of the other components of the key."""
+    """(a, b) of members outside the largest part of a hot key and all nodes of the other parts of the key."""
     labels = comps.select("node", "component")
     # Components are joined to sets, and go with their keys from there.
     labelled = blobs.filter("part is null").join(labels, "node", "left").withColumn("comp", F.coalesce("component", "node"))
@@ -508,15 +522,12 @@ def similar_components(
     chosen = materialise(chosen.select("node", "text_"), "texts")
 
     links = materialise(_verified(first, chosen, words, percent).filter("linked").select("a", "b"), "links")
-    steps = (lambda comps: close.join(first, ["a", "b"], "left_anti"), lambda comps: _hot_pairs(blobs, hot_keys, comps))
-    comps = materialise(components(links), "components")
-    for pairs in steps:
-        apart = materialise(_apart(pairs(comps), comps), "apart")
-        checked = _verified(apart, chosen, words, percent).filter("linked").select("a", "b")
-        more = materialise(links.unionByName(checked), "links")
-        discard(links, apart, comps)
-        links, comps = more, materialise(components(more), "components")
-    discard(blobs, first, close, chosen, links)
+    roots = materialise(_roots(links), "roots")
+    met = close.unionByName(_hot_pairs(blobs, hot_keys, roots)).distinct()
+    apart = materialise(_apart(met, roots), "apart")
+    more = materialise(_verified(apart, chosen, words, percent).filter("linked").select("a", "b"), "links")
+    discard(blobs, first, close, chosen, roots, apart)
+    comps = materialise(components(links.unionByName(more)), "components")
 
     joined = nodes.join(comps, "node").select("node", "component", "doc")
     tops = joined.groupBy("component").agg(F.min("doc").alias("top"))
