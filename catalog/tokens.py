@@ -153,12 +153,8 @@ def _signals(spark, sf):
 
 
 def _summary(rows):
-    total = F.aggregate("samples", F.lit(0.0), lambda acc, x: acc + x.cast("double"))
-    first, last = F.get("samples", F.lit(0)), F.element_at("samples", -1)
-    return rows.select(
-        "vec_id", F.col("segment").cast("bigint").alias("segment"), F.size("samples").alias("n"),
-        F.round(total, 6).alias("total"), F.round(first.cast("double"), 6).alias("first"), F.round(last.cast("double"), 6).alias("last"),
-    )
+    shown = F.array_join(F.transform("samples", lambda x: F.format_string("%.6f", F.round(x.cast("double"), 6) + F.lit(0.0))), " ")
+    return rows.select("vec_id", F.col("segment").cast("bigint").alias("segment"), F.size("samples").alias("n"), F.md5(shown).alias("values"))
 
 
 def signal_seconds(spark, sf):
@@ -239,8 +235,8 @@ _SIGNAL = "select vec_id, list_transform(embedding, lambda x: cast(x as double))
 
 def _signal_sql(cte: str) -> str:
     return f"""with e as ({_SIGNAL}), {cte}
-      select vec_id, segment, cast(len(v) as integer) as n, round(list_sum(v), 6) as total, round(v[1], 6) as "first",
-        round(v[len(v)], 6) as "last" from f"""
+      select vec_id, segment, cast(len(v) as integer) as n,
+        md5(array_to_string(list_transform(v, lambda x: printf('%.6f', round(x, 6) + 0.0)), ' ')) as "values" from f"""
 
 
 _ZERO = "list_transform(range(0, {}), lambda z: 0.0::double)"

@@ -28,10 +28,6 @@ def _shown(vec):
     return F.array_join(F.transform(vec, lambda x: F.format_string("%.6f", F.round(x.cast("double"), 6) + F.lit(0.0))), " ")
 
 
-def _sum(vec):
-    return F.round(F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x.cast("double")), 6)
-
-
 def valid_vectors(spark, sf):
     x = F.when(F.col("vec_id") % 5 == 0, F.array(F.lit(float("nan")).cast("float"))).when(
         F.col("vec_id") % 5 == 1, F.array(F.lit(float("-inf")).cast("float"))
@@ -43,7 +39,7 @@ def valid_vectors(spark, sf):
 def normalized_vectors(spark, sf):
     scaled = F.transform("embedding", lambda x: x * (F.col("vec_id") % 3))
     rows = _emb(spark, sf).withColumn("unit", exprs.l2_normalize(scaled))
-    return rows.select("vec_id", _sum("unit").alias("total"), F.round(exprs.norm("unit"), 6).alias("length"))
+    return rows.select("vec_id", F.md5(_shown("unit")).alias("unit"), F.round(exprs.norm("unit"), 6).alias("length"))
 
 
 def similar_vectors(spark, sf):
@@ -64,8 +60,7 @@ def label_logits(spark, sf):
 
 def label_means(spark, sf):
     sums = vectors.group_vector_sum(_emb(spark, sf), "label", "embedding")
-    return sums.select("label", "n", _sum("vec_sum").alias("total"), _sum("vec_mean").alias("mean_total"),
-                       F.round(F.get("vec_mean", F.lit(0)), 6).alias("first"))
+    return sums.select("label", "n", _shown("vec_sum").alias("total"), _shown("vec_mean").alias("mean"))
 
 
 def _nearest(spark, sf):
@@ -92,7 +87,7 @@ def quantization_error(spark, sf):
 
 def code_vectors(spark, sf):
     rows = vectors.code_lookup(_nearest(spark, sf), _codebook(spark, sf))
-    return rows.select("vec_id", "code", _sum("vec").alias("total"))
+    return rows.select("vec_id", "code", F.md5(_shown("vec")).alias("vec"))
 
 
 def remapped_codes(spark, sf):
@@ -179,20 +174,20 @@ SQL = {
     "valid_vectors": "select vec_id, label from embeddings where vec_id % 5 > 1",
     "normalized_vectors": f"""with {_E}, s as (select vec_id, list_transform(v, lambda x: x * (vec_id % 3)) as w from e),
       u as (select vec_id, {_UNIT.format('w')} as u from s)
-      select vec_id, round(list_sum(u), 6) as total, round(sqrt(list_inner_product(u, u)), 6) as length from u""",
+      select vec_id, md5({_SHOW.format('u')}) as unit, round(sqrt(list_inner_product(u, u)), 6) as length from u""",
     "similar_vectors": f"""with {_E}, s as (select a.vec_id as a_id, b.vec_id as b_id, list_cosine_similarity(a.v, b.v) * exp(1.5) as score from e a, e b)
       select a_id, rank, b_id, round(score, 6) as score from (select *, row_number() over (partition by a_id order by score desc, b_id) as rank from s) where rank <= 5""",
     "label_logits": f"""with {_E}, {_C}, s as (select vec_id as a_id, code as b_id, list_cosine_similarity(v, vec) * exp(1.0) as score from e, c)
       select a_id, rank, b_id, round(score, 6) as score from (select *, row_number() over (partition by a_id order by score desc, b_id) as rank from s) where rank <= 3""",
-    "label_means": f"""with {_E}, {_C} select cast(code as integer) as label, size as n, round(list_sum(vec) * size, 6) as total,
-      round(list_sum(vec), 6) as mean_total, round(vec[1], 6) as "first" from c""",
+    "label_means": f"""with {_E}, {_C} select cast(code as integer) as label, size as n,
+      {_SHOW.format('list_transform(vec, lambda x: x * size)')} as total, {_SHOW.format('vec')} as mean from c""",
     "nearest_codes": f"with {_E}, {_C}, {_N} select vec_id, code, round(d, 6) as distance from n",
     "nearest_directions": f"""with {_E}, {_C}, s as (select vec_id, code, list_inner_product(v, vec) as d from e, c)
       select vec_id, code, round(d, 6) as similarity from (select *, row_number() over (partition by vec_id order by d desc, code) as rn from s) where rn = 1""",
     "code_histogram": f"""with {_E}, {_C}, {_N}, h as (select code, count(*) as n from n group by code)
       select r.i as code, coalesce(n, 0) as n, n is null as dead from range(0, 16) r(i) left join h on h.code = r.i""",
     "quantization_error": f"with {_E}, {_C}, {_N} select round(0.25 * avg(d) / 64, 6) as error from n",
-    "code_vectors": f"with {_E}, {_C}, {_N} select vec_id, code, round(list_sum(vec), 6) as total from n join c using (code)",
+    "code_vectors": f"with {_E}, {_C}, {_N} select vec_id, code, md5({_SHOW.format('vec')}) as vec from n join c using (code)",
     "remapped_codes": f"""with {_E}, {_C}, {_N}, u as (select code, code // 2 as idx from c where code % 2 = 0),
       k as (select count(*) as k from u), p as (select policy, vec_id, n.code as seen, coalesce(u.idx, case policy when 'extra' then k else 1 end) as idx
         from n left join u on n.code = u.code, k, (values ('extra'), ('fixed')) t(policy))
