@@ -5,7 +5,8 @@ documents: rare ones and frequent ones; rare tokens come first in the global ord
 ``e = floor(n (1 - t))`` of them in any partner, so a prefix of ``e + 1`` rare tokens must share one with it: rare tokens
 are indexed singly. Where rare tokens do not suffice the prefix is extended by frequent ones, dealt into small groups by
 hash, and a group of ``l`` prefix tokens counts as ``l - 1``: a partner then shares one rare token, or two tokens of a
-group, so frequent tokens are indexed as pairs only. Candidates are verified on the full sets.
+group, so frequent tokens are indexed as pairs only. Candidates whose sketches (tokens per hash cell) leave no room for enough
+common tokens drop out, the others are verified on the full sets.
 
 Prefixes are longer than that by ``n // LONGER`` rare tokens where a set has them, so it must share more than one of them
 with a partner. Sets that share fewer with any others, such as those with a common passage, drop out before pairs are made.
@@ -49,8 +50,10 @@ FLUSH_TOKENS = 1 << 21
 #: Smallest tokens by which a set is first compared with a centre, and steps from centre to centre towards a root.
 FIRST = 4
 JUMPS = 2
+#: Cells of the sketch by which most candidate pairs are told apart before their texts are fetched.
+CELLS = 1024
 #: Keys with more nodes than this are hot.
-HOT_KEY = 256
+HOT_KEY = 1024
 #: Hot keys that are told apart by a broadcast list; with more of them, a hot key has more nodes.
 HOT_KEYS = 1_000_000
 
@@ -298,24 +301,24 @@ def _rare_lists(blobs: DataFrame) -> DataFrame:
     return found.groupBy("key").agg(F.first("m").alias("m"), F.sum("tokens").alias("tokens"))
 
 
-def _pair_keys(blobs: DataFrame, hot=None, want_hot: bool = False, value: str = "n") -> DataFrame:
-    """(key, node, value) of pairs of frequent tokens: all, or given the ``hot`` keys only these or only the others."""
+def _pair_keys(blobs: DataFrame, hot=None, want_hot: bool = False, facts: tuple[str, ...] = ()) -> DataFrame:
+    """(key, node, facts) of pairs of frequent tokens: all, or given the ``hot`` keys only these or only the others."""
+    names = ["key", "node", *facts]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = hot.value if hot is not None else None
         for batch in batches:
-            for tokens, node, fact in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for tokens, *same in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 keys = np.frombuffer(tokens, "<i8")
                 if known is not None:
                     inside = known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys if len(known) else np.zeros(len(keys), bool)
                     keys = keys[inside == want_hot]
                 for at in range(0, len(keys), 1 << 16):
                     part = keys[at : at + (1 << 16)]
-                    same = [np.full(len(part), x, np.int64) for x in (node, fact)]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (part, *same)], names=["key", "node", value])
+                    yield pa.RecordBatch.from_arrays([pa.array(part), *(pa.array(np.full(len(part), x, np.int64)) for x in same)], names=names)
 
-    rows = blobs.filter("part is null").select("tokens", "node", F.col(value).cast("bigint").alias(value))
-    return rows.mapInArrow(run, f"key long, node long, {value} long")
+    rows = blobs.filter("part is null").select("tokens", "node", *[F.col(f).cast("bigint").alias(f) for f in facts])
+    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def _hot_keys(blobs: DataFrame) -> np.ndarray:
@@ -333,63 +336,126 @@ def _hot_keys(blobs: DataFrame) -> np.ndarray:
     return np.sort(keys)
 
 
-def _close_pairs(blobs: DataFrame, hot, percent: int) -> DataFrame:
-    """(a, b) of nodes that share as many indexed tokens as similar sets must, from all keys that are not hot.
+def _listed_pairs(lists: DataFrame) -> DataFrame:
+    """(a, b, tokens, na, nb, la, lb) of members of the same list that differ in ``comp``, with their sizes and prefixes.
 
-    Lists with the same first member, mostly of the same group of documents, come to the same tasks, so that a pair that many
-    keys hold is counted there before it is written.
+    Lists (m, tokens) with the same first member, mostly of the same group of documents, come to the same tasks and are counted in
+    one table of their members, so that a pair that many lists hold is written once for all of them.
     """
-    member = F.struct("node", F.col("n").cast("int").alias("n"), F.lit(False).alias("longer"))
-    pairs = _pair_keys(blobs, hot, False).groupBy("key").agg(F.sort_array(F.collect_set(member)).alias("m"))
-    pairs = pairs.filter(F.size("m") > 1).select("key", F.col("m").cast(_MEMBERS).alias("m"), F.lit(1).cast("bigint").alias("tokens"))
-    lists = _rare_lists(blobs).unionByName(pairs).select(F.get("m", F.lit(0))["node"].alias("first"), "m", "tokens")
-    lists = lists.repartition("first").sortWithinPartitions("first")
-
-    def counted(held: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]]) -> pa.RecordBatch:
-        every = np.concatenate([h[0] for h in held])
-        nodes, at = np.unique(every, return_index=True)
-        n, longer = np.concatenate([h[1] for h in held])[at].astype(np.int64), np.concatenate([h[2] for h in held])[at]
-        codes, times = [], []
-        for members, _, _, tokens in held:
+
+    def counted(held: list[tuple]) -> pa.RecordBatch:
+        nodes, at = np.unique(np.concatenate([h[0] for h in held]), return_index=True)
+        n, longer, comp = (np.concatenate([h[i] for h in held])[at] for i in (1, 2, 3))
+        table = np.zeros((len(nodes), len(nodes)), np.int64)
+        for members, _, _, _, tokens in held:
             place = np.searchsorted(nodes, members)
-            i, j = np.triu_indices(len(place), 1)
-            codes.append(place[i] * len(nodes) + place[j])
-            times.append(np.full(len(i), tokens))
-        codes, where = np.unique(np.concatenate(codes), return_inverse=True)
-        tokens = np.bincount(where, np.concatenate(times)).astype(np.int64)
-        i, j = codes // len(nodes), codes % len(nodes)
-        fits = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
-        i, j, tokens = i[fits], j[fits], tokens[fits]
-        least = _least_shared(n[i], longer[i], n[j], longer[j], percent)
-        return pa.RecordBatch.from_arrays([pa.array(nodes[i]), pa.array(nodes[j]), pa.array(tokens), pa.array(least)], names=["a", "b", "tokens", "least"])
+            table[np.ix_(place, place)] += tokens
+        i, j = np.nonzero(np.triu(table, 1) * (comp[:, None] != comp[None, :]))
+        columns = (nodes[i], nodes[j], table[i, j], n[i], n[j], longer[i], longer[j])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "tokens", "na", "nb", "la", "lb"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, work, last = [], 0, None
+        held, known, last = [], 0, None
         for batch in batches:
             firsts, lists, tokens = batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()
             flat, cuts = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            nodes, n, longer = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+            columns = [flat.field(i).to_numpy(zero_copy_only=False) for i in range(4)]
             for k, first in enumerate(firsts):
-                # Whole groups of lists are counted together, as far as memory allows.
-                if held and (work > 4_000_000 or work > 400_000 and first != last):
-                    yield counted(held)
-                    held, work = [], 0
-                last = first
                 s = slice(int(cuts[k]), int(cuts[k + 1]))
-                held.append((nodes[s], n[s], longer[s], tokens[k]))
-                work += (s.stop - s.start) ** 2 // 2
+                if held and (first != last or known + s.stop - s.start > 100_000):
+                    yield from _parts(held, counted)
+                    held, known = [], 0
+                last = first
+                held.append((*(c[s] for c in columns), tokens[k]))
+                known += s.stop - s.start
         if held:
-            yield counted(held)
+            yield from _parts(held, counted)
+
+    lists = lists.select(F.get("m", F.lit(0))["node"].alias("first"), "m", "tokens").repartition("first").sortWithinPartitions("first")
+    return lists.mapInArrow(run, "a long, b long, tokens long, na int, nb int, la boolean, lb boolean")
+
+
+def _parts(held: list[tuple], counted) -> Iterator[pa.RecordBatch]:
+    """Tables of at most twice ``HOT_KEY`` members or a single list."""
+    part, seen = [], set()
+    for h in held:
+        more = seen.union(h[0].tolist())
+        if part and len(more) > 2 * HOT_KEY:
+            yield counted(part)
+            part, more = [], set(h[0].tolist())
+        part.append(h)
+        seen = more
+    if part:
+        yield counted(part)
+
+
+def _fitting(pairs: DataFrame, percent: int) -> DataFrame:
+    return pairs.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+
+
+def _rare_pairs(blobs: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of nodes that share as many rare tokens as similar sets must."""
+    same = F.transform("m", lambda x: F.struct(x.node.alias("node"), x.n.alias("n"), x.longer.alias("longer"), x.node.alias("comp")))
+    pairs = _fitting(_listed_pairs(_rare_lists(blobs).select(same.alias("m"), "tokens")), percent)
+    sums = pairs.groupBy("a", "b").agg(F.sum("tokens").alias("tokens"), *[F.first(c).alias(c) for c in ("na", "nb", "la", "lb")])
+    both = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / (100 + percent))  # the smallest intersection
+
+    def bound(n: str):
+        slack = F.col(n) - F.ceil(F.col(n) * percent / 100)
+        return slack + 1 + F.floor(F.col(n) / LONGER) - (F.col(n) - both)
+
+    least = F.when(F.col("la") & F.col("lb"), F.greatest(F.lit(1), F.least(bound("na"), bound("nb")))).otherwise(1)
+    return sums.filter(F.col("tokens") >= least).select("a", "b")
+
 
-    found = lists.mapInArrow(run, "a long, b long, tokens long, least long").groupBy("a", "b")
-    return found.agg(F.sum("tokens").alias("tokens"), F.min("least").alias("least")).filter("tokens >= least").select("a", "b")
+def _frequent_pairs(blobs: DataFrame, hot, roots: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of nodes under different roots that share a pair of frequent tokens, from keys that are not hot."""
+    # Roots are joined to sets, and go with their keys from there.
+    rows = _pair_keys(_labelled(blobs, roots), hot, False, ("n", "comp"))
+    member = F.struct("node", F.col("n").cast("int").alias("n"), F.lit(False).alias("longer"), "comp")
+    lists = rows.groupBy("key").agg(F.sort_array(F.collect_set(member)).alias("m"), F.min("comp").alias("x"), F.max("comp").alias("y"))
+    pairs = _listed_pairs(lists.filter("x != y").select("m", F.lit(1).cast("bigint").alias("tokens")))
+    return _fitting(pairs, percent).select("a", "b").distinct()
 
 
-def _least_shared(n_a: np.ndarray, longer_a: np.ndarray, n_b: np.ndarray, longer_b: np.ndarray, percent: int) -> np.ndarray:
-    """Tokens that two similar sets must share in their indexed prefixes."""
-    both = -(-percent * (n_a + n_b) // (100 + percent))  # the smallest intersection
-    bound = np.minimum(*(_slack(n, percent) + _longer(n) - (n - both) for n in (n_a, n_b)))
-    return np.where(longer_a & longer_b, np.maximum(1, bound), 1)
+def _labelled(blobs: DataFrame, roots: DataFrame) -> DataFrame:
+    joined = blobs.filter("part is null").join(roots.select("node", "component"), "node", "left")
+    return joined.withColumn("comp", F.coalesce("component", "node")).drop("component")
+
+
+def _least_shared(n_a: int, n_b: int, percent: int) -> int:
+    """Rare tokens that two similar sets with longer prefixes must share in them, as :func:`_rare_pairs` asks for."""
+    both = -(-percent * (n_a + n_b) // (100 + percent))
+    return max(1, min(_slack(n, percent) + _longer(n) - (n - both) for n in (n_a, n_b)))
+
+
+def _sketch(tokens: np.ndarray) -> bytes:
+    """Tokens in each cell of the hash space, 255 standing for any more."""
+    cells = np.bincount((tokens >> np.uint64(20)).astype(np.int64) % CELLS, minlength=CELLS)
+    return np.minimum(cells, 255).astype(np.uint8).tobytes()
+
+
+def _room(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sketches leave room for enough common tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                p, q = (np.frombuffer(b"".join(part.column(i).to_pylist()), np.uint8).reshape(-1, CELLS) for i in (2, 3))
+                low = np.minimum(p, q)
+                full = (low == 255).any(1)
+                room = low.sum(1, dtype=np.int64)
+                n = part.column(4).to_numpy() + part.column(5).to_numpy()
+                kept.append(full | ((100 + percent) * room >= percent * n))
+            mask = pa.array(np.concatenate(kept) if kept else np.zeros(0, bool))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(mask)
+
+    left = texts.select(F.col("node").alias("a"), F.col("sketch").alias("p"), F.col("n").alias("na"))
+    right = texts.select(F.col("node").alias("b"), F.col("sketch").alias("q"), F.col("n").alias("nb"))
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "p", "q", "na", "nb")
+    return joined.mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -422,17 +488,19 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
 
 def _with_nodes(rows: DataFrame, words: int) -> DataFrame:
-    """Rows (id_, node_, text_) with the node of their text."""
+    """Rows (id_, node_, text_) with the node of their text, the size of its set and its sketch."""
     kind = rows.schema["id_"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                nodes = [_node(s) if len(s) else None for s in text_sets(_texts(part.column(2)), words)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(nodes, pa.int64())], names=["id_", "node_", "text_", "node"])
+                sets = list(text_sets(_texts(part.column(2)), words))
+                nodes, n = [_node(s) if len(s) else None for s in sets], [len(s) for s in sets]
+                more = [pa.array(nodes, pa.int64()), pa.array(n, pa.int64()), pa.array([_sketch(s) for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *more], names=["id_", "node_", "text_", "node", "n", "sketch"])
 
-    return rows.mapInArrow(run, f"id_ {kind}, node_ long, text_ string, node long")
+    return rows.mapInArrow(run, f"id_ {kind}, node_ long, text_ string, node long, n long, sketch binary")
 
 
 def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
@@ -469,12 +537,10 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return known.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def _hot_pairs(blobs: DataFrame, hot, comps: DataFrame) -> DataFrame:
+def _hot_pairs(blobs: DataFrame, hot, roots: DataFrame) -> DataFrame:
     """(a, b) of members outside the largest part of a hot key and all nodes of the other parts of the key."""
-    labels = comps.select("node", "component")
-    # Components are joined to sets, and go with their keys from there.
-    labelled = blobs.filter("part is null").join(labels, "node", "left").withColumn("comp", F.coalesce("component", "node"))
-    rows = materialise(_pair_keys(labelled, hot, True, "comp"), "hot")
+    labels = roots.select("node", "component")
+    rows = materialise(_pair_keys(_labelled(blobs, roots), hot, True, ("comp",)), "hot")
     sizes = materialise(rows.groupBy("key", "comp").agg(F.count("*").alias("rows")), "hot")
     tops = sizes.groupBy("key").agg(F.max(F.struct("rows", "comp")).alias("top"), F.count("*").alias("kinds")).filter("kinds > 1")
     tops = tops.select(F.col("key").alias("mixed"), F.col("top.comp").alias("main"))
@@ -509,24 +575,24 @@ def similar_components(
     blobs = materialise(index_blobs(texts, words, n_ranges, percent, frequent), "index")
     hot_keys = spark.sparkContext.broadcast(_hot_keys(blobs))
     first = materialise(_first_pairs(keyed, percent), "first")
-    close = materialise(_close_pairs(blobs, hot_keys, percent), "close")
-    hot_nodes = _pair_keys(blobs, hot_keys, True).select("node").distinct()
+    rare = materialise(_rare_pairs(blobs, percent), "rare")
 
     # One text of each candidate is kept: a row of its smallest id. Rows that repeat this id may have other sets.
-    met = first.unionByName(close)
-    ends = met.select(F.col("a").alias("node")).unionByName(met.select(F.col("b").alias("node"))).unionByName(hot_nodes).distinct()
+    met = first.unionByName(rare)
+    ends = met.select(F.col("a").alias("node")).unionByName(met.select(F.col("b").alias("node")))
+    ends = ends.unionByName(blobs.filter("part is null").select("node")).distinct()
     wanted = ends.join(nodes, "node").select(F.col("doc").alias("doc_"), F.col("node").alias("node_"))
     again = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
     chosen = again.join(wanted, F.col("id_").eqNullSafe(F.col("doc_"))).select("id_", "node_", "text_")
-    chosen = _with_nodes(chosen, words).filter("node = node_").groupBy("id_", "node").agg(F.first("text_").alias("text_"))
-    chosen = materialise(chosen.select("node", "text_"), "texts")
+    chosen = _with_nodes(chosen, words).filter("node = node_").groupBy("id_", "node")
+    chosen = materialise(chosen.agg(*[F.first(c).alias(c) for c in ("text_", "n", "sketch")]).drop("id_"), "texts")
 
-    links = materialise(_verified(first, chosen, words, percent).filter("linked").select("a", "b"), "links")
+    links = materialise(_verified(_room(first, chosen, percent), chosen, words, percent).filter("linked").select("a", "b"), "links")
     roots = materialise(_roots(links), "roots")
-    met = close.unionByName(_hot_pairs(blobs, hot_keys, roots)).distinct()
-    apart = materialise(_apart(met, roots), "apart")
+    met = rare.unionByName(_frequent_pairs(blobs, hot_keys, roots, percent)).unionByName(_hot_pairs(blobs, hot_keys, roots)).distinct()
+    apart = materialise(_room(_apart(met, roots), chosen, percent), "apart")
     more = materialise(_verified(apart, chosen, words, percent).filter("linked").select("a", "b"), "links")
-    discard(blobs, first, close, chosen, roots, apart)
+    discard(blobs, first, rare, chosen, roots, apart)
     comps = materialise(components(links.unionByName(more)), "components")
 
     joined = nodes.join(comps, "node").select("node", "component", "doc")
