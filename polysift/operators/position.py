@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegralType, NumericType, StringType
 
+from ..scratch import materialise
+
 BUCKET_ROWS = 65_536
 HASH_DIGITS = 4
 
@@ -57,7 +59,8 @@ def with_position(
     next row they take their value from; it needs a single order key that is unique in the group.
 
     ``total`` names a column for the rows of the group. ``first`` keeps that many rows of each group: the
-    bucket counts tell which buckets hold them, and only rows of these buckets are moved.
+    bucket counts tell which buckets hold them, and only rows of these buckets are moved. For ``total``, ``first`` and
+    ``following`` the buckets are counted when the plan is built.
 
     The running sum over bucket counts runs in one task per group. Hash buckets keep that at 16**digits
     rows; for integer buckets, each of ``levels`` (1 unless given) cuts it by another factor of 65 536.
@@ -76,6 +79,8 @@ def with_position(
     if following:
         aggs.append(F.min(order[0]).alias("_first"))
     spans = rows.groupBy(*keys).agg(*aggs)
+    if following or total or first is not None:
+        spans = materialise(spans, "spans")  # read several times below; a row per bucket
     offsets = _offsets(spans, group, levels)
     if first is not None:
         held = offsets.filter(F.col("_offset") < first)
