@@ -8,16 +8,14 @@ hash, and a group of ``l`` prefix tokens counts as ``l - 1``: a partner then sha
 group, so frequent tokens are indexed as pairs only. Candidates whose sketches (tokens per hash cell) leave no room for enough
 common tokens drop out, the others are verified on the full sets.
 
-Prefixes are longer than that by ``n // LONGER`` rare tokens where a set has them, so it must share more than one of them
-with a partner. Sets that share fewer with any others, such as those with a common passage, drop out before pairs are made.
-
 Which tokens are frequent only has to be the same for all documents; any choice gives the same links. The table of frequent
 tokens is broadcast and has at most ``CLASS_ENTRIES`` entries; a larger corpus raises the count where frequent begins.
 
 Hot groups: a group of copies is a single node from the start. Every set is first compared with one centre for each of its
 ``FIRST`` smallest tokens, a row per token, which hangs the bulk of a group of near copies on one root; from then on only
-members under different roots are compared. The members of a usual key travel as one list of at most ``HOT_KEY`` nodes; of keys
-with more, only members outside the key's largest part are compared with the members of the other parts.
+members under different roots are compared. The members of a usual key travel as one list of at most ``HOT_KEY`` nodes, and lists of
+the same documents meet in one task with the sketches of their members, so that a pair is written only if its sketches leave
+room. Of keys with more nodes, members outside the largest part are compared with the members of the other parts.
 """
 
 from __future__ import annotations
@@ -40,9 +38,7 @@ CLASS_ENTRIES = 2_000_000
 #: A token counted more often is frequent.
 RARE_COUNT = 32
 #: Tokens with hashes below this share of all hashes are counted; the others are put in the frequent class unseen.
-COUNTED_SHARE = 0.45
-#: A prefix has one more rare token for so many tokens of the set.
-LONGER = 12
+COUNTED_SHARE = 0.4
 #: Tokens a range of the hash space should hold, so that one task can sort it.
 RANGE_TOKENS = 1 << 20
 #: Tokens a task gathers before it hands them on.
@@ -51,9 +47,9 @@ FLUSH_TOKENS = 1 << 21
 FIRST = 4
 JUMPS = 2
 #: Cells of the sketch by which most candidate pairs are told apart before their texts are fetched.
-CELLS = 1024
+CELLS = 512
 #: Keys with more nodes than this are hot.
-HOT_KEY = 1024
+HOT_KEY = 4096
 #: Hot keys that are told apart by a broadcast list; with more of them, a hot key has more nodes.
 HOT_KEYS = 1_000_000
 
@@ -67,11 +63,6 @@ def _slack(n: int, percent: int) -> int:
     return n - -(-percent * n // 100)
 
 
-def _longer(n: int) -> int:
-    """Rare tokens that the longer prefix of a set of ``n`` makes it share."""
-    return 1 + n // LONGER
-
-
 def _ranges(tokens: np.ndarray, n_ranges: int) -> np.ndarray:
     return ((tokens & _LOW) * np.uint64(n_ranges)) >> np.uint64(32)
 
@@ -185,11 +176,10 @@ def class_table(blobs: DataFrame) -> np.ndarray:
     return np.sort(ids.astype(np.uint64))
 
 
-def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, n_ranges: int, percent: int) -> tuple[np.ndarray, bool, np.ndarray]:
-    """Rare tokens to index singly, whether they are the longer prefix, and keys of the pairs of frequent ones.
+def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, n_ranges: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rare tokens to index singly, and keys of the pairs of frequent ones.
 
-    The earlier of two prefixes to end lies within the other, so what it must share is indexed for both sets. A set with too
-    few rare tokens for the longer prefix indexes all of them, and so never ends before a longer prefix does.
+    The earlier of two prefixes to end lies within the other, so what it must share is indexed for both sets.
     """
     n = len(tokens)
     need = _slack(n, percent) + 1
@@ -200,11 +190,8 @@ def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, n_ranges: int, percent
         rare = counted[is_rare]
     else:
         rare, is_rare = counted, np.ones(len(counted), bool)
-    longer = need - 1 + _longer(n)
-    if len(rare) >= longer:
-        return rare[:longer], True, tokens[:0]
     if len(rare) >= need:
-        return rare, False, tokens[:0]
+        return rare[:need], tokens[:0]
     rest = np.concatenate((counted[~is_rare], tokens[len(counted) :]))
     need -= len(rare)
     keys = []
@@ -221,84 +208,79 @@ def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, n_ranges: int, percent
         while step < len(t) and (same := g[step:] == g[:-step]).any():
             keys.append(mix(t[:-step][same] * _M1 + t[step:][same] * _M2 + np.uint64(size_class)))
             step += 1
-    return rare, False, np.concatenate(keys) if keys else tokens[:0]
-
+    return rare, np.concatenate(keys) if keys else tokens[:0]
 
-def index_blobs(texts: DataFrame, words: int, n_ranges: int, percent: int, frequent) -> DataFrame:
-    """What every distinct set indexes, from one pass over the texts: (part, tokens, nodes, sizes, node, n).
 
-    Singly indexed tokens go by range as numbers with their nodes and the sizes of these; the lowest bit of a node says whether
-    its prefix is longer. Pairs of frequent tokens have a row per set, with its node and size.
-    """
-    names = ["part", "tokens", "nodes", "sizes", "node", "n"]
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+def rare_blobs(texts: DataFrame, words: int, n_ranges: int, percent: int, frequent) -> DataFrame:
+    """Singly indexed tokens of every distinct set by range: (part, tokens, nodes) as numbers."""
 
-    def pack(found: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
-        tokens = np.concatenate([t for _, _, t in found])
-        lengths = [len(t) for _, _, t in found]
-        nodes, sizes = (np.repeat(np.array([f[i] for f in found], kind), lengths) for i, kind in ((0, np.int64), (1, np.uint32)))
+    def pack(found: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        tokens = np.concatenate([t for _, t in found])
+        nodes = np.repeat(np.array([k for k, _ in found], np.int64), [len(t) for _, t in found])
         parts = _ranges(tokens, n_ranges)
         order = np.lexsort((tokens, parts))
-        tokens, nodes, sizes, parts = (tokens[order] >> np.uint64(32)).astype("<u4"), nodes[order], sizes[order], parts[order]
-        return batch_of([(r, tokens[s].tobytes(), nodes[s].astype("<i8").tobytes(), sizes[s].astype("<u4").tobytes(), None, None) for r, s in _by_range(parts, n_ranges)])
-
-    def pack_pairs(found: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
-        return batch_of([(None, t.astype("<u8").tobytes(), None, None, k, n) for k, n, t in found])
+        tokens, nodes, parts = (tokens[order] >> np.uint64(32)).astype("<u4"), nodes[order], parts[order]
+        rows = [(r, tokens[s].tobytes(), nodes[s].astype("<i8").tobytes()) for r, s in _by_range(parts, n_ranges)]
+        kinds = (pa.int64(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["part", "tokens", "nodes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, pairs, size = [], [], 0
+        held, size = [], 0
         for node, tokens in _distinct_sets(batches, words):
-            single, is_longer, both = prefix_keys(tokens, frequent.value, n_ranges, percent)
+            single, _ = prefix_keys(tokens, frequent.value, n_ranges, percent)
             if len(single):
-                held.append((node | is_longer, len(tokens), single))
+                held.append((node, single))
                 size += len(single)
-            if len(both):
-                pairs.append((node, len(tokens), sorted_unique(both)))
-                size += len(both)
             if size > FLUSH_TOKENS:
-                yield from (f(x) for f, x in ((pack, held), (pack_pairs, pairs)) if x)
-                held, pairs, size = [], [], 0
-        yield from (f(x) for f, x in ((pack, held), (pack_pairs, pairs)) if x)
+                yield pack(held)
+                held, size = [], 0
+        if held:
+            yield pack(held)
+
+    return texts.mapInArrow(run, "part long, tokens binary, nodes binary")
+
+
+def pair_blobs(texts: DataFrame, words: int, n_ranges: int, percent: int, frequent) -> DataFrame:
+    """Keys of the pairs of frequent tokens of every distinct set that indexes any: (tokens, node), a row per set."""
 
-    return texts.mapInArrow(run, "part long, tokens binary, nodes binary, sizes binary, node long, n int")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[bytes, int]] = []
+        for node, tokens in _distinct_sets(batches, words):
+            _, both = prefix_keys(tokens, frequent.value, n_ranges, percent)
+            if len(both):
+                held.append((sorted_unique(both).astype("<u8").tobytes(), node))
+            if len(held) >= 256:
+                yield batch_of(held)
+                held = []
+        yield batch_of(held)
 
+    def batch_of(rows: list[tuple[bytes, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64())], names=["tokens", "node"])
 
-_MEMBERS = "array<struct<node:long,n:int,longer:boolean>>"
-_MEMBER_TYPE = pa.list_(pa.struct([("node", pa.int64()), ("n", pa.int32()), ("longer", pa.bool_())]))
+    return texts.mapInArrow(run, "tokens binary, node long")
 
 
 def _rare_lists(blobs: DataFrame) -> DataFrame:
-    """(key, m, tokens): members of rare tokens with several nodes, and how many tokens have just these members.
+    """(m): sorted nodes of rare tokens that several share, a list once however many tokens have just these nodes.
 
     A rare token has at most ``RARE_COUNT`` of them; a range of the hash space is one task's work of bounded size.
     """
 
     def meet(part: pa.Table) -> pa.Table:
-        tokens, nodes, sizes = (np.frombuffer(b"".join(part.column(c).to_pylist()), t) for c, t in (("tokens", "<u4"), ("nodes", "<i8"), ("sizes", "<u4")))
+        tokens, nodes = (np.frombuffer(b"".join(part.column(c).to_pylist()), t) for c, t in (("tokens", "<u4"), ("nodes", "<i8")))
         order = np.lexsort((nodes, tokens))
-        tokens, nodes, sizes = tokens[order], nodes[order], sizes[order]
+        tokens, nodes = tokens[order], nodes[order]
         new = np.ones(len(tokens), bool)
         new[1:] = (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])
-        tokens, nodes, sizes = tokens[new], nodes[new], sizes[new]
+        tokens, nodes = tokens[new], nodes[new]
         edges = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1], [True]))) if len(tokens) else np.zeros(1, int)
         lengths = np.diff(edges)
-        groups: dict[bytes, list[int]] = {}
-        for a, size in zip(edges[:-1][lengths > 1].tolist(), lengths[lengths > 1].tolist(), strict=True):
-            groups.setdefault(nodes[a : a + size].tobytes(), [a, size, 0])[2] += 1
-        keys = [set_key(np.frombuffer(m, "<i8")) for m in groups]
-        at = np.concatenate([*(np.arange(a, a + size) for a, size, _ in groups.values()), np.zeros(0, int)]).astype(int)
-        members = pa.StructArray.from_arrays(
-            [pa.array(nodes[at] & ~1), pa.array(sizes[at].astype(np.int32)), pa.array((nodes[at] & 1).astype(bool))], names=["node", "n", "longer"]
-        )
-        offsets = np.concatenate(([0], np.cumsum([g[1] for g in groups.values()]))).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), members)
-        return pa.table({"key": pa.array(keys, pa.int64()), "m": lists.cast(_MEMBER_TYPE), "tokens": pa.array([g[2] for g in groups.values()], pa.int64())})
-
-    found = blobs.filter("part is not null").groupBy("part").applyInArrow(meet, f"key long, m {_MEMBERS}, tokens long")
-    return found.groupBy("key").agg(F.first("m").alias("m"), F.sum("tokens").alias("tokens"))
+        found = {nodes[a : a + n].tobytes() for a, n in zip(edges[:-1][lengths > 1].tolist(), lengths[lengths > 1].tolist(), strict=True)}
+        lists = [np.frombuffer(m, "<i8") for m in sorted(found)]
+        return pa.table({"key": pa.array([set_key(m) for m in lists], pa.int64()), "m": pa.array(lists, pa.list_(pa.int64()))})
+
+    found = blobs.groupBy("part").applyInArrow(meet, "key long, m array<long>")
+    return found.groupBy("key").agg(F.first("m").alias("m")).select("m")
 
 
 def _pair_keys(blobs: DataFrame, hot=None, want_hot: bool = False, facts: tuple[str, ...] = ()) -> DataFrame:
@@ -317,8 +299,7 @@ def _pair_keys(blobs: DataFrame, hot=None, want_hot: bool = False, facts: tuple[
                     part = keys[at : at + (1 << 16)]
                     yield pa.RecordBatch.from_arrays([pa.array(part), *(pa.array(np.full(len(part), x, np.int64)) for x in same)], names=names)
 
-    rows = blobs.filter("part is null").select("tokens", "node", *[F.col(f).cast("bigint").alias(f) for f in facts])
-    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return blobs.select("tokens", "node", *facts).mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def _hot_keys(blobs: DataFrame) -> np.ndarray:
@@ -336,97 +317,86 @@ def _hot_keys(blobs: DataFrame) -> np.ndarray:
     return np.sort(keys)
 
 
-def _listed_pairs(lists: DataFrame) -> DataFrame:
-    """(a, b, tokens, na, nb, la, lb) of members of the same list that differ in ``comp``, with their sizes and prefixes.
+def _lists(rare: DataFrame, blobs: DataFrame, hot) -> DataFrame:
+    """(first, m): sorted nodes of all keys that are not hot, by their first node."""
+    pairs = _pair_keys(blobs, hot, False).groupBy("key").agg(F.sort_array(F.collect_set("node")).alias("m")).filter(F.size("m") > 1)
+    every = rare.unionByName(pairs.select("m")).distinct()
+    return every.select(F.get("m", F.lit(0)).alias("first"), "m")
 
-    Lists (m, tokens) with the same first member, mostly of the same group of documents, come to the same tasks and are counted in
-    one table of their members, so that a pair that many lists hold is written once for all of them.
-    """
 
-    def counted(held: list[tuple]) -> pa.RecordBatch:
-        nodes, at = np.unique(np.concatenate([h[0] for h in held]), return_index=True)
-        n, longer, comp = (np.concatenate([h[i] for h in held])[at] for i in (1, 2, 3))
-        table = np.zeros((len(nodes), len(nodes)), np.int64)
-        for members, _, _, _, tokens in held:
-            place = np.searchsorted(nodes, members)
-            table[np.ix_(place, place)] += tokens
-        i, j = np.nonzero(np.triu(table, 1) * (comp[:, None] != comp[None, :]))
-        columns = (nodes[i], nodes[j], table[i, j], n[i], n[j], longer[i], longer[j])
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "tokens", "na", "nb", "la", "lb"])
+def _members(lists: DataFrame) -> DataFrame:
+    """(first, node) of the lists, once for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, known, last = [], 0, None
+        held, last, size = [], None, 0
         for batch in batches:
-            firsts, lists, tokens = batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()
-            flat, cuts = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            columns = [flat.field(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            firsts, column = batch.column(0).to_pylist(), batch.column(1)
+            flat, cuts = column.flatten().to_numpy(), column.offsets.to_numpy() - column.offsets[0].as_py()
             for k, first in enumerate(firsts):
-                s = slice(int(cuts[k]), int(cuts[k + 1]))
-                if held and (first != last or known + s.stop - s.start > 100_000):
-                    yield from _parts(held, counted)
-                    held, known = [], 0
+                if held and (first != last or size > 1_000_000):
+                    nodes = np.unique(np.concatenate(held))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nodes), last, np.int64)), pa.array(nodes)], names=["first", "node"])
+                    held, size = [], 0
                 last = first
-                held.append((*(c[s] for c in columns), tokens[k]))
-                known += s.stop - s.start
+                held.append(flat[cuts[k] : cuts[k + 1]])
+                size += len(held[-1])
         if held:
-            yield from _parts(held, counted)
-
-    lists = lists.select(F.get("m", F.lit(0))["node"].alias("first"), "m", "tokens").repartition("first").sortWithinPartitions("first")
-    return lists.mapInArrow(run, "a long, b long, tokens long, na int, nb int, la boolean, lb boolean")
-
-
-def _parts(held: list[tuple], counted) -> Iterator[pa.RecordBatch]:
-    """Tables of at most twice ``HOT_KEY`` members or a single list."""
-    part, seen = [], set()
-    for h in held:
-        more = seen.union(h[0].tolist())
-        if part and len(more) > 2 * HOT_KEY:
-            yield counted(part)
-            part, more = [], set(h[0].tolist())
-        part.append(h)
-        seen = more
-    if part:
-        yield counted(part)
-
-
-def _fitting(pairs: DataFrame, percent: int) -> DataFrame:
-    return pairs.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+            nodes = np.unique(np.concatenate(held))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nodes), last, np.int64)), pa.array(nodes)], names=["first", "node"])
 
+    return lists.repartition("first").sortWithinPartitions("first").mapInArrow(run, "first long, node long").distinct()
 
-def _rare_pairs(blobs: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of nodes that share as many rare tokens as similar sets must."""
-    same = F.transform("m", lambda x: F.struct(x.node.alias("node"), x.n.alias("n"), x.longer.alias("longer"), x.node.alias("comp")))
-    pairs = _fitting(_listed_pairs(_rare_lists(blobs).select(same.alias("m"), "tokens")), percent)
-    sums = pairs.groupBy("a", "b").agg(F.sum("tokens").alias("tokens"), *[F.first(c).alias(c) for c in ("na", "nb", "la", "lb")])
-    both = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / (100 + percent))  # the smallest intersection
 
-    def bound(n: str):
-        slack = F.col(n) - F.ceil(F.col(n) * percent / 100)
-        return slack + 1 + F.floor(F.col(n) / LONGER) - (F.col(n) - both)
+def _listed_pairs(lists: DataFrame, members: DataFrame, texts: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of nodes of the same list that are under different roots and whose sketches leave room.
 
-    least = F.when(F.col("la") & F.col("lb"), F.greatest(F.lit(1), F.least(bound("na"), bound("nb")))).otherwise(1)
-    return sums.filter(F.col("tokens") >= least).select("a", "b")
-
-
-def _frequent_pairs(blobs: DataFrame, hot, roots: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of nodes under different roots that share a pair of frequent tokens, from keys that are not hot."""
-    # Roots are joined to sets, and go with their keys from there.
-    rows = _pair_keys(_labelled(blobs, roots), hot, False, ("n", "comp"))
-    member = F.struct("node", F.col("n").cast("int").alias("n"), F.lit(False).alias("longer"), "comp")
-    lists = rows.groupBy("key").agg(F.sort_array(F.collect_set(member)).alias("m"), F.min("comp").alias("x"), F.max("comp").alias("y"))
-    pairs = _listed_pairs(lists.filter("x != y").select("m", F.lit(1).cast("bigint").alias("tokens")))
-    return _fitting(pairs, percent).select("a", "b").distinct()
-
-
-def _labelled(blobs: DataFrame, roots: DataFrame) -> DataFrame:
-    joined = blobs.filter("part is null").join(roots.select("node", "component"), "node", "left")
-    return joined.withColumn("comp", F.coalesce("component", "node")).drop("component")
-
-
-def _least_shared(n_a: int, n_b: int, percent: int) -> int:
-    """Rare tokens that two similar sets with longer prefixes must share in them, as :func:`_rare_pairs` asks for."""
-    both = -(-percent * (n_a + n_b) // (100 + percent))
-    return max(1, min(_slack(n, percent) + _longer(n) - (n - both) for n in (n_a, n_b)))
+    Lists with the same first node meet its members in one group: as many lists as this node has keys, each of at most
+    ``HOT_KEY`` nodes.
+    """
+    known = texts.select("node", "n", "sketch").join(roots.select("node", "component"), "node", "left")
+    facts = members.join(known, "node").select("first", "node", "n", "sketch", F.coalesce("component", "node").alias("comp"))
+
+    def pairs(left: pa.Table, right: pa.Table) -> pa.Table:
+        lists, right = left.column("m").combine_chunks(), right.sort_by("node")
+        nodes, n, comp = (right.column(c).to_numpy() for c in ("node", "n", "comp"))
+        cells = np.frombuffer(b"".join(right.column("sketch").to_pylist()), np.uint8).reshape(-1, CELLS)
+        flat, cuts = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        place = np.searchsorted(nodes, flat)
+        out_a, out_b = [], []
+        for i, j in _blocks_of(place, cuts, len(nodes)):
+            fits = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+            i, j = i[fits], j[fits]
+            for at in range(0, len(i), 8192):
+                x, y = i[at : at + 8192], j[at : at + 8192]
+                kept = _leaves_room(cells[x], cells[y], n[x] + n[y], percent)
+                out_a.append(nodes[x[kept]])
+                out_b.append(nodes[y[kept]])
+        none = np.zeros(0, np.int64)
+        return pa.table({"a": np.concatenate([*out_a, none]), "b": np.concatenate([*out_b, none])})
+
+    grouped = lists.groupBy("first").cogroup(facts.groupBy("first"))
+    return grouped.applyInArrow(pairs, "a long, b long").distinct()
+
+
+def _blocks_of(place: np.ndarray, cuts: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places that are in a common list, each pair once, some thousand first members at a time."""
+    step = max(1, (1 << 24) // max(1, n))
+    for low in range(0, n, step):
+        table = np.zeros((min(step, n - low), n), bool)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            members = place[a:b]
+            inside = members[(members >= low) & (members < low + step)] - low
+            if len(inside):
+                table[np.ix_(inside, members)] = True
+        i, j = np.nonzero(table)
+        ahead = j > i + low
+        yield i[ahead] + low, j[ahead]
+
+
+def _leaves_room(p: np.ndarray, q: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the tokens that two sketches may share are enough for two sets of ``n`` tokens together."""
+    low = np.minimum(p, q)
+    return (low == 255).any(1) | ((100 + percent) * low.sum(1, dtype=np.int64) >= percent * n)
 
 
 def _sketch(tokens: np.ndarray) -> bytes:
@@ -444,11 +414,7 @@ def _room(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 p, q = (np.frombuffer(b"".join(part.column(i).to_pylist()), np.uint8).reshape(-1, CELLS) for i in (2, 3))
-                low = np.minimum(p, q)
-                full = (low == 255).any(1)
-                room = low.sum(1, dtype=np.int64)
-                n = part.column(4).to_numpy() + part.column(5).to_numpy()
-                kept.append(full | ((100 + percent) * room >= percent * n))
+                kept.append(_leaves_room(p, q, part.column(4).to_numpy() + part.column(5).to_numpy(), percent))
             mask = pa.array(np.concatenate(kept) if kept else np.zeros(0, bool))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(mask)
 
@@ -540,7 +506,8 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 def _hot_pairs(blobs: DataFrame, hot, roots: DataFrame) -> DataFrame:
     """(a, b) of members outside the largest part of a hot key and all nodes of the other parts of the key."""
     labels = roots.select("node", "component")
-    rows = materialise(_pair_keys(_labelled(blobs, roots), hot, True, ("comp",)), "hot")
+    labelled = blobs.join(labels, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+    rows = materialise(_pair_keys(labelled, hot, True, ("comp",)), "hot")
     sizes = materialise(rows.groupBy("key", "comp").agg(F.count("*").alias("rows")), "hot")
     tops = sizes.groupBy("key").agg(F.max(F.struct("rows", "comp")).alias("top"), F.count("*").alias("kinds")).filter("kinds > 1")
     tops = tops.select(F.col("key").alias("mixed"), F.col("top.comp").alias("main"))
@@ -572,15 +539,15 @@ def similar_components(
     keyed = read.filter("part is null").select("id_", "n_shingles", "node", "first")
     nodes = materialise(keyed.filter("node is not null").groupBy("node").agg(F.min("id_").alias("doc")), "nodes")
     frequent = spark.sparkContext.broadcast(class_table(read.filter("part is not null").select("part", "blob")))
-    blobs = materialise(index_blobs(texts, words, n_ranges, percent, frequent), "index")
+    blobs = materialise(pair_blobs(texts, words, n_ranges, percent, frequent), "pairs")
     hot_keys = spark.sparkContext.broadcast(_hot_keys(blobs))
     first = materialise(_first_pairs(keyed, percent), "first")
-    rare = materialise(_rare_pairs(blobs, percent), "rare")
+    lists = materialise(_lists(_rare_lists(rare_blobs(texts, words, n_ranges, percent, frequent)), blobs, hot_keys), "lists")
+    members = materialise(_members(lists), "members")
 
     # One text of each candidate is kept: a row of its smallest id. Rows that repeat this id may have other sets.
-    met = first.unionByName(rare)
-    ends = met.select(F.col("a").alias("node")).unionByName(met.select(F.col("b").alias("node")))
-    ends = ends.unionByName(blobs.filter("part is null").select("node")).distinct()
+    ends = first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node")))
+    ends = ends.unionByName(members.select("node")).unionByName(_pair_keys(blobs, hot_keys, True).select("node")).distinct()
     wanted = ends.join(nodes, "node").select(F.col("doc").alias("doc_"), F.col("node").alias("node_"))
     again = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
     chosen = again.join(wanted, F.col("id_").eqNullSafe(F.col("doc_"))).select("id_", "node_", "text_")
@@ -589,10 +556,10 @@ def similar_components(
 
     links = materialise(_verified(_room(first, chosen, percent), chosen, words, percent).filter("linked").select("a", "b"), "links")
     roots = materialise(_roots(links), "roots")
-    met = rare.unionByName(_frequent_pairs(blobs, hot_keys, roots, percent)).unionByName(_hot_pairs(blobs, hot_keys, roots)).distinct()
-    apart = materialise(_room(_apart(met, roots), chosen, percent), "apart")
+    met = _room(_apart(_hot_pairs(blobs, hot_keys, roots), roots), chosen, percent)
+    apart = materialise(_listed_pairs(lists, members, chosen, roots, percent).unionByName(met).distinct(), "apart")
     more = materialise(_verified(apart, chosen, words, percent).filter("linked").select("a", "b"), "links")
-    discard(blobs, first, rare, chosen, roots, apart)
+    discard(blobs, first, lists, members, chosen, roots, apart)
     comps = materialise(components(links.unionByName(more)), "components")
 
     joined = nodes.join(comps, "node").select("node", "component", "doc")

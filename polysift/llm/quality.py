@@ -146,7 +146,7 @@ def quality(
     groups, prior = posteriors(rows.select("host", "path", F.col("own").alias("p")))
     out = _combined(rows.join(groups, ["host", "path"]), prior)
     return out.select(
-        F.col("id_").alias(id_col), "host", "path", "classifier", "host_rate", "path_rate", "probability", (F.col("probability") >= threshold).alias("keep")
+        F.col("id_").alias(id_col), "host", "path", "classifier", "host_rate", "path_rate", "probability", (F.col("probability") >= threshold - 1e-9).alias("keep")
     )
 
 

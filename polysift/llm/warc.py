@@ -11,6 +11,7 @@ Record bodies are hashed where they are read; what moves is one digest per recor
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -114,69 +115,74 @@ def manifest(rows: DataFrame) -> DataFrame:
 
 
 def _parent(level: DataFrame, keys: list[str]) -> DataFrame:
-    """Nodes over runs of at most ``FANOUT`` children; the digest covers their ranges in order."""
+    """Nodes over runs of at most ``FANOUT`` children; the digest covers their ranges in order.
+
+    An only record, or run of records, keeps its digest, so that a longer file elsewhere does not change a file's digest.
+    """
     last = keys[-1]
     line = F.concat_ws(":", F.col(last).cast("string"), F.col("first").cast("string"), F.col("end").cast("string"), F.coalesce("sha256", F.lit("-")))
     grouped = level.groupBy(*keys[:-1], F.shiftright(last, 4).alias("up")).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(last).alias("k"), line.alias("line")))).alias("kids"), F.min("first").alias("first"), F.max("end").alias("end")
+        F.sort_array(F.collect_list(F.struct(F.col(last).alias("k"), line.alias("line"), "sha256"))).alias("kids"), F.min("first").alias("first"), F.max("end").alias("end")
     )
     text = F.concat_ws("\n", F.transform("kids", lambda x: x.line))
-    return grouped.select(*keys[:-1], F.col("up").alias(last), "first", "end", F.sha2(text, 256).alias("sha256"))
+    digest = F.sha2(text, 256)
+    if last == "seq":
+        digest = F.when(F.size("kids") == 1, F.get("kids", F.lit(0))["sha256"]).otherwise(digest)
+    return grouped.select(*keys[:-1], F.col("up").alias(last), "first", "end", digest.alias("sha256"))
 
 
-def tree(leaves: DataFrame, *, name: str = "tree") -> list[tuple[str, DataFrame]]:
-    """Levels from the records up: ("record", ...) levels by (file, seq), then ("file", ...) levels by file number.
+@dataclass(frozen=True)
+class Tree:
+    """Levels from the bottom: nodes (file, seq, first, end, sha256) over records, and (file, first, end, sha256) over files."""
 
-    ``leaves`` has (file, seq, offset, length, sha256); a null digest stands for a record that cannot be read.
-    """
+    records: list[DataFrame]
+    files: list[DataFrame]
+
+
+def tree(leaves: DataFrame, *, name: str = "tree") -> Tree:
+    """Tree over records (file, seq, offset, length, sha256); a null digest stands for a record that cannot be read."""
     level = leaves.select("file", "seq", F.col("offset").alias("first"), (F.col("offset") + F.col("length")).alias("end"), "sha256")
-    levels = [("record", materialise(level, name))]
-    while (top := levels[-1][1].agg(F.max("seq")).first()[0]) is not None and top > 0:
-        levels.append(("record", materialise(_parent(levels[-1][1], ["file", "seq"]), name)))
-    level = levels[-1][1].drop("seq")
-    levels.append(("file", materialise(level, name)))
-    while len(levels) < MAX_LEVELS + 16 and levels[-1][1].limit(2).count() > 1:
-        before = levels[-1][1]
-        span = before.agg(F.min("file"), F.max("file")).first()
-        if span[0] == -1 and span[1] == 0:  # the two halves of the numbers
-            break
-        levels.append(("file", materialise(_parent(before, ["file"]), name)))
-    return levels
-
-
-def audit(ours: list[tuple[str, DataFrame]], theirs: list[tuple[str, DataFrame]]) -> DataFrame:
+    records = [materialise(level, name)]
+    while (top := records[-1].agg(F.max("seq")).first()[0]) is not None and top > 0:
+        records.append(materialise(_parent(records[-1], ["file", "seq"]), name))
+    files = [materialise(records[-1].drop("seq"), name)]
+    while len(files) < MAX_LEVELS and files[-1].limit(2).count() > 1:
+        files.append(materialise(_parent(files[-1], ["file"]), name))
+    return Tree(records, files)
+
+
+def _compared(mine: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Nodes that differ, with what is wrong with them."""
+    a, b = mine.select(*keys, F.struct("first", "end", "sha256").alias("a")), other.select(*keys, F.struct("first", "end", "sha256").alias("b"))
+    both = a.join(b, keys, "full_outer").filter(~F.col("a").eqNullSafe(F.col("b")))
+    lost = F.col("b").isNull() | F.col("b.sha256").isNull() & F.col("a.sha256").isNotNull()
+    status = F.when(F.col("a").isNull(), "extra").when(lost, "missing").otherwise("corrupt")
+    return materialise(both.select(*keys, status.alias("status")), "differing")
+
+
+def audit(ours: Tree, theirs: Tree) -> DataFrame:
     """(file, seq, status) of records that differ: ``corrupt``, ``missing`` from theirs or ``extra`` there.
 
     Equal roots end it at once. Trees of different heights are compared from their common top; a level is read only under
     nodes that differ.
     """
-    height = min(len(ours), len(theirs))
     differing = None
-    for depth in range(height - 1, -1, -1):
-        kind, mine = ours[depth]
-        other = theirs[depth][1]
-        keys = ["file", "seq"] if kind == "record" else ["file"]
+    for mine, other in reversed(list(zip(ours.files, theirs.files))):
         if differing is not None:
-            mine, other = _under(mine, differing, keys, ours[depth + 1][0]), _under(other, differing, keys, ours[depth + 1][0])
-        a, b = mine.select(*keys, F.struct("first", "end", "sha256").alias("a")), other.select(*keys, F.struct("first", "end", "sha256").alias("b"))
-        both = a.join(b, keys, "full_outer").filter(~F.col("a").eqNullSafe(F.col("b")))
-        lost = F.col("b").isNull() | F.col("b.sha256").isNull() & F.col("a.sha256").isNotNull()
-        status = F.when(F.col("a").isNull(), "extra").when(lost, "missing").otherwise("corrupt")
-        differing = materialise(both.select(*keys, status.alias("status")), "differing")
+            up = differing.select(F.col("file").alias("up"))
+            mine, other = (x.withColumn("up", F.shiftright("file", 4)).join(up, "up", "left_semi").drop("up") for x in (mine, other))
+        differing = _compared(mine, other, ["file"])
+    inside = differing.select("file")
+    for depth, (mine, other) in reversed(list(enumerate(zip(ours.records, theirs.records)))):
+        if depth == min(len(ours.records), len(theirs.records)) - 1:
+            mine, other = (x.join(inside, "file", "left_semi") for x in (mine, other))
+        else:
+            up = differing.select("file", F.col("seq").alias("up"))
+            mine, other = (x.withColumn("up", F.shiftright("seq", 4)).join(up, ["file", "up"], "left_semi").drop("up") for x in (mine, other))
+        differing = _compared(mine, other, ["file", "seq"])
     return differing
 
 
-def _under(level: DataFrame, differing: DataFrame, keys: list[str], above: str) -> DataFrame:
-    """Children of the differing nodes."""
-    if above == "record":
-        up = differing.select("file", F.col("seq").alias("up"))
-        return level.withColumn("up", F.shiftright("seq", 4)).join(up, ["file", "up"], "left_semi").drop("up")
-    if keys == ["file", "seq"]:
-        return level.join(differing.select("file"), "file", "left_semi")
-    up = differing.select(F.col("file").alias("up"))
-    return level.withColumn("up", F.shiftright("file", 4)).join(up, "up", "left_semi").drop("up")
-
-
 def fixity(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     """Records of a manifest with ``status``: ``intact`` or what the audit of the replica found, and extra ones of the replica.
 
