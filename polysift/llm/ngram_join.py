@@ -454,19 +454,24 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
 
 def _with_nodes(rows: DataFrame, words: int) -> DataFrame:
-    """Rows (id_, node_, text_) with the node of their text, the size of its set and its sketch."""
-    kind = rows.schema["id_"].dataType.simpleString()
+    """(node, text_, n, sketch) of rows (node_, text_) whose text has that node, once in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                sets = list(text_sets(_texts(part.column(2)), words))
-                nodes, n = [_node(s) if len(s) else None for s in sets], [len(s) for s in sets]
-                more = [pa.array(nodes, pa.int64()), pa.array(n, pa.int64()), pa.array([_sketch(s) for s in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays([*part.columns, *more], names=["id_", "node_", "text_", "node", "n", "sketch"])
+                kept, n, sketches = [], [], []
+                for k, (node, tokens) in enumerate(zip(part.column(0).to_pylist(), text_sets(_texts(part.column(1)), words), strict=True)):
+                    if len(tokens) and node not in seen and _node(tokens) == node:
+                        seen.add(node)
+                        kept.append(k)
+                        n.append(len(tokens))
+                        sketches.append(_sketch(tokens))
+                rows = part.take(pa.array(kept, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(n, pa.int64()), pa.array(sketches, pa.binary())], names=["node", "text_", "n", "sketch"])
 
-    return rows.mapInArrow(run, f"id_ {kind}, node_ long, text_ string, node long, n long, sketch binary")
+    return rows.select("node_", "text_").mapInArrow(run, "node long, text_ string, n long, sketch binary")
 
 
 def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
@@ -495,6 +500,16 @@ def _roots(links: DataFrame) -> DataFrame:
     return tops.unionByName(ends.select(F.col("component").alias("node"), "component"))
 
 
+def _joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) from the roots of nodes and further links: only links between roots are followed."""
+    up = {c: roots.select(F.col("node").alias(c), F.col("component").alias(f"r{c}")) for c in ("a", "b")}
+    tops = links.join(up["a"], "a", "left").join(up["b"], "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    above = materialise(components(tops.distinct()), "above")
+    ends = above.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    below = roots.join(ends, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    return below.unionByName(above.join(roots.select("node"), "node", "left_anti").select("node", "component"))
+
+
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     """Pairs whose ends are not known to be in the same component."""
     one = comps.select(F.col("node").alias("a"), F.col("component").alias("ca"))
@@ -536,7 +551,7 @@ def similar_components(
     size = texts.agg(F.sum(F.octet_length("text_"))).first()[0] or 0
     n_ranges = max(4, size // 6 // RANGE_TOKENS)
     read = materialise(read_sets(docs, id_col, text_col, words, n_ranges), "sets")
-    keyed = read.filter("part is null").select("id_", "n_shingles", "node", "first")
+    keyed = materialise(read.filter("part is null").select("id_", "n_shingles", "node", "first"), "keys")
     nodes = materialise(keyed.filter("node is not null").groupBy("node").agg(F.min("id_").alias("doc")), "nodes")
     frequent = spark.sparkContext.broadcast(class_table(read.filter("part is not null").select("part", "blob")))
     blobs = materialise(pair_blobs(texts, words, n_ranges, percent, frequent), "pairs")
@@ -544,23 +559,26 @@ def similar_components(
     first = materialise(_first_pairs(keyed, percent), "first")
     lists = materialise(_lists(_rare_lists(rare_blobs(texts, words, n_ranges, percent, frequent)), blobs, hot_keys), "lists")
     members = materialise(_members(lists), "members")
+    discard(read)
 
     # One text of each candidate is kept: a row of its smallest id. Rows that repeat this id may have other sets.
     ends = first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node")))
     ends = ends.unionByName(members.select("node")).unionByName(_pair_keys(blobs, hot_keys, True).select("node")).distinct()
     wanted = ends.join(nodes, "node").select(F.col("doc").alias("doc_"), F.col("node").alias("node_"))
     again = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
-    chosen = again.join(wanted, F.col("id_").eqNullSafe(F.col("doc_"))).select("id_", "node_", "text_")
-    chosen = _with_nodes(chosen, words).filter("node = node_").groupBy("id_", "node")
-    chosen = materialise(chosen.agg(*[F.first(c).alias(c) for c in ("text_", "n", "sketch")]).drop("id_"), "texts")
+    # Rows of one id meet in one task, so a text that is repeated is taken once.
+    chosen = again.join(wanted, F.col("id_").eqNullSafe(F.col("doc_")))
+    chosen = materialise(_with_nodes(chosen, words), "texts")
 
     links = materialise(_verified(_room(first, chosen, percent), chosen, words, percent).filter("linked").select("a", "b"), "links")
     roots = materialise(_roots(links), "roots")
+    discard(first, links)
     met = _room(_apart(_hot_pairs(blobs, hot_keys, roots), roots), chosen, percent)
     apart = materialise(_listed_pairs(lists, members, chosen, roots, percent).unionByName(met).distinct(), "apart")
-    more = materialise(_verified(apart, chosen, words, percent).filter("linked").select("a", "b"), "links")
-    discard(blobs, first, lists, members, chosen, roots, apart)
-    comps = materialise(components(links.unionByName(more)), "components")
+    more = materialise(_verified(apart, chosen, words, percent).filter("linked").select("a", "b").distinct(), "links")
+    discard(blobs, lists, members, chosen, apart)
+    comps = materialise(_joined_roots(roots, more), "components")
+    discard(roots, more)
 
     joined = nodes.join(comps, "node").select("node", "component", "doc")
     tops = joined.groupBy("component").agg(F.min("doc").alias("top"))
