@@ -571,8 +571,9 @@ def similar_components(
     chosen = materialise(_with_nodes(chosen, words), "texts")
 
     links = materialise(_verified(_room(first, chosen, percent), chosen, words, percent).filter("linked").select("a", "b"), "links")
-    roots = materialise(_roots(links), "roots")
-    discard(first, links)
+    near = materialise(_roots(links), "roots")
+    roots = materialise(_joined_roots(near, links), "roots")
+    discard(first, links, near)
     met = _room(_apart(_hot_pairs(blobs, hot_keys, roots), roots), chosen, percent)
     apart = materialise(_listed_pairs(lists, members, chosen, roots, percent).unionByName(met).distinct(), "apart")
     more = materialise(_verified(apart, chosen, words, percent).filter("linked").select("a", "b").distinct(), "links")
