@@ -50,14 +50,14 @@ class PerfectHash:
             parts = [(hashes[i] & _SLOT, (hashes[i] >> 32 & _SLOT) | 1) for i in members]
             shift = 0
             while True:
-                slots = {(a + shift * b) % n for a, b in parts}
+                slots = {self._at(a, b, shift) for a, b in parts}
                 if len(slots) == len(parts) and all(free[s] for s in slots):
                     break
                 shift += 1
             self.shift[bucket] = shift
             for i, (a, b) in zip(members, parts, strict=True):
-                self.key_at[(a + shift * b) % n] = i
-                free[(a + shift * b) % n] = False
+                self.key_at[self._at(a, b, shift)] = i
+                free[self._at(a, b, shift)] = False
         for (bucket, i), slot in zip(singles, np.flatnonzero(free).tolist(), strict=True):
             self.shift[bucket] = -slot - 1
             self.key_at[slot] = i
@@ -66,7 +66,11 @@ class PerfectHash:
         """Slot of the key if it is one of the keys; any slot otherwise."""
         h = xxhash.xxh3_128_intdigest(key)
         shift = int(self.shift[(h >> 64) % self.n_buckets])
-        return -shift - 1 if shift < 0 else ((h & _SLOT) + shift * ((h >> 32 & _SLOT) | 1)) % self.n
+        return -shift - 1 if shift < 0 else self._at(h & _SLOT, (h >> 32 & _SLOT) | 1, shift)
+
+    def _at(self, a: int, b: int, shift: int) -> int:
+        """Displaced slot; after ``n`` steps of ``b`` the start moves on by one, so every slot is reached."""
+        return (a + shift % self.n * b + shift // self.n) % self.n
 
 
 class Vocabulary:
