@@ -43,9 +43,8 @@ COUNTED_SHARE = 0.4
 RANGE_TOKENS = 1 << 20
 #: Tokens a task gathers before it hands them on.
 FLUSH_TOKENS = 1 << 21
-#: Smallest tokens by which a set is first compared with a centre, and steps from centre to centre towards a root.
-FIRST = 4
-JUMPS = 2
+#: Smallest tokens by which a set is first compared with a centre.
+FIRST = 8
 #: Cells of the sketch by which most candidate pairs are told apart before their texts are fetched.
 CELLS = 512
 #: Keys with more nodes than this are hot.
@@ -481,23 +480,13 @@ def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
 def _first_pairs(keyed: DataFrame, percent: int) -> DataFrame:
     """(a, b) of every node and a centre for each of its smallest tokens, where their sizes allow a link.
 
-    The centre has the smallest hash of the token's nodes, so steps from centre to centre never come back.
+    Each token has a centre of its own: a set that is far from one of them may be close to another.
     """
     rows = keyed.filter("node is not null").groupBy("node").agg(F.first("first").alias("first"), F.first("n_shingles").alias("n"))
     rows = rows.select("node", "n", F.explode("first").alias("token"))
-    tops = rows.groupBy("token").agg(F.count("*").alias("held"), F.min_by(F.struct("node", "n"), F.xxhash64("node")).alias("c")).filter("held > 1")
+    tops = rows.groupBy("token").agg(F.count("*").alias("held"), F.min_by(F.struct("node", "n"), F.xxhash64("node", "token")).alias("c")).filter("held > 1")
     met = rows.join(tops, "token").filter("node != c.node").filter(100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n"))
-    return met.select(F.col("node").alias("a"), F.col("c.node").alias("b")).distinct()
-
-
-def _roots(links: DataFrame) -> DataFrame:
-    """(node, component) of nodes linked to a centre, and of these: a node of their component that many members agree on."""
-    tops = links.groupBy(F.col("a").alias("node")).agg(F.min_by("b", F.xxhash64("b")).alias("component"))
-    for _ in range(JUMPS):
-        above = tops.select(F.col("node").alias("component"), F.col("component").alias("up"))
-        tops = tops.join(above, "component", "left").select("node", F.coalesce("up", "component").alias("component"))
-    ends = tops.select("component").distinct().join(tops.select(F.col("node").alias("component")), "component", "left_anti")
-    return tops.unionByName(ends.select(F.col("component").alias("node"), "component"))
+    return _ordered(met, "node", "c.node").distinct()
 
 
 def _joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -571,9 +560,8 @@ def similar_components(
     chosen = materialise(_with_nodes(chosen, words), "texts")
 
     links = materialise(_verified(_room(first, chosen, percent), chosen, words, percent).filter("linked").select("a", "b"), "links")
-    near = materialise(_roots(links), "roots")
-    roots = materialise(_joined_roots(near, links), "roots")
-    discard(first, links, near)
+    roots = materialise(components(links), "roots")
+    discard(first, links)
     met = _room(_apart(_hot_pairs(blobs, hot_keys, roots), roots), chosen, percent)
     apart = materialise(_listed_pairs(lists, members, chosen, roots, percent).unionByName(met).distinct(), "apart")
     more = materialise(_verified(apart, chosen, words, percent).filter("linked").select("a", "b").distinct(), "links")
