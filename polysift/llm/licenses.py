@@ -1,10 +1,14 @@
 """Licence families of paragraphs: a trained sparse n-gram classifier, a calibrated unknown class, a template comparison.
 
-A paragraph is a line of text. Only lines with one of the anchor words are looked at. Features are word uni- and bigrams that
-occur in the training texts, found by their crc32 in a table of slots; a softmax over the families and ``unknown`` gives
-probabilities, sharpened or softened by a temperature fitted on held-out texts. A line counts as a family if that class leads with at
-least ``THRESHOLD`` and the line holds at least ``CONFIRM`` of the words of one of the family's templates; other lines with
-anchors count as unknown.
+A paragraph is a run of lines with words; how it is wrapped does not matter. A stretch of a paragraph, at most ``SPREAD`` times as
+long as one of a family's templates, can be a notice if it holds at least ``CONFIRM`` of the template's words. The stretch that
+holds most of them counts, cut to the words it needs, unless one that overlaps it holds all of these words and more. Features are
+the stretch's word uni- and bigrams that occur in the training texts, found by their crc32 in a table of slots; a softmax over the
+families and ``unknown`` gives probabilities, sharpened or softened by a temperature fitted on held-out texts. A stretch counts as
+a family if that class leads with at least ``THRESHOLD``. Other lines with one of the anchor words count as unknown.
+
+Few stretches are looked at, without losing one: a stretch that lacks at most a quarter of a template's words holds one of any
+choice of more words than that, so only the words around these, the template's keys, are compared.
 
 Training runs once on the driver, on the templates, cut and stretched variants of them, and lines that speak of licences
 without granting one; its size does not depend on the data. Scoring is one projection of native expressions: the weights are
@@ -14,9 +18,11 @@ constants of the plan, nothing moves and no row leaves the JVM.
 from __future__ import annotations
 
 import json
+import math
 import random
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -29,6 +35,7 @@ from polysift.functions.bind import let
 SLOTS = 1 << 16
 THRESHOLD = 0.6
 CONFIRM = 0.75
+SPREAD = 2
 UNKNOWN = "unknown"
 ANCHORS = "licen[cs]e[ds]?|licen[cs]ing|copyright|permission|warrant(?:y|ies)|redistributions?|gnu|public domain|spdx"
 _GATE = rf"(?i)\b(?:{ANCHORS})\b"
@@ -52,16 +59,19 @@ TEMPLATES = {
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License version 3",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
         "SPDX-License-Identifier: GPL-3.0-only",
     ),
     "GPL-2.0": (
         "Licensed under the GNU General Public License, version 2.",
         "You can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
         "SPDX-License-Identifier: GPL-2.0-only",
     ),
     "LGPL": (
         "This library is licensed under the GNU Lesser General Public License.",
         "You can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License",
         "SPDX-License-Identifier: LGPL-3.0-or-later",
     ),
     "BSD": (
@@ -185,58 +195,138 @@ def _constant(value, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value)), kind)
 
 
-def _scored(line: Column, model: Model) -> Column:
-    """(family, probability, confirmed) of a line."""
-    classes = len(model.classes)
-    words = F.regexp_extract_all(F.lower(line), F.lit(_WORD), F.lit(0))
+def _probable(words: Column, model: Model) -> Column:
+    """(at, p): the leading class of a text's words and its probability."""
 
     def grams(w: Column) -> Column:
         two = F.when(F.size(w) > 1, F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b)))
         return F.array_distinct(F.concat(w, F.coalesce(two, F.array().cast("array<string>"))))
 
-    def decided(w: Column, rows: Column, table: Column) -> Column:
+    def pick(z: Column) -> Column:
+        best = F.array_max(z)
+        share = 1 / F.aggregate(z, F.lit(0.0), lambda acc, v: acc + F.exp(v - best))
+        return F.struct((F.array_position(z, best) - 1).cast("int").alias("at"), F.round(share, 6).alias("p"), share.alias("exact"))
+
+    def decided(rows: Column, table: Column) -> Column:
         start = F.get(table, F.lit(0))
         logits = F.aggregate(F.filter(rows, lambda r: r > 0), start, lambda acc, r: F.zip_with(acc, F.get(table, r), lambda a, b: a + b))
-
-        def pick(z: Column) -> Column:
-            best = F.array_max(z)
-            share = 1 / F.aggregate(z, F.lit(0.0), lambda acc, v: acc + F.exp(v - best))
-            return F.struct((F.array_position(z, best) - 1).cast("int").alias("at"), share.alias("p"))
-
-        def named(c: Column) -> Column:
-            parts = _constant([[sorted(set(words_of(t))) for t in TEMPLATES.get(n, ())] for n in model.classes], "array<array<array<string>>>")
-            match = F.exists(F.get(parts, c["at"]), lambda t: F.size(F.array_intersect(t, w)) >= CONFIRM * F.size(t))
-            known = (c["at"] < classes - 1) & (c["p"] >= THRESHOLD) & match
-            return F.struct(
-                F.when(known, F.get(_constant(list(model.classes), "array<string>"), c["at"])).otherwise(UNKNOWN).alias("family"),
-                F.round(c["p"], 6).alias("probability"),
-            )
-
-        return let(lambda z: let(named, c=pick(z)), z=logits)
+        return let(pick, z=logits)
 
     slots = _constant(list(model.slots), "array<int>")
     return let(
-        lambda w: let(
-            lambda rows, table: decided(w, rows, table),
-            rows=F.transform(grams(w), lambda g: F.get(slots, F.pmod(F.crc32(g), F.lit(SLOTS)).cast("int"))),
-            table=_constant([list(r) for r in model.weights], "array<array<double>>"),
-        ),
-        w=words,
+        decided,
+        rows=let(lambda w: F.transform(grams(w), lambda g: F.get(slots, F.pmod(F.crc32(g), F.lit(SLOTS)).cast("int"))), w=words),
+        table=_constant([list(r) for r in model.weights], "array<array<double>>"),
     )
 
 
+@lru_cache(maxsize=1)
+def _templates() -> tuple[dict, ...]:
+    """Per template its family, distinct words, how many of them confirm it, its longest stretch, and its keys."""
+    names = list(TEMPLATES)
+    texts = [(names.index(n), words_of(t)) for n in names for t in TEMPLATES[n]]
+    common = Counter(w for _, words in texts for w in set(words))
+    out = []
+    for family, words in texts:
+        own = sorted(set(words))
+        need = math.ceil(CONFIRM * len(own))
+        keys = sorted(own, key=lambda w: (common[w], -len(w), w))[: len(own) - need + 1]
+        out.append({"family": family, "words": own, "need": need, "span": SPREAD * len(words), "keys": keys})
+    return tuple(out)
+
+
+_KEYS = sorted({k for t in _templates() for k in t["keys"]})
+_KEY_GATE = f"(?<![a-z0-9])(?:{'|'.join(map(re.escape, _KEYS))})(?![a-z0-9])"
+
+
+def _stretches(words: Column) -> Column:
+    """(family, held, start, length) of stretches that confirm a template, from words with an empty one for a line without words."""
+    kind = "array<struct<family:int,words:array<string>,need:int,span:int,keys:array<string>>>"
+
+    def window(at: Column, span: Column) -> Column:
+        """The words from a place on, up to the end of the paragraph."""
+        def ended(w: Column) -> Column:
+            return F.when(F.array_contains(w, ""), F.slice(w, 1, (F.array_position(w, "") - 1).cast("int"))).otherwise(w)
+
+        return let(ended, w=F.slice(words, at + 1, span))
+
+    def held(t: Column, w: Column) -> Column:
+        return F.array_intersect(t["words"], w)
+
+    def best(t: Column, at: Column) -> Column:
+        low = F.greatest(F.lit(0), at - t["span"] + 1)
+        near = F.slice(words, low + 1, at + t["span"] - low)
+        top = F.array_max(F.transform(F.sequence(low, at), lambda s: F.struct(F.size(held(t, window(s, t["span"]))).alias("n"), s.alias("start"))))
+        return F.when(F.size(held(t, near)) >= t["need"], top)
+
+    def cut(t: Column, b: Column) -> Column:
+        def shortest(w: Column) -> Column:
+            ends = F.filter(F.sequence(F.lit(1), F.size(w)), lambda e: F.size(held(t, F.slice(w, 1, e))) == b["n"])
+            return F.struct(t["family"].alias("family"), held(t, w).alias("held"), b["start"].alias("start"), F.array_min(ends).alias("length"))
+
+        return F.when(b["n"] >= t["need"], let(shortest, w=window(b["start"], t["span"])))
+
+    def around(s: Column, templates: Column) -> Column:
+        mine = F.filter(templates, lambda t: F.array_contains(t["keys"], s["w"]))
+        return F.filter(F.transform(mine, lambda t: let(lambda b: cut(t, b), b=best(t, s["at"]))), lambda x: x.isNotNull())
+
+    keyed = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("at"))), lambda s: s["w"].isin(_KEYS))
+    found = let(lambda keyed, templates: F.flatten(F.transform(keyed, lambda s: around(s, templates))), keyed=keyed, templates=_constant(list(_templates()), kind))
+
+    def beaten(x: Column, y: Column) -> Column:
+        """Whether a stretch holds all that another does and more, and they overlap."""
+        meet = (y["start"] < x["start"] + x["length"]) & (x["start"] < y["start"] + y["length"])
+        return meet & (F.size(y["held"]) > F.size(x["held"])) & (F.size(F.array_except(x["held"], y["held"])) == 0)
+
+    return let(lambda all_: F.filter(all_, lambda x: ~F.exists(all_, lambda y: beaten(x, y))), all_=F.array_distinct(found))
+
+
 def license_lines(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id and ``lines``, an array of (line number from 0, family, probability) of lines with an anchor.
+    """One row per document: id and ``lines``, an array of (line number from 0, family, probability).
 
+    A notice of a known family has the line it starts on. Lines with an anchor word that no such notice reaches are unknown.
     A null or empty text has none; repeated rows give repeated rows; other columns are ignored.
     """
     text = F.col(text_col)
-    none = F.array().cast("array<struct<line:int,family:string,probability:double>>")
-    numbered = F.transform(F.split(text, "\n", -1), lambda p, i: F.struct(i.alias("line"), p.alias("value")))
-    chosen = F.filter(numbered, lambda p: p.value.rlike(_GATE))
-
-    def shaped(p: Column) -> Column:
-        return let(lambda s: F.struct(p.line.alias("line"), s.family.alias("family"), s.probability.alias("probability")), s=_scored(p.value, model))
-
-    lines = F.when(text.rlike(_GATE), F.transform(chosen, shaped)).otherwise(none)
+    kind = "array<struct<line:int,family:string,probability:double>>"
+    none = F.array().cast(kind)
+
+    def words(line: Column) -> Column:
+        return F.regexp_extract_all(F.lower(line), F.lit(_WORD), F.lit(0))
+
+    def placed(line: Column, i: Column) -> Column:
+        full = let(lambda w: F.when(F.size(w) > 0, w).otherwise(F.array(F.lit(""))), w=words(line))
+        return F.transform(full, lambda w: F.struct(w.alias("w"), i.alias("line")))
+
+    def notices(tokens: Column) -> Column:
+        def named(x: Column, c: Column) -> Column:
+            first, last = F.get(tokens["line"], x["start"]), F.get(tokens["line"], x["start"] + x["length"] - 1)
+            family = F.get(_constant(list(model.classes), "array<string>"), x["family"])
+            right = (c["at"] == x["family"]) & (c["exact"] >= THRESHOLD)
+            return F.when(right, F.struct(first.alias("line"), last.alias("last"), family.alias("family"), c["p"].alias("probability")))
+
+        def judged(x: Column) -> Column:
+            return let(lambda c: named(x, c), c=_probable(F.slice(tokens["w"], x["start"] + 1, x["length"]), model))
+
+        return F.filter(F.transform(_stretches(tokens["w"]), judged), lambda x: x.isNotNull())
+
+    def merged(known: Column, numbered: Column) -> Column:
+        """The known ones once per line and family, with their highest probability, and the unknown lines."""
+        kept = F.filter(
+            F.transform(known, lambda x: F.struct(x["line"].alias("line"), x["family"].alias("family"), x["probability"].alias("probability"))),
+            lambda x: ~F.exists(known, lambda y: (y["line"] == x["line"]) & (y["family"] == x["family"]) & (y["probability"] > x["probability"])),
+        )
+        others = F.filter(numbered, lambda p: p["value"].rlike(_GATE) & ~F.exists(known, lambda y: (p["line"] >= y["line"]) & (p["line"] <= y["last"])))
+
+        def unknown(p: Column) -> Column:
+            return F.struct(p["line"].alias("line"), F.lit(UNKNOWN).alias("family"), _probable(words(p["value"]), model)["p"].alias("probability"))
+
+        return F.array_sort(F.concat(F.array_distinct(kept), F.transform(others, unknown))).cast(kind)
+
+    split = F.split(text, "\n", -1)
+    numbered = F.transform(split, lambda p, i: F.struct(i.alias("line"), p.alias("value")))
+    known = let(notices, tokens=F.flatten(F.transform(split, placed)))
+    empty = F.array().cast("array<struct<line:int,last:int,family:string,probability:double>>")
+    some = let(merged, known=F.when(F.lower(text).rlike(_KEY_GATE), known).otherwise(empty), numbered=numbered)
+    lines = F.when(F.lower(text).rlike(_KEY_GATE) | text.rlike(_GATE), some).otherwise(none)
     return docs.select(F.col(id_col), F.coalesce(lines, none).alias("lines" if id_col != "lines" else "lines_"))

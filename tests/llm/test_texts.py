@@ -332,3 +332,56 @@ def test_licenses(spark):
     line = "Licensed under the Apache License, Version 2.0."
     [got] = licenses.license_lines(frame(spark, [(1, line)]), model).collect()
     assert abs(got["lines"][0].probability - model.probabilities(line).max()) < 1e-5
+
+
+NOTICES = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.""",
+    "BSD": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.""",
+    "GPL-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "GPL-2.0": """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.""",
+    "LGPL": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+}
+
+
+def test_licenses_of_wrapped_notices(spark):
+    narrow = lambda t: "\n\n".join("\n".join(p.split()) for p in t.split("\n\n"))
+    folded = lambda t: "\n".join(" ".join(p.split()) for p in t.split("\n\n"))
+    starred = lambda t: "/*\n" + "\n".join(f" * {x}".rstrip() for x in t.split("\n")) + "\n */\nint main() {}"
+    forms = (str, narrow, folded, starred, lambda t: "Words before it.\n" + t + "\nAnd after it.")
+    rows = [(10 * i + k, form(t)) for i, t in enumerate(NOTICES.values()) for k, form in enumerate(forms)]
+    both = NOTICES["MIT"] + "\n" + NOTICES["Apache-2.0"]
+    apart = "Released under\n\nthe MIT\n\nLicense of free will"
+    out = by_id(licenses.license_lines(frame(spark, [*rows, (900, both), (901, apart)]), licenses.fitted()))
+    known = {i: {x.family for x in r["lines"]} - {licenses.UNKNOWN} for i, r in out.items()}
+    assert known == {10 * i + k: {n} for i, n in enumerate(NOTICES) for k in range(len(forms))} | {900: {"MIT", "Apache-2.0"}, 901: set()}
+    assert [x.line for x in out[0]["lines"] if x.family == "MIT"] == [0, 7]
