@@ -33,13 +33,14 @@ _KEPT = frozenset(("class", "id", "role"))
 class Block:
     """A block element: its parent's number, tag, words of class, id and role, depth, and what lies below it."""
 
-    __slots__ = ("parent", "tag", "tokens", "depth", "hidden", "chars", "link_chars", "own_chars", "words", "marks", "digits", "chunks", "elements", "paragraphs", "items", "start", "end", "children")
+    __slots__ = ("parent", "tag", "tokens", "depth", "hidden", "chars", "link_chars", "own_chars", "words", "marks", "digits", "chunks", "elements", "paragraphs", "items", "start", "end", "place", "children")
 
     def __init__(self, parent: int, tag: str, tokens: list[str], depth: int, hidden: bool, start: int):
         self.parent, self.tag, self.tokens, self.depth, self.hidden, self.start = parent, tag, tokens, depth, hidden, start
         self.chars = self.link_chars = self.own_chars = self.words = self.marks = self.digits = self.chunks = 0
         self.elements = self.paragraphs = self.items = 0
         self.end = start
+        self.place = 0  # among its parent's children
         self.children: list[int] = []
 
 
@@ -176,6 +177,7 @@ def read(html: str | None) -> tuple[list[Block], list[tuple[int, str]]]:
             links += tag == "a"
             continue
         block = Block(parent, tag, _tokens(attributes), blocks[parent].depth + 1, bool(hidden) or tag in HIDDEN, total)
+        block.place = len(blocks[parent].children)
         blocks[parent].children.append(len(blocks))
         blocks.append(block)
         stack.append((tag, len(blocks) - 1))

@@ -6,7 +6,7 @@ its siblings. The labels of a page are then chosen together, as the most likely
 only dropped blocks and a main block no neutral ones, by one pass up and one down the tree.
 
 No table has labelled pages, so the trees are fitted on pages made from a small grammar of layouts whose labels are known,
-``TRAIN_PAGES`` of them from a fixed seed; the fitted trees are broadcast. Pages are read whole, row by row.
+``TRAIN_PAGES`` of them and ``LONG_PAGES`` with hundreds of siblings, from fixed seeds; the fitted trees are broadcast. Pages are read whole, row by row.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from polysift.llm.common import Shared, map_texts
 from polysift.llm.dom import Block, read
 
 TRAIN_PAGES = 1000
+LONG_PAGES = 30
 DROP, NEUTRAL, MAIN = range(3)
 #: Log odds that a block inside main text needs to be dropped.
 SWITCH = 3.0
@@ -69,12 +70,11 @@ def block_features(blocks: list[Block]) -> np.ndarray:
                 own[g] += 1
         kind = _TAGS.get(b.tag, _N_TAGS - 1)
         up = blocks[b.parent] if b.parent >= 0 else b
-        place = up.children.index(i) if b.parent >= 0 and len(up.children) < 64 else 0
         parent_links = up.link_chars / max(1, up.chars)
         x[i, :16] = (
             b.depth, b.depth / deepest, np.log1p(b.chars), b.link_chars / chars, np.log1p(b.own_chars), b.elements / chars * 100, b.marks / chars * 100,
             b.words / max(1, b.chunks), b.chars / total, b.start / total, b.end / total, np.log1p(b.paragraphs), np.log1p(b.items),
-            place / max(1, len(up.children) - 1), b.chars / max(1, up.chars), parent_links,
+            b.place / max(1, len(up.children) - 1), b.chars / max(1, up.chars), parent_links,
         )
         x[i, 16 + kind] = 1
         at = 16 + _N_TAGS
@@ -83,7 +83,7 @@ def block_features(blocks: list[Block]) -> np.ndarray:
             above[i] = above[b.parent]
         x[i, at + len(_GROUPS) : at + 2 * len(_GROUPS) + 5] = above[i]
         if b.children:  # hints right below
-            for c in b.children[:64]:
+            for c in b.children:
                 for t in blocks[c].tokens:
                     if (g := _HINT.get(t)) is not None:
                         x[i, at + 2 * len(_GROUPS) + 5 + g] += 1
@@ -126,8 +126,12 @@ def main_text(blocks: list[Block], runs: list[tuple[int, str]], labels: np.ndarr
 class _Maker:
     """Random pages from a grammar of layouts; every block carries its label in a ``data-y`` attribute."""
 
-    def __init__(self, seed: int):
-        self.r = random.Random(seed)
+    def __init__(self, seed: int, kind: str = "usual"):
+        self.r, self.kind = random.Random(seed), kind
+
+    def many(self, usual: int) -> int:
+        """So many siblings, or hundreds on some pages."""
+        return self.r.randint(65, 400) if self.kind == "long" and self.r.random() < 0.7 else usual
 
     def words(self, low: int, high: int) -> str:
         r = self.r
@@ -173,7 +177,7 @@ class _Maker:
     def talk(self) -> str:
         r = self.r
         one = lambda: self.box(r.choice(("div", "li", "article")), DROP, f'<p data-y="0">{self.sentence(4, 60)}</p>' * r.randint(1, 2), "comment", "reply", "comment-body", "review")
-        inner = f'<h2 data-y="0">{r.choice(("Comments", "Replies", self.words(1, 3)))}</h2>' * (r.random() < 0.7) + "".join(one() for _ in range(r.randint(1, 8)))
+        inner = f'<h2 data-y="0">{r.choice(("Comments", "Replies", self.words(1, 3)))}</h2>' * (r.random() < 0.7) + "".join(one() for _ in range(self.many(r.randint(1, 8))))
         return self.box(r.choice(("section", "div", "ul")), DROP, inner, "comments", "discussion", "comment-list", "responses comments")
 
     def form(self) -> str:
@@ -207,7 +211,7 @@ class _Maker:
 
     def story(self) -> str:
         r = self.r
-        parts = [f'<h1 data-y="2">{self.words(2, 12)}</h1>'] * (r.random() < 0.8) + [self.paragraph() for _ in range(r.choice((1, 1, 2, 2, 3, 5, 8, 20)))]
+        parts = [f'<h1 data-y="2">{self.words(2, 12)}</h1>'] * (r.random() < 0.8) + [self.paragraph() for _ in range(self.many(r.choice((1, 1, 2, 2, 3, 5, 8, 20))))]
         for make, p in ((self.advert, 0.25), (self.notice, 0.1), (self.side, 0.12), (self.form, 0.1), (self.talk, 0.12)):
             if r.random() < p:
                 parts.insert(r.randint(1, len(parts)), make())
@@ -228,12 +232,12 @@ class _Maker:
         return f'<!DOCTYPE html><html data-y="1">{head}<body data-y="1">{"".join(before)}{core}{"".join(after)}</body></html>'
 
 
-def training_pages(n: int = TRAIN_PAGES, seed: int = 7) -> list[tuple[str, list[int]]]:
+def training_pages(n: int = TRAIN_PAGES, seed: int = 7, kind: str = "usual") -> list[tuple[str, list[int]]]:
     """Pages and the labels of their blocks, in page order."""
     import re
 
     out = []
-    maker = _Maker(seed)
+    maker = _Maker(seed, kind)
     for _ in range(n):
         marked = maker.page()
         labels = [NEUTRAL] + [int(y) for y in re.findall(r'data-y="(\d)"|<(?:head|title|style)>', marked) if y]
@@ -244,7 +248,7 @@ def training_pages(n: int = TRAIN_PAGES, seed: int = 7) -> list[tuple[str, list[
 @lru_cache(maxsize=2)
 def fitted(n: int = TRAIN_PAGES, seed: int = 7) -> boosting.Boosted:
     xs, ys = [], []
-    for html, labels in training_pages(n, seed):
+    for html, labels in training_pages(n, seed) + training_pages(LONG_PAGES, seed + 1, "long"):
         blocks, _ = read(html)
         shown = [i for i, b in enumerate(blocks) if not b.hidden]
         if len(shown) == len(labels):

@@ -385,3 +385,23 @@ def test_licenses_of_wrapped_notices(spark):
     known = {i: {x.family for x in r["lines"]} - {licenses.UNKNOWN} for i, r in out.items()}
     assert known == {10 * i + k: {n} for i, n in enumerate(NOTICES) for k in range(len(forms))} | {900: {"MIT", "Apache-2.0"}, 901: set()}
     assert [x.line for x in out[0]["lines"] if x.family == "MIT"] == [0, 7]
+
+
+def test_html_of_many_siblings():
+    hint = '<p class="advert">x</p>'
+    blocks, _ = html_main.read("<html><body><div>" + "<p>Some words.</p>" * 299 + hint + "</div></body></html>")
+    x = html_main.block_features(blocks)
+    rows = [i for i, b in enumerate(blocks) if b.tag == "p"]
+    assert [round(v * 299) for v in x[rows, 13]] == list(range(300))
+    [div] = [i for i, b in enumerate(blocks) if b.tag == "div"]
+    assert x[div, -len(html_main._GROUPS) :].sum() == 1
+    model = html_main.fitted()
+    right = shown = 0
+    for html, labels in html_main.training_pages(20, seed=321, kind="long"):
+        blocks, runs = html_main.read(html)
+        rows = [i for i, b in enumerate(blocks) if not b.hidden]
+        truth = dict(zip(rows, labels, strict=True))
+        found = html_main.decode(blocks, model.log_probabilities(html_main.block_features(blocks)))
+        shown += len(runs)
+        right += sum((found[b] == html_main.MAIN) == (truth.get(b) == html_main.MAIN) for b, _ in runs)
+    assert right >= 0.97 * shown
