@@ -9,11 +9,15 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements inside a line; their text belongs to the block around them.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong"
-    " sub sup time tt u var br wbr img".split()
+    " sub sup time tt u var br wbr img"
+    " math mi mn mo ms mtext mspace mrow mfrac msup msub msubsup msqrt mroot mover munder munderover mstyle mpadded mphantom menclose"
+    " mfenced mtable mtr mtd semantics annotation".split()
 )
-#: Elements whose content is never read as text.
-HIDDEN = frozenset("head script style template noscript svg math iframe object audio video canvas title select datalist textarea".split())
-RAW = frozenset("script style textarea title noscript iframe template".split())
+#: Elements whose content is never read as text. What others show in place of something else (noscript, object, video) is read.
+HIDDEN = frozenset("head script style template svg iframe title select datalist textarea".split())
+RAW = frozenset("script style textarea title iframe template".split())
+#: Elements that do not open a body where there is none.
+_HEADS = frozenset("html head body base link meta title style script noscript template frameset frame".split())
 #: Open elements that a start tag closes, up to the nearest of the elements after them.
 _BLOCK_ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
@@ -72,8 +76,40 @@ def read(html: str | None) -> tuple[list[Block], list[tuple[int, str]]]:
                 runs.append((stack[-1][1], text))
             pending.clear()
 
+    def start(tag: str, attributes: str = "") -> None:
+        nonlocal hidden
+        parent = stack[-1][1]
+        block = Block(parent, tag, _tokens(attributes), blocks[parent].depth + 1, bool(hidden) or tag in HIDDEN, total)
+        block.place = len(blocks[parent].children)
+        blocks[parent].children.append(len(blocks))
+        blocks.append(block)
+        opened[tag] = opened.get(tag, 0) + 1
+        stack.append((tag, len(blocks) - 1))
+        hidden += tag in HIDDEN
+
+    def imply_body() -> None:
+        """Text and most elements outside a body are in one all the same; they end an open head."""
+        if opened.get("body") or stack[-1][0] not in ("#page", "html", "head"):
+            return
+        flush()
+        if stack[-1][0] == "head":
+            close()
+        for tag in ("html", "body")[stack[-1][0] == "html" :]:
+            blocks[stack[-1][1]].elements += 1
+            start(tag)
+
+    def imply_line() -> None:
+        """Text right in the body is a paragraph of its own, up to the next block."""
+        imply_body()
+        if stack[-1][0] == "body":
+            flush()
+            blocks[stack[-1][1]].elements += 1
+            start("p")
+
     def text_at(raw: str) -> None:
         nonlocal total
+        if raw and stack[-1][0] in ("#page", "html", "head", "body") and not raw.isspace():
+            imply_line()
         if not raw or hidden:
             return
         text = unescape(raw) if "&" in raw else raw
@@ -140,6 +176,9 @@ def read(html: str | None) -> tuple[list[Block], list[tuple[int, str]]]:
             stop = after + 1
         attributes, at = html[begin:stop], min(n, stop + 1)
         inline = tag in INLINE
+        if tag in ("html", "body") and (ending or opened.get(tag)):  # what follows is in the body too
+            flush()
+            continue
         if ending:
             if opened.get(tag) and (not inline or _same_block(stack, tag)):
                 if not inline:
@@ -150,6 +189,10 @@ def read(html: str | None) -> tuple[list[Block], list[tuple[int, str]]]:
             elif not inline:
                 flush()
             continue
+        if inline and tag not in VOID:
+            imply_line()
+        elif tag not in _HEADS:
+            imply_body()
         if tag == "br":
             pending.append(" ")
             continue
@@ -171,17 +214,12 @@ def read(html: str | None) -> tuple[list[Block], list[tuple[int, str]]]:
         blocks[parent].elements += 1
         if tag in VOID:
             continue
-        opened[tag] = opened.get(tag, 0) + 1
         if inline:
+            opened[tag] = opened.get(tag, 0) + 1
             stack.append((tag, parent))
             links += tag == "a"
             continue
-        block = Block(parent, tag, _tokens(attributes), blocks[parent].depth + 1, bool(hidden) or tag in HIDDEN, total)
-        block.place = len(blocks[parent].children)
-        blocks[parent].children.append(len(blocks))
-        blocks.append(block)
-        stack.append((tag, len(blocks) - 1))
-        hidden += tag in HIDDEN
+        start(tag, attributes)
         if attributes.endswith("/") and tag in ("svg", "iframe"):
             close()
         elif tag in RAW:

@@ -6,7 +6,7 @@ its siblings. The labels of a page are then chosen together, as the most likely
 only dropped blocks and a main block no neutral ones, by one pass up and one down the tree.
 
 No table has labelled pages, so the trees are fitted on pages made from a small grammar of layouts whose labels are known,
-``TRAIN_PAGES`` of them and ``LONG_PAGES`` with hundreds of siblings, from fixed seeds; the fitted trees are broadcast. Pages are read whole, row by row.
+``TRAIN_PAGES`` of them, ``LONG_PAGES`` with hundreds of siblings and ``BARE_PAGES`` of a few paragraphs alone, from fixed seeds; the fitted trees are broadcast. Pages are read whole, row by row.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from polysift.llm.dom import Block, read
 
 TRAIN_PAGES = 1000
 LONG_PAGES = 30
+BARE_PAGES = 40
 DROP, NEUTRAL, MAIN = range(3)
 #: Log odds that a block inside main text needs to be dropped.
 SWITCH = 3.0
@@ -217,7 +218,16 @@ class _Maker:
                 parts.insert(r.randint(1, len(parts)), make())
         return "".join(parts)
 
+    def bare(self) -> str:
+        """A few paragraphs and nothing else."""
+        r = self.r
+        head = f"<head><title>{self.words(1, 8)}</title></head>" * (r.random() < 0.5)
+        text = "".join(f'<p data-y="2">{self.sentence(1, r.choice((3, 12, 60, 150)))}</p>' for _ in range(r.choice((1, 1, 1, 2, 3))))
+        return f'<html data-y="1">{head}<body data-y="1">{text}</body></html>'
+
     def page(self) -> str:
+        if self.kind == "bare":
+            return self.bare()
         r = self.r
         shape = r.random()
         tag, names = ("article", ("", "post", "story")) if shape < 0.5 else ("main", ("", "content")) if shape < 0.65 else ("div", ("content", "post-body", "entry", "article-text", "main", "x"))
@@ -248,7 +258,7 @@ def training_pages(n: int = TRAIN_PAGES, seed: int = 7, kind: str = "usual") ->
 @lru_cache(maxsize=2)
 def fitted(n: int = TRAIN_PAGES, seed: int = 7) -> boosting.Boosted:
     xs, ys = [], []
-    for html, labels in training_pages(n, seed) + training_pages(LONG_PAGES, seed + 1, "long"):
+    for html, labels in training_pages(n, seed) + training_pages(LONG_PAGES, seed + 1, "long") + training_pages(BARE_PAGES, seed + 2, "bare"):
         blocks, _ = read(html)
         shown = [i for i, b in enumerate(blocks) if not b.hidden]
         if len(shown) == len(labels):

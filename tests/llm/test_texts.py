@@ -405,3 +405,25 @@ def test_html_of_many_siblings():
         shown += len(runs)
         right += sum((found[b] == html_main.MAIN) == (truth.get(b) == html_main.MAIN) for b, _ in runs)
     assert right >= 0.97 * shown
+
+
+def test_html_without_a_body():
+    model = html_main.fitted()
+    texts = {
+        "Some text<br>more": "Some text more",
+        "Just a line of <b>plain</b> text, and a second sentence.": "Just a line of plain text, and a second sentence.",
+        "<title>T</title>First words of it.<p>Then a paragraph, with more.": "First words of it.\nThen a paragraph, with more.",
+        "<html><head><title>T</title>Text in an open head, some words.": "Text in an open head, some words.",
+        "<body>A first sentence.</body></html>And one after the end.": "A first sentence.\nAnd one after the end.",
+        "Before it.<html><body class='x'>Inside it, with words.": "Before it.\nInside it, with words.",
+    }
+    assert {h: html_main.extract(h, model) for h in texts} == texts
+    around = lambda x: f"<html><body><nav><a href='/'>Home</a></nav><article><h1>Title</h1><p>First of the paragraphs, with some words.</p>{x}<p>Last of the paragraphs, with more words.</p></article></body></html>"
+    for inside, want in (
+        ("<p>As <math><mi>a</mi><mo>+</mo><mi>b</mi></math> shows, they meet.</p>", "As a+b shows, they meet."),
+        ("<noscript><p>The picture shows a river in the spring, with boats.</p></noscript>", "The picture shows a river in the spring, with boats."),
+        ("<object data='x'><p>The chart shows how rivers rise in the spring.</p></object>", "The chart shows how rivers rise in the spring."),
+        ("<video src='x'><p>The film shows how rivers rise in the spring.</p></video>", "The film shows how rivers rise in the spring."),
+    ):
+        assert want in html_main.extract(around(inside), model).split("\n")
+    assert html_main.extract("<script>var a = 1</script><style>p{}</style>", model) == ""
