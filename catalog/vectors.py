@@ -58,6 +58,14 @@ def label_logits(spark, sf):
     return rows.select("a_id", F.col("rank").cast("bigint").alias("rank"), "b_id", F.round("score", 6).alias("score"))
 
 
+def all_label_logits(spark, sf):
+    """Every label's logit per vector, best first."""
+    a = _emb(spark, sf).select(F.col("vec_id").alias("a_id"), F.col("embedding").alias("a_vec"))
+    b = _codebook(spark, sf).select(F.col("code").alias("b_id"), F.col("vec").alias("b_vec"))
+    rows = vectors.topk_similar(a, b, b.count(), scale=1.0)
+    return rows.select("a_id", F.col("rank").cast("bigint").alias("rank"), "b_id", F.round("score", 6).alias("score"))
+
+
 def label_means(spark, sf):
     sums = vectors.group_vector_sum(_emb(spark, sf), "label", "embedding")
     return sums.select("label", "n", _shown("vec_sum").alias("total"), _shown("vec_mean").alias("mean"))
@@ -133,7 +141,7 @@ def alignment_losses(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        valid_vectors, normalized_vectors, similar_vectors, label_logits, label_means, nearest_codes, nearest_directions,
+        valid_vectors, normalized_vectors, similar_vectors, label_logits, all_label_logits, label_means, nearest_codes, nearest_directions,
         code_histogram, quantization_error, code_vectors, remapped_codes, randomly_remapped_codes, kmeans_round, kmeans_centres,
         moved_codebook, alignment_losses,
     )
@@ -179,6 +187,8 @@ SQL = {
       select a_id, rank, b_id, round(score, 6) as score from (select *, row_number() over (partition by a_id order by score desc, b_id) as rank from s) where rank <= 5""",
     "label_logits": f"""with {_E}, {_C}, s as (select vec_id as a_id, code as b_id, list_cosine_similarity(v, vec) * exp(1.0) as score from e, c)
       select a_id, rank, b_id, round(score, 6) as score from (select *, row_number() over (partition by a_id order by score desc, b_id) as rank from s) where rank <= 3""",
+    "all_label_logits": f"""with {_E}, {_C}, s as (select vec_id as a_id, code as b_id, list_cosine_similarity(v, vec) * exp(1.0) as score from e, c)
+      select a_id, row_number() over (partition by a_id order by score desc, b_id) as rank, b_id, round(score, 6) as score from s""",
     "label_means": f"""with {_E}, {_C} select cast(code as integer) as label, size as n,
       {_SHOW.format('list_transform(vec, lambda x: x * size)')} as total, {_SHOW.format('vec')} as mean from c""",
     "nearest_codes": f"with {_E}, {_C}, {_N} select vec_id, code, round(d, 6) as distance from n",

@@ -53,3 +53,9 @@ def test_query_equals_its_twin(spark, con, name):
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+def test_logits_of_all_labels(spark):
+    emb = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
+    logits = queries()["all_label_logits"](spark, FOLDER)
+    assert logits.count() == emb.count() * emb.select("label").distinct().count()
