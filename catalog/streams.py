@@ -87,9 +87,26 @@ def streamed_hops(spark, sf):
     return rows.select(F.unix_seconds("mark_ts").alias("mark"), "n")
 
 
+def streamed_windows_complete(spark, sf):
+    """All windows, in complete mode: the last ones too, which no watermark has passed."""
+    base = shared_dir(spark, "stream")
+    rows = streams.run_available(streams.stream_segments(_events(spark, sf), seconds=600), f"{base}/out", mode="complete")
+    return rows.select("event_type", F.unix_seconds("window.start").alias("start"), "n")
+
+
+def streamed_hops_complete(spark, sf):
+    """All marks, in complete mode."""
+    base = shared_dir(spark, "stream")
+    rows = streams.run_available(streams.stream_hops(_events(spark, sf), hop=300, before=30, after=60), f"{base}/out", mode="complete")
+    return rows.select(F.unix_seconds("mark_ts").alias("mark"), "n")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (streamed_avqa, streamed_scores, streamed_merge, streamed_codebook, streamed_windows, streamed_hops)
+    for f in (
+        streamed_avqa, streamed_scores, streamed_merge, streamed_codebook, streamed_windows, streamed_hops,
+        streamed_windows_complete, streamed_hops_complete,
+    )
 }
 SQL = {
     "streamed_avqa": scores.SQL["avqa_report"],
@@ -108,4 +125,8 @@ SQL = {
       with s as (select epoch_us(ts) / 1000000.0::double as t from events), m as (select t, cast(floor((t + 30) / 300) as bigint) * 300 as mark from s),
       h as (select mark, count(*) as n from m where t >= mark - 30 and t < mark + 60 group by all)
       select * from h where mark <= (select max(mark) from h) - 600""",
+    "streamed_windows_complete": """select event_type, cast(epoch_us(ts) // 600000000 * 600 as bigint) as "start", count(*) as n from events group by all""",
+    "streamed_hops_complete": """
+      with s as (select epoch_us(ts) / 1000000.0::double as t from events), m as (select t, cast(floor((t + 30) / 300) as bigint) * 300 as mark from s)
+      select mark, count(*) as n from m where t >= mark - 30 and t < mark + 60 group by all""",
 }

@@ -59,3 +59,8 @@ def test_logits_of_all_labels(spark):
     emb = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
     logits = queries()["all_label_logits"](spark, FOLDER)
     assert logits.count() == emb.count() * emb.select("label").distinct().count()
+
+
+def test_complete_windows_hold_every_event(spark):
+    [total] = queries()["streamed_windows_complete"](spark, FOLDER).selectExpr("sum(n)").first()
+    assert total == spark.read.parquet(f"{FOLDER}/events.parquet").count()
