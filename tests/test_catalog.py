@@ -1,5 +1,6 @@
 """Every registered query against its SQL twin on the smallest tables."""
 
+import subprocess
 import sys
 from pathlib import Path
 
@@ -51,6 +52,16 @@ def test_query_equals_its_twin(spark, con, name):
         assert got == rows_of([d[0] for d in cur.description], cur.fetchall())
 
 
+def test_a_missing_library_costs_the_training_data_queries_only():
+    """One library of the training-data operators hidden: the other queries and their twins stay."""
+    code = (
+        "import sys; sys.modules['public_tokenizers'] = None; sys.modules['ahocorasick'] = None\n"
+        "import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); print(len(q), set(s) <= set(q), any(n.startswith('op') for n in q))"
+    )
+    said = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True).stdout.split()
+    assert said == [str(len(NAMES)), "True", "False"]
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
 
