@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polysift.llm import bpe, decontaminate, html_main, licenses, ngram_join, pii, quality, topk, toxicity, warc
+from polysift.llm import bpe, decontaminate, html_main, licenses, manifest, ngram_join, pii, quality, topk, toxicity, warc
 from polysift.llm.common import table
 
 
@@ -84,6 +84,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of every document by language, folded again from a replica in which every seventh id by crc32 has one character more."""
+    touched = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    changed = {"n_chars": F.when(touched, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    return manifest.verified(manifest.manifest(table(spark, sf_dir, "documents"), fields, changed=changed))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_byte_bpe": op2_byte_bpe,
@@ -95,11 +103,42 @@ QUERIES = {
     "op8_warc_audit": op8_warc_audit,
     "op9_licenses": op9_licenses,
     "op10_decontamination": op10_decontamination,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = f"regexp_extract_all(coalesce({_LOWER}, ''), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
 
+#: crc32 of a text: its bytes from their hexadecimal form, then a table of 256 remainders.
+_CRC_TABLE = (
+    "list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),"
+    " lambda c, i: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end))"
+)
+_BYTES = "list_transform(range(strlen({x})), lambda i: cast('0x' || substr(hex({x}), 2 * i + 1, 2) as bigint))"
+_CRC = "xor(list_reduce(list_prepend(4294967295, " + _BYTES + "), lambda c, x: xor(c // 256, t[cast(xor(c, x) % 256 as integer) + 1])), 4294967295)"
+
+
+def _part(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    values = ["cast(doc_id as varchar)", "source", "lang", f"cast({n_chars} as varchar)", "text"]
+    return f"sha256(concat({', '.join(map(_part, values))}))"
+
+
+def _tree(name: str, keys: str, leaves: str) -> str:
+    """Levels of trees over ``leaves`` (keys, pos, d, n), as a recursive table (keys, lvl, pos, d, n)."""
+    on = " and ".join(f"l.{k} is not distinct from r.{k}" for k in keys.split(", "))
+    return f"""
+{name} as (
+    select {keys}, 0 as lvl, pos, d, n from {leaves}
+    union all
+    select {keys}, lvl + 1, pos // 2, sha256(string_agg(d, '' order by pos)), (n + 1) // 2
+    from {name} where n > 1 group by {keys}, lvl, pos // 2, n),
+{name}_sib as (
+    select l.*, r.d as sib from {name} l left join {name} r on {on} and l.lvl = r.lvl and r.pos = xor(l.pos, 1) where l.n > 1)"""
+
 
 SQL = {
     "op3_ngram_join": f"""
@@ -169,5 +208,37 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as big
        cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256,
        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from docs left join words using (doc_id) left join found using (doc_id)
+""",
+    "op13_merkle_manifest": f"""
+with recursive crc as (select {_CRC_TABLE} as t),
+docs as (
+    select doc_id, lang, {_leaf("n_chars")} as leaf, {_leaf("n_chars + 1")} as other, {_CRC.format(x="cast(doc_id as varchar)")} % 7 = 0 as touched
+    from documents, crc),
+base as (
+    select *, leaf as d, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by lang) as n
+    from docs),
+{_tree("nodes", "lang", "base")},
+subs as (select lang, d, 1 as one, row_number() over (order by lang nulls first) - 1 as pos, count(*) over () as n from nodes where n = 1),
+{_tree("tops", "one", "subs")},
+up as (
+    select b.lang, b.pos as start, b.d as leaf, b.doc_id, case when touched then other else b.d end as seen, b.n,
+           0 as lvl, b.pos as pos, case when touched then other else b.d end as acc, '' as proof
+    from base b
+    union all
+    select up.lang, start, leaf, doc_id, seen, up.n, up.lvl + 1, up.pos // 2,
+           sha256(case when up.pos % 2 = 1 then s.sib || acc else acc || coalesce(s.sib, '') end), proof || coalesce(s.sib, '')
+    from up join nodes_sib s on s.lang is not distinct from up.lang and s.lvl = up.lvl and s.pos = up.pos),
+sub_done as (select * from up qualify row_number() over (partition by lang, start order by lvl desc) = 1),
+rise as (
+    select s.lang, start, leaf, doc_id, acc, proof, x.d as subroot, 0 as lvl, x.pos as pos
+    from sub_done s join subs x on x.lang is not distinct from s.lang
+    union all
+    select r.lang, start, leaf, doc_id, sha256(case when r.pos % 2 = 1 then s.sib || acc else acc || coalesce(s.sib, '') end),
+           proof || coalesce(s.sib, ''), subroot, r.lvl + 1, r.pos // 2
+    from rise r join tops_sib s on s.lvl = r.lvl and s.pos = r.pos),
+done as (select * from rise qualify row_number() over (partition by lang, start order by lvl desc) = 1)
+select doc_id, leaf, subroot, (select d from tops where n = 1) as root, sha256(proof) as proof_sha256, acc as folded_root,
+       acc = (select d from tops where n = 1) as verified
+from done
 """,
 }
