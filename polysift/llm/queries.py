@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polysift.llm import bpe, decontaminate, html_main, licenses, manifest, ngram_join, pii, quality, topk, toxicity, warc
+from polysift.llm import bpe, decontaminate, html_main, licenses, manifest, ngram_join, pii, quality, spelling, topk, toxicity, warc
 from polysift.llm.common import table
 
 
@@ -84,6 +84,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of the words of all documents; one run in 97, by crc32, loses a letter first."""
+
+    def lose_a_letter(run: Column, doc_id: Column) -> Column:
+        hashed = F.crc32(F.concat(doc_id, F.lit(":"), run))
+        at = (hashed % F.length(run)).cast("int")
+        return F.when(hashed % 97 != 0, run).otherwise(F.concat(run.substr(F.lit(1), at), run.substr(at + 2, F.length(run))))
+
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents"), change=lose_a_letter))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle proofs of every document by language, folded again from a replica in which every seventh id by crc32 has one character more."""
     touched = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
@@ -103,6 +114,7 @@ QUERIES = {
     "op8_warc_audit": op8_warc_audit,
     "op9_licenses": op9_licenses,
     "op10_decontamination": op10_decontamination,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -208,6 +220,34 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as big
        cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256,
        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from docs left join words using (doc_id) left join found using (doc_id)
+""",
+    "op12_spelling_variants": f"""
+with recursive crc as (select {_CRC_TABLE} as t),
+runs as (
+    select coalesce(cast(doc_id as varchar), '') || ':' || run as tag, run, count(*) as k
+    from (select doc_id, unnest(regexp_extract_all({_LOWER}, '[a-zÀ-ÿ]+')) as run from documents) group by doc_id, run),
+hashed as (select run, k, {_CRC.format(x="tag")} as h from runs, crc),
+changed as (
+    select case when h % 97 <> 0 then run else substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) end as word, k from hashed),
+words as (select word, cast(sum(k) as bigint) as n from changed where length(word) >= 5 group by word having sum(k) >= 3),
+cuts as (
+    select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+    from (select word, n, unnest(generate_series(1, length(word))) as i from words)),
+near as (
+    select a.word, a.n, b.word as other, b.n as m from cuts a join cuts b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+    union select a.word, a.n, w.word, w.n from cuts a join words w on a.rest = w.word
+    union select w.word, w.n, a.word, a.n from cuts a join words w on a.rest = w.word),
+best as (
+    select word, count(*) over (partition by word) as n_near, other, m from near
+    qualify row_number() over (partition by word order by m desc, other) = 1),
+forms as (
+    select w.word, w.n, coalesce(n_near, 0) as n_near, case when m >= 2 * w.n then other end as form, case when m >= 2 * w.n then m end as form_n
+    from words w left join best b on b.word = w.word),
+climb as (
+    select word, word as tip, 0 as steps from forms
+    union all select c.word, f.form, steps + 1 from climb c join forms f on f.word = c.tip where f.form is not null),
+ends as (select word as of, arg_max(tip, steps) as root from climb group by word)
+select word, form, root, n, cast(n_near as bigint) as n_near, form_n from forms join ends on of = word
 """,
     "op13_merkle_manifest": f"""
 with recursive crc as (select {_CRC_TABLE} as t),
