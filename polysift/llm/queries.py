@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polysift.llm import bpe, decontaminate, html_main, licenses, manifest, ngram_join, pii, quality, spelling, topk, toxicity, warc
+from polysift.llm import bpe, decontaminate, html_main, licenses, manifest, near_vectors, ngram_join, pii, quality, spelling, topk, toxicity, warc
 from polysift.llm.common import table
 
 
@@ -84,6 +84,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of embeddings with a cosine of 0.9 or more."""
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spelling variants of the words of all documents; one run in 97, by crc32, loses a letter first."""
 
@@ -114,6 +119,7 @@ QUERIES = {
     "op8_warc_audit": op8_warc_audit,
     "op9_licenses": op9_licenses,
     "op10_decontamination": op10_decontamination,
+    "op11_near_vectors": op11_near_vectors,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
@@ -220,6 +226,22 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as big
        cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256,
        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from docs left join words using (doc_id) left join found using (doc_id)
+""",
+    "op11_near_vectors": """
+with recursive v as (
+    select vec_id, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+    select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+    where list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(vec_id, other) as (
+    select a, b from links union select reach.vec_id, links.b from reach join links on reach.other = links.a),
+counts as (select a as vec_id, count(*) as n from links group by a),
+least_ as (select vec_id, min(other) as o from reach group by vec_id)
+select e.vec_id, cast(coalesce(n, 0) as bigint) as n_links, least(e.vec_id, coalesce(o, e.vec_id)) as component_id,
+       e.vec_id = least(e.vec_id, coalesce(o, e.vec_id)) as kept
+from embeddings e left join counts using (vec_id) left join least_ using (vec_id)
 """,
     "op12_spelling_variants": f"""
 with recursive crc as (select {_CRC_TABLE} as t),
