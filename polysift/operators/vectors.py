@@ -1,9 +1,9 @@
 """Vector operators on embedding tables: best matches, codebooks, k-means, alignment loss.
 
-Matching runs as matrix products on Arrow batches. The rows stay where they are and carry their best matches so far; the
-candidates, written once, pass by in blocks of at most ``BLOCK_VALUES`` numbers, ``BLOCKS_PER_PASS`` blocks with every pass over
-the rows. A small codebook is one block and one pass, a large one takes more, by the same code. Rows and candidates
-with a null key or vector take no part.
+Matching runs as matrix products on Arrow batches. Candidates of at most ``BLOCK_VALUES`` numbers, such as a codebook, are sent to
+the rows, which stay where they are. Larger ones are cut into blocks, as the rows are, and blocks meet inside tasks (``tiles``): nothing
+of either table passes through the driver, and the rows are written once. Rows and candidates with a null key or
+vector take no part.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -18,11 +19,11 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import l2_normalize
 from ..scratch import materialise
+from . import tiles
 from .position import hash_pick
 
-#: Numbers of a block of candidates, and blocks a task holds at a time; they size steps and change no result.
+#: Numbers of the candidates that are sent to every task, and of a score matrix; they size steps and change no result.
 BLOCK_VALUES = 4_000_000
-BLOCKS_PER_PASS = 2
 SCORE_VALUES = 2_000_000
 
 
@@ -98,91 +99,236 @@ def _matched(rows: DataFrame, candidates: DataFrame, k: int, metric: str, scale:
     side = candidates.select(F.col("key").cast("bigint").alias("key"), F.transform("vec", lambda x: x.cast("double")).alias("vec"))
     side = materialise(side.filter("key is not null and vec is not null"), "candidates")
     size = side.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("vec")).alias("width")).first()
-    n_blocks = max(1, -(-size["rows"] * (size["width"] or 1) // block_values))
-    out, single = rows, k == 1
-    kind = "match:bigint,score:double" if single else "match:array<bigint>,score:array<double>"
-    for first in range(0, n_blocks, BLOCKS_PER_PASS):
-        blocks = [_block(side, n_blocks, i) for i in range(first, min(first + BLOCKS_PER_PASS, n_blocks))]
-        carried = rows.sparkSession.sparkContext.broadcast([x for x in blocks if len(x[0])])
-        match = _match_udf(carried, k, metric, scale, kind, first > 0)
-        if first:
-            out = materialise(out, "matches")  # one pass is done
-            hit = match("vec", "hit.match", "hit.score")
-        else:
-            # Naming the vector twice keeps Spark from folding a long vector expression into the Python call.
-            hit = F.when(F.col("vec").isNotNull(), match("vec"))
-        out = out.withColumn("hit", hit)
-    found = F.col("hit.match").isNotNull() if single else F.size("hit.match") > 0
-    return out.filter(found) if size["rows"] else out.limit(0)
-
-
-def _block(side: DataFrame, n_blocks: int, i: int):
-    """Keys, ascending, and matrix of one block; its size is what the number of blocks was chosen for."""
+    width, single = size["width"] or 1, k == 1
+    if not size["rows"]:
+        kind = "struct<match:bigint,score:double>" if single else "struct<match:array<bigint>,score:array<double>>"
+        return rows.limit(0).withColumn("hit", F.lit(None).cast(kind))
+    if size["rows"] * width > block_values:
+        return _matched_in_tiles(rows, side, k, metric, scale, max(1, min(tiles.BLOCK_ROWS, block_values // width)))
+    match = _match_udf(rows.sparkSession.sparkContext.broadcast(_matrix(side)), k, metric, scale)
+    # Naming the vector twice keeps Spark from folding a long vector expression into the Python call.
+    out = rows.withColumn("hit", F.when(F.col("vec").isNotNull(), match("vec")))
+    return out.filter(F.col("hit.match").isNotNull() if single else F.size("hit.match") > 0)
+
+
+def _matrix(side: DataFrame):
+    """Keys, ascending, and matrix of candidates whose size has been checked."""
     import numpy as np
 
-    part = side if n_blocks == 1 else side.filter(F.pmod(F.xxhash64("key"), F.lit(n_blocks)) == i)
-    got = part.toPandas().sort_values("key", ignore_index=True)
-    vectors = np.stack(got["vec"].to_numpy()).astype("float64") if len(got) else np.zeros((0, 0))
-    return got["key"].to_numpy().astype("int64"), vectors
+    got = side.toPandas().sort_values("key", ignore_index=True)
+    return got["key"].to_numpy().astype("int64"), np.stack(got["vec"].to_numpy()).astype("float64")
 
 
-def _match_udf(carried, k: int, metric: str, scale: float, kind: str, again: bool):
-    """Best matches among the carried blocks, and among earlier ones when ``again``."""
+def _match_udf(carried, k: int, metric: str, scale: float):
+    """Best matches among the carried candidates."""
     scores_of, best_of, steps_of, single = _scores, _best, _row_steps, k == 1
 
-    def among(rows, keys, candidates):
+    @F.pandas_udf("struct<match:bigint,score:double>" if single else "struct<match:array<bigint>,score:array<double>>")
+    def match(vectors: pd.Series) -> pd.DataFrame:
         import numpy as np
 
+        if not len(vectors):
+            return pd.DataFrame({"match": [], "score": []})
+        rows = np.stack(vectors.to_numpy()).astype("float64")
+        keys, candidates = carried.value
         found, values = [], []
         for step in steps_of(len(rows), len(keys)):
             scores = scores_of(rows[step], candidates, metric, scale)
             best = best_of(scores, keys, k)
             found.append(keys[best])
             values.append(np.take_along_axis(scores, best, axis=1))
-        return np.concatenate(found), np.concatenate(values)
+        found, values = np.concatenate(found), np.concatenate(values)
+        if single:
+            return pd.DataFrame({"match": found[:, 0], "score": values[:, 0]})
+        return pd.DataFrame({"match": list(found), "score": list(values)})
 
-    def merged(parts):
-        import numpy as np
+    return match
 
-        keys, values = (np.concatenate([p[i] for p in parts], axis=1) for i in (0, 1))
-        order = np.lexsort((keys, -values), axis=1)[:, :k]
-        return np.take_along_axis(keys, order, axis=1), np.take_along_axis(values, order, axis=1)
 
-    def shaped(rows, parts) -> pd.DataFrame:
-        parts = parts + [among(rows, keys, candidates) for keys, candidates in carried.value]
-        if not parts or not len(rows):
-            return pd.DataFrame({"match": [None] * len(rows), "score": [None] * len(rows)})
-        keys, values = merged(parts) if len(parts) > 1 else parts[0]
-        if single:
-            return pd.DataFrame({"match": keys[:, 0], "score": values[:, 0]})
-        return pd.DataFrame({"match": list(keys), "score": list(values)})
+_HITS = "row long, lows array<double>, keys array<long>"
 
-    def stacked(vectors: pd.Series):
+
+def _tile_matches(kind: str, own_kind: str, k: int, metric: str, scale: float):
+    """For a block and some blocks of candidates: per row its best ``k`` as ascending (-score, key)."""
+    scores_of, best_of, steps_of, unpacked = _scores, _best, _row_steps, tiles.arrays
+
+    def run(one: dict, many: Iterator[dict]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        return np.stack(vectors.to_numpy()).astype("float64") if len(vectors) else np.zeros((0, 0))
+        ids, rows = unpacked(one, own_kind, 1)
+        rows, best = rows.astype("float64"), None
+        for block in many:
+            keys, candidates = unpacked(block, kind, 1)
+            order = np.argsort(keys[:, 0], kind="stable")
+            keys, candidates = keys[order, 0], candidates[order].astype("float64")
+            parts = []
+            for step in steps_of(len(rows), len(keys)):
+                scores = scores_of(rows[step], candidates, metric, scale)
+                at = best_of(scores, keys, k)
+                parts.append((-np.take_along_axis(scores, at, axis=1), keys[at]))
+            now = [np.concatenate(x) for x in zip(*parts, strict=True)]
+            if best is not None:
+                now = [np.concatenate(x, axis=1) for x in zip(best, now, strict=True)]
+                order = np.lexsort((now[1], now[0]), axis=1)[:, :k]
+                now = [np.take_along_axis(x, order, axis=1) for x in now]
+            best = now
+        lows, keys = best
+        width = lows.shape[1]
+        ends = pa.array(np.arange(0, lows.size + 1, width, dtype="int32"))
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x.reshape(-1))) for x in (lows, keys)]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[:, 0]), *lists], names=["row", "lows", "keys"])
+
+    return run
+
+
+def _merged(hits: DataFrame, k: int) -> DataFrame:
+    """(row, lows, keys): the best ``k`` of what several groups of blocks found."""
+    pairs = F.arrays_zip("lows", "keys")
+    best = F.slice(F.array_sort(F.flatten(F.collect_list(pairs))), 1, k)
+    return hits.groupBy("row").agg(best.alias("best")).select("row", F.col("best.lows").alias("lows"), F.col("best.keys").alias("keys"))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """The rows, written once, with ``_row``, a number of their own."""
+    return materialise(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
+def _with_hits(stored: DataFrame, hits: DataFrame, k: int) -> DataFrame:
+    score = F.transform("lows", lambda x: -x + F.lit(0.0))
+    if k == 1:
+        hit = F.struct(F.get("keys", F.lit(0)).alias("match"), F.get(score, F.lit(0)).alias("score"))
+    else:
+        hit = F.struct(F.col("keys").alias("match"), score.alias("score"))
+    return stored.join(hits.select(F.col("row").alias("_of"), hit.alias("hit")), F.col("_row") == F.col("_of")).drop("_row", "_of")
+
+
+def _matched_in_tiles(rows: DataFrame, side: DataFrame, k: int, metric: str, scale: float, block_rows: int) -> DataFrame:
+    """The same as a product of blocks inside tasks; rows meet candidates of their own width."""
+    stored = _numbered(rows)
+    a = tiles.pack(stored, ["_row"], "vec", block_rows=block_rows, name="row-blocks")
+    b = tiles.pack(side, ["key"], "vec", block_rows=block_rows, name="candidate-blocks")
+    hits = tiles.meet(a, b, _tile_matches(b.kind, a.kind, k, metric, scale), _HITS)
+    if b.count > tiles.GROUP_BLOCKS:
+        hits = _merged(hits, k)
+    return _with_hits(stored, hits, k)
+
+
+#: Coarse cells of a pruned search; their centres and the gaps between them are what the driver and every task hold.
+CELLS = 256
+
 
-    if not again:
+def pruned_matches(
+    a: DataFrame, b: DataFrame, k: int, *, metric: str = "cosine", scale: float = 1.0, cells: int = CELLS, seed: int = 0,
+    a_key: str = "a_id", a_vec: str = "a_vec", b_key: str = "b_id", b_vec: str = "b_vec", block_rows: int = tiles.BLOCK_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`best_matches` and a report (pairs, skipped), leaving out blocks that the triangle inequality proves too far.
+
+    Both tables are dealt to the nearest of ``cells`` centres, a seeded choice of candidates. Every block of rows first meets the candidates
+    of its own cell; the worst distance among its rows' best ``k`` then bounds what it still needs, and a cell is skipped where the
+    gap of the centres less both radii exceeds it. For cosine, vectors are scaled to length one, where the order of distances
+    is that of the cosines; two further places set zero vectors at right angles to all others. ``dot`` has no such bound.
+    """
+    if metric not in ("cosine", "distance"):
+        raise ValueError(f"no triangle inequality for {metric}")
+
+    def told(df: DataFrame, key: str, vec: str, place: int) -> DataFrame:
+        v = F.transform(vec, lambda x: x.cast("double"))
+        if metric == "cosine":
+            zero = F.when(F.exists(v, lambda x: x != 0), 0.0).otherwise(1.0)
+            v = F.concat(l2_normalize(v), F.array(*[zero if i == place else F.lit(0.0) for i in (0, 1)]))
+        return df.select(F.col(key).cast("bigint").alias("key"), v.alias("vec")).filter("key is not null and vec is not null")
+
+    side = materialise(told(b, b_key, b_vec, 1), "candidates")
+    drawn = side.withColumn("_hash", F.xxhash64(F.lit(seed), "key")).orderBy("_hash", "key").limit(cells).drop("_hash").toPandas()
+    if not len(drawn):
+        none = told(a, a_key, a_vec, 0).limit(0).select(F.col("key").alias(a_key), F.lit(1).alias("rank"), F.col("key").alias(b_key), F.lit(0.0).alias("score"))
+        return none, a.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("pairs"), F.lit(0).cast("bigint").alias("skipped"))
+    _, centres = _matrix_of(drawn)
+    stored = _numbered(_celled(told(a, a_key, a_vec, 0), centres))
+    side = materialise(_celled(side, centres), "candidate-cells")
+    rows, rows_cells = _cell_blocks(stored, ["_row"], len(centres), block_rows, "row-blocks")
+    candidates, candidate_cells = _cell_blocks(side, ["key"], len(centres), block_rows, "candidate-blocks")
+    spark, run = a.sparkSession, _tile_matches(candidates.kind, rows.kind, k, "distance", 1.0)
+    gaps = spark.createDataFrame(_gaps(centres, rows_cells, candidate_cells), "of int, to int, gap double")
+    from_cells, to_cells = (spark.createDataFrame([(c, *v[:3]) for c, v in x.items()], "cell int, first int, blocks int, rows long") for x in (rows_cells, candidate_cells))
+
+    def opened(pairs: DataFrame) -> DataFrame:
+        """(a_block, b_block) of (a_block, to)."""
+        blocks = F.sequence(F.col("first"), F.col("first") + F.col("blocks") - 1)
+        return pairs.join(F.broadcast(to_cells), F.col("to") == F.col("cell")).select("a_block", F.explode(blocks).alias("b_block"))
+
+    blocks = from_cells.select(F.col("cell").alias("of"), F.explode(F.sequence(F.col("first"), F.col("first") + F.col("blocks") - 1)).alias("a_block"))
+    own = materialise(tiles.meet(rows, candidates, run, _HITS, pairs=opened(blocks.withColumn("to", F.col("of")))), "own-cell")
+    near = _merged(own, k)
+    # A row with fewer than k candidates so far bounds nothing. Distances are squared in the scores.
+    reach = F.when(F.size("lows") == k, F.sqrt(F.greatest(F.element_at("lows", -1), F.lit(0.0)))).otherwise(float("inf"))
+    placed = stored.select("_row", _block_number(rows_cells).alias("a_block"))
+    bounds = placed.join(near.select("row", reach.alias("reach")), F.col("_row") == F.col("row"), "left")
+    bounds = bounds.groupBy("a_block").agg(F.max(F.coalesce("reach", F.lit(float("inf")))).alias("reach"))
+    wanted = blocks.join(bounds, "a_block").join(F.broadcast(gaps), "of").filter((F.col("of") != F.col("to")) & (F.col("gap") <= F.col("reach")))
+    wanted = materialise(wanted.select("a_block", "of", "to"), "wanted-cells")
+    far = tiles.meet(rows, candidates, run, _HITS, pairs=opened(wanted))
+    best = _merged(own.unionByName(far), k)
+    hits = stored.select("key", "_row").join(best, F.col("_row") == F.col("row"))
+    flat = hits.select("key", F.posexplode(F.arrays_zip("lows", "keys")).alias("place", "hit"))
+    gap = F.greatest(F.col("hit.lows"), F.lit(0.0))
+    score = (F.lit(1.0) - gap / 2) * F.lit(scale) if metric == "cosine" else -gap
+    out = flat.select(F.col("key").alias(a_key), (F.col("place") + 1).alias("rank"), F.col("hit.keys").alias(b_key), score.alias("score"))
+    whole = sum(r[2] for r in rows_cells.values()) * sum(c[2] for c in candidate_cells.values())
+    first = sum(r[2] * candidate_cells[c][2] for c, r in rows_cells.items() if c in candidate_cells)
+    met = wanted.join(rows.table.select("block", "n"), F.col("a_block") == F.col("block")).join(F.broadcast(to_cells), F.col("to") == F.col("cell"))
+    skipped = F.lit(whole - first) - F.coalesce(F.sum(F.col("n") * F.col("rows")), F.lit(0))
+    return out, met.agg(F.lit(whole).cast("bigint").alias("pairs"), skipped.cast("bigint").alias("skipped"))
+
+
+def _matrix_of(got: pd.DataFrame):
+    import numpy as np
+
+    return got["key"].to_numpy().astype("int64"), np.stack(got["vec"].to_numpy()).astype("float64")
 
-        @F.pandas_udf(f"struct<{kind}>")
-        def match(vectors: pd.Series) -> pd.DataFrame:
-            return shaped(stacked(vectors), [])
 
-        return match
+def _celled(rows: DataFrame, centres) -> DataFrame:
+    """Adds ``cell``, the nearest centre, and ``off``, the distance to it."""
+    shared, steps_of = rows.sparkSession.sparkContext.broadcast(centres), _row_steps
 
-    @F.pandas_udf(f"struct<{kind}>")
-    def match_again(vectors: pd.Series, found: pd.Series, scores: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("struct<cell:int,off:double>")
+    def nearest(vectors: pd.Series) -> pd.DataFrame:
         import numpy as np
 
         if not len(vectors):
-            return shaped(stacked(vectors), [])
-        if single:
-            before = found.to_numpy()[:, None].astype("int64"), scores.to_numpy()[:, None].astype("float64")
-        else:
-            before = np.stack(found.to_numpy()).astype("int64"), np.stack(scores.to_numpy()).astype("float64")
-        return shaped(stacked(vectors), [before])
+            return pd.DataFrame({"cell": [], "off": []})
+        x, c = np.stack(vectors.to_numpy()), shared.value
+        cell = np.concatenate([((c * c).sum(1)[None, :] - 2 * x[s] @ c.T).argmin(1) for s in steps_of(len(x), len(c))])
+        return pd.DataFrame({"cell": cell.astype("int32"), "off": np.sqrt(((x - c[cell]) ** 2).sum(1))})
+
+    return rows.withColumn("_near", nearest("vec")).select("*", "_near.cell", "_near.off").drop("_near")
+
+
+def _block_number(cells: dict[int, tuple]) -> Column:
+    """Block of a row in its cell: the cell's first number and a hash of the row's place."""
+    first = F.create_map(*[F.lit(x) for c, v in cells.items() for x in (c, v[0])]) if cells else None
+    count = F.create_map(*[F.lit(x) for c, v in cells.items() for x in (c, v[1])]) if cells else None
+    if first is None:
+        return F.lit(0)
+    place = F.xxhash64(F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+    return (F.element_at(first, F.col("cell")) + F.pmod(place, F.element_at(count, F.col("cell")))).cast("int")
+
+
+def _cell_blocks(rows: DataFrame, keys: list[str], n: int, block_rows: int, name: str) -> tuple[tiles.Blocks, dict[int, tuple]]:
+    """Blocks that lie in one cell each, and by cell (first block, blocks, rows, radius); at most one entry per centre."""
+    cells, at = {}, 0
+    for r in rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("off").alias("radius")).orderBy("cell").collect():
+        blocks = -(-r["n"] // block_rows)
+        cells[r["cell"]] = (at, blocks, r["n"], r["radius"])
+        at += blocks
+    return tiles.pack(rows, keys, "vec", block=_block_number(cells), count=max(at, 1), name=name), cells
+
+
+def _gaps(centres, of: dict[int, tuple], to: dict[int, tuple]) -> list[tuple[int, int, float]]:
+    """Least distance between rows of two cells, rounded down."""
+    import numpy as np
 
-    return match_again
+    return [(i, j, float(np.sqrt(((centres[i] - centres[j]) ** 2).sum()) - a[3] - b[3] - 1e-9)) for i, a in of.items() for j, b in to.items()]
 
 
 def topk_similar(a: DataFrame, b: DataFrame, k: int, *, scale: float = 1.0, **names) -> DataFrame:

@@ -185,6 +185,41 @@ def test_best_matches_small_and_blocked(cloud, metric, k):
                     assert found[(i, r)][0] == j
 
 
+def test_tables_match_without_the_driver(cloud, monkeypatch):
+    """Large candidates never reach the driver, and rows are written once."""
+    a, b, da, db = cloud
+    monkeypatch.setattr(vectors, "_matrix", None)
+    written = []
+    monkeypatch.setattr(vectors, "materialise", lambda df, name, keep=vectors.materialise: written.append(name) or keep(df, name))
+    got = {(r.a_id, r["rank"]): r.b_id for r in vectors.best_matches(da, db, 3, metric="distance", block_values=60).collect()}
+    gaps = ((a[:, None] - b[None]) ** 2).sum(-1)
+    assert len(got) == 270 and all(gaps[i, got[i, 3]] == pytest.approx(np.sort(gaps[i])[2]) for i in range(90))
+    assert written.count("rows") == 1 and len(written) == 2
+
+
+@pytest.mark.parametrize("metric", ["cosine", "distance"])
+def test_pruned_matches_are_the_same(spark, metric):
+    rnd = np.random.default_rng(5)
+    centres = rnd.normal(size=(12, 8)) * 10
+    a, b = (centres[rnd.integers(0, 12, n)] + rnd.normal(size=(n, 8)) * 0.2 for n in (400, 500))
+    a[3], b[7] = 0, 0
+    b[20:40] = b[20]
+    frame = lambda m, p: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], f"{p}_id bigint, {p}_vec array<double>").repartition(3)
+    da, db = frame(a, "a"), frame(b, "b")
+    da = da.unionByName(spark.createDataFrame([(None, [1.0] * 8), (999, None)], da.schema))
+    want = {(r.a_id, r["rank"]): (r.b_id, r.score) for r in vectors.best_matches(da, db, 5, metric=metric).collect()}
+    hits, report = vectors.pruned_matches(da, db, 5, metric=metric, cells=24, block_rows=50)
+    got = {(r.a_id, r["rank"]): (r.b_id, r.score) for r in hits.collect()}
+    assert got.keys() == want.keys() and all(got[k][1] == pytest.approx(want[k][1], abs=1e-9) for k in want)
+    ties = sum(got[k][0] != want[k][0] for k in want)
+    assert ties <= 5  # only where rounding orders equal scores
+    [said] = report.collect()
+    assert said.pairs == 400 * 500 and said.skipped > 0.5 * said.pairs
+    with pytest.raises(ValueError, match="dot"):
+        vectors.pruned_matches(da, db, 5, metric="dot")
+    assert vectors.pruned_matches(da, db.limit(0), 5, metric=metric)[0].count() == 0
+
+
 def test_codebook_assignment_and_step(cloud, spark):
     a, b, da, db = cloud
     book = db.filter("b_id < 4").select(F.col("b_id").alias("code"), F.col("b_vec").alias("vec"))
