@@ -135,5 +135,5 @@ def test_pipeline_stages(spark):
 
 
 def test_every_operator_has_one_query():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(SQL) <= set(QUERIES) and corpus_pipeline.QUERIES["pipeline"] is corpus_pipeline.run
