@@ -13,7 +13,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, FloatType, StructType
 
 from ..scratch import materialise
 
@@ -49,22 +50,23 @@ def pack(rows: DataFrame, keys: list[str], vec: str, *, block: Column | None = N
         count = max(1, -(-rows.count() // block_rows))
         block = F.pmod(F.xxhash64(F.col("_metadata.file_name"), F.col("_metadata.row_index")), F.lit(count))
     numbers = F.col(vec) if single else F.transform(vec, lambda x: x.cast("double"))
-    told = rows.select(block.cast("int").alias("block"), F.size(vec).alias("width"), F.array(*[F.col(k).cast("bigint") for k in keys]).alias("keys"), numbers.alias("vec"))
+    told = rows.select(
+        block.cast("int").alias("block"), F.size(vec).alias("width"), F.array(*[F.col(k).cast("bigint") for k in keys]).alias("keys"), numbers.alias("vec")
+    )
+    return Blocks(materialise(packed(told, kind, ["width", "block"]), name), count, kind, len(keys))
 
-    def packed(table: pa.Table) -> pa.Table:
+
+def packed(rows: DataFrame, kind: str, by: list[str]) -> DataFrame:
+    """One row per ``by`` (integer columns): these, n, and the rows' keys and matrix as bytes; a group is a block's rows."""
+
+    def one(table: pa.Table) -> pa.Table:
         lists = lambda name: table.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        return pa.table(
-            {
-                "width": pa.array([table.column("width")[0].as_py()], pa.int32()),
-                "block": pa.array([table.column("block")[0].as_py()], pa.int32()),
-                "n": pa.array([table.num_rows], pa.int32()),
-                "keys": pa.array([lists("keys").astype("<i8").tobytes()], pa.binary()),
-                "data": pa.array([lists("vec").astype(kind).tobytes()], pa.binary()),
-            }
-        )
+        first = {c: pa.array([table.column(c)[0].as_py()], table.schema.field(c).type) for c in by}
+        added = {"keys": lists("keys").astype("<i8"), "data": lists("vec").astype(kind)}
+        return pa.table(first | {"n": pa.array([table.num_rows], pa.int32())} | {k: pa.array([v.tobytes()], pa.binary()) for k, v in added.items()})
 
-    table = told.groupBy("width", "block").applyInArrow(packed, BLOCK)
-    return Blocks(materialise(table, name), count, kind, len(keys))
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in by)
+    return rows.groupBy(*by).applyInArrow(one, f"{kinds}, n int, keys binary, data binary")
 
 
 def arrays(row: dict, kind: str, n_keys: int):
@@ -97,16 +99,22 @@ def meet(
         until = F.col("block") if upper else F.lit(a.count - 1)
         right = b.table.select("*", F.explode(F.sequence(F.lit(0), until)).alias("meets"), group.alias("group"))
 
+    return cogrouped(left, right, ["width", "block", "group"], ["width", "meets", "group"], run, schema)
+
+
+def cogrouped(
+    left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str], run: Callable[[dict, Iterator[dict]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """``run(row of left, rows of right)`` per key: one block on the left, some on the right in order of their number."""
+    fields = list(to_arrow_schema(StructType.fromDDL(schema)))
+
     def step(one: pa.Table, many: pa.Table) -> pa.Table:
+        none = pa.table({f.name: pa.array([], f.type) for f in fields})
         if not one.num_rows or not many.num_rows:
-            return pa.table({f.name: pa.array([], f.type) for f in fields})
+            return none
         row = lambda t, i: {c: t.column(c)[i].as_py() for c in t.column_names}
-        order = sorted(range(many.num_rows), key=lambda i: many.column("block")[i].as_py())
-        batches = list(run(row(one, 0), (row(many, i) for i in order)))
-        return pa.Table.from_batches(batches) if batches else pa.table({f.name: pa.array([], f.type) for f in fields})
+        numbers = many.column("block").to_pylist()
+        batches = list(run(row(one, 0), (row(many, i) for i in sorted(range(len(numbers)), key=numbers.__getitem__))))
+        return pa.Table.from_batches(batches) if batches else none
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    fields = list(to_arrow_schema(StructType.fromDDL(schema)))
-    return left.groupBy("width", "block", "group").cogroup(right.groupBy("width", "meets", "group")).applyInArrow(step, schema)
+    return left.groupBy(*left_keys).cogroup(right.groupBy(*right_keys)).applyInArrow(step, schema)

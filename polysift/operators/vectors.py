@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import l2_normalize
-from ..scratch import materialise
+from ..scratch import discard, materialise
 from . import tiles
 from .position import hash_pick
 
@@ -401,6 +401,91 @@ def kmeans(
     return out
 
 
+def kmeans_bounded(
+    df: DataFrame, start: DataFrame, *, vec: str, iters: int = 10, block_values: int = BLOCK_VALUES
+) -> tuple[DataFrame, list[dict[str, int]]]:
+    """The codebook of :func:`kmeans` (Euclidean) and, per round, the rows, those that moved and the distances computed.
+
+    Every row carries its centre, an upper bound of the distance to it and a lower bound of the distance to all others. Centres
+    that move widen the bounds by as much; a row whose upper bound stays below its lower one, or below half the gap from its centre to the
+    next, computes nothing. Only rows that moved change the sums, and the rounds end once none does. The rows are rewritten each round, so
+    this pays where codes times width outweigh that. The codebook must have at most ``block_values`` numbers; it is checked.
+    """
+    import numpy as np
+
+    spark = df.sparkSession
+    book = start.select(F.col("code").cast("bigint").alias("key"), F.transform("vec", lambda x: x.cast("double")).alias("vec")).filter("vec is not null")
+    size = book.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
+    if not size[0] or size[0] * size[1] > block_values:
+        raise ValueError(f"a codebook of {size[0]} rows is empty or beyond {block_values} numbers; use kmeans")
+    codes, centres = _matrix(book)
+    sums, counts = np.zeros_like(centres), np.zeros(len(codes), np.int64)
+    rows = df.select(F.transform(vec, lambda x: x.cast("double")).alias("vec")).filter("vec is not null")
+    state = rows.select("vec", F.lit(-1).alias("at"), F.lit(0.0).alias("upper"), F.lit(0.0).alias("lower"))
+    shift, report, written = np.zeros(len(codes)), [], None
+    for _ in range(iters):
+        told = state.withColumn("new", _bounded_udf(spark.sparkContext.broadcast((centres, shift)))("vec", "at", "upper", "lower"))
+        done = materialise(told.select("vec", F.col("at").alias("before"), "new.*"), "bounded")
+        if written is not None:
+            discard(written)
+        written = done
+        total = done.agg(F.count(F.lit(1)), F.count_if(F.col("at") != F.col("before")), F.coalesce(F.sum("computed"), F.lit(0))).first()
+        report.append({"rows": total[0], "moved": total[1], "distances": total[2]})
+        if not total[1]:
+            break
+        moved = done.filter("at != before")
+        for column, sign in (("at", 1), ("before", -1)):
+            for r in group_vector_sum(moved.filter(F.col(column) >= 0), column, "vec").collect():  # at most a row per code
+                sums[r[column]] += sign * np.array(r["vec_sum"])
+                counts[r[column]] += sign * r["n"]
+        fresh = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centres)
+        shift, centres = np.sqrt(((fresh - centres) ** 2).sum(1)), fresh
+        state = done.select("vec", "at", "upper", "lower")
+    out = [(int(c), v.tolist(), int(n)) for c, v, n in zip(codes, centres, counts, strict=True)]
+    return spark.createDataFrame(out, "code bigint, vec array<double>, size bigint"), report
+
+
+def _bounded_udf(carried):
+    """New centre, bounds and distances computed of rows (vector, centre, upper, lower); a centre of -1 has no bounds yet."""
+    steps_of = _row_steps
+
+    @F.pandas_udf("struct<at:int,upper:double,lower:double,computed:int>")
+    def bounded(vectors: pd.Series, at: pd.Series, upper: pd.Series, lower: pd.Series) -> pd.DataFrame:
+        import numpy as np
+
+        if not len(vectors):
+            return pd.DataFrame({"at": [], "upper": [], "lower": [], "computed": []})
+        centres, shift = carried.value
+        x, own = np.stack(vectors.to_numpy()), at.to_numpy().astype("int64").copy()
+        half = np.full(len(centres), np.inf)
+        squares = (centres**2).sum(1)
+        for step in steps_of(len(centres), len(centres)):
+            gaps = squares[step, None] + squares[None] - 2 * centres[step] @ centres.T
+            gaps[np.arange(len(gaps)), np.arange(len(centres))[step]] = np.inf
+            half[step] = np.sqrt(np.maximum(gaps.min(1), 0.0)) / 2
+        known, places = own >= 0, np.maximum(own, 0)
+        high = np.where(known, upper.to_numpy() + shift[places], np.inf)
+        low = np.where(known, lower.to_numpy() - shift.max(), 0.0)
+        # Strictly below, with room for rounding: equal distances go to the lowest code.
+        safe = np.maximum(low, half[places]) * (1 - 1e-9) - 1e-12
+        computed = np.zeros(len(x), "int32")
+        tight = np.flatnonzero(known & (high >= safe))
+        high[tight] = np.sqrt(((x[tight] - centres[own[tight]]) ** 2).sum(1))
+        computed[tight] = 1
+        left = np.flatnonzero(~known | (high >= safe))
+        for step in steps_of(len(left), len(centres)):
+            rows = left[step]
+            d = np.maximum((x[rows] ** 2).sum(1)[:, None] + squares[None] - 2 * x[rows] @ centres.T, 0.0)
+            own[rows] = d.argmin(1)
+            high[rows] = np.sqrt(d[np.arange(len(rows)), own[rows]])
+            d[np.arange(len(rows)), own[rows]] = np.inf
+            low[rows] = np.sqrt(d.min(1))
+            computed[rows] += len(centres)
+        return pd.DataFrame({"at": own.astype("int32"), "upper": high, "lower": low, "computed": computed})
+
+    return bounded
+
+
 def quantization_error(nearest: DataFrame, dim: int, *, beta: float = 1.0) -> DataFrame:
     """beta * mean squared difference per vector element, from :func:`nearest_code` distances."""
     return nearest.agg((F.lit(beta) * F.avg("distance") / F.lit(dim)).alias("error"))
@@ -475,21 +560,36 @@ def unmap_codes(indices: DataFrame, used: DataFrame, *, column: str = "index") -
     return indices.withColumn("_place", place).join(side, F.col("_place") == F.col("_index"), "left").drop("_place", "_index")
 
 
-def alignment_loss(pairs: DataFrame, *, batch: str = "batch_id", a: str = "a_vec", b: str = "b_vec", scale: float = 1.0) -> DataFrame:
+def alignment_loss(
+    pairs: DataFrame, *, batch: str = "batch_id", a: str = "a_vec", b: str = "b_vec", scale: float = 1.0, block_rows: int = tiles.BLOCK_ROWS
+) -> DataFrame:
     """Per batch: rows and symmetric cross-entropy of the cosine logits, the row's own partner being the target.
 
-    A batch has a fixed size (see ``batching.batch_ids``); its logits stay inside the task.
+    Batches may have any size: one of up to ``block_rows`` pairs is one group; of a larger one, blocks of both sides meet inside tasks,
+    and what a row's and a column's logits add up to is merged from their blocks. Pairs with a null vector or batch are left out.
     """
     import math
 
-    factor, scores_of = math.exp(scale), _scores
+    factor = math.exp(scale)
+    unit = lambda c: l2_normalize(F.transform(c, lambda x: x.cast("double")))
+    rows = pairs.select(F.col(batch).cast("bigint").alias("batch_id"), unit(a).alias("a"), unit(b).alias("b"))
+    stored = materialise(rows.filter("batch_id is not null and a is not null and b is not null").withColumn("row", F.monotonically_increasing_id()), "pairs")
+    sizes = materialise(stored.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / block_rows).alias("parts")), "batch-sizes")
+    small = _small_losses(stored.join(sizes.filter("parts = 1").select("batch_id"), "batch_id"), factor)
+    if (sizes.agg(F.max("parts")).first()[0] or 1) == 1:
+        return small
+    place = F.xxhash64(F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+    placed = stored.select("*", place.alias("place")).join(sizes.filter("parts > 1"), "batch_id")
+    return small.unionByName(_large_losses(placed, factor))
 
-    def loss(rows: pd.DataFrame) -> pd.DataFrame:
+
+def _small_losses(rows: DataFrame, factor: float) -> DataFrame:
+    """(batch_id, n, loss) of batches whose logits fit a task."""
+
+    def loss(part: pd.DataFrame) -> pd.DataFrame:
         import numpy as np
 
-        left = np.stack(rows["a"].to_numpy()).astype("float64")
-        right = np.stack(rows["b"].to_numpy()).astype("float64")
-        logits = scores_of(left, right, "cosine", factor)
+        logits = np.stack(part["a"].to_numpy()) @ np.stack(part["b"].to_numpy()).T * factor
         own = np.diag(logits)
 
         def entropy(m, axis):
@@ -497,7 +597,54 @@ def alignment_loss(pairs: DataFrame, *, batch: str = "batch_id", a: str = "a_vec
             return (np.log(np.exp(m - top).sum(axis=axis)) + top.squeeze(axis) - own).mean()
 
         value = (entropy(logits, 1) + entropy(logits, 0)) / 2
-        return pd.DataFrame({"batch_id": [rows["batch_id"].iloc[0]], "n": [len(rows)], "loss": [float(value)]})
+        return pd.DataFrame({"batch_id": [part["batch_id"].iloc[0]], "n": [len(part)], "loss": [float(value)]})
+
+    return rows.select("batch_id", "a", "b").groupBy("batch_id").applyInPandas(loss, "batch_id bigint, n bigint, loss double")
 
-    rows = pairs.select(F.col(batch).cast("bigint").alias("batch_id"), F.col(a).alias("a"), F.col(b).alias("b"))
-    return rows.groupBy("batch_id").applyInPandas(loss, "batch_id bigint, n bigint, loss double")
+
+def _large_losses(rows: DataFrame, factor: float) -> DataFrame:
+    """(batch_id, n, loss) of rows (batch_id, row, a, b, n, parts, place) by running maxima and sums over blocks."""
+    steps_of, unpacked = _row_steps, tiles.arrays
+
+    def run(one: dict, many: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        def batch(side: int, ids, top, total) -> pa.RecordBatch:
+            n = len(ids)
+            columns = [pa.array([one["batch_id"]] * n, pa.int64()), pa.array(ids), pa.array([side] * n, pa.int32()), pa.array(top), pa.array(total)]
+            return pa.RecordBatch.from_arrays(columns, names=["batch_id", "row", "side", "top", "total"])
+
+        def grown(top, total, more, axis: int):
+            """Maximum and sum of exponentials below it, with another block's logits."""
+            high = np.maximum(top, more.max(axis))
+            return high, total * np.exp(top - high) + np.exp(more - np.expand_dims(high, axis)).sum(axis)
+
+        ids, left = unpacked(one, "<f8", 1)
+        top, total = np.full(len(ids), -np.inf), np.zeros(len(ids))
+        for block in many:
+            others, right = unpacked(block, "<f8", 1)
+            high, sums = np.full(len(others), -np.inf), np.zeros(len(others))
+            for s in steps_of(len(ids), len(others)):
+                logits = left[s] @ right.T * factor
+                top[s], total[s] = grown(top[s], total[s], logits, 1)
+                high, sums = grown(high, sums, logits, 0)
+            yield batch(1, others[:, 0], high, sums)
+        yield batch(0, ids[:, 0], top, total)
+
+    def blocks(side: str) -> DataFrame:
+        told = rows.select("batch_id", F.pmod("place", "parts").cast("int").alias("block"), F.size(side).alias("width"), F.array("row").alias("keys"), F.col(side).alias("vec"))
+        return materialise(tiles.packed(told, "<f8", ["batch_id", "width", "block"]), f"{side}-blocks")
+
+    left, right = blocks("a"), blocks("b")
+    group = F.call_function("div", F.col("block"), F.lit(tiles.GROUP_BLOCKS)).cast("int").alias("group")
+    own, other = left.select("batch_id", "width", F.col("block").alias("meets")), right.select("batch_id", "width", group).distinct()
+    met = tiles.cogrouped(
+        left.join(other, ["batch_id", "width"]), right.join(own, ["batch_id", "width"]).select("*", group),
+        ["batch_id", "width", "block", "group"], ["batch_id", "width", "meets", "group"], run, "batch_id long, row long, side int, top double, total double",
+    )
+    parts = met.groupBy("batch_id", "row", "side").agg(F.max("top").alias("high"), F.collect_list(F.struct("top", "total")).alias("parts"))
+    spread = F.aggregate("parts", F.lit(0.0), lambda acc, p: acc + p["total"] * F.exp(p["top"] - F.col("high")))
+    entropies = parts.groupBy("batch_id").agg(F.sum(F.col("high") + F.log(spread)).alias("spread"))
+    dot = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    owns = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.sum(dot * factor).alias("own"))
+    return owns.join(entropies, "batch_id").select("batch_id", "n", ((F.col("spread") - 2 * F.col("own")) / (2 * F.col("n"))).alias("loss"))

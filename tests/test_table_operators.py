@@ -254,6 +254,26 @@ def test_kmeans_error_never_grows(cloud):
     assert jobs.fit_codebook(da, 3, key="a_id", vec="a_vec", iters=2).count() == 3
 
 
+def test_bounded_rounds_give_the_same_centres(spark):
+    rnd = np.random.default_rng(8)
+    centres = rnd.normal(size=(10, 5)) * 6
+    points = centres[rnd.integers(0, 10, 3000)] + rnd.normal(size=(3000, 5)) * 0.5
+    points[100:400] = points[100]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "id bigint, v array<double>").repartition(4)
+    df = df.unionByName(spark.createDataFrame([(-1, None)], df.schema))
+    start = spark.createDataFrame([(i * 3, v.tolist()) for i, v in enumerate(points[[1, 2, 3, 4, 5, 6, 100, 100]])] + [(99, [500.0] * 5)], "code bigint, vec array<double>")
+    want = {r.code: r for r in vectors.kmeans(df, start, vec="v", iters=8).collect()}
+    book, report = vectors.kmeans_bounded(df, start, vec="v", iters=8)
+    got = {r.code: r for r in book.collect()}
+    assert got.keys() == want.keys() and all(got[c].size == want[c].size and np.allclose(got[c].vec, want[c].vec, atol=1e-9) for c in want)
+    assert report[0]["distances"] == 3000 * 9 and report[0]["moved"] == 3000
+    assert sum(r["distances"] for r in report) < 0.6 * 3000 * 9 * len(report)
+    _, ended = vectors.kmeans_bounded(df, start, vec="v", iters=60)
+    assert len(ended) < 60 and ended[-1]["moved"] == 0
+    with pytest.raises(ValueError, match="use kmeans"):
+        vectors.kmeans_bounded(df, start, vec="v", block_values=10)
+
+
 def test_moving_codebook(cloud, spark):
     a, b, da, _ = cloud
     a = a / np.linalg.norm(a, axis=1, keepdims=True)
@@ -286,7 +306,13 @@ def test_alignment_loss(cloud, spark):
     a, b, *_ = cloud
     rows = [(i // 8, [float(x) for x in a[i]], [float(x) for x in b[i]]) for i in range(20)]
     df = spark.createDataFrame(rows, "batch_id bigint, a_vec array<double>, b_vec array<double>")
-    got = {r.batch_id: r for r in vectors.alignment_loss(df, scale=0.5).collect()}
+    odd = spark.createDataFrame([(None, [1.0] * 6, [1.0] * 6), (0, None, [1.0] * 6)], df.schema)
+    got = {r.batch_id: r for r in vectors.alignment_loss(df.unionByName(odd), scale=0.5).collect()}
+    blocked = {r.batch_id: r for r in vectors.alignment_loss(df.repartition(3), scale=0.5, block_rows=3).collect()}
+    mixed = {r.batch_id: r for r in vectors.alignment_loss(df, scale=0.5, block_rows=5).collect()}
+    for other in (blocked, mixed):  # every batch in blocks; the last one, of four pairs, in one group
+        assert {b: r.n for b, r in other.items()} == {b: r.n for b, r in got.items()}
+        assert all(other[b].loss == pytest.approx(got[b].loss, abs=1e-12) for b in got)
     for batch in range(3):
         x, y = a[batch * 8 : min(batch * 8 + 8, 20)], b[batch * 8 : min(batch * 8 + 8, 20)]
         logits = (x / np.linalg.norm(x, axis=1)[:, None]) @ (y / np.linalg.norm(y, axis=1)[:, None]).T * math.exp(0.5)
@@ -294,6 +320,17 @@ def test_alignment_loss(cloud, spark):
         assert got[batch].n == len(x) and got[batch].loss == pytest.approx((p.mean() + q.mean()) / 2)
 
 
+def test_alignment_loss_of_a_large_batch(spark):
+    """One batch in many blocks, with logits far apart: no matrix of the whole batch in any task."""
+    rnd = np.random.default_rng(6)
+    x, y = rnd.normal(size=(700, 4)), rnd.normal(size=(700, 4))
+    df = spark.createDataFrame([(1, a.tolist(), b.tolist()) for a, b in zip(x, y, strict=True)], "batch_id bigint, a_vec array<double>, b_vec array<double>")
+    [got] = vectors.alignment_loss(df.repartition(5), scale=4.0, block_rows=40).collect()
+    logits = (x / np.linalg.norm(x, axis=1)[:, None]) @ (y / np.linalg.norm(y, axis=1)[:, None]).T * math.exp(4.0)
+    p, q = (np.log(np.exp(m - m.max(1)[:, None]).sum(1)) + m.max(1) - np.diag(m) for m in (logits, logits.T))
+    assert got.n == 700 and got.loss == pytest.approx((p.mean() + q.mean()) / 2)
+
+
 # -- caller's Python
 
 
