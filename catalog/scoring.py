@@ -225,6 +225,23 @@ def _rank_files(spark, sf):
     return path, world
 
 
+def merged_with_repeats(spark, sf):
+    """A run whose last two rows ask the first two questions again, in a subtask of their own, and that padding follows: merged without the total."""
+    path, world = _rank_files(spark, sf)
+    n = table(spark, sf, "events").agg(F.count(F.lit(1))).scalar()
+    once = jobs.merge_predictions(spark, path, world=world, dedup=False).filter(F.col("position") < n)
+    asked = once.filter("position < 2").withColumns({"position": F.col("position") + n, "subtask": F.lit("again")})
+    run = once.unionByName(asked)
+    size = n + 2
+    spare = F.ceil(size / world).cast("bigint") * world - size
+    padded = run.unionByName(run.filter(F.col("position") < spare).withColumn("position", F.col("position") + size))
+    records = padded.withColumns({"rank": F.col("position") % world, "index": F.floor(F.col("position") / world)}).drop("position")
+    sinks.reset_output(records, f"{path}-repeats/result-0")
+    sinks.write_jsonl(records, f"{path}-repeats/result-0")
+    merged = jobs.merge_predictions(spark, f"{path}-repeats", world=world)
+    return merged.select("position", "subtask", "image_path", "question", "answer", F.col("output")[0].alias("output"))
+
+
 def merged_predictions(spark, sf):
     """Padded shards written, read back, merged with the total known and without it, and written once more."""
     path, world = _rank_files(spark, sf)
@@ -251,7 +268,7 @@ QUERIES = {
     for f in (
         answer_judgements, avqa_report, event_judgements, event_slot_report, event_score, event_reject_report, class_histogram,
         choice_report, yesno_report, yesno_readings, confusion_report, paired_report, paired_job_report, even_image_rows,
-        image_pairs, subtask_sizes, image_order, merged_predictions, prediction_records,
+        image_pairs, subtask_sizes, image_order, merged_predictions, merged_with_repeats, prediction_records,
     )
 }
 
@@ -352,4 +369,9 @@ SQL = {
     "image_order": """select cast(user_id as varchar) as image, min(event_id) as first_position,
       row_number() over (order by min(event_id)) - 1 as group_order from events group by user_id""",
     "merged_predictions": _MERGED,
+    "merged_with_repeats": f"""
+      with a as ({ADAPTER_SQL}), n as (select count(*) as n from events)
+      select event_id as position, event_type as subtask, 'images/' || user_id || '.jpg' as image_path, 'q' || event_id as question,
+        gold_yn as answer, pred_yn as output from a
+      union all select event_id + n, 'again', 'images/' || user_id || '.jpg', 'q' || event_id, gold_yn, pred_yn from a, n where event_id < 2""",
 }

@@ -104,30 +104,43 @@ def merged_position(rank: str = "rank", index: str = "index", *, world: int) ->
     return (F.col(index).cast("bigint") * world + F.col(rank)).cast("bigint")
 
 
-def padded_rows(placed: DataFrame, *, world: int, key: tuple[str, ...] = ("image_path", "question", "answer")) -> Column:
+#: What a run adds to a record; the other columns come from the data set.
+RUN_COLUMNS = ("rank", "index", "position", "output", "arrived")
+
+
+def padded_rows(placed: DataFrame, *, world: int, key: tuple[str, ...] | None = None, identity: str = "image_path", output: str = "output") -> Column:
     """Number of rows that padding has put at the end of a run, as a value of one row.
 
     Equal shards repeat fewer than ``world`` rows from the head at the tail, in order. The largest such number whose rows
-    all agree with the head is taken, nulls being equal; only the ends of the run are compared.
+    agree with the head in all columns of the data set (or ``key``), nulls being equal, is what padding may have added; only the ends of the run
+    are compared. It is taken as padding where the rows also name their media (``identity``) and agree in their output. Where
+    not, they may as well be genuine rows that ask the same question, and the query fails: the run's true length has to be given.
     """
+    key = key or tuple(c for c in placed.columns if c not in RUN_COLUMNS)
+    known = [c for c in (identity, output) if c in placed.columns]
     end = placed.agg(F.max("position") + 1).scalar()
-    head = placed.filter(F.col("position") < world - 1).select(F.col("position").alias("_i"), *[F.col(k).alias(f"_{k}") for k in key])
-    tail = placed.filter(F.col("position") > end - world).select(F.col("position").alias("_j"), *key)
+    carried = list(dict.fromkeys([*key, *known]))
+    head = placed.filter(F.col("position") < world - 1).select(F.col("position").alias("_i"), *[F.col(k).alias(f"_{k}") for k in carried])
+    tail = placed.filter(F.col("position") > end - world).select(F.col("position").alias("_j"), *carried)
     same = F.lit(True)
     for k in key:
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    pairs = tail.join(head, same).select((end - F.col("_j") + F.col("_i")).alias("n"), "_i")
-    whole = pairs.filter((F.col("n") < world) & (F.col("_i") < F.col("n"))).distinct().groupBy("n").count().filter(F.col("count") == F.col("n"))
-    return F.coalesce(whole.agg(F.max("n")).scalar(), F.lit(0))
-
-
-def dedup_padded(
-    preds: DataFrame, *, world: int, n_total: int | None = None, key: tuple[str, ...] = ("image_path", "question", "answer")
-) -> DataFrame:
+    sure = F.col(identity).isNotNull() if identity in known else F.lit(False)
+    if output in known:
+        sure = sure & F.col(output).eqNullSafe(F.col(f"_{output}"))
+    pairs = tail.join(head, same).select((end - F.col("_j") + F.col("_i")).alias("n"), "_i", sure.alias("sure"))
+    met = pairs.filter((F.col("n") < world) & (F.col("_i") < F.col("n"))).groupBy("n", "_i").agg(F.max("sure").alias("sure"))
+    whole = met.groupBy("n").agg(F.count(F.lit(1)).alias("found"), F.min("sure").alias("sure")).filter("found = n")
+    top = whole.agg(F.max(F.struct("n", "sure"))).scalar()
+    unclear = F.raise_error("rows at the end of the run repeat its head but need not be padding: give n_total").cast("bigint")
+    return F.when(top.isNull(), F.lit(0).cast("bigint")).when(top["sure"], top["n"]).otherwise(unclear)
+
+
+def dedup_padded(preds: DataFrame, *, world: int, n_total: int | None = None, key: tuple[str, ...] | None = None) -> DataFrame:
     """Remove the rows that equal-sized shards repeat; adds ``position``.
 
     The repeats are the positions from the run's true length on. It is ``n_total``, or follows from the rows at the tail
-    that repeat the head (:func:`padded_rows`). Genuine rows with equal questions elsewhere always stay.
+    that repeat the head (:func:`padded_rows`), which fails where these could be genuine. Rows with equal questions elsewhere always stay.
     """
     placed = preds.withColumn("position", merged_position(world=world))
     if n_total is not None:

@@ -522,13 +522,20 @@ def test_first_rows_are_cut_before_they_move(spark):
     assert {r.g: (r.n, r.p) for r in totals.collect()} == {0: (3334, 3333), 1: (3333, 3332), 2: (3333, 3332)}
 
 
+RECORD = "rank int, index bigint, subtask string, image_path string, question string, answer string, output array<string>"
+
+
+def merged_run(spark, rows, world, **options):
+    """Positions kept of a run of (subtask, image, question, answer, output), padded to equal shards unless ``padded=False``."""
+    padded = rows + rows[: -len(rows) % world] if options.pop("padded", True) else rows
+    records = [(p % world, p // world, *r[:4], [r[4]]) for p, r in enumerate(padded)]
+    df = spark.createDataFrame(records, RECORD).repartition(3)
+    return sorted(r.position for r in subset.dedup_padded(df, world=world, **options).collect())
+
+
 def test_padding_is_told_from_repeated_questions(spark):
     def run(questions, world):
-        n = len(questions)
-        padded = questions + questions[: -n % world]
-        rows = [(p % world, p // world, None, q, "yes") for p, q in enumerate(padded)]
-        df = spark.createDataFrame(rows, "rank int, index bigint, image_path string, question string, answer string").repartition(3)
-        return sorted(r.position for r in subset.dedup_padded(df, world=world).collect())
+        return merged_run(spark, [("s", f"{i}.jpg", q, "yes", "yes") for i, q in enumerate(questions)], world)
 
     assert run(["a", "b", "a", "c", "b"], 3) == list(range(5))
     assert run(["a", "b", "c", "d", "e", "f", "g"], 4) == list(range(7))
@@ -536,6 +543,25 @@ def test_padding_is_told_from_repeated_questions(spark):
     assert run(["q", "b", "b", "b", "x", "b"], 5) == list(range(6))
 
 
+def test_genuine_rows_at_the_tail_are_never_dropped(spark):
+    """Without media names, equal questions at both ends may be genuine."""
+    plain = [("s", None, q, "A", "A") for q in "abcde"]
+    # Another subtask: no repeat at all, whatever the question.
+    assert merged_run(spark, [*plain, ("t", None, "a", "A", "B")], 2) == list(range(6))
+    assert merged_run(spark, plain, 5) == list(range(5))
+    for last in (("s", None, "a", "A", "A"), ("s", None, "a", "A", "B")):
+        with pytest.raises(Exception, match="give n_total"):
+            merged_run(spark, [*plain, last], 2)
+        assert merged_run(spark, [*plain, last], 2, n_total=6) == list(range(6))
+    with pytest.raises(Exception, match="give n_total"):
+        merged_run(spark, plain, 2)
+    assert merged_run(spark, plain, 2, n_total=5) == list(range(5))
+    # The same image and question, answered otherwise.
+    named = [("s", f"{q}.jpg", q, "A", "A") for q in "abcde"]
+    with pytest.raises(Exception, match="give n_total"):
+        merged_run(spark, [*named, ("s", "a.jpg", "a", "A", "B")], 2)
+
+
 def test_written_pairs_come_back_whole(spark, tmp_path):
     from polysift import sinks
     from polysift.sources import predictions
