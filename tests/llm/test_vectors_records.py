@@ -1,7 +1,9 @@
 """Vectors, WARC records and the pipeline."""
 
 import hashlib
+import math
 import random
+from fractions import Fraction
 
 import brute
 import numpy as np
@@ -36,13 +38,46 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
-def test_top_k_in_query_blocks(spark, monkeypatch):
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
-    monkeypatch.setattr(topk, "BLOCK_ROWS", 64)
+def test_top_k_in_blocks(spark):
     r = np.random.default_rng(2)
     rows = [(i, (r.normal(size=16) * r.choice((0.01, 1, 40))).tolist()) for i in range(500)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
-    assert sorted(tuple(x) for x in topk.top_k(df, F.col("vec_id") % 50 == 0).collect()) == brute_top(rows, 5)
+    got = topk.top_k(df, F.col("vec_id") % 50 == 0, block_rows=64, query_rows=3)
+    assert sorted(tuple(x) for x in got.collect()) == brute_top(rows, 5)
+
+
+def exact_top(rows, k):
+    """With Python's integers; scores are clamped to a long after ranking."""
+    ints = [(i, [math.floor(Fraction(x) * 256) for x in v]) for i, v in rows]
+    out = []
+    for q, x in ints:
+        if q % 50 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), i) for i, y in ints if i != q)[:k]
+            out += [(q, n + 1, i, max(-(2**63), min(2**63 - 1, -s))) for n, (s, i) in enumerate(scores)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("size", [1e4, 1e7, 1e12, 1e17, 1e200, 1e307])
+def test_top_k_of_large_components(spark, size):
+    r = np.random.default_rng(int(math.log10(size)))
+    rows = [(i, [float(x) for x in r.normal(size=6) / 8 * size]) for i in range(150)]
+    rows += [(1000 + i, [i * size / 400] * 6) for i in range(300)] + [(5000, [1.5] * 6), (5001, [-1e-9] * 6), (5050, [size, -size, 0.0, 1.0, 0.25, -0.25])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    got = topk.top_k(df, F.col("vec_id") % 50 == 0, block_rows=128)
+    assert sorted(tuple(x) for x in got.collect()) == exact_top(rows, 5)
+
+
+def test_index_of_large_integers():
+    """Scores within a long whose sums leave the range of exact doubles."""
+    values = np.array([[i * 10**7] * 4 for i in range(300)], np.int64)
+    index = topk.Index(np.arange(300, dtype=np.int64), values)
+    rows, scores = index.best(values[299], 3, 299)
+    assert index.ids[rows].tolist() == [298, 297, 296] and scores == [4 * 299 * i * 10**14 for i in (298, 297, 296)]
+
+
+def test_scores_sort_as_text():
+    scores = [0, 1, -1, 9, 10, -10, -9, 10**30, -(10**30), 10**30 + 1, 2**63, 123456789]
+    assert sorted(scores, key=topk.sortable) == sorted(scores)
 
 
 @pytest.mark.parametrize("d", [1, 4, 64])
@@ -55,7 +90,7 @@ def test_index_narrows_down_exactly(d):
     for q in range(0, 2000, 97):
         rows, scores = index.best(values[q], 5, int(ids[q]))
         want = [i for i in np.lexsort((ids, -(values @ values[q]))) if ids[i] != ids[q]][:5]
-        assert index.ids[rows].tolist() == ids[want].tolist() and scores.tolist() == (values[want] @ values[q]).tolist()
+        assert index.ids[rows].tolist() == ids[want].tolist() and scores == (values[want] @ values[q]).tolist()
 
 
 PAGES = "page_id long, url string, html string"
