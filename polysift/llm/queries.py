@@ -207,21 +207,23 @@ select page_id, file, row_number() over w - 1 as seq,
 from records window w as (partition by file order by page_id, sha256(r))
 """,
     "op10_decontamination": f"""
-with items as (select cast(item_id as varchar) as item, {_ALNUM} as w from benchmark where item_id is not null),
+with items as (
+    select cast(item_id as varchar) as item, coalesce(cast(item_id as varchar), chr(10) || array_to_string(w, ' ')) as owner, w
+    from (select item_id, {_ALNUM} as w from benchmark)),
 windows as (
-    select distinct item, least(len(w), 13) as k, array_to_string(list_slice(w, s, s + 12), ' ') as win
-    from (select item, w, unnest(generate_series(1, greatest(1, len(w) - 12))) as s from items where len(w) > 0)),
+    select distinct owner, item, least(len(w), 13) as k, array_to_string(list_slice(w, s, s + 12), ' ') as win
+    from (select owner, item, w, unnest(generate_series(1, greatest(1, len(w) - 12))) as s from items where len(w) > 0)),
 sizes as (select distinct k from windows),
 docs as (select doc_id, {_ALNUM} as w from documents),
 places as (
     select doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) as s
     from docs, sizes where len(w) >= k),
 runs as (select doc_id, s, k, array_to_string(list_slice(w, s, s + k - 1), ' ') as win from places),
-hits as (select doc_id, s, k, item from runs join windows using (k, win)),
+hits as (select doc_id, s, k, item, owner from runs join windows using (k, win)),
 words as (select doc_id, count(distinct p) as n_hit
           from (select distinct doc_id, unnest(generate_series(s, s + k - 1)) as p from hits) group by doc_id),
 found as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
-          from (select distinct doc_id, item from hits) group by doc_id)
+          from (select distinct doc_id, owner, item from hits) group by doc_id)
 select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
        cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256,
        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated

@@ -43,11 +43,11 @@ def words_of(text):
 
 
 def contamination(docs, items, window=13):
-    """{doc id: (n_words, n_hit, sorted items)}"""
+    """{doc id: (n_words, n_hit, sorted items, number of items)}; items without an id are told apart by their words"""
     found = {}
     for doc, text in docs:
         words = words_of(text)
-        hit, ids = set(), set()
+        hit, ids, nameless = set(), set(), set()
         for item, body in items:
             w = words_of(body)
             k = min(window, len(w))
@@ -55,8 +55,8 @@ def contamination(docs, items, window=13):
                 for at in range(len(words) - k + 1):
                     if words[at : at + k] == w[s : s + k]:
                         hit.update(range(at, at + k))
-                        ids.add(str(item))
-        found[doc] = (len(words), len(hit), sorted(ids))
+                        (ids.add(str(item)) if item is not None else nameless.add(tuple(w)))
+        found[doc] = (len(words), len(hit), sorted(ids), len(ids) + len(nameless))
     return found
 
 

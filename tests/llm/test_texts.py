@@ -84,7 +84,7 @@ def test_bpe_rows(spark, vocabulary, reference):
 
 def random_docs(seed=2, n=60):
     r = random.Random(seed)
-    items = [(i, " ".join(r.choice("abcdefg") for _ in range(k))) for i, k in enumerate((0, 1, 3, 12, 13, 14, 30, 30))] + [(8, None), (8, "Q r s"), (9, "Ünï cödé")]
+    items = [(i, " ".join(r.choice("abcdefg") for _ in range(k))) for i, k in enumerate((0, 1, 3, 12, 13, 14, 30, 30))] + [(8, None), (8, "Q r s"), (9, "Ünï cödé"), (None, "b c d"), (None, "B, c d"), (None, None), (None, " ".join("abcdefghi" * 4))]
     docs = []
     for d in range(n):
         words = [r.choice("abcdefghi") + r.choice(("", "", "1")) for _ in range(r.randint(0, 40))]
@@ -101,17 +101,32 @@ def test_contamination(spark, block_words):
     got = by_id(decontaminate.contamination(frame(spark, docs, n_words=7, items="x"), bench, block_words=block_words))
     want = brute.contamination(docs, items)
     texts = dict(docs)
-    for d, (n_words, n_hit, ids) in want.items():
+    for d, (n_words, n_hit, ids, n_items) in want.items():
         r = got[d]
-        assert (r.n_words, r.n_hit, r.n_items, r["items"]) == (n_words, n_hit, len(ids), ids)
+        assert (r.n_words, r.n_hit, r.n_items, r["items"]) == (n_words, n_hit, n_items, ids)
         assert r.items_sha256 == hashlib.sha256(",".join(ids).encode()).hexdigest()
         assert r.contaminated == (n_hit > 0 and 20 * n_hit >= n_words)
         assert sum(len(brute.words_of(texts[d][s.start : s.end])) for s in r.spans) == n_hit
-    kept = decontaminate.drop_contaminated(frame(spark, docs, n_words=7), bench)
-    assert {r.doc_id for r in kept.collect()} == {d for d, (n, h, _) in want.items() if not (h and 20 * h >= n)}
+    kept = decontaminate.drop_contaminated(frame(spark, docs, n_words=7), bench, block_words=block_words)
+    assert {r.doc_id for r in kept.collect()} == {d for d, (n, h, *_) in want.items() if not (h and 20 * h >= n)}
     assert kept.columns == ["doc_id", "text", "n_words"]
 
 
+def test_items_without_an_id_hit_words(spark):
+    bench = frame(spark, [(None, "alpha beta"), ("i1", "gamma")], "item_id string, text string")
+    [r] = decontaminate.contamination(frame(spark, [(1, "alpha beta gamma")]), bench).collect()
+    assert (r.n_hit, r.n_items, r["items"]) == (3, 2, ["i1"])
+
+
+def test_a_long_item_is_cut_without_losing_a_window(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 40)
+    words = [f"w{i}" for i in range(500)]
+    docs = [(at, " ".join(["x", *words[at : at + 13], "y"])) for at in range(0, 488)]
+    for block_words in (1_000_000, 100):
+        out = by_id(decontaminate.contamination(frame(spark, docs), frame(spark, [(1, " ".join(words))], "item_id long, text string"), block_words=block_words))
+        assert all(r.n_hit == 13 and r["items"] == ["1"] for r in out.values()) and len(out) == 488
+
+
 def test_contamination_without_rows(spark):
     none = frame(spark, [], "item_id long, text string")
     assert [r.n_hit for r in decontaminate.contamination(frame(spark, [(1, "a b")]), none).collect()] == [0]

@@ -61,7 +61,7 @@ def exact_top(rows, k):
 def test_top_k_of_large_components(spark, size):
     r = np.random.default_rng(int(math.log10(size)))
     rows = [(i, [float(x) for x in r.normal(size=6) / 8 * size]) for i in range(150)]
-    rows += [(1000 + i, [i * size / 400] * 6) for i in range(300)] + [(5000, [1.5] * 6), (5001, [-1e-9] * 6), (5050, [size, -size, 0.0, 1.0, 0.25, -0.25])]
+    rows += [(1000 + i, [i / 400 * size] * 6) for i in range(300)] + [(5000, [1.5] * 6), (5001, [-1e-9] * 6), (5050, [size, -size, 0.0, 1.0, 0.25, -0.25])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
     got = topk.top_k(df, F.col("vec_id") % 50 == 0, block_rows=128)
     assert sorted(tuple(x) for x in got.collect()) == exact_top(rows, 5)
