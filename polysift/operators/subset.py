@@ -14,7 +14,13 @@ def head_n(df: DataFrame, n: int, *, position: str = "position") -> DataFrame:
 
 
 def first_read(df: DataFrame, n: int) -> DataFrame:
-    """First ``n`` rows of a scan by file name and place in the file; counted per file split, then cut."""
+    """First ``n`` rows of a scan by file name and place in the file; counted per file split, then cut.
+
+    Rows read by ranges carry their place (``_file``, ``_record``), which goes.
+    """
+    if "_record" in df.columns:
+        bucket = F.struct("_file", int_bucket("_record"))
+        return with_position(df, ["_file", "_record"], bucket=bucket, name="_place", first=n).drop("_file", "_record", "_place")
     placed = df.withColumns({"_file": F.input_file_name(), "_block": F.input_file_block_start(), "_read": F.monotonically_increasing_id()})
     order, bucket = ["_file", "_block", "_read"], F.struct("_file", "_block")
     return with_position(placed, order, bucket=bucket, name="_place", first=n).drop(*order, "_place")

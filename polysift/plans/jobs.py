@@ -48,11 +48,11 @@ class BuildConfig:
 
 def build_samples(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
     """All enabled annotation sets in the sample schema, media paths remapped when a listing is given."""
-    lay = {"layout": cfg.layout}
+    lay = {"layout": "ranges+places" if cfg.layout == "ranges" and cfg.caps else cfg.layout}
     ann, smp = annotations, samples
 
     def capped(task: str, rows: DataFrame) -> DataFrame:
-        return subset.first_read(rows, cfg.caps[task]) if task in cfg.caps else rows
+        return subset.first_read(rows, cfg.caps[task]) if task in cfg.caps else rows.drop("_file", "_record")
 
     def avqa() -> DataFrame:
         rows = smp.avqa_samples(capped("avqa", ann.read_avqa(spark, cfg.avqa, cfg.split, **lay)), cfg.split)
@@ -85,7 +85,7 @@ def build_samples(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
             cfg.instruct,
             lambda: smp.instruct_samples(capped("instruct", ann.read_instruct_json(spark, cfg.instruct, **lay)), root=cfg.image_root),
         ),
-        "choice_tsv": (cfg.choice_tsv, lambda: smp.choice_samples(capped("choice_tsv", ann.read_choice_tsv(spark, cfg.choice_tsv)))),
+        "choice_tsv": (cfg.choice_tsv, lambda: smp.choice_samples(capped("choice_tsv", ann.read_choice_tsv(spark, cfg.choice_tsv, layout="ranges" if cfg.layout == "ranges" and "choice_tsv" not in cfg.caps else "whole")))),
         "choice_json": (
             cfg.choice_json,
             lambda: smp.fixed_choice_samples(capped("choice_json", ann.read_choice_json(spark, cfg.choice_json)), root=cfg.image_root),
