@@ -24,6 +24,12 @@ def _placed(spark, sf, seed=SEED):
     return with_position(keyed, ["_hash", "doc_id"], bucket=hash_bucket("_hash")).drop("_hash")
 
 
+def ordered_documents(spark, sf):
+    """Places of documents by source, length and id within their language: text, repeated and sparse keys, without a bucket expression."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    return with_position(docs, ["source", "n_chars", "doc_id"], by=["lang"], name="place", total="rows").select("doc_id", "lang", "place", "rows")
+
+
 def strided_shards(spark, sf):
     rows = batching.shard_strided(_placed(spark, sf), 7)
     return rows.select("doc_id", "position", F.col("shard").cast("bigint").alias("shard"), "slot")
@@ -287,7 +293,7 @@ def packed_batches(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        strided_shards, fixed_batches, length_batches, modality_batches, first_rows, capped_sources, random_rows, oversampled_rows,
+        ordered_documents, strided_shards, fixed_batches, length_batches, modality_batches, first_rows, capped_sources, random_rows, oversampled_rows,
         first_of_each, both_splits, media_union, remapped_paths, fallback_paths, fetch_status, fetch_totals, missing_ids,
         written_subset, written_pairs, built_samples, choice_files, split_files, decoded_contents, predicted_texts, packed_batches,
     )
@@ -329,6 +335,8 @@ _V_LEN = len("This is a video:\n<video_start><video><video_end>\n")
 _A_LEN = len("This is an audio:\n<audio_start><audio><audio_end>\nPlease describe this audio.")
 _PUNCT = "length(text) + case when right(text, 1) in ('.', '!', '?') then 0 else 1 end"
 SQL = {
+    "ordered_documents": """select doc_id, lang, row_number() over (partition by lang order by source, n_chars, doc_id) - 1 as place,
+      count(*) over (partition by lang) as "rows" from documents""",
     "written_pairs": f"""
       with {_PAIR_SQL}, i as (select subtask, image, rn // 2 as pair, count(*) filter (gold = label) as r from k where rn < cnt - cnt % 2 group by all),
       s as (select subtask, count(*) as images, cast(count(*) filter (r = 2) as bigint) as images_right, cast(2 * count(*) as bigint) as n,

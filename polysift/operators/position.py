@@ -45,7 +45,7 @@ def with_position(
     df: DataFrame,
     order: str | Sequence[str],
     *,
-    bucket: Column,
+    bucket: Column | None = None,
     by: Sequence[str] = (),
     name: str = "position",
     following: dict[str, str] | None = None,
@@ -55,7 +55,10 @@ def with_position(
 ) -> DataFrame:
     """Add the 0-based position of each row by ``order`` inside its ``by`` group.
 
-    ``bucket`` must not decrease along ``order``. ``following`` maps new columns to the columns of the
+    ``bucket`` must not decrease along ``order``. Without one, borders come from the keys themselves (:func:`_by_ranges`), whatever their
+    type and however they are spread or repeated; this moves all rows, whatever ``first`` says, and has no ``following``.
+
+    ``following`` maps new columns to the columns of the
     next row they take their value from; it needs a single order key that is unique in the group.
 
     ``total`` names a column for the rows of the group. ``first`` keeps that many rows of each group: the
@@ -68,8 +71,10 @@ def with_position(
     """
     order = [order] if isinstance(order, str) else list(order)
     by, following = list(by), following or {}
-    if following and len(order) != 1:
-        raise ValueError("following needs a single order key")
+    if following and (len(order) != 1 or bucket is None):
+        raise ValueError("following needs a single order key and a bucket")
+    if bucket is None:
+        return _by_ranges(df, order, by, name, total, first)
     group, rows, restored = _null_free(df, by, bucket)
     keys = [*group, "_bucket"]
     if levels is None:
@@ -126,6 +131,37 @@ def with_position(
     return out.select(*[c for k, c in restored.items() if k not in added], *added)
 
 
+#: Bits of a generated row number that count within a partition.
+_ROW_BITS = 33
+
+
+def _by_ranges(df: DataFrame, order: list[str], by: list[str], name: str, total: str | None, first: int | Column | None) -> DataFrame:
+    """Positions from Spark's range partitioning, whose borders are quantiles of a sample of (by, order).
+
+    Rows with equal keys are told apart by where they were read, so a key that holds a third of all rows covers a third of the partitions.
+    Each partition is sorted and written; what earlier ones hold of a group is added to the place inside.
+    """
+    group, rows, restored = _null_free(df, by, F.lit(0))
+    stored = materialise(rows.drop("_bucket").withColumn("_tie", F.monotonically_increasing_id()), "unordered")
+    along = [*group, *order, "_tie"]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stored.repartitionByRange(parts, *along).sortWithinPartitions(*along).drop("_tie")
+    dealt = materialise(dealt.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    dealt = dealt.withColumns({"_bucket": F.shiftright("_at", _ROW_BITS), "_row": F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))})
+    keys = [*group, "_bucket"]
+    spans = materialise(dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first")), "spans")
+    whole = Window.partitionBy(*group)
+    before = F.coalesce(F.sum("_n").over(whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = spans.select(*keys, (before - F.col("_first")).alias("_shift"), F.sum("_n").over(whole).alias("_total"))
+    out = dealt.join(_renamed(starts, keys), _same(keys)).withColumn(name, (F.col("_row") + F.col("_shift")).cast("bigint"))
+    if total:
+        out = out.withColumn(total, F.col("_total"))
+    if first is not None:
+        out = out.filter(F.col(name) < first)
+    added = [name, *([total] if total else [])]
+    return out.select(*[c for k, c in restored.items() if k not in added], *added)
+
+
 def _null_free(df: DataFrame, by: list[str], bucket: Column) -> tuple[list[str], DataFrame, dict[str, Column]]:
     """Group columns without nulls, the rows that carry them, and expressions for the original columns.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import models, prompts, tokens
 from ..operators import batching, conversations, lookup, scoring, segments, subset, vectors
-from ..operators.position import BUCKET_ROWS, hash_bucket, int_bucket, seeded_hash, with_position
+from ..operators.position import BUCKET_ROWS, int_bucket, seeded_hash, with_position
 from ..scratch import materialise
 from ..sources import annotations, predictions, samples
 
@@ -190,7 +190,8 @@ def _in_batches(ready: DataFrame, key: str, size: int, seed: int) -> DataFrame:
     """Add ``position``, ``batch_id`` and the batch's ``width``, in seeded random order.
 
     The tokenized rows are written once. A row is known by its place in the written files, so keys need not be unique;
-    ranking and widths read keys and lengths only, and the arrays move once, to meet their batch.
+    ranking and widths read keys and lengths only, and the arrays move once, to meet their batch. Rows are ranked in ranges of hash, content and
+    place, so rows of one key spread over many tasks.
     """
     content = F.xxhash64(*ready.columns)
     stored = materialise(ready.withColumn("_content", content), "tokenized")
@@ -198,7 +199,7 @@ def _in_batches(ready: DataFrame, key: str, size: int, seed: int) -> DataFrame:
     name = F.coalesce(F.col(key).cast("string"), F.col("_content").cast("string"))
     keys = stored.select("_file", "_line", F.size("input_ids").alias("_length"), "_content", seeded_hash(seed, name).alias("_hash"), F.col(key).alias("_key"))
     order = ["_hash", "_key", "_content", "_file", "_line"]
-    placed = batching.batch_ids(with_position(keys, order, bucket=hash_bucket("_hash")), size)
+    placed = batching.batch_ids(with_position(keys, order), size)
     batches = batching.batch_max(placed, F.col("_length")).select("_file", "_line", "position", "batch_id", "width")
     return stored.join(batches, ["_file", "_line"]).drop("_file", "_line", "_content")
 

@@ -89,3 +89,55 @@ def test_rows_are_shuffled_once(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     full = [line for line in plan.splitlines() if "FileScan" in line and ",t#" in line]
     assert len(full) <= 2 and "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def _spread(written, spark, name="ordered"):
+    """Rows per written partition of the last ranged positions."""
+    from pyspark.sql.functions import col, shiftright
+
+    paths = [p for n, p in written if n == name]
+    return [r["count"] for r in spark.read.parquet(paths[-1]).groupBy(shiftright(col("_at"), 33)).count().collect()]
+
+
+@pytest.mark.parametrize("kind", ["sparse", "skewed", "text", "one key", "all equal"])
+def test_ranges_are_balanced_whatever_the_key(spark, monkeypatch, kind):
+    from polysift.operators import position
+
+    written = []
+
+    def noted(df, name, keep=position.materialise):
+        out = keep(df, name)
+        written.append((name, out._scratch_path))
+        return out
+
+    monkeypatch.setattr(position, "materialise", noted)
+    i = F.col("id")
+    key = {
+        "sparse": (i * i * 1_000_003).cast("long"), "skewed": F.when(i % 3 == 0, 7).otherwise(F.floor(F.exp(i / 1500)).cast("long")),
+        "text": F.concat(F.lit("common/prefix/"), F.md5(i.cast("string"))), "one key": F.when(i % 3 == 0, F.lit("hot")).otherwise(F.md5(i.cast("string"))), "all equal": F.lit(1),
+    }[kind]
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = with_position(spark.range(12_000).select("id", key.alias("k")).repartition(5), "k", name="p").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sorted(r.p for r in got) == list(range(12_000))
+    assert [r.k for r in sorted(got, key=lambda r: r.p)] == sorted(r.k for r in got)
+    sizes = _spread(written, spark)
+    assert len(sizes) >= 14 and max(sizes) < 3 * 12_000 / 16
+
+
+def test_ranged_positions_in_groups(spark, rows):
+    r = random.Random(3)
+    data = [(r.choice(["a", "b", None, "c"]), r.choice([None, 1.5, -2.0, 7.0]), f"t{i}") for i in range(300)] + [("a", 0.0, "same")] * 20
+    df = spark.createDataFrame(data, "g string, x double, t string").repartition(3)
+    got = with_position(df, ["x", "t"], by=["g"], name="p", total="n").collect()
+    for g in ("a", "b", None, "c"):
+        mine = sorted((x for x in got if x.g == g), key=lambda x: x.p)
+        want = sorted(((x, t) for h, x, t in data if h == g), key=lambda v: (v[0] is not None, v[0] or 0, v[1]))
+        assert [(x.x, x.t) for x in mine] == want and [x.p for x in mine] == list(range(len(want))) and {x.n for x in mine} == {len(want)}
+    cut = with_position(df, ["x", "t"], by=["g"], name="p", first=2)
+    assert cut.count() == 8 and cut.columns == ["g", "x", "t", "p"]
+    with pytest.raises(ValueError, match="following"):
+        with_position(df, "t", following={"next": "x"})
+    assert with_position(df.limit(0), "t").count() == 0

@@ -485,6 +485,31 @@ def test_every_row_is_packed_once_whatever_its_key(spark):
     assert sorted(r.input_ids[: sum(r.attention_mask)] for r in out) == want
 
 
+def test_rows_of_one_id_are_ranked_in_many_tasks(spark, monkeypatch):
+    """A third of all rows under one id: no range of the ranking holds much more than its share."""
+    from polysift.operators import position
+    from polysift.plans import jobs
+
+    sizes = []
+
+    def noted(df, name, keep=position.materialise):
+        out = keep(df, name)
+        if name == "ordered":
+            sizes.extend(r["count"] for r in out.groupBy(F.shiftright("_at", 33)).count().collect())
+        return out
+
+    monkeypatch.setattr(position, "materialise", noted)
+    rows = [("hot" if i % 3 == 0 else f"s{i}", "t", f"w {i % 5}", "x") for i in range(2400)]
+    df = spark.createDataFrame(rows, "sample_id string, task string, instruction string, output string").repartition(4)
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        out = jobs.pack_batches(df, _word_lengths, jobs.PackConfig(batch_size=8, seed=1))
+        assert sorted(r.position for r in out.select("position").collect()) == list(range(2400))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert max(sizes) < 3 * 2400 / 12
+
+
 def test_samples_flow_into_the_packer(spark):
     from polysift.operators import conversations
     from polysift.plans import jobs
