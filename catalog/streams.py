@@ -48,7 +48,7 @@ def streamed_scores(spark, sf):
 
 
 def streamed_merge(spark, sf):
-    """Padded shards as a stream: with the total known, and drained without it, every record delivered twice."""
+    """Padded shards as a stream: with the total known, and to the end of the run without it, every record delivered twice."""
     path, world = scores._rank_files(spark, sf)
     n = table(spark, sf, "events").count()
     preds = streams.stream_predictions(spark, f"{path}/result-0", schema=schemas.IMAGE_PREDICTION)
@@ -56,8 +56,8 @@ def streamed_merge(spark, sf):
     # Every record is written once more: it arrives again under its own (rank, index).
     sinks.write_jsonl(spark.read.schema(schemas.IMAGE_PREDICTION).json(f"{path}/result-0"), f"{path}/result-0")
     again = streams.stream_predictions(spark, f"{path}/result-0", schema=schemas.IMAGE_PREDICTION)
-    once = streams.run_available(streams.drop_redelivered(again), f"{path}-once")
-    rows = subset.tagged_union({"total known": known, "drained": subset.dedup_padded(once, world=world)}, name="how")
+    ended = streams.run_merge(streams.drop_redelivered(again), f"{path}-ended", world=world, silence=2.0, timeout=300.0)
+    rows = subset.tagged_union({"total known": known, "at the end of the run": ended}, name="how")
     return rows.select("how", "position", "subtask", "image_path", "question", "answer", F.col("output")[0].alias("output"))
 
 
@@ -116,7 +116,7 @@ SQL = {
       c2 as (select lower(trim(pred_yn)) as x, lower(gold_yn) as g, {scores._YESNO} as p from a)
       {scores._share_sql("'choice' as task, ", "contains(p, g)").replace("from c ", "from c1 ")}
       union all {scores._share_sql("'yesno' as task, ", "contains(p, g)").replace("from c ", "from c2 ")}""",
-    "streamed_merge": scores.SQL["merged_predictions"].replace("'from the tail'", "'drained'"),
+    "streamed_merge": scores.SQL["merged_predictions"].replace("'from the tail'", "'at the end of the run'"),
     "streamed_codebook": "select code, size, vec from (" + VECTOR_SQL["moved_codebook"] + ")",
     "streamed_windows": """
       with w as (select event_type, cast(epoch_us(ts) // 600000000 * 600 as bigint) as "start", count(*) as n from events group by all)

@@ -43,10 +43,41 @@ def discard(*tables: DataFrame) -> None:
         tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
+def _store(spark: SparkSession, folder: str):
+    """Hadoop's path and file system of a folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def delete(spark: SparkSession, folder: str) -> None:
     """Delete a folder of the shared store."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    path, store = _store(spark, folder)
+    store.delete(path, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    path, store = _store(spark, path)
+    return store.exists(path)
+
+
+def children(spark: SparkSession, folder: str, prefix: str = "") -> list[str]:
+    """Names in a folder of the shared store that begin so; none where it does not exist."""
+    path, store = _store(spark, folder)
+    found = store.listStatus(path) if store.exists(path) else []
+    return sorted(f.getPath().getName() for f in found if f.getPath().getName().startswith(prefix))
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file of the shared store."""
+    path, store = _store(spark, source)
+    if not store.rename(path, _store(spark, target)[0]):
+        raise OSError(f"{source} could not become {target}")
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file."""
+    path, store = _store(spark, path)
+    store.create(path, True).close()
 
 
 def clear(spark: SparkSession) -> None:
