@@ -57,13 +57,13 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record, and what a Merkle audit says of a replica.
 
-    The replica has the pages again, every 97th with its first character overwritten and every 389th unreadable.
+    The replica has the pages again, every 97th with its first character overwritten; every 389th is lost, so that all later ones of its file move.
     """
     pages = table(spark, sf_dir, "pages")
     spoilt = F.when((F.col("page_id") % 97 == 13) & F.col("html").rlike("^[\\x00-\\x7F]"), F.concat(F.lit("?"), F.substring("html", 2, 2**31 - 1)))
     ours = warc.manifest(warc.records(pages))
-    theirs = warc.manifest(warc.records(pages.withColumn("html", F.coalesce(spoilt, "html"))))
-    theirs = theirs.withColumn("sha256", F.when(F.coalesce(F.col("id_") % 389, F.lit(0)) != 7, F.col("sha256")))
+    kept = pages.filter(F.coalesce(F.col("page_id") % 389, F.lit(0)) != 7)
+    theirs = warc.manifest(warc.records(kept.withColumn("html", F.coalesce(spoilt, "html"))))
     out = warc.fixity(ours, theirs)
     return out.select(F.col("id_").alias("page_id"), "file", "seq", "offset", "length", "sha256", "status")
 

@@ -4,12 +4,18 @@ Records of a file are leaves in offset order. ``FANOUT`` neighbours make a node
 digests in order, up to one node per file; the files, in order of their number, are combined the same way up to one root. Trees of
 replicas are compared from the root: only the children of differing nodes are looked at, level by level.
 
+What the descent leaves is aligned by content: in a file that lost a record or got one more, all later places differ, but their records
+are found again by their digests, so that one lost record is one finding.
+
 Record bodies are hashed where they are read; what moves is one digest per record, and a node's children, at most
 ``FANOUT`` rows.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -60,24 +66,29 @@ def write_warc(rows: DataFrame, path: str) -> None:
     ordered.select("file", F.col("record").alias("value")).write.option("lineSep", _END).partitionBy("file").mode("overwrite").text(path)
 
 
+#: Bytes that are taken from a compressed file at a time.
+CHUNK = 1 << 22
+_VERSION_LINE = re.compile(rb"WARC/[0-9]+\.[0-9]+[ \t]*\r?\n")
+_HEAD_END = re.compile(rb"\r?\n\r?\n")
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """(file, offset, length, uri, body, sha256) of every record under a folder; a file, one gigabyte by custom, is one task's work.
 
-    A record ends where its ``Content-Length`` says; what cannot be read as a record up to the next version line is a row with a
-    null uri and body.
+    Any version, plain or gzip, with a member per record or otherwise; offsets and digests are those of the uncompressed records. Names of
+    headers in any case, with or without a space behind the colon, lines that go on with a space. A record ends where its
+    ``Content-Length`` says; what cannot be read as a record up to the next version line, or a damaged gzip member, is a row
+    with a null uri and body. A record without a target has an empty uri.
     """
-    import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["file", "offset", "length", "uri", "body", "sha256"]
         kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string()]
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                rows, at, data = [], 0, content.as_buffer().to_pybytes()
-                while at < len(data):
-                    end, uri, body = _parse(data, at)
-                    rows.append((name, at, end - at, uri, body, hashlib.sha256(data[at:end]).hexdigest()))
-                    at = end + len(_END) if data[end : end + len(_END)] == _END.encode() else end
+                rows: list[tuple] = []
+                for record in parsed(content.as_buffer()):
+                    rows.append((name, *record))
                     if len(rows) >= 256:
                         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
                         rows = []
@@ -87,18 +98,87 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(run, "file string, offset long, length long, uri string, body binary, sha256 string")
 
 
-def _parse(data: bytes, at: int) -> tuple[int, str | None, bytes | None]:
-    """End, uri and body of the record at an offset."""
-    stop = data.find(_END.encode(), at)
-    if data.startswith(VERSION.encode(), at) and stop >= 0:
-        head = dict(line.split(b": ", 1) for line in data[at:stop].split(b"\r\n")[1:] if b": " in line)
-        length = head.get(b"Content-Length", b"")
-        start = stop + len(_END)
-        if length.isdigit() and start + int(length) <= len(data):
-            end = start + int(length)
-            return end, head.get(b"WARC-Target-URI", b"").decode("utf-8", "replace"), data[start:end]
-    after = data.find(b"\n" + VERSION.encode(), at)
-    return (len(data) if after < 0 else after + 1), None, None
+def _uncompressed(data) -> Iterator[bytes | None]:
+    """Chunks of a file's content; a damaged gzip member is a None, and reading goes on with the next one."""
+    view = memoryview(data)
+    if bytes(view[:2]) != b"\x1f\x8b":
+        yield from (bytes(view[at : at + CHUNK]) for at in range(0, len(view), CHUNK))
+        return
+    at = 0
+    while at < len(view):
+        member, fed = zlib.decompressobj(31), at
+        try:
+            while not member.eof and fed < len(view):
+                piece = view[fed : fed + CHUNK]
+                fed += len(piece)
+                if chunk := member.decompress(piece):
+                    yield chunk
+            if not member.eof:
+                raise zlib.error("the file ends within a member")
+            at = fed - len(member.unused_data)
+        except zlib.error:
+            yield None
+            found = bytes(view[at + 2 :]).find(b"\x1f\x8b\x08")
+            at = len(view) if found < 0 else at + 2 + found
+
+
+def parsed(data) -> Iterator[tuple[int, int, str | None, bytes | None, str]]:
+    """(offset, length, uri, body, sha256) of the records of a file; what is read is forgotten, but for the record at hand."""
+    held, offset, chunks, more = bytearray(), 0, _uncompressed(data), True
+
+    def row(end: int, uri: str | None, body: bytes | None) -> tuple:
+        return offset, end, uri, body, hashlib.sha256(memoryview(held)[:end]).hexdigest()
+
+    while True:
+        at = len(held) - len(held.lstrip(b"\r\n"))
+        del held[:at]
+        offset += at
+        found = _record(held) if held else None
+        if found is None and more:  # the record may go on
+            chunk = next(chunks, b"")
+            if chunk is None:
+                yield row(len(held), None, None)
+                offset += len(held)
+                held.clear()
+            elif chunk:
+                held += chunk
+            else:
+                more = False
+            continue
+        if not held:
+            return
+        end, uri, body = found or _unreadable(held)
+        yield row(end, uri, body)
+        del held[:end]
+        offset += end
+
+
+def _record(held: bytearray) -> tuple[int, str | None, bytes | None] | None:
+    """End, uri and body of the record that ``held`` begins with; None if it is not there as a whole."""
+    if not _VERSION_LINE.match(held):
+        following = re.search(rb"\nWARC/[0-9]+\.[0-9]+[ \t]*\r?\n", held)
+        return (following.start() + 1, None, None) if following else None
+    head = _HEAD_END.search(held)
+    if not head:
+        return None
+    another = re.search(rb"\nWARC/[0-9]+\.[0-9]+[ \t]*\r?\n", bytes(held[: head.start()]))
+    if another:  # a head without an end
+        return another.start() + 1, None, None
+    lines = re.sub(rb"\r?\n[ \t]+", b" ", bytes(held[: head.start()])).split(b"\n")[1:]
+    fields = {name.strip().lower(): value.strip() for name, colon, value in (line.partition(b":") for line in lines) if colon}
+    length = fields.get(b"content-length", b"")
+    if not length.isdigit():
+        return _unreadable(held, head.end()) if re.search(rb"\nWARC/", held) else None
+    end = head.end() + int(length)
+    if end > len(held):
+        return None
+    return end, fields.get(b"warc-target-uri", b"").strip(b"<>").decode("utf-8", "replace"), bytes(held[head.end() : end])
+
+
+def _unreadable(held: bytearray, start: int = 1) -> tuple[int, None, None]:
+    """Up to the next version line."""
+    following = re.compile(rb"\nWARC/[0-9]+\.[0-9]+[ \t]*\r?\n").search(held, start - 1)
+    return (following.start() + 1 if following else len(held)), None, None
 
 
 def manifest(rows: DataFrame) -> DataFrame:
@@ -186,9 +266,48 @@ def audit(ours: Tree, theirs: Tree) -> DataFrame:
 def fixity(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     """Records of a manifest with ``status``: ``intact`` or what the audit of the replica found, and extra ones of the replica.
 
-    Both tables have (file, seq, offset, length, sha256); other columns of ``ours`` are kept. Two empty tables give no rows.
+    Both tables have (file, seq, offset, length, sha256); other columns of ``ours`` are kept. A null digest of theirs is a record that cannot
+    be read and counts as missing. Where both have ``id_``, a record with the id of another digest is corrupt; without, one at the
+    same place. Two empty tables give no rows.
     """
-    ours = materialise(ours, "manifest")
-    found = audit(tree(ours, name="ours"), tree(theirs, name="theirs"))
+    ours, theirs = materialise(ours, "manifest"), materialise(theirs, "replica")
+    found = _aligned(audit(tree(ours, name="ours"), tree(theirs, name="theirs")), ours, theirs)
     joined = ours.join(found, ["file", "seq"], "full_outer")
     return joined.withColumn("status", F.coalesce("status", F.lit("intact")))
+
+
+def _aligned(differing: DataFrame, ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """(file, seq, status) of places that differ, once records are found again that only moved.
+
+    Equal digests of a file meet in order, then equal ids (or places) of what is left. Extra records have a negative ``seq``: theirs, less one, negated.
+    """
+    name = ["id_"] if "id_" in ours.columns and "id_" in theirs.columns else ["seq"]
+
+    def side(rows: DataFrame) -> DataFrame:
+        kept = rows.select("file", "seq", "sha256", *[c for c in name if c != "seq"]).join(differing.select("file", "seq"), ["file", "seq"], "left_semi")
+        return materialise(kept, "differing")
+
+    def counted(rows: DataFrame, keys: list[str]) -> DataFrame:
+        """With the number of a row among those of equal keys, which few share."""
+        return rows.withColumn("nth", F.row_number().over(Window.partitionBy("file", *keys).orderBy("seq")))
+
+    def left(rows: DataFrame, met: DataFrame, place: str) -> DataFrame:
+        return rows.join(met.select("file", F.col(place).alias("seq")), ["file", "seq"], "left_anti")
+
+    def meet(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+        """(file, seq, other, lost) of rows of equal keys, nulls being equal, in order."""
+        b = counted(b, keys).select(F.col("file").alias("f"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col("nth").alias("m"), F.col("seq").alias("other"), F.col("sha256").isNull().alias("lost"))
+        same = (F.col("file") == F.col("f")) & (F.col("nth") == F.col("m"))
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"k{i}"))
+        return materialise(counted(a, keys).join(b, same).select("file", "seq", "other", "lost"), "aligned")
+
+    mine, other = side(ours), side(theirs)
+    moved = meet(mine.filter("sha256 is not null"), other.filter("sha256 is not null"), ["sha256"])
+    mine, other = left(mine, moved, "seq"), left(other, moved, "other")
+    changed = meet(mine, other, name)
+    gone, extra = left(mine, changed, "seq"), left(other, changed, "other")
+    status = F.when(F.col("lost"), "missing").otherwise("corrupt")
+    return changed.select("file", "seq", status.alias("status")).unionByName(gone.select("file", "seq", F.lit("missing").alias("status"))).unionByName(
+        extra.select("file", (-F.col("seq") - 1).alias("seq"), F.lit("extra").alias("status"))
+    )
