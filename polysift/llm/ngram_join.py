@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from polysift.llm.components import components
@@ -102,19 +102,19 @@ def _distinct_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[
 def read_sets(docs: DataFrame, id_col: str, text_col: str, words: int, n_ranges: int) -> DataFrame:
     """Two kinds of rows from one pass over the texts.
 
-    (id_, n_shingles, node, first): size and key of every document's set, key null for an empty one, and its smallest tokens;
+    (id_, mark_, n_shingles, node, first): size and key of every document's set, key null for an empty one, its smallest tokens, and a hash of its text;
     and (part, blob): the counted tokens of each task as 3-byte numbers by range.
     """
     ident = docs.select(F.col(id_col).alias("id_"))
     kind = ident.schema["id_"].dataType.simpleString()
-    names = ["id_", "n_shingles", "node", "first", "part", "blob"]
+    names = ["id_", "mark_", "n_shingles", "node", "first", "part", "blob"]
     longs = pa.list_(pa.int64())
 
     def pack(sets: list[np.ndarray], ids: pa.DataType) -> pa.RecordBatch:
         found = np.sort(_class_ids(np.concatenate(sets), n_ranges))
         low = found.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :3]
         rows = [(r, low[at].tobytes()) for r, at in _by_range(found >> np.uint64(24), n_ranges)]
-        none = [pa.nulls(len(rows), t) for t in (ids, pa.int64(), pa.int64(), longs)]
+        none = [pa.nulls(len(rows), t) for t in (ids, pa.int64(), pa.int64(), pa.int64(), longs)]
         return pa.RecordBatch.from_arrays([*none, pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +125,7 @@ def read_sets(docs: DataFrame, id_col: str, text_col: str, words: int, n_ranges:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 n, nodes, first = [], [], []
-                for tokens in text_sets(_texts(part.column(1)), words):
+                for tokens in text_sets(_texts(part.column(2)), words):
                     n.append(len(tokens))
                     nodes.append(_node(tokens) if len(tokens) else None)
                     first.append(tokens[:FIRST].view(np.int64))
@@ -136,15 +136,15 @@ def read_sets(docs: DataFrame, id_col: str, text_col: str, words: int, n_ranges:
                         size += len(counted)
                 none = [pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.binary())]
                 facts = [pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(first, longs)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *facts, *none], names=names)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *facts, *none], names=names)
                 if size > FLUSH_TOKENS:
                     yield pack(held, ids)
                     held, size = [], 0
         if size:
             yield pack(held, ids)
 
-    picked = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
-    return picked.mapInArrow(run, f"id_ {kind}, n_shingles long, node long, first array<long>, part long, blob binary")
+    picked = docs.select(F.col(id_col).alias("id_"), F.xxhash64(F.col(text_col)).alias("mark_"), F.col(text_col).alias("text_"))
+    return picked.mapInArrow(run, f"id_ {kind}, mark_ long, n_shingles long, node long, first array<long>, part long, blob binary")
 
 
 def _frequent(blobs: DataFrame, least: int) -> DataFrame:
@@ -240,23 +240,24 @@ def rare_blobs(texts: DataFrame, words: int, n_ranges: int, percent: int, freque
 
 
 def pair_blobs(texts: DataFrame, words: int, n_ranges: int, percent: int, frequent) -> DataFrame:
-    """Keys of the pairs of frequent tokens of every distinct set that indexes any: (tokens, node), a row per set."""
+    """Keys of the pairs of frequent tokens of every distinct set that indexes any, and its size: (tokens, node, n), a row per set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[bytes, int]] = []
+        held: list[tuple[bytes, int, int]] = []
         for node, tokens in _distinct_sets(batches, words):
             _, both = prefix_keys(tokens, frequent.value, n_ranges, percent)
             if len(both):
-                held.append((sorted_unique(both).astype("<u8").tobytes(), node))
+                held.append((sorted_unique(both).astype("<u8").tobytes(), node, len(tokens)))
             if len(held) >= 256:
                 yield batch_of(held)
                 held = []
         yield batch_of(held)
 
-    def batch_of(rows: list[tuple[bytes, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64())], names=["tokens", "node"])
+    def batch_of(rows: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
+        columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.binary(), pa.int64(), pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, names=["tokens", "node", "n"])
 
-    return texts.mapInArrow(run, "tokens binary, node long")
+    return texts.mapInArrow(run, "tokens binary, node long, n long")
 
 
 def _rare_lists(blobs: DataFrame) -> DataFrame:
@@ -507,21 +508,29 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     return known.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def _hot_pairs(blobs: DataFrame, hot, roots: DataFrame) -> DataFrame:
-    """(a, b) of members outside the largest part of a hot key and all nodes of the other parts of the key."""
-    labels = roots.select("node", "component")
-    labelled = blobs.join(labels, "node", "left").withColumn("comp", F.coalesce("component", "node"))
-    rows = materialise(_pair_keys(labelled, hot, True, ("comp",)), "hot")
-    sizes = materialise(rows.groupBy("key", "comp").agg(F.count("*").alias("rows")), "hot")
+def _hot_pairs(blobs: DataFrame, hot, roots: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of members outside the largest part of a hot key and the nodes of the other parts of the key whose sizes allow a link.
+
+    Sizes are compared before rows are written, with the smallest and largest set of a part first, then with each of its nodes.
+    """
+
+    def fit(a: Column, low: Column, high: Column) -> Column:
+        return (100 * a >= percent * low) & (100 * high >= percent * a)
+
+    labelled = blobs.join(roots.select("node", "component"), "node", "left").withColumn("comp", F.coalesce("component", "node"))
+    labels = materialise(labelled.select("node", "comp", "n"), "hot")
+    rows = materialise(_pair_keys(labelled, hot, True, ("comp", "n")), "hot")
+    sizes = materialise(rows.groupBy("key", "comp").agg(F.count("*").alias("rows"), F.min("n").alias("low"), F.max("n").alias("high")), "hot")
     tops = sizes.groupBy("key").agg(F.max(F.struct("rows", "comp")).alias("top"), F.count("*").alias("kinds")).filter("kinds > 1")
     tops = tops.select(F.col("key").alias("mixed"), F.col("top.comp").alias("main"))
-    outside = rows.join(tops, (F.col("key") == F.col("mixed")) & (F.col("comp") != F.col("main"))).select("key", "node", "comp")
-    others = sizes.select(F.col("key").alias("mixed"), F.col("comp").alias("other"))
-    met = outside.join(others, (F.col("key") == F.col("mixed")) & (F.col("comp") != F.col("other"))).select("node", "other")
-    met = materialise(met.distinct(), "met")
+    outside = rows.join(tops, (F.col("key") == F.col("mixed")) & (F.col("comp") != F.col("main"))).select("key", "node", "comp", "n")
+    others = sizes.select(F.col("key").alias("mixed"), F.col("comp").alias("other"), "low", "high")
+    same = (F.col("key") == F.col("mixed")) & (F.col("comp") != F.col("other")) & fit(F.col("n"), F.col("low"), F.col("high"))
+    met = materialise(outside.join(others, same).select("node", "n", "other").distinct(), "met")
     discard(rows, sizes)
-    members = labels.select(F.col("component").alias("other"), F.col("node").alias("y"))
-    return _ordered(met.join(members, "other", "left").select("node", F.coalesce("y", "other").alias("y")), "node", "y").distinct()
+    members = labels.distinct().select(F.col("comp").alias("other"), F.col("node").alias("y"), F.col("n").alias("m"))
+    pairs = met.join(members, "other").filter(fit(F.col("n"), F.col("m"), F.col("m")))
+    return _ordered(pairs, "node", "y").distinct()
 
 
 def similar_components(
@@ -540,8 +549,9 @@ def similar_components(
     size = texts.agg(F.sum(F.octet_length("text_"))).first()[0] or 0
     n_ranges = max(4, size // 6 // RANGE_TOKENS)
     read = materialise(read_sets(docs, id_col, text_col, words, n_ranges), "sets")
-    keyed = materialise(read.filter("part is null").select("id_", "n_shingles", "node", "first"), "keys")
-    nodes = materialise(keyed.filter("node is not null").groupBy("node").agg(F.min("id_").alias("doc")), "nodes")
+    keyed = materialise(read.filter("part is null").select("id_", "mark_", "n_shingles", "node", "first"), "keys")
+    nodes = keyed.filter("node is not null").groupBy("node").agg(F.min("id_").alias("doc"), F.min(F.struct("id_", "mark_")).alias("at"))
+    nodes = materialise(nodes, "nodes")
     frequent = spark.sparkContext.broadcast(class_table(read.filter("part is not null").select("part", "blob")))
     blobs = materialise(pair_blobs(texts, words, n_ranges, percent, frequent), "pairs")
     hot_keys = spark.sparkContext.broadcast(_hot_keys(blobs))
@@ -550,19 +560,19 @@ def similar_components(
     members = materialise(_members(lists), "members")
     discard(read)
 
-    # One text of each candidate is kept: a row of its smallest id. Rows that repeat this id may have other sets.
+    # One text of each candidate is kept: a row of its smallest id, known by the hash of its text as well, as ids may repeat.
     ends = first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node")))
     ends = ends.unionByName(members.select("node")).unionByName(_pair_keys(blobs, hot_keys, True).select("node")).distinct()
-    wanted = ends.join(nodes, "node").select(F.col("doc").alias("doc_"), F.col("node").alias("node_"))
-    again = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
-    # Rows of one id meet in one task, so a text that is repeated is taken once.
-    chosen = again.join(wanted, F.col("id_").eqNullSafe(F.col("doc_")))
+    wanted = ends.join(nodes, "node").select(F.col("at.id_").alias("doc_"), F.col("at.mark_").alias("mark_"), F.col("node").alias("node_"))
+    again = docs.select(F.col(id_col).alias("id_"), F.xxhash64(F.col(text_col)).alias("own_"), F.col(text_col).alias("text_"))
+    # Rows of one id and text meet in one task, so a text that is repeated is taken once.
+    chosen = again.join(wanted, F.col("id_").eqNullSafe(F.col("doc_")) & (F.col("own_") == F.col("mark_")))
     chosen = materialise(_with_nodes(chosen, words), "texts")
 
     links = materialise(_verified(_room(first, chosen, percent), chosen, words, percent).filter("linked").select("a", "b"), "links")
     roots = materialise(components(links), "roots")
     discard(first, links)
-    met = _room(_apart(_hot_pairs(blobs, hot_keys, roots), roots), chosen, percent)
+    met = _room(_apart(_hot_pairs(blobs, hot_keys, roots, percent), roots), chosen, percent)
     apart = materialise(_listed_pairs(lists, members, chosen, roots, percent).unionByName(met).distinct(), "apart")
     more = materialise(_verified(apart, chosen, words, percent).filter("linked").select("a", "b").distinct(), "links")
     discard(blobs, lists, members, chosen, apart)
@@ -573,7 +583,7 @@ def similar_components(
     tops = joined.groupBy("component").agg(F.min("doc").alias("top"))
     linked = joined.join(tops, "component").select("node", "top")
     least = nodes.join(linked, "node", "left").select("node", F.coalesce("top", "doc").alias("doc"))
-    out = keyed.drop("first").join(least, "node", "left")
+    out = keyed.drop("first", "mark_").join(least, "node", "left")
     return out.select(F.col("id_").alias(id_col), "n_shingles", F.coalesce("doc", "id_").alias("component_id"))
 
 
