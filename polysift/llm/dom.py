@@ -37,11 +37,11 @@ _KEPT = frozenset(("class", "id", "role"))
 class Block:
     """A block element: its parent's number, tag, words of class, id and role, depth, and what lies below it."""
 
-    __slots__ = ("parent", "tag", "tokens", "depth", "hidden", "chars", "link_chars", "own_chars", "words", "marks", "digits", "chunks", "elements", "paragraphs", "items", "start", "end", "place", "children")
+    __slots__ = ("parent", "tag", "tokens", "depth", "hidden", "chars", "link_chars", "own_chars", "words", "marks", "chunks", "elements", "paragraphs", "items", "start", "end", "place", "children")
 
     def __init__(self, parent: int, tag: str, tokens: list[str], depth: int, hidden: bool, start: int):
         self.parent, self.tag, self.tokens, self.depth, self.hidden, self.start = parent, tag, tokens, depth, hidden, start
-        self.chars = self.link_chars = self.own_chars = self.words = self.marks = self.digits = self.chunks = 0
+        self.chars = self.link_chars = self.own_chars = self.words = self.marks = self.chunks = 0
         self.elements = self.paragraphs = self.items = 0
         self.end = start
         self.place = 0  # among its parent's children
@@ -123,7 +123,6 @@ def read(html: str | None) -> tuple[list[Block], list[tuple[int, str]]]:
             block.chunks += 1
             block.words += stripped.count(" ") + 1
             block.marks += sum(map(stripped.count, ".,;:!?"))
-            block.digits += sum(map(str.isdigit, stripped)) if n < 60 else 0
             if links:
                 block.link_chars += n
 
@@ -235,7 +234,7 @@ def read(html: str | None) -> tuple[list[Block], list[tuple[int, str]]]:
         b.items += b.tag in ("li", "option", "dd", "td")
         if b.parent >= 0:
             up = blocks[b.parent]
-            for name in ("chars", "link_chars", "words", "marks", "digits", "chunks", "elements", "paragraphs", "items"):
+            for name in ("chars", "link_chars", "words", "marks", "chunks", "elements", "paragraphs", "items"):
                 setattr(up, name, getattr(up, name) + getattr(b, name))
     return blocks, runs
 
