@@ -19,7 +19,8 @@ def _lengths_tokenizer():
 
 
 def _digest(c):
-    return F.md5(F.array_join(F.transform(c, lambda x: x.cast("int").cast("string")), " "))
+    c = F.col(c) if isinstance(c, str) else c
+    return F.md5(F.array_join(c.cast("array<int>").cast("array<string>"), " "))
 
 
 def _ids(spark, sf):

@@ -53,8 +53,8 @@ def frames_headtail(n_frames: Column | str, k: int, clip: Column | str, seed: in
         keyed = F.transform(
             _range0(stop - begin), lambda i: F.struct(key(i + begin).alias("h"), (i + begin).alias("i"))
         )
-        picked = F.slice(F.array_sort(keyed), F.lit(1), take)
-        return F.array_sort(F.transform(picked, lambda s: s["i"]))
+        picked = F.slice(F.sort_array(keyed), F.lit(1), take)
+        return F.sort_array(F.transform(picked, lambda s: s["i"]))
 
     return F.concat(draw(F.lit(0).cast("bigint"), half), draw(half, n))
 
