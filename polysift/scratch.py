@@ -9,13 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def _base(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset, a folder in the session's warehouse, which executors share as well."""
+    """``spark.checkpoint.dir``; where it is unset, a folder in the session's warehouse.
+
+    A warehouse on the driver's own disk is no place that executors share, so it is refused unless they run in the driver's process.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/polysift-scratch"
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        _, store = _store(spark, base)
+        if store.getScheme() == "file" and not _one_process(spark.sparkContext.master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share; {base} is on one machine")
+        base = base.rstrip("/") + "/polysift-scratch"
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
+def _one_process(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder path for the session's intermediate tables."""
     return f"{_base(spark)}/{name}-{uuid.uuid4().hex}"

@@ -410,6 +410,22 @@ def test_scratch_reads_the_session_setting(spark):
     assert materialise(spark.range(5), "five").count() == 5
 
 
+@pytest.mark.parametrize(("master", "fine"), [("local[4]", True), ("local", True), ("local-cluster[2,1,512]", False), ("yarn", False)])
+def test_a_folder_of_one_machine_is_refused_on_a_cluster(spark, master, fine):
+    from types import SimpleNamespace
+
+    conf = {"spark.sql.warehouse.dir": "file:/tmp/warehouse"}
+    context = SimpleNamespace(master=master, applicationId="app", _jvm=spark.sparkContext._jvm, _jsc=spark.sparkContext._jsc)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, *d: conf.get(k)), sparkContext=context)
+    if fine:
+        assert shared_dir(session, "x").startswith("file:/tmp/warehouse/polysift-scratch/app/x-")
+    else:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(session, "x")
+    conf["spark.checkpoint.dir"] = "hdfs:/shared"
+    assert shared_dir(session, "x").startswith("hdfs:/shared/app/x-")
+
+
 def test_streams_equal_batch(spark, tmp_path):
     from polysift import sinks
     from polysift.sources import schemas
