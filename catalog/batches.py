@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from polysift import sinks
-from polysift.functions import models
+from polysift.functions import models, prompts
 from polysift.operators import batching, lookup, scoring, subset
 from polysift.operators.position import hash_bucket, int_bucket, seeded_hash, with_position
 from polysift.plans import jobs
@@ -13,7 +13,7 @@ from polysift.scratch import shared_dir
 from polysift.sources import annotations, predictions, samples
 
 from .scoring import _PAIR_SQL, _pair_rows
-from .tables import table
+from .tables import sql_text, table
 
 WORLD, SIZE, SEED = 3, 7, 5
 
@@ -322,11 +322,8 @@ dealt as (select r.side, r.mega, r.doc_id, case when r.sz % {WORLD} = 0 then g.c
       from r left join g on g.side = r.side and g.mega = r.mega and g.rk = r.rk)"""
 
 
-_IMG = "'This is an image:' || chr(10) || '<image_start><image><image_end>'"
-_TAIL = (
-    "chr(10) || 'Please select the correct answer from the options above. Output only the selected option in the format "
-    "(A), (B), (C), or (D). No explanation or extra text.'"
-)
+_IMG = sql_text(prompts.IMAGE_BLOCK.rstrip("\n"))
+_TAIL = sql_text(prompts.CHOICE_TAIL)
 _AV_LEN = len("This is a video:\n<video_start><video><video_end>\nThis is an audio:\n<audio_start><audio><audio_end>\n")
 _Q_LEN = len("<question_start>Please answer this question: <question_end>")
 _E_LEN = len("<question_start>Please describe the events and time range that occurred in the video.<question_end>")

@@ -8,7 +8,7 @@ from polysift.functions import prompts, text
 from polysift.operators import conversations, lookup, scoring, subset
 from polysift.sources import samples
 
-from .tables import table
+from .tables import sql_text, table
 
 
 def _pairs(spark, sf):
@@ -188,10 +188,7 @@ QUERIES = {
     )
 }
 _AUDIO = "'This is an audio:' || chr(10) || '<audio_start><audio><audio_end>' || chr(10)"
-_TAIL = (
-    "chr(10) || 'Please select the correct answer from the options above. Output only the selected option in the format "
-    "(A), (B), (C), or (D). No explanation or extra text.'"
-)
+_TAIL = sql_text(prompts.CHOICE_TAIL)
 _EVENT_Q = "'<question_start>Please describe the events and time range that occurred in the video.<question_end>'"
 SQL = {
     "turn_pairs": f"with {_PAIRS_SQL} select conv_id, pair, question, answer from pairs",

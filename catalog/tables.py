@@ -79,3 +79,8 @@ def image_predictions(spark: SparkSession, sf_dir: str, answer: str, predict: st
         F.array(predict).alias("output"),
         F.col("event_id").alias("position"),
     )
+
+
+def sql_text(text: str) -> str:
+    """A text as an SQL expression."""
+    return "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
