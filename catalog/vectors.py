@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from polysift.functions import vectors as exprs
@@ -138,12 +140,44 @@ def alignment_losses(spark, sf):
     return out.select("batch_id", "n", F.round("loss", 6).alias("loss"))
 
 
+def tiled_vectors(spark, sf):
+    """The matches of every vector among all, both tables cut into blocks that meet inside tasks."""
+    emb = _emb(spark, sf)
+    a = emb.select(F.col("vec_id").alias("a_id"), F.col("embedding").alias("a_vec"))
+    b = emb.select(F.col("vec_id").alias("b_id"), F.col("embedding").alias("b_vec"))
+    rows = vectors.topk_similar(a, b, 5, scale=1.5, block_values=DIM * 64)
+    return rows.select("a_id", F.col("rank").cast("bigint").alias("rank"), "b_id", F.round("score", 6).alias("score"))
+
+
+def pruned_vectors(spark, sf):
+    """The same, cells left out where the triangle inequality allows it."""
+    emb = _emb(spark, sf)
+    a = emb.select(F.col("vec_id").alias("a_id"), F.col("embedding").alias("a_vec"))
+    b = emb.select(F.col("vec_id").alias("b_id"), F.col("embedding").alias("b_vec"))
+    rows, _ = vectors.pruned_matches(a, b, 5, scale=math.exp(1.5), cells=16)
+    return rows.select("a_id", F.col("rank").cast("bigint").alias("rank"), "b_id", F.round("score", 6).alias("score"))
+
+
+def bounded_centres(spark, sf):
+    """k-means whose rows carry their distance bounds from round to round."""
+    start = subset.sample_n(_emb(spark, sf), K, key="vec_id", seed=SEED).select(F.col("draw").alias("code"), F.col("embedding").alias("vec"))
+    rows, _ = vectors.kmeans_bounded(_emb(spark, sf), start, vec="embedding", iters=ITERS)
+    return rows.select("code", "size", _shown("vec").alias("vec"))
+
+
+def large_batch_loss(spark, sf):
+    """All vectors as one batch, aligned with the mean vector of their label, by blocks."""
+    rows = vectors.code_lookup(_emb(spark, sf), _codebook(spark, sf), column="label").withColumn("batch_id", F.lit(0))
+    out = vectors.alignment_loss(rows, a="embedding", b="vec", scale=1.0, block_rows=64)
+    return out.select("batch_id", "n", F.round("loss", 6).alias("loss"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         valid_vectors, normalized_vectors, similar_vectors, label_logits, all_label_logits, label_means, nearest_codes, nearest_directions,
         code_histogram, quantization_error, code_vectors, remapped_codes, randomly_remapped_codes, kmeans_round, kmeans_centres,
-        moved_codebook, alignment_losses,
+        moved_codebook, alignment_losses, tiled_vectors, pruned_vectors, bounded_centres, large_batch_loss,
     )
 }
 
@@ -228,3 +262,6 @@ SQL = {
       select batch_id, rn as n, round((a + b) / 2, 6) as loss from (select batch_id, count(*) as rn, avg(e) as a from r group by batch_id)
       join (select batch_id, avg(e) as b from q group by batch_id) using (batch_id)""",
 }
+SQL["tiled_vectors"] = SQL["pruned_vectors"] = SQL["similar_vectors"]
+SQL["bounded_centres"] = SQL["kmeans_centres"]
+SQL["large_batch_loss"] = SQL["alignment_losses"].replace(f"(row_number() over (order by md5('{SEED}:' || vec_id), vec_id) - 1) // 16 as batch_id", "cast(0 as bigint) as batch_id")
