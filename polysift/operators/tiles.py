@@ -21,6 +21,8 @@ from ..scratch import materialise
 #: Rows of a block, and blocks of the right side that meet one of the left side in a task; they size tasks and change no result.
 BLOCK_ROWS = 4_096
 GROUP_BLOCKS = 8
+#: Numbers of a block: wide vectors come in blocks of fewer rows.
+BLOCK_NUMBERS = 1 << 20
 
 BLOCK = "width int, block int, n int, keys binary, data binary"
 
@@ -41,13 +43,14 @@ class Blocks:
 def pack(rows: DataFrame, keys: list[str], vec: str, *, block: Column | None = None, count: int | None = None, block_rows: int = BLOCK_ROWS, name: str = "blocks") -> Blocks:
     """Rows of a written table as blocks; ``keys`` are integer columns without nulls, ``vec`` an array of finite numbers.
 
-    Blocks are filled by a hash of a row's place in the written files, about ``block_rows`` each, whatever the keys. ``block``
-    and ``count`` number the blocks otherwise.
+    Blocks are filled by a hash of a row's place in the written files, about ``block_rows`` each and at most as many as make
+    ``BLOCK_NUMBERS`` numbers, whatever the keys. ``block`` and ``count`` number the blocks otherwise.
     """
     single = isinstance(rows.schema[vec].dataType, ArrayType) and isinstance(rows.schema[vec].dataType.elementType, FloatType)
     kind = "<f4" if single else "<f8"
     if block is None:
-        count = max(1, -(-rows.count() // block_rows))
+        size = rows.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size(vec)).alias("width")).first()
+        count = max(1, -(-size["rows"] // fitting(block_rows, size["width"])))
         block = F.pmod(F.xxhash64(F.col("_metadata.file_name"), F.col("_metadata.row_index")), F.lit(count))
     numbers = F.col(vec) if single else F.transform(vec, lambda x: x.cast("double"))
     told = rows.select(
@@ -56,6 +59,11 @@ def pack(rows: DataFrame, keys: list[str], vec: str, *, block: Column | None = N
     return Blocks(materialise(packed(told, kind, ["width", "block"]), name), count, kind, len(keys))
 
 
+def fitting(block_rows: int, width: int | None) -> int:
+    """Rows of a block of vectors so wide."""
+    return max(1, min(block_rows, BLOCK_NUMBERS // max(width or 1, 1)))
+
+
 def packed(rows: DataFrame, kind: str, by: list[str]) -> DataFrame:
     """One row per ``by`` (integer columns): these, n, and the rows' keys and matrix as bytes; a group is a block's rows."""
 

@@ -317,8 +317,9 @@ def _block_number(cells: dict[int, tuple]) -> Column:
 def _cell_blocks(rows: DataFrame, keys: list[str], n: int, block_rows: int, name: str) -> tuple[tiles.Blocks, dict[int, tuple]]:
     """Blocks that lie in one cell each, and by cell (first block, blocks, rows, radius); at most one entry per centre."""
     cells, at = {}, 0
-    for r in rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("off").alias("radius")).orderBy("cell").collect():
-        blocks = -(-r["n"] // block_rows)
+    found = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("off").alias("radius"), F.max(F.size("vec")).alias("width"))
+    for r in found.orderBy("cell").collect():
+        blocks = -(-r["n"] // tiles.fitting(block_rows, r["width"]))
         cells[r["cell"]] = (at, blocks, r["n"], r["radius"])
         at += blocks
     return tiles.pack(rows, keys, "vec", block=_block_number(cells), count=max(at, 1), name=name), cells
@@ -561,7 +562,7 @@ def unmap_codes(indices: DataFrame, used: DataFrame, *, column: str = "index") -
 
 
 def alignment_loss(
-    pairs: DataFrame, *, batch: str = "batch_id", a: str = "a_vec", b: str = "b_vec", scale: float = 1.0, block_rows: int = tiles.BLOCK_ROWS
+    pairs: DataFrame, *, batch: str = "batch_id", a: str = "a_vec", b: str = "b_vec", scale: float = 1.0, block_rows: int = 2_048
 ) -> DataFrame:
     """Per batch: rows and symmetric cross-entropy of the cosine logits, the row's own partner being the target.
 
@@ -574,7 +575,8 @@ def alignment_loss(
     unit = lambda c: l2_normalize(F.transform(c, lambda x: x.cast("double")))
     rows = pairs.select(F.col(batch).cast("bigint").alias("batch_id"), unit(a).alias("a"), unit(b).alias("b"))
     stored = materialise(rows.filter("batch_id is not null and a is not null and b is not null").withColumn("row", F.monotonically_increasing_id()), "pairs")
-    sizes = materialise(stored.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / block_rows).alias("parts")), "batch-sizes")
+    fit = F.greatest(F.least(F.lit(block_rows), F.floor(tiles.BLOCK_NUMBERS / F.greatest(F.max(F.size("a")), F.lit(1)))), F.lit(1))
+    sizes = materialise(stored.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / fit).alias("parts")), "batch-sizes")
     small = _small_losses(stored.join(sizes.filter("parts = 1").select("batch_id"), "batch_id"), factor)
     if (sizes.agg(F.max("parts")).first()[0] or 1) == 1:
         return small

@@ -197,6 +197,16 @@ def test_tables_match_without_the_driver(cloud, monkeypatch):
     assert written.count("rows") == 1 and len(written) == 2
 
 
+def test_blocks_of_wide_vectors_hold_fewer_rows(spark, monkeypatch):
+    from polysift.operators import tiles
+
+    assert [tiles.fitting(4096, w) for w in (None, 64, 1024, 1 << 21)] == [4096, 4096, 1024, 1]
+    monkeypatch.setattr(tiles, "BLOCK_NUMBERS", 60)
+    rows = materialise(spark.range(40).select("id", F.array_repeat(F.col("id").cast("float"), 6).alias("v")), "wide")
+    blocks = tiles.pack(rows, ["id"], "v")
+    assert blocks.count == 4 and blocks.kind == "<f4" and blocks.table.agg(F.sum("n")).first()[0] == 40
+
+
 @pytest.mark.parametrize("metric", ["cosine", "distance"])
 def test_pruned_matches_are_the_same(spark, metric):
     rnd = np.random.default_rng(5)
