@@ -24,6 +24,10 @@ GROUP_BLOCKS = 8
 #: Numbers of a block: wide vectors come in blocks of fewer rows.
 BLOCK_NUMBERS = 1 << 20
 
+#: Numbers that a side brings to a task of :func:`meet_grouped`, and groups that it is cut into at least (of a block or more).
+SIDE_NUMBERS = 1 << 22
+SIDE_GROUPS = 8
+
 BLOCK = "width int, block int, n int, keys binary, data binary"
 
 
@@ -126,3 +130,45 @@ def cogrouped(
         return pa.Table.from_batches(batches) if batches else none
 
     return left.groupBy(*left_keys).cogroup(right.groupBy(*right_keys)).applyInArrow(step, schema)
+
+
+def meet_grouped(left: DataFrame, right: DataFrame, by: list[str], run: Callable[[dict, Iterator[dict]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``run(left blocks as one, right blocks as a few)`` for all pairs of groups of blocks with equal ``by`` columns, ``width`` among them.
+
+    Both sides come in groups of many blocks, so a block is copied once per group of the other side, however small the blocks are: both are cut
+    into ``SIDE_GROUPS`` groups, or as many as hold ``SIDE_NUMBERS`` numbers each, which is what a task has of a side.
+    """
+
+    def groups(table: DataFrame, name: str) -> DataFrame:
+        needed = F.ceil(F.sum(F.col("n").cast("bigint")) * F.col("width") / F.lit(SIDE_NUMBERS))
+        return table.groupBy(*by).agg(F.least(F.count(F.lit(1)), F.greatest(needed, F.lit(SIDE_GROUPS))).cast("int").alias(name))
+
+    sizes = materialise(groups(left, "lefts").join(groups(right, "rights"), by), "block-groups")
+
+    def dealt(table: DataFrame, own: str, others: str, names: tuple[str, str]) -> DataFrame:
+        told = table.join(sizes, by).withColumn(names[0], F.pmod("block", own))
+        return told.withColumn(names[1], F.explode(F.sequence(F.lit(0), F.col(others) - 1))).drop("lefts", "rights")
+
+    fields, numbers = list(to_arrow_schema(StructType.fromDDL(schema))), BLOCK_NUMBERS
+
+    def glued(table: pa.Table, most: int | None) -> Iterator[dict]:
+        """Blocks in order of their number as larger ones, of ``most`` numbers or a block more."""
+        first, n, keys, data = {c: table.column(c)[0].as_py() for c in by}, 0, [], []
+        order = sorted(range(table.num_rows), key=table.column("block").to_pylist().__getitem__)
+        for at, i in enumerate(order, start=1):
+            n += table.column("n")[i].as_py()
+            keys.append(table.column("keys")[i].as_py())
+            data.append(table.column("data")[i].as_py())
+            if at == len(order) or most is not None and n * first["width"] >= most:
+                yield first | {"n": n, "keys": b"".join(keys), "data": b"".join(data)}
+                n, keys, data = 0, [], []
+
+    def step(one: pa.Table, many: pa.Table) -> pa.Table:
+        if not one.num_rows or not many.num_rows:
+            return pa.table({f.name: pa.array([], f.type) for f in fields})
+        [whole] = glued(one, None)
+        return pa.Table.from_batches(list(run(whole, glued(many, numbers))))
+
+    keys = [*by, "left_group", "right_group"]
+    a, b = dealt(left, "lefts", "rights", ("left_group", "right_group")), dealt(right, "rights", "lefts", ("right_group", "left_group"))
+    return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInArrow(step, schema)

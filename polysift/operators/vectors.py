@@ -637,13 +637,7 @@ def _large_losses(rows: DataFrame, factor: float) -> DataFrame:
         told = rows.select("batch_id", F.pmod("place", "parts").cast("int").alias("block"), F.size(side).alias("width"), F.array("row").alias("keys"), F.col(side).alias("vec"))
         return materialise(tiles.packed(told, "<f8", ["batch_id", "width", "block"]), f"{side}-blocks")
 
-    left, right = blocks("a"), blocks("b")
-    group = F.call_function("div", F.col("block"), F.lit(tiles.GROUP_BLOCKS)).cast("int").alias("group")
-    own, other = left.select("batch_id", "width", F.col("block").alias("meets")), right.select("batch_id", "width", group).distinct()
-    met = tiles.cogrouped(
-        left.join(other, ["batch_id", "width"]), right.join(own, ["batch_id", "width"]).select("*", group),
-        ["batch_id", "width", "block", "group"], ["batch_id", "width", "meets", "group"], run, "batch_id long, row long, side int, top double, total double",
-    )
+    met = tiles.meet_grouped(blocks("a"), blocks("b"), ["batch_id", "width"], run, "batch_id long, row long, side int, top double, total double")
     parts = met.groupBy("batch_id", "row", "side").agg(F.max("top").alias("high"), F.collect_list(F.struct("top", "total")).alias("parts"))
     spread = F.aggregate("parts", F.lit(0.0), lambda acc, p: acc + p["total"] * F.exp(p["top"] - F.col("high")))
     entropies = parts.groupBy("batch_id").agg(F.sum(F.col("high") + F.log(spread)).alias("spread"))

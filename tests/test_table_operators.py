@@ -207,6 +207,26 @@ def test_blocks_of_wide_vectors_hold_fewer_rows(spark, monkeypatch):
     assert blocks.count == 4 and blocks.kind == "<f4" and blocks.table.agg(F.sum("n")).first()[0] == 40
 
 
+def test_small_blocks_are_copied_once_per_group(spark):
+    """However small the blocks, few copies of them reach the tasks, and every pair of rows meets once."""
+    import pyarrow as pa
+
+    from polysift.operators import tiles
+
+    rows = materialise(spark.range(1_000).select("id", F.array_repeat(F.col("id").cast("double"), 2).alias("v")), "points")
+    blocks, others = (tiles.pack(rows, ["id"], "v", block_rows=5) for _ in range(2))
+    assert blocks.count == 200
+
+    def run(one, many):
+        for block in many:
+            yield pa.record_batch({"left": pa.array([one["n"]]), "right": pa.array([block["n"]])})
+
+    met = tiles.meet_grouped(blocks.table, others.table, ["width"], run, "left long, right long").collect()
+    assert sum(r.left * r.right for r in met) == 1_000_000
+    copies = sum(r.left + r.right for r in met)
+    assert copies <= 2 * tiles.SIDE_GROUPS * 1_000, copies
+
+
 @pytest.mark.parametrize("metric", ["cosine", "distance"])
 def test_pruned_matches_are_the_same(spark, metric):
     rnd = np.random.default_rng(5)
