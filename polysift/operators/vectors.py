@@ -207,8 +207,8 @@ def _matched_in_tiles(rows: DataFrame, side: DataFrame, k: int, metric: str, sca
     stored = _numbered(rows)
     a = tiles.pack(stored, ["_row"], "vec", block_rows=block_rows, name="row-blocks")
     b = tiles.pack(side, ["key"], "vec", block_rows=block_rows, name="candidate-blocks")
-    hits = tiles.meet(a, b, _tile_matches(b.kind, a.kind, k, metric, scale), _HITS)
-    if b.count > tiles.GROUP_BLOCKS:
+    hits = tiles.meet_grouped(a.table, b.table, ["width"], _tile_matches(b.kind, a.kind, k, metric, scale), _HITS)
+    if b.count > 1:
         hits = _merged(hits, k)
     return _with_hits(stored, hits, k)
 
