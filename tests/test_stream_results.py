@@ -117,3 +117,46 @@ def test_a_tree_is_listed_by_tasks(spark, tmp_path):
     assert len(spark_lists) <= len(got)
     (tmp_path / "none").mkdir()
     assert annotations.walk_media(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_rows_of_a_rank_leave_part_by_part():
+    """A rank's rows are not gathered: each part yields what passes before the next one is asked for."""
+    import pandas as pd
+
+    class State:
+        row = None
+
+        def exists(self):
+            return self.row is not None
+
+        def get(self):
+            return self.row
+
+        def update(self, row):
+            self.row = row
+
+    class Handle:
+        timers = []
+
+        def listTimers(self):
+            return []
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    class Times:
+        def getCurrentProcessingTimeInMs(self):
+            return 5
+
+    processor, asked = streams._LastOfRank(10), []
+    processor.held, processor.handle = State(), Handle()
+
+    def parts():
+        for i in range(3):
+            asked.append(i)
+            yield pd.DataFrame({"index": [2 * i, 2 * i + 1], "row": [f"r{2 * i}", f"r{2 * i + 1}"]})
+
+    out = processor.handleInputRows(("0",), parts(), Times())
+    assert next(out)["row"].tolist() == ["r0"] and asked == [0]
+    assert [r for frame in out for r in frame["row"]] == ["r1", "r2", "r3", "r4"]
+    assert processor.held.row == (5, "r5") and Handle.timers == [15]
