@@ -368,6 +368,33 @@ def words():
     return lambda texts: [[len(w) for w in t.split()] for t in texts]
 
 
+def test_tokenizer_sees_a_bounded_piece_of_a_batch(spark, monkeypatch):
+    """Texts of a batch become Python objects piece by piece; nulls, empty texts and long ones keep their rows."""
+    monkeypatch.setattr(models, "PIECE_BYTES", 100)
+    import pyarrow as pa
+
+    texts = pa.array(["a" * 30, None, "", "b" * 250, "c", "d" * 90, None])
+    pieces = list(models._text_pieces(texts))
+    assert pa.concat_arrays(pieces) == texts and len(pieces) > 2 and [len(p) for p in models._text_pieces(pa.array([], pa.string()))] == [0]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts.to_pylist())], "k int, t string").coalesce(1)
+    got = {r.k: r.ids for r in models.with_tokens(df, "t", words).collect()}
+    assert got == {0: [30], 1: None, 2: [], 3: [250], 4: [1], 5: [90], 6: None}
+
+
+def test_digests_of_packed_arrays(spark):
+    """As md5 of the joined numbers, in one piece or in many."""
+    import hashlib
+
+    from catalog import packing
+
+    rows = [(0, [1, None, 22]), (1, []), (2, None), (3, list(range(-3, 9))), (4, [7])]
+    df = spark.createDataFrame(rows, "k int, a array<int>").coalesce(1)
+    md5 = lambda a, null: None if a is None else hashlib.md5(" ".join(null if x is None else str(x) for x in a if x is not None or null).encode()).hexdigest()
+    for null in (None, "0"):
+        got = {r.k: r.d for r in df.select("k", packing._shown("a", null).alias("d")).collect()}
+        assert got == {k: md5(a, null) for k, a in rows}
+
+
 def test_callers_python(spark):
     df = spark.createDataFrame([(i, "a bb " + "c" * i) for i in range(20)], "k bigint, t string")
     assert {r.k: r.ids for r in models.with_tokens(df, "t", words).collect()}[3] == [1, 2, 3]
