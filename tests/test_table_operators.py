@@ -395,6 +395,35 @@ def test_digests_of_packed_arrays(spark):
         assert got == {k: md5(a, null) for k, a in rows}
 
 
+def test_digests_of_numbers_far_apart(spark):
+    """Texts of numbers come from a look-up, of all between the ends or of those that occur."""
+    import hashlib
+
+    from catalog import packing
+
+    rows = [(0, [2**31 - 1, None, -(2**31), 0, -100]), (1, [70_000, 0]), (2, [None]), (3, [5, 5])]
+    for part in (rows, rows[2:]):
+        df = spark.createDataFrame(part, "k int, a array<int>").coalesce(1)
+        got = {r.k: r.d for r in df.select("k", packing._shown("a", "0").alias("d")).collect()}
+        assert got == {k: hashlib.md5(" ".join("0" if x is None else str(x) for x in a).encode()).hexdigest() for k, a in part}
+
+
+def test_tokenizers_may_return_arrow_lists(spark):
+    from catalog import packing
+
+    texts = ["a bb", "", " ", None, "é\u4e2d \U0001f600x  y"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").coalesce(1)
+    want = {k: None if t is None else [len(w) for w in t.split(" ")] for k, t in enumerate(texts)}
+    assert {r.k: r.ids for r in models.with_tokens(df, "t", packing._lengths).collect()} == want
+    packed = models.with_tokens(df, "t", packing._lengths, packed=True)
+    assert {r.k: None if r.ids is None else bytes(r.ids) for r in packed.collect()} == {
+        k: None if v is None else b"".join(x.to_bytes(4, "little") for x in v) for k, v in want.items()
+    }
+    from polysift.functions import tokens
+
+    assert {r.k: r.ids for r in packed.select("k", tokens.unpacked("ids").alias("ids")).collect()} == want
+
+
 def test_callers_python(spark):
     df = spark.createDataFrame([(i, "a bb " + "c" * i) for i in range(20)], "k bigint, t string")
     assert {r.k: r.ids for r in models.with_tokens(df, "t", words).collect()}[3] == [1, 2, 3]
@@ -586,6 +615,49 @@ def test_rows_of_one_id_are_ranked_in_many_tasks(spark, monkeypatch):
     assert max(sizes) < 3 * 2400 / 12
 
 
+def _stored(monkeypatch):
+    """Columns and types of the tokenized rows that a packing job writes."""
+    from polysift.plans import jobs
+
+    kinds, keep = {}, jobs.materialise
+
+    def noted(df, name):
+        kinds.update({n: t for n, t in df.dtypes if name == "tokenized"})
+        return keep(df, name)
+
+    monkeypatch.setattr(jobs, "materialise", noted)
+    return kinds
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(("side", "evaluate"), [("right", False), ("left", False), ("right", True)])
+def test_packing_moves_ids_only(spark, monkeypatch, side, evaluate):
+    """Labels are made behind the join, from one packed binary a row, which is never broadcast; null texts keep null arrays."""
+    from polysift.plans import jobs
+
+    kinds = _stored(monkeypatch)
+    rows = [(f"s{i}", "t", "x yy " * i + "zzz", "aaaa b") for i in range(6)] + [("p", "t", None, "a"), ("q", "t", "", ""), ("r", "t", "a", None)]
+    df = spark.createDataFrame(rows, "sample_id string, task string, instruction string, output string")
+    out = jobs.pack_batches(df, _word_lengths, jobs.PackConfig(batch_size=3, seed=2, side=side, evaluate=evaluate))
+    assert {n: t for n, t in kinds.items() if t not in ("string", "bigint", "int")} == {"input_ids": "binary"}
+    assert "ShuffledHashJoin [_place" in _plan(out)
+    got = {r.sample_id: r for r in out.collect()}
+    n = lambda t: None if t is None else [len(w) for w in t.split(" ")]
+    for key, _, prompt, answer in rows:
+        p, a, r = n(prompt), [] if evaluate else n(answer), got[key]
+        if p is None or a is None:
+            assert r.input_ids is None and r.labels is None
+            continue
+        pad = r.width - len(p + a)
+        want = (p + a, [-100] * len(p) + a, [True] * len(p + a))
+        pads = ([2] * pad, [-100] * pad, [False] * pad)
+        want = [y + x if side == "left" else x + y for x, y in zip(want, pads)]
+        assert [r.input_ids, r.labels, r.attention_mask] == want
+
+
 def test_samples_flow_into_the_packer(spark):
     from polysift.operators import conversations
     from polysift.plans import jobs
