@@ -63,6 +63,37 @@ def test_masks_and_positions(spark):
         assert r.t == [x != 1 for x in r.ids] and r.z == [0 if x == 1 else x for x in r.ids]
 
 
+def test_chat_arrays_are_those_of_the_helpers(spark):
+    """In one trip, on packed ids; null and empty rows, and rows that begin or end with a marker."""
+    rng = random.Random(3)
+    ids = [None, [], [7, 8], [9], [7, 8, 9], [1, 7, 8, 1, 9, 9, 7, 8], *[[rng.choice([1, 2, 7, 8, 9]) for _ in range(rng.randrange(30))] for _ in range(200)]]
+    packed = [(k, a, None if a is None else b"".join(x.to_bytes(4, "little") for x in a)) for k, a in enumerate(ids)]
+    df = spark.createDataFrame(packed, "k int, ids array<int>, packed binary")
+    whole = df.select("k", tokens.chat_arrays("packed", 1, START, END).alias("c")).select("k", "c.*")
+    one = df.withColumn("image_mask", tokens.tag_mask("ids", 1)).withColumn("input_ids", tokens.clear_tag("ids", 1))
+    one = one.withColumn("labels", tokens.span_labels("input_ids", tokens.target_spans("input_ids", START, END)))
+    one = one.withColumns({"text_mask": tokens.complement("image_mask"), "question_mask": tokens.question_mask("image_mask", "labels")})
+    got, want = ({r.k: r for r in x.select(*whole.columns).collect()} for x in (whole, one))
+    assert got == want and got[0][1:] == (None,) * 5 and got[1].labels == []
+    for k, a in enumerate(ids[1:], 1):
+        cleared = [0 if x == 1 else x for x in a]
+        last = max((i for i, x in enumerate(a) if x == 1), default=len(a))
+        assert (got[k].input_ids, got[k].labels) == (cleared, brute_labels(cleared))
+        assert got[k].question_mask == [x != 1 and y == -100 and i > last for i, (x, y) in enumerate(zip(a, got[k].labels))]
+
+
+def test_null_ids_in_masks(spark):
+    """A null id is no tag and no marker; its mask is null unless it is not behind the media."""
+    df = spark.createDataFrame([(0, [None, 1, None, 5], [-100, -100, -100, 5]), (1, None, [1]), (2, [1], None)], "k int, ids array<int>, y array<int>")
+    df = df.withColumn("m", tokens.tag_mask("ids", 1)).select(
+        "k", "m", tokens.complement("m").alias("t"), tokens.clear_tag("ids", 1).alias("z"), tokens.question_mask("m", "y").alias("q"),
+        tokens.span_labels("ids", tokens.target_spans("ids", [1], [5])).alias("s"),
+    )
+    got = {r.k: tuple(r)[1:] for r in df.collect()}
+    assert got[0] == ([None, True, None, False], [None, False, None, True], [None, 0, None, 5], [False, False, None, False], [-100, -100, None, 5])
+    assert got[1] == (None,) * 5 and got[2] == ([True], [False], [0], None, [-100])
+
+
 def test_splice_opens_slots(spark):
     names = tokens.special_token_ids(100)
     assert names["<image>"] == 100 and names["<question_end>"] == 110

@@ -658,6 +658,19 @@ def test_packing_moves_ids_only(spark, monkeypatch, side, evaluate):
         assert [r.input_ids, r.labels, r.attention_mask] == want
 
 
+def test_chats_move_ids_only(spark, monkeypatch):
+    """Masks and labels are made behind the join, in one trip to Python."""
+    from polysift.plans import jobs
+
+    kinds = _stored(monkeypatch)
+    rows = [(f"c{i}", [("human", f"<image> why {'w ' * i}?"), ("gpt", "because so")]) for i in range(9)]
+    chats = spark.createDataFrame(rows, "sample_id string, conversation array<struct<from:string,value:string>>")
+    out, _ = jobs.pack_image_chat(chats, _word_lengths, jobs.ChatConfig(start_marker=[7], end_marker=[4], image_id=2, slots=2, batch_size=3))
+    assert {n: t for n, t in kinds.items() if t not in ("string", "bigint", "int")} == {"_raw": "binary"}
+    assert "ShuffledHashJoin [_place" in _plan(out) and _plan(out).count("ArrowEvalPython ") == 1
+    assert len(out.collect()) == 9
+
+
 def test_samples_flow_into_the_packer(spark):
     from polysift.operators import conversations
     from polysift.plans import jobs
