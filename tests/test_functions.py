@@ -82,6 +82,13 @@ def test_chat_arrays_are_those_of_the_helpers(spark):
         assert got[k].question_mask == [x != 1 and y == -100 and i > last for i, (x, y) in enumerate(zip(a, got[k].labels))]
 
 
+def test_null_ids_have_no_targets(spark):
+    df = spark.createDataFrame([(0, None), (1, []), (2, [7, 8, 1, 9])], "k int, ids array<int>")
+    spans = tokens.target_spans("ids", START, END)
+    got = {r.k: (r.s, r.y) for r in df.select("k", spans.alias("s"), tokens.span_labels("ids", spans).alias("y")).collect()}
+    assert got == {0: ([], None), 1: ([], []), 2: ([(2, 4)], [-100, -100, 1, 9])}
+
+
 def test_null_ids_in_masks(spark):
     """A null id is no tag and no marker; its mask is null unless it is not behind the media."""
     df = spark.createDataFrame([(0, [None, 1, None, 5], [-100, -100, -100, 5]), (1, None, [1]), (2, [1], None)], "k int, ids array<int>, y array<int>")
