@@ -15,7 +15,8 @@ Hot groups: a group of copies is a single node from the start. Every set is firs
 ``FIRST`` smallest tokens, a row per token, which hangs the bulk of a group of near copies on one root; from then on only
 members under different roots are compared. The members of a usual key travel as one list of at most ``HOT_KEY`` nodes, and lists of
 the same documents meet in one task with the sketches of their members, so that a pair is written only if its sketches leave
-room. Of keys with more nodes, members outside the largest part are compared with the members of the other parts.
+room. The members of keys with more nodes are dealt into chunks of bounded size; chunks that share such a key meet in one task with their sketches,
+once whatever the number of these keys.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ COUNTED_SHARE = 0.4
 RANGE_TOKENS = 1 << 20
 #: Tokens a task gathers before it hands them on.
 FLUSH_TOKENS = 1 << 21
+#: Tokens of sets that a task keeps while it verifies pairs: a set has many partners.
+HELD_TOKENS = 1 << 22
 #: Smallest tokens by which a set is first compared with a centre.
 FIRST = 8
 #: Cells of the sketch by which most candidate pairs are told apart before their texts are fetched.
@@ -51,6 +54,8 @@ CELLS = 512
 HOT_KEY = 4096
 #: Hot keys that are told apart by a broadcast list; with more of them, a hot key has more nodes.
 HOT_KEYS = 1_000_000
+#: Members of hot keys that meet as many others in one group.
+TILE = 1024
 
 _LIMIT = np.uint64(int(COUNTED_SHARE * 2**64))
 _LOW = np.uint64(0xFFFFFFFF)
@@ -380,7 +385,7 @@ def _listed_pairs(lists: DataFrame, members: DataFrame, texts: DataFrame, roots:
 
 def _blocks_of(place: np.ndarray, cuts: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of places that are in a common list, each pair once, some thousand first members at a time."""
-    step = max(1, (1 << 24) // max(1, n))
+    step = max(1, (1 << 22) // max(1, n))
     for low in range(0, n, step):
         table = np.zeros((min(step, n - low), n), bool)
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
@@ -429,12 +434,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
+        size = 0
 
         def tokens(node: int, text: bytes) -> np.ndarray:
+            nonlocal size
             if node not in held:
-                if len(held) >= 256:
+                found = next(text_sets([text], words))
+                if size + len(found) > HELD_TOKENS:
                     held.clear()
-                held[node] = next(text_sets([text], words))
+                    size = 0
+                held[node] = found
+                size += len(found)
             return held[node]
 
         for batch in batches:
@@ -500,37 +510,73 @@ def _joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
     return below.unionByName(above.join(roots.select("node"), "node", "left_anti").select("node", "component"))
 
 
-def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs whose ends are not known to be in the same component."""
-    one = comps.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    two = comps.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    known = pairs.join(one, "a", "left").join(two, "b", "left")
-    return known.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+def _hot_tiles(blobs: DataFrame, hot, roots: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(node, chunk, comp) of the members of hot keys, and (a, b) of the chunks to be compared, a <= b.
 
-
-def _hot_pairs(blobs: DataFrame, hot, roots: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of members outside the largest part of a hot key and the nodes of the other parts of the key whose sizes allow a link.
-
-    Sizes are compared before rows are written, with the smallest and largest set of a part first, then with each of its nodes.
+    A node's home is the hot key with most rows among its own. The members of a home, those under its largest root apart and by classes of size,
+    are dealt into chunks of about ``TILE`` nodes. Two chunks meet once, however many keys they share, unless they are under one root or no two of
+    their sets are close enough in size.
     """
-
-    def fit(a: Column, low: Column, high: Column) -> Column:
-        return (100 * a >= percent * low) & (100 * high >= percent * a)
-
     labelled = blobs.join(roots.select("node", "component"), "node", "left").withColumn("comp", F.coalesce("component", "node"))
-    labels = materialise(labelled.select("node", "comp", "n"), "hot")
     rows = materialise(_pair_keys(labelled, hot, True, ("comp", "n")), "hot")
-    sizes = materialise(rows.groupBy("key", "comp").agg(F.count("*").alias("rows"), F.min("n").alias("low"), F.max("n").alias("high")), "hot")
-    tops = sizes.groupBy("key").agg(F.max(F.struct("rows", "comp")).alias("top"), F.count("*").alias("kinds")).filter("kinds > 1")
-    tops = tops.select(F.col("key").alias("mixed"), F.col("top.comp").alias("main"))
-    outside = rows.join(tops, (F.col("key") == F.col("mixed")) & (F.col("comp") != F.col("main"))).select("key", "node", "comp", "n")
-    others = sizes.select(F.col("key").alias("mixed"), F.col("comp").alias("other"), "low", "high")
-    same = (F.col("key") == F.col("mixed")) & (F.col("comp") != F.col("other")) & fit(F.col("n"), F.col("low"), F.col("high"))
-    met = materialise(outside.join(others, same).select("node", "n", "other").distinct(), "met")
-    discard(rows, sizes)
-    members = labels.distinct().select(F.col("comp").alias("other"), F.col("node").alias("y"), F.col("n").alias("m"))
-    pairs = met.join(members, "other").filter(fit(F.col("n"), F.col("m"), F.col("m")))
-    return _ordered(pairs, "node", "y").distinct()
+    mixed = rows.groupBy("key").agg(F.count("*").alias("held"), F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least < most")
+    met = materialise(rows.join(mixed.select("key", "held"), "key"), "met")
+    nodes = met.groupBy("node").agg(F.max(F.struct("held", "key"))["key"].alias("home"), F.first("comp").alias("comp"), F.first("n").alias("n"))
+    largest = nodes.groupBy("home", "comp").agg(F.count("*").alias("held")).groupBy("home").agg(F.max(F.struct("held", "comp"))["comp"].alias("main"))
+    step = F.floor(F.log("n") / F.log(F.lit(100 / percent))) if percent < 100 else F.col("n")
+    sorts = nodes.join(largest, "home").withColumns({"inner": F.col("comp") == F.col("main"), "step": step})
+    sizes = sorts.groupBy("home", "inner", "step").agg(F.ceil(F.count("*") / TILE).alias("parts"))
+    dealt = sorts.join(sizes, ["home", "inner", "step"]).withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
+    dealt = materialise(dealt.select("node", "n", "comp", F.xxhash64("home", "inner", "step", "part").alias("chunk")), "chunks")
+    discard(rows)
+
+    facts = dealt.groupBy("chunk").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("n", "comp")])
+    keys = met.select("key", "node").join(dealt.select("node", "chunk"), "node").select("key", "chunk").distinct().join(facts, "chunk")
+    keys = materialise(keys, "keys")
+    one, two = (keys.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("chunk", *facts.columns[1:])]) for side in "ab")
+    pairs = one.join(two, "key").filter("a_chunk <= b_chunk")
+    apart = (F.col("a_min_comp") != F.col("b_max_comp")) | (F.col("b_min_comp") != F.col("a_max_comp"))
+    close = [100 * F.col(f"{y}_max_n") >= percent * F.col(f"{x}_min_n") for x, y in ("ab", "ba")]
+    pairs = pairs.filter(apart & close[0] & close[1]).select(F.col("a_chunk").alias("a"), F.col("b_chunk").alias("b")).distinct()
+    pairs = materialise(pairs, "tiles")
+    discard(met, keys)
+    return dealt.select("node", "chunk", "comp"), pairs
+
+
+def _hot_pairs(blobs: DataFrame, hot, texts: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of members of hot keys that are under different roots and whose sizes and sketches leave room.
+
+    Sketches meet chunk by chunk, a tile of two chunks in one group, so a pair is written only if it has room.
+    """
+    dealt, pairs = _hot_tiles(blobs, hot, roots, percent)
+    members = dealt.join(texts.select("node", "n", "sketch"), "node")
+    # A chunk that meets itself comes once.
+    ends = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("chunk"))
+    tiles = ends.join(members, "chunk").select("a", "b", "chunk", "node", "n", "comp", "sketch")
+
+    def compared(tile: pa.Table) -> pa.Table:
+        first, second, own = (tile.column(c).to_numpy() for c in ("a", "b", "chunk"))
+        once = len(own) and first[0] == second[0]
+        sides = [tile.filter(pa.array(own == ends)) for ends in (first, second)]
+        (a, na, ca), (b, nb, cb) = ([t.column(c).to_numpy() for c in ("node", "n", "comp")] for t in sides)
+        p, q = (np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, CELLS) for t in sides)
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        step = max(1, (1 << 20) // max(1, len(b)))
+        for low in range(0, len(a), step):
+            x, n = slice(low, low + step), na[low : low + step, None]
+            fits = (ca[x, None] != cb) & (100 * np.minimum(n, nb) >= percent * np.maximum(n, nb))
+            if once:
+                fits &= a[x, None] < b
+            i, j = np.nonzero(fits)
+            i += low
+            for at in range(0, len(i), 8192):
+                k, m = i[at : at + 8192], j[at : at + 8192]
+                kept = _leaves_room(p[k], q[m], na[k] + nb[m], percent)
+                out_a.append(a[k[kept]])
+                out_b.append(b[m[kept]])
+        return pa.table({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+
+    return _ordered(tiles.groupBy("a", "b").applyInArrow(compared, "a long, b long"), "a", "b").distinct()
 
 
 def similar_components(
@@ -572,7 +618,7 @@ def similar_components(
     links = materialise(_verified(_room(first, chosen, percent), chosen, words, percent).filter("linked").select("a", "b"), "links")
     roots = materialise(components(links), "roots")
     discard(first, links)
-    met = _room(_apart(_hot_pairs(blobs, hot_keys, roots, percent), roots), chosen, percent)
+    met = _hot_pairs(blobs, hot_keys, chosen, roots, percent)
     apart = materialise(_listed_pairs(lists, members, chosen, roots, percent).unionByName(met).distinct(), "apart")
     more = materialise(_verified(apart, chosen, words, percent).filter("linked").select("a", "b").distinct(), "links")
     discard(blobs, lists, members, chosen, apart)

@@ -187,6 +187,38 @@ def test_join_components(spark, monkeypatch, rare, hot):
     assert {d: (got[d].n_shingles, got[d].component_id) for d, _ in docs} == brute.components(docs)
 
 
+def test_members_of_hot_keys_meet_in_bounded_tiles(spark, monkeypatch):
+    """A passage in many texts and a large group of near copies: tables grow with the members, not with their square."""
+    r = random.Random(11)
+    passage = " ".join(f"p{i}" for i in range(24))
+    texts = [f"{passage} " + " ".join(f"q{r.randrange(10**7)}" for _ in range(r.randint(6, 10))) for _ in range(240)]
+    texts += near_copies(r, [f"w{i}" for i in range(60)], 120, 0.03) + texts[:5]
+    docs = list(enumerate(texts))
+    for name, value in (("RARE_COUNT", 3), ("HOT_KEY", 32), ("TILE", 16)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rows, hot = {}, []
+    materialise, tiles = ngram_join.materialise, ngram_join._hot_tiles
+
+    def counted(df, name):
+        out = materialise(df, name)
+        rows[name] = max(rows.get(name, 0), out.count())
+        return out
+
+    def tiled(*args):
+        members, pairs = tiles(*args)
+        sizes = [x["count"] for x in members.groupBy("chunk").count().collect()]
+        hot.extend([sum(sizes), max(sizes), pairs.count(), pairs.distinct().count()])
+        return members, pairs
+
+    monkeypatch.setattr(ngram_join, "materialise", counted)
+    monkeypatch.setattr(ngram_join, "_hot_tiles", tiled)
+    got = by_id(ngram_join.similar_components(frame(spark, docs)))
+    assert {d: (got[d].n_shingles, got[d].component_id) for d, _ in docs} == brute.components(docs)
+    members, largest, pairs, distinct = hot
+    assert members > 200 and largest <= 40 and pairs == distinct
+    assert max(rows.values()) < 240 * 240 / 4, rows
+
+
 def test_join_odd_rows(spark):
     docs = [(5, "one two three four five six"), (5, "one two three four five six"), (None, "one two three four five six"), (7, None), (8, "")]
     got = sorted((r.doc_id or -1, r.n_shingles, r.component_id) for r in ngram_join.similar_components(frame(spark, docs)).collect())
