@@ -658,6 +658,49 @@ def test_packing_moves_ids_only(spark, monkeypatch, side, evaluate):
         assert [r.input_ids, r.labels, r.attention_mask] == want
 
 
+def test_ids_are_narrow_on_disk(spark):
+    from polysift.functions import tokens
+
+    ids = [[1, 2, 255], [], None, [256, 1], [65535], [65536, 0, 3], [-100, 5], [2**31 - 1, -(2**31)], [0]]
+    rows = [(k, None if a is None else b"".join(x.to_bytes(4, "little", signed=True) for x in a)) for k, a in enumerate(ids)]
+    df = spark.createDataFrame(rows, "k int, packed binary")
+    for part in (df.coalesce(1), df.repartition(4), df.filter("k = 2"), df.filter("k = 1"), df.filter("k < 0"), df.filter("k in (2, 5, 8)").coalesce(1)):
+        narrow = part.select("k", tokens.narrowed("packed").alias("n"))
+        sizes = {r.k: None if r.n is None else len(r.n) for r in narrow.collect()}
+        want = {0: 4, 1: 1, 2: None, 3: 5, 4: 3, 5: 13, 6: 9, 7: 9, 8: 2}
+        assert sizes == {k: want[k] for k in sizes} and len(sizes) == part.count()
+        assert {r.k: r.w for r in narrow.select("k", tokens.unpacked(tokens.widened("n")).alias("w")).collect()} == {k: ids[k] for k in sizes}
+
+
+def test_packing_keeps_little_on_disk(spark, monkeypatch, tmp_path):
+    """What was read may be deleted once it is tokenized; ids below 256 take a byte; keys are kept once, in order."""
+    import shutil
+
+    from polysift import scratch
+    from polysift.operators import position
+    from polysift.plans import jobs
+
+    written, keep = {}, scratch.materialise
+
+    def noted(df, name):
+        out = keep(df, name)
+        written[name] = out._scratch_path
+        if name == "tokenized":
+            written["bytes"] = out.agg(F.sum(F.octet_length("input_ids"))).first()[0]
+        return out
+
+    monkeypatch.setattr(jobs, "materialise", noted)
+    monkeypatch.setattr(position, "materialise", noted)
+    rows = [(f"s{i}", "t", "x yy " * i + "zzz", "aaaa b") for i in range(20)]
+    spark.createDataFrame(rows, "sample_id string, task string, instruction string, output string").write.parquet(f"{tmp_path}/in")
+    df = spark.read.parquet(f"{tmp_path}/in")
+    out = jobs.pack_batches(df, _word_lengths, jobs.PackConfig(batch_size=3), after_read=lambda: shutil.rmtree(f"{tmp_path}/in"))
+    assert written["bytes"] == sum(1 + 2 * i + 3 for i in range(20))
+    assert scratch.exists(spark, written["tokenized"]) and not scratch.exists(spark, written["unordered"])
+    got = {r.sample_id: r.input_ids[: sum(r.attention_mask)] for r in out.collect()}
+    assert got == {f"s{i}": [1, 2] * i + [3, 4, 1] for i in range(20)}
+
+
 def test_chats_move_ids_only(spark, monkeypatch):
     """Masks and labels are made behind the join, in one trip to Python."""
     from polysift.plans import jobs
